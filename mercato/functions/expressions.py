@@ -14,8 +14,11 @@ def col_(c) -> Column:
 
 
 def epoch_micros(ts) -> Column:
-    """Microseconds since epoch of a TIMESTAMP_NTZ (session zone is UTC)."""
-    return F.unix_micros(col_(ts).cast("timestamp"))
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (wall clock, no time
+    zone involved, whatever the session zone is)."""
+    c = col_(ts)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
 
 
 def seconds_between(start, end) -> Column:

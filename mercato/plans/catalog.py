@@ -255,3 +255,6 @@ def q_segment_report(spark, sf):
 
 
 _ = (F, SEGMENT_CASE)
+
+# further query groups register themselves on import
+from mercato.plans import catalog_baskets  # noqa: E402,F401
