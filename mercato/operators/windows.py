@@ -61,3 +61,18 @@ def running_max_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str
     carry = per_bucket.select(*keys, bucket, F.max("_bmax").over(wb).alias("_carry"))
     d = d.join(carry, on=[*keys, bucket], how="left")
     return d.withColumn(out, F.greatest(F.col("_run_in"), F.col("_carry"))).drop("_run_in", "_carry")
+
+
+def row_number_in_group(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: str,
+                        out: str) -> DataFrame:
+    """``row_number() over (partition by key order by order)`` with bucket
+    offsets: row number inside (key, bucket) plus the row count of the key's
+    earlier buckets (prefix sum on the bucket-level table)."""
+    keys = list(keys)
+    w = Window.partitionBy(*keys, bucket).orderBy(*[col_(o) for o in order])
+    d = df.withColumn("_rn_in", F.row_number().over(w))
+    sizes = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_bn"))
+    wb = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select(*keys, bucket, F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"))
+    d = d.join(offs, on=[*keys, bucket], how="left")
+    return d.withColumn(out, (F.col("_rn_in") + F.col("_off")).cast("long")).drop("_rn_in", "_off")

@@ -116,8 +116,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = order_lines(spark, sf_dir)
     return lines.select(
         "order_id", "product_id", "quantity",
-        (F.col("extended_price") / F.col("quantity")).cast(MONEY).alias("unit_price"),
-        "discount", "extended_price", "line_sort",
+        F.try_divide(F.col("extended_price"), F.col("quantity")).cast(MONEY).alias("unit_price"),
+        "discount", "extended_price", "ship_date", "line_sort",
     )
 
 
