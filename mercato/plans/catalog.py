@@ -259,3 +259,4 @@ _ = (F, SEGMENT_CASE)
 # further query groups register themselves on import
 from mercato.plans import catalog_baskets  # noqa: E402,F401
 from mercato.plans import catalog_warehouse  # noqa: E402,F401
+from mercato.plans import catalog_io  # noqa: E402,F401
