@@ -28,7 +28,7 @@ def fact_orders(orders: DataFrame, with_keys: bool = False) -> DataFrame:
     order.  The per-customer "previous order" runs on (customer, month)
     slices with carry-over, so a customer with a huge history is no hot task."""
     o = orders.withColumn("_m", F.trunc(F.col("order_date").cast("date"), "month"))
-    o = previous_in_group(o, ["customer_id"], ["order_date", "order_id"], "_m", {"d": F.col("order_date")})
+    o = previous_in_group(o, ["customer_id"], ["order_date", "order_id"], "_m", {"d": "order_date"})
     out = o.select(
         "order_id", "customer_id",
         date_key("order_date").alias("date_key"),

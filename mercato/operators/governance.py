@@ -16,7 +16,7 @@ def mask_email(col: str):
 
 def mask_phone(col: str):
     """Keep the last 4 digits."""
-    return F.regexp_replace(F.col(col), r"\d(?=\d{4})", "*")
+    return F.regexp_replace(F.col(col), r"\d(?=(?:\D*\d){4})", "*")
 
 
 def mask_columns(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:

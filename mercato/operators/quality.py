@@ -96,3 +96,30 @@ def scd_integrity(dim: DataFrame, key: str, table: str) -> DataFrame:
              ("scd_current_open", "is_current", F.col("flag_mismatch")),
              ("scd_one_current", "is_current", F.col("cur") != 1)]
     return run_checks(per_key, table, rules)
+
+
+def audited_write(df: DataFrame, path: str, pipeline_name: str, failed_when: Column | None = None,
+                  mode: str = "overwrite") -> DataFrame:
+    """Write ``df`` and return its audit-log row (Q10).  Row counts come from
+    ``DataFrame.observe`` - collected by the same job that writes, no second
+    pass over the data."""
+    import datetime as dt
+
+    from pyspark.sql import Observation
+
+    obs = Observation(f"audit_{pipeline_name}")
+    bad = failed_when if failed_when is not None else F.lit(False)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows_processed"), F.count_if(bad).alias("rows_failed"))
+    start = dt.datetime.now()
+    status, error = "success", None
+    try:
+        observed.write.mode(mode).parquet(path)
+        m = obs.get
+    except Exception as e:  # noqa: BLE001 - the audit row records the failure
+        status, error, m = "failed", str(e)[:5000], {"rows_processed": 0, "rows_failed": 0}
+    end = dt.datetime.now()
+    row = [(pipeline_name, start, end, status, int(m["rows_processed"]),
+            int(m["rows_processed"]) - int(m["rows_failed"]), 0, int(m["rows_failed"]), error)]
+    schema = ("pipeline_name string, start_timestamp timestamp_ntz, end_timestamp timestamp_ntz, status string, "
+              "rows_processed long, rows_inserted long, rows_updated long, rows_failed long, error_message string")
+    return df.sparkSession.createDataFrame(row, schema)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import date_key, epoch_micros, ratio, surrogate_key
-from mercato.operators.windows import previous_in_group, running_max_in_group
 
 COUNTERS = ["page_views", "product_views", "add_to_cart", "checkout_started", "purchase_completed"]
 
@@ -18,18 +17,32 @@ def sessionize(events: DataFrame, gap_seconds: int = 6 * 3600, user: str = "cust
     event>".  A new session starts when the gap to the user's previous event
     is >= ``gap_seconds`` (the same rule as ``session_window``).
 
-    Hot users are split into ``bucket_seconds`` time slices (see
-    ``operators.windows``); events are shuffled once on (user, slice).
+    Hot users are split into ``bucket_seconds`` time slices: events are
+    shuffled once on (user, slice) and ordered inside the slice; only a
+    slice-level summary (first/last event, latest internal session start) is
+    ordered per user, and it is joined back.  No task ever holds all events
+    of one user.
     """
-    gap_us = int(gap_seconds) * 1_000_000
+    gap = F.lit(int(gap_seconds) * 1_000_000)
     d = events.withColumn("_us", epoch_micros(ts)) \
         .withColumn("_b", F.floor(F.col("_us") / F.lit(int(bucket_seconds) * 1_000_000)).cast("long"))
-    d = previous_in_group(d, [user], ["_us", tiebreak], "_b", {"us": F.col("_us")})
-    start = F.when(F.col("prev_us").isNull() | (F.col("_us") - F.col("prev_us") >= F.lit(gap_us)), F.col("_us"))
-    d = d.withColumn("_start", start).drop("prev_us")
-    d = running_max_in_group(d, [user], ["_us", tiebreak], "_b", "_start", "_sess_us")
-    d = d.withColumn(out, F.concat(F.col(user).cast("string"), F.lit("-"), F.col("_sess_us").cast("string")))
-    return d.drop("_us", "_b", "_start", "_sess_us")
+    w = Window.partitionBy(user, "_b").orderBy("_us", tiebreak)
+    prev = F.lag("_us").over(w)
+    # starts decided inside the slice (all but the slice's first event)
+    d = d.withColumn("_istart", F.when(prev.isNotNull() & (F.col("_us") - prev >= gap), F.col("_us")))
+    d = d.withColumn("_run", F.max("_istart").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    s = d.groupBy(user, "_b").agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
+                                  F.max("_istart").alias("_bstart"))
+    wb = Window.partitionBy(user).orderBy("_b")
+    prev_last = F.lag("_last").over(wb)
+    s = s.withColumn("_fstart", F.when(prev_last.isNull() | (F.col("_first") - prev_last >= gap), F.col("_first")))
+    s = s.withColumn("_lstart", F.coalesce("_bstart", "_fstart"))
+    s = s.withColumn("_carry", F.max("_lstart").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
+    s = s.select(user, "_b", F.coalesce("_fstart", "_carry").alias("_enter"))
+    d = d.join(s, [user, "_b"], "left")
+    sess = F.coalesce("_run", "_enter")
+    d = d.withColumn(out, F.concat(F.col(user).cast("string"), F.lit("-"), sess.cast("string")))
+    return d.drop("_us", "_b", "_istart", "_run", "_enter")
 
 
 def session_behavior(events: DataFrame) -> DataFrame:

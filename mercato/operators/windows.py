@@ -31,21 +31,28 @@ def previous_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order = list(keys), list(order)
     names = list(payload)
-    s = F.struct(*[col_(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                 *[col_(payload[n]).alias(n) for n in names])
-    d = df.withColumn("_s", s)
+    fast = all(isinstance(payload[n], str) and payload[n] == order[0] for n in names)
+    if fast:
+        # payload is the leading order column: a slice's last row carries its
+        # maximum (plain hash aggregate, no struct aggregation buffer)
+        s = F.struct(*[col_(payload[n]).alias(n) for n in names])
+        last = df.groupBy(*keys, bucket).agg(
+            F.struct(*[F.max(col_(order[0])).alias(n) for n in names]).alias("_last"))
+    else:
+        s = F.struct(*[col_(o).alias(f"_o{i}") for i, o in enumerate(order)],
+                     *[col_(payload[n]).alias(n) for n in names])
+        last = df.withColumn("_s", s).groupBy(*keys, bucket).agg(F.max("_s").alias("_last"))
     w = Window.partitionBy(*keys, bucket).orderBy(*[col_(o) for o in order])
-    d = d.withColumn("_prev_in", F.lag("_s").over(w))
+    d = df.withColumn("_prev_in", F.lag(s).over(w))
     # last row of every (key, bucket), then the last row of the previous
-    # non-empty bucket of the same key.  Bucket-level rows only.
-    last = df.withColumn("_s", s).groupBy(*keys, bucket).agg(F.max("_s").alias("_last"))
+    # non-empty bucket of the same key: bucket-level rows only.
     wb = Window.partitionBy(*keys).orderBy(bucket)
     carry = last.select(*keys, bucket, F.lag("_last").over(wb).alias("_carry"))
     d = d.join(carry, on=[*keys, bucket], how="left")
     prev = F.coalesce(F.col("_prev_in"), F.col("_carry"))
     for n in names:
         d = d.withColumn(f"prev_{n}", prev.getField(n))
-    return d.drop("_s", "_prev_in", "_carry")
+    return d.drop("_prev_in", "_carry")
 
 
 def running_max_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
