@@ -4,7 +4,8 @@ Pairs are produced by a self equi-join on the order id (never a nested loop
 or a cross join) and counted with partial aggregation.  A basket with more
 than ``hot_threshold`` lines is salted: its left rows are spread over
 ``salt_buckets`` sub-keys and its right rows replicated once per sub-key, so
-one huge order becomes ``salt_buckets`` join tasks instead of one.  Apriori
+one huge order becomes ``salt_buckets`` join tasks instead of one (AQE's
+skew-join split is the second line of defence).  Apriori
 pruning (drop items below the support threshold before pairing) keeps the
 threshold queries small.  Order totals are scalar subqueries.
 """
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import ratio
+from mercato.operators.joins import checked_small
 
 HOT_BASKET = 10_000
 SALT_BUCKETS = 16
@@ -24,14 +26,29 @@ def _total_orders(orders: DataFrame) -> Column:
     return orders.agg(F.count(F.lit(1)).alias("n")).scalar()
 
 
-def _pairs(items: DataFrame, cond, hot_threshold: int = HOT_BASKET,
+def _pairs(items: DataFrame, cond, hot_threshold: int | None = HOT_BASKET,
            salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """items(order_id, item, k) -> (order_id, a, b) for pairs with cond(l, r)."""
+    """items(order_id, item, k) -> (order_id, a, b) for pairs with cond(l, r).
+
+    Baskets above ``hot_threshold`` lines are found first (one aggregate on
+    the order id, map-side combined).  None: a plain self-join.  Otherwise
+    the hot-order list is broadcast when its size check passes (else joined
+    by shuffle) and only those orders are salted/replicated.
+    """
+    def plain(t):
+        left = t.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"))
+        right = t.select("order_id", F.col("item").alias("b"), F.col("k").alias("kb"))
+        return left.join(right, "order_id").filter(cond(F.col("ka"), F.col("kb"))).select("order_id", "a", "b")
+
+    if hot_threshold is None:
+        return plain(items)
     sizes = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > hot_threshold).select("order_id", F.lit(True).alias("_hot"))
-    # hot-order list is as small as the data is skewed; AQE broadcasts it when
-    # its measured size allows, else it is a plain shuffle join.
-    t = items.join(hot, "order_id", "left")
+    hot, small_enough, n_hot = checked_small(sizes.filter(F.col("_n") > hot_threshold)
+                                             .select("order_id", F.lit(True).alias("_hot")))
+    if n_hot == 0:
+        hot.unpersist()
+        return plain(items)
+    t = items.join(F.broadcast(hot) if small_enough else hot, "order_id", "left")
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("item", "k"), F.lit(salt_buckets))).otherwise(F.lit(0))
     replicas = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
     left = t.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"), salt.cast("int").alias("_salt"))
@@ -76,9 +93,16 @@ def item_counts(order_items: DataFrame, item_col: str = "product_id") -> DataFra
         .groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _with_lift(pairs: DataFrame, counts: DataFrame, orders: DataFrame) -> DataFrame:
-    na = counts.select(F.col("item").alias("product_a"), F.col("n").alias("n_a"))
-    nb = counts.select(F.col("item").alias("product_b"), F.col("n").alias("n_b"))
+def _with_lift(pairs: DataFrame, counts: DataFrame, orders: DataFrame, checked: bool = False) -> DataFrame:
+    """Attach n_a, n_b.  The item-count table (one row per item) is broadcast
+    only after its size check passes; otherwise both joins shuffle."""
+    if checked:
+        c = counts
+    else:
+        c, small_enough, _ = checked_small(counts)
+        c = F.broadcast(c) if small_enough else c
+    na = c.select(F.col("item").alias("product_a"), F.col("n").alias("n_a"))
+    nb = c.select(F.col("item").alias("product_b"), F.col("n").alias("n_b"))
     j = pairs.join(na, "product_a").join(nb, "product_b")
     total = _total_orders(orders)
     return j.select(
@@ -101,15 +125,16 @@ def affinity_top(order_items: DataFrame, orders: DataFrame, item_col: str = "pro
     """Pairs above thresholds, most frequent first.  Items whose own support
     is below ``min_support`` cannot be in a qualifying pair and are removed
     before pairing (exact)."""
-    counts = item_counts(order_items, item_col)
+    counts, small_enough, _ = checked_small(item_counts(order_items, item_col))  # one pass, cached
     total = _total_orders(orders)
     frequent = counts.filter(F.col("n").cast("double") / total >= F.lit(min_support))
+    frequent = F.broadcast(frequent) if small_enough else frequent
     items = order_items.select("order_id", F.col(item_col).alias("it")) \
         .join(frequent.select(F.col("item").alias("it")), "it", "left_semi")
     pruned = items.select("order_id", F.col("it").alias(item_col))
     pairs = pair_counts(canonical_pairs(pruned, item_col, **kw), orders) \
         .filter(F.col("support") >= F.lit(min_support))
-    out = _with_lift(pairs, frequent, orders).drop("n_a", "n_b")
+    out = _with_lift(pairs, frequent, orders, checked=small_enough).drop("n_a", "n_b")
     if min_confidence is not None:
         out = out.filter(F.col("confidence") >= F.lit(min_confidence))
     if min_lift is not None:

@@ -60,8 +60,11 @@ def rfm_metrics(orders: DataFrame, as_of: str) -> DataFrame:
 def rfm_quantile_scores(rfm: DataFrame, bins: int = 5, strict: bool = False) -> DataFrame:
     """Quantile scores, recency labels reversed.  Edges are exact
     linear-interpolated quantiles (at most 2 rows per edge reach the driver)."""
-    s = quantile_score(rfm, "recency", "r_score", bins, descending_labels=True, strict=strict)
-    s = quantile_score(s, "frequency", "f_score", bins, strict=strict)
+    # recency (days) and frequency (order counts) have few distinct values:
+    # histogram method; monetary is near-unique per customer: positions.
+    s = quantile_score(rfm, "recency", "r_score", bins, descending_labels=True, strict=strict,
+                       bounded_cardinality=True)
+    s = quantile_score(s, "frequency", "f_score", bins, strict=strict, bounded_cardinality=True)
     return quantile_score(s, "monetary", "m_score", bins, strict=strict)
 
 

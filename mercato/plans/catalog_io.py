@@ -11,7 +11,7 @@ from mercato.operators import funnel, governance, quality, rfm, scd, sessions
 from mercato.plans import params as P
 from mercato.plans.catalog import _rfm_b
 from mercato.plans.catalog_warehouse import CUST, CUST_SCD, _customer_scd, _forders
-from mercato.plans.oracle_sql import BEH, FACT_BEH, ORD, RFM_B, web_cte, with_
+from mercato.plans.oracle_sql import BEH, FACT_BEH, ORD, RFM_A, RFM_B, web_cte, with_
 from mercato.plans.registry import query
 from mercato.schemas import RAW_EVENTS
 from mercato.session import scratch_path
@@ -160,7 +160,17 @@ def q_dq_scd_integrity(spark, sf):
     return _dq_scd(spark, sf)
 
 
-@query("dq_report")
+def _dq_report_sql() -> str:
+    from mercato.plans.registry import ORACLE
+
+    parts = [f"SELECT * FROM ({ORACLE[k]})" for k in
+             ("dq_orders", "dq_events", "dq_customer", "dq_unique", "dq_referential", "dq_scd_integrity")]
+    return (f"SELECT *, DATE '{P.EVENTS_AS_OF}' AS check_date, "
+            "concat_ws(' ', CAST(records_failed AS VARCHAR), 'of', CAST(records_checked AS VARCHAR), 'rows failed') AS details "
+            "FROM (" + "\nUNION ALL\n".join(parts) + ")")
+
+
+@query("dq_report", _dq_report_sql())
 def q_dq_report(spark, sf):
     """Q09: all check rows of one run, stamped with the check date."""
     parts = [_dq_orders(spark, sf), _dq_events(spark, sf), _dq_customer(spark, sf), _dq_unique(spark, sf),
@@ -283,7 +293,7 @@ def q_clustered_orders(spark, sf):
     return out.select("order_id", "customer_id", "order_date", "order_status", "order_total", "order_year")
 
 
-@query("export_segments")
+@query("export_segments", with_(ORD, RFM_A) + "SELECT * FROM seg")
 def q_export_segments(spark, sf):
     seg = rfm.rfm_segments(T.orders(spark, sf), P.AS_OF)
     return sinks.export(seg, scratch_path(spark, "export-segments"), "csv")

@@ -98,3 +98,10 @@ def test_order_item_ids_unique(spark):
     expect = rows(T.order_items(spark, SF001).select("order_id", "line_sort", F.row_number().over(w).alias("p")),
                   "order_id", "p")
     assert rows(ids.select("order_id", F.col("line_position").alias("p"))) == expect
+
+
+def test_histogram_quantiles_match_positions(spark):
+    rnd = random.Random(11)
+    df = spark.createDataFrame([(rnd.randrange(40),) for _ in range(997)], "x long")
+    probs = [0, 0.2, 0.4, 0.6, 0.8, 1.0]
+    assert ranking.quantile_edges_histogram(df, "x", probs) == ranking.quantile_edges(df, "x", probs, num_partitions=4)
