@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import activity_status, date_key, ratio, surrogate_key, time_key
+from mercato.operators.joins import join_small
 from mercato.operators.windows import previous_in_group, row_number_in_group
 from mercato.schemas import MONEY
 
@@ -46,8 +47,11 @@ def fact_orders(orders: DataFrame, with_keys: bool = False) -> DataFrame:
 
 def order_item_ids(lines: DataFrame, line_bucket: int = 1024) -> DataFrame:
     """``order_item_id`` = "<order>-<position>", position = row number in
-    line order; orders with very many lines are split by line-number ranges."""
-    d = lines.withColumn("_lb", F.floor(F.col("line_sort.ln") / F.lit(line_bucket)).cast("long"))
+    line order (line number, part, supplier, price).  Orders with very many
+    lines are numbered in slices (line number, part range), which are
+    monotone in that order, so a huge order is spread over many tasks."""
+    d = lines.withColumn("_lb", F.struct(F.col("line_sort.ln").alias("ln"),
+                                         F.floor(F.col("line_sort.pk") / F.lit(line_bucket)).alias("pb")))
     d = row_number_in_group(d, ["order_id"], ["line_sort"], "_lb", "line_position")
     return d.drop("_lb").withColumn(
         "order_item_id", F.concat(F.col("order_id").cast("string"), F.lit("-"), F.col("line_position").cast("string")))
@@ -55,10 +59,9 @@ def order_item_ids(lines: DataFrame, line_bucket: int = 1024) -> DataFrame:
 
 def fact_order_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Line totals, cost from the product's unit cost, profit and margin.
-    ``products`` grows with the catalogue: no broadcast hint, AQE decides on
-    the measured size."""
+    The catalogue is broadcast only after its size check."""
     p = products.select("product_id", F.col("cost").alias("_unit_cost"))
-    j = order_items.join(p, "product_id", "left")
+    j = join_small(order_items, p, "product_id", "left")
     line_total = (F.col("extended_price") - F.col("discount")).cast(MONEY)
     cost = (F.col("_unit_cost") * F.col("quantity")).cast(MONEY)
     return j.select(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import ratio
+from mercato.operators.joins import join_small
 from mercato.schemas import MONEY_SUM
 
 
@@ -105,7 +106,7 @@ def revenue_mom_change(orders: DataFrame) -> DataFrame:
 
 def category_rollup(items_fact: DataFrame, products: DataFrame) -> DataFrame:
     p = products.select("product_id", "category", "subcategory")
-    j = items_fact.join(p, "product_id")
+    j = join_small(items_fact, p, "product_id")
     g = j.rollup("category", "subcategory").agg(
         F.grouping_id().cast("int").alias("grouping_level"),
         F.sum("line_total").cast(MONEY_SUM).alias("revenue"),

@@ -379,9 +379,9 @@ def q_category_rollup(spark, sf):
 
 @query("metric_alerts", with_(WEB, BEH, FACT_BEH, ORD, FORD) + _DS + _DOR + _DAILY_METRICS + """
 SELECT metric_date, 'low_conversion_rate' AS alert_name, 'warning' AS severity, conversion_rate AS metric_value,
-       0.02 AS threshold FROM dm WHERE total_sessions > 0 AND conversion_rate < 0.02
+       CAST(0.02 AS DOUBLE) AS threshold FROM dm WHERE total_sessions > 0 AND conversion_rate < 0.02
 UNION ALL
-SELECT metric_date, 'high_cart_abandonment', 'warning', cart_abandonment_rate, 0.75
+SELECT metric_date, 'high_cart_abandonment', 'warning', cart_abandonment_rate, CAST(0.75 AS DOUBLE)
 FROM dm WHERE total_sessions > 0 AND cart_abandonment_rate > 0.75""")
 def q_metric_alerts(spark, sf):
     return metrics.metric_alerts(_daily_metrics(spark, sf))
