@@ -47,10 +47,10 @@ def _global_counts(events: DataFrame) -> DataFrame:
                  F.count_if("co").alias("n3"), F.count_if("pur").alias("n4"))
 
 
-def conversion_funnel(events: DataFrame) -> DataFrame:
+def _funnel_from_counts(counts: DataFrame) -> DataFrame:
     """Global funnel: sessions per stage, % of first stage, drop-off %, and %
     of previous stage (100 for the first)."""
-    rows = _stage_rows(_global_counts(events), [], ["n0", "n1", "n2", "n3", "n4"], STAGES)
+    rows = _stage_rows(counts, [], ["n0", "n1", "n2", "n3", "n4"], STAGES)
     conv = ratio("sessions", "first_sessions") * 100
     return rows.select(
         "stage", "sessions", "stage_order",
@@ -60,6 +60,25 @@ def conversion_funnel(events: DataFrame) -> DataFrame:
     )
 
 
+def conversion_funnel(events: DataFrame) -> DataFrame:
+    return _funnel_from_counts(_global_counts(events))
+
+
+def behavior_counts(behavior: DataFrame) -> DataFrame:
+    """Stage counts from the session rollup (B01 output) - no second pass
+    over the events.  Valid because session ids are unique across customers
+    (they embed the customer id)."""
+    return behavior.agg(F.count(F.lit(1)).alias("n0"),
+                        F.count_if(F.col("product_views_sum") > 0).alias("n1"),
+                        F.count_if(F.col("add_to_cart_sum") > 0).alias("n2"),
+                        F.count_if(F.col("checkout_started_sum") > 0).alias("n3"),
+                        F.count_if(F.col("purchase_completed_sum") > 0).alias("n4"))
+
+
+def conversion_funnel_from_behavior(behavior: DataFrame) -> DataFrame:
+    return _funnel_from_counts(behavior_counts(behavior))
+
+
 def overall_conversion(events: DataFrame) -> DataFrame:
     c = _global_counts(events)
     return c.select(F.round(ratio("n4", "n0") * 100, 2).alias("overall_conversion_rate"))

@@ -423,10 +423,10 @@ SELECT CAST(round(total_revenue, 2) AS DECIMAL(28,2)) AS total_revenue, round(av
        round(CAST(total_orders AS DOUBLE) / NULLIF(CAST(unique_customers AS DOUBLE), 0), 2) AS orders_per_customer
 FROM summ, fun, bs""")
 def q_kpis(spark, sf):
-    web = _web(spark, sf)
+    beh = _behavior(spark, sf)
     s = metrics.summary(T.raw_events(spark, sf), T.orders(spark, sf))
-    counts = funnel._global_counts(web).select((F.col("n4").cast("double") / F.col("n0") * 100).alias("overall"))
-    b = sessions.behavior_summary(sessions.session_behavior(web))
+    counts = funnel.behavior_counts(beh).select((F.col("n4").cast("double") / F.col("n0") * 100).alias("overall"))
+    b = sessions.behavior_summary(beh)
     return metrics.kpis(s, counts, b)
 
 

@@ -22,7 +22,7 @@ def run_full_pipeline(spark: SparkSession, sf_dir: str, start: str | None = None
     return {
         "customer_behavior": behavior,
         "rfm_scores": rfm.rfm_segments(orders, as_of),
-        "conversion_funnel": funnel.conversion_funnel(events),
+        "conversion_funnel": funnel.conversion_funnel_from_behavior(behavior),
         "cohort_retention": cohort.cohort_matrix(orders),
         "product_affinity": affinity.product_affinity(T.order_lines(spark, sf_dir), T.read(spark, sf_dir, "orders")),
         "summary": metrics.summary(T.raw_events(spark, sf_dir, start, end), orders),

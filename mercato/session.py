@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": os.environ.get("MERCATO_PARALLELISM_FIRST", "false"),
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
@@ -53,7 +54,10 @@ def get_spark(app: str = "mercato", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
     tests) fall back to a fresh scratch folder."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

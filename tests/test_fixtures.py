@@ -166,3 +166,22 @@ def test_incremental_lookback(spark, tmp_path):
         assert {r.funnel_date.day: r.v for r in out.collect()} == expect
         again = sinks.incremental_by_date(frame(new_input), path, "funnel_date", lookback)
         assert {r.funnel_date.day: r.v for r in again.collect()} == expect
+
+
+def test_funnel_from_behavior_equals_event_funnel(spark, session_events):
+    a = funnel.conversion_funnel(session_events)
+    b = funnel.conversion_funnel_from_behavior(sessions.session_behavior(session_events))
+    assert rows(a) == rows(b)
+
+
+def test_full_pipeline_runs(spark):
+    from conftest import SF001
+    from mercato.plans.pipeline import release, run_full_pipeline
+
+    res = run_full_pipeline(spark, SF001)
+    assert set(res) >= {"customer_behavior", "rfm_scores", "conversion_funnel", "cohort_retention",
+                        "product_affinity", "summary"}
+    s = res["summary"].collect()[0]
+    assert s.total_events > 0 and s.total_orders > 0 and s.unique_customers > 0 and s.total_revenue > 0
+    assert res["conversion_funnel"].count() == 5
+    release(res)
