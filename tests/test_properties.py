@@ -85,3 +85,24 @@ def test_funnel_rates_sum_to_100(spark):
         T.web_events(spark, SF001, gap_seconds=P.SESSION_GAP_SECONDS))))
     assert d.filter("abs(conversion_rate + drop_off_rate - 1) > 1e-9").count() == 0
     assert {r.conversion_rate for r in d.filter("stage_order = 1").collect()} == {1.0}
+
+
+def test_lift_matches_fpgrowth(spark):
+    """M04 cross-check against pyspark.ml's FPGrowth association rules (test
+    only: FPGrowth needs each basket as one array row)."""
+    from pyspark.ml.fpm import FPGrowth
+
+    from mercato.plans.catalog_baskets import _brand_items
+
+    items = _brand_items(spark, SF001)
+    orders = items.select("order_id").distinct()  # FPGrowth counts baskets that have items
+    baskets = items.groupBy("order_id").agg(F.collect_set("brand").alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=0.0, minConfidence=0.0).fit(baskets)
+    rules = model.associationRules.filter((F.size("antecedent") == 1) & (F.size("consequent") == 1)) \
+        .select(F.col("antecedent")[0].alias("a"), F.col("consequent")[0].alias("b"), "confidence", "lift")
+    ours = affinity.affinity_lift(items, orders, "brand")
+    got = {(r.product_a, r.product_b): (r.confidence, r.lift) for r in ours.collect()}
+    ref = {(r.a, r.b): (r.confidence, r.lift) for r in rules.collect()}
+    assert got
+    for k, (conf, lift) in got.items():
+        assert abs(ref[k][0] - conf) < 1e-9 and abs(ref[k][1] - lift) < 1e-9
