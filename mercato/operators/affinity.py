@@ -153,12 +153,13 @@ def cross_sell(order_items: DataFrame, orders: DataFrame, item_col: str = "produ
 
     pairs = product_affinity(order_items, orders, item_col, **kw)
     m = _with_lift(pairs, item_counts(order_items, item_col), orders)
-    fwd = m.select(F.col("product_a").alias("product_id"), F.col("product_b").alias("recommended_product_id"),
-                   "co_occurrence_count", "support", "confidence", "lift")
-    bwd = m.select(F.col("product_b").alias("product_id"), F.col("product_a").alias("recommended_product_id"),
-                   "co_occurrence_count", "support",
-                   ratio("co_occurrence_count", "n_b").alias("confidence"), "lift")
-    both = fwd.unionByName(bwd)
+    # both directions from ONE pass over the pair table (no self-union)
+    fields = ["co_occurrence_count", "support", "lift"]
+    fwd = F.struct(F.col("product_a").alias("product_id"), F.col("product_b").alias("recommended_product_id"),
+                   *fields, F.col("confidence"))
+    bwd = F.struct(F.col("product_b").alias("product_id"), F.col("product_a").alias("recommended_product_id"),
+                   *fields, ratio("co_occurrence_count", "n_b").alias("confidence"))
+    both = m.select(F.inline(F.array(fwd, bwd)))
     w = Window.partitionBy("product_id").orderBy(F.col("lift").desc(), F.col("confidence").desc(),
                                                  "recommended_product_id")
     return both.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

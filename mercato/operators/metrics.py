@@ -125,20 +125,27 @@ def summary(events: DataFrame, orders: DataFrame) -> DataFrame:
                     ratio("total_revenue", "total_orders").alias("avg_order_value"))
 
 
+def combine_rows(*frames: DataFrame) -> DataFrame:
+    """Put the columns of several 1-row frames side by side without a join:
+    union them (missing columns null) and take each column's single non-null
+    value with a global aggregate."""
+    u = frames[0]
+    for f in frames[1:]:
+        u = u.unionByName(f, allowMissingColumns=True)
+    return u.agg(*[F.max(c).alias(c) for c in u.columns])
+
+
 def kpis(summary_row: DataFrame, funnel_counts: DataFrame, behavior_summary_row: DataFrame) -> DataFrame:
-    """KPI bundle, each rounded to 2 places.  Inputs are 1-row frames; they
-    are combined through scalar subqueries (no join)."""
-    def sc(df, c):
-        return df.select(c).scalar()
-    s = summary_row
+    """KPI bundle, each rounded to 2 places, from three 1-row frames."""
+    s = combine_rows(summary_row, funnel_counts, behavior_summary_row)
     return s.select(
         F.round("total_revenue", 2).cast(MONEY_SUM).alias("total_revenue"),
         F.round("avg_order_value", 2).alias("avg_order_value"),
         F.round(ratio("total_revenue", "unique_customers"), 2).alias("revenue_per_customer"),
-        F.round(sc(funnel_counts, "overall"), 2).alias("overall_conversion_rate"),
-        F.round(sc(behavior_summary_row, "cart_abandonment_rate"), 2).alias("cart_abandonment_rate"),
-        F.round(sc(behavior_summary_row, "avg_session_duration"), 2).alias("avg_session_duration"),
-        F.round(sc(behavior_summary_row, "avg_page_views"), 2).alias("avg_page_views"),
+        F.round("overall", 2).alias("overall_conversion_rate"),
+        F.round("cart_abandonment_rate", 2).alias("cart_abandonment_rate"),
+        F.round("avg_session_duration", 2).alias("avg_session_duration"),
+        F.round("avg_page_views", 2).alias("avg_page_views"),
         F.col("unique_customers").alias("total_customers"),
         "total_orders",
         F.round(ratio("total_orders", "unique_customers"), 2).alias("orders_per_customer"),
@@ -146,15 +153,19 @@ def kpis(summary_row: DataFrame, funnel_counts: DataFrame, behavior_summary_row:
 
 
 def metric_alerts(daily: DataFrame, min_conversion: float = 0.02, max_abandonment: float = 0.75) -> DataFrame:
-    """Threshold alerts on daily web metrics (days with sessions)."""
+    """Threshold alerts on daily web metrics (days with sessions); every
+    rule is evaluated in the same pass over the daily table."""
     d = daily.filter(F.col("total_sessions") > 0)
-    low = d.filter(F.col("conversion_rate") < min_conversion).select(
-        "metric_date", F.lit("low_conversion_rate").alias("alert_name"), F.lit("warning").alias("severity"),
-        F.col("conversion_rate").alias("metric_value"), F.lit(min_conversion).alias("threshold"))
-    high = d.filter(F.col("cart_abandonment_rate") > max_abandonment).select(
-        "metric_date", F.lit("high_cart_abandonment").alias("alert_name"), F.lit("warning").alias("severity"),
-        F.col("cart_abandonment_rate").alias("metric_value"), F.lit(max_abandonment).alias("threshold"))
-    return low.unionByName(high)
+
+    def alert(cond, name, value, threshold):
+        return F.when(cond, F.struct(F.lit(name).alias("alert_name"), F.lit("warning").alias("severity"),
+                                     F.col(value).alias("metric_value"), F.lit(threshold).alias("threshold")))
+
+    alerts = F.array(alert(F.col("conversion_rate") < min_conversion, "low_conversion_rate", "conversion_rate",
+                           min_conversion),
+                     alert(F.col("cart_abandonment_rate") > max_abandonment, "high_cart_abandonment",
+                           "cart_abandonment_rate", max_abandonment))
+    return d.select("metric_date", F.inline(F.filter(alerts, lambda x: x.isNotNull())))
 
 
 def revenue_drop_alerts(daily_orders_df: DataFrame, factor: float = 0.5, trailing_days: int = 28) -> DataFrame:

@@ -185,3 +185,29 @@ def test_full_pipeline_runs(spark):
     assert s.total_events > 0 and s.total_orders > 0 and s.unique_customers > 0 and s.total_revenue > 0
     assert res["conversion_funnel"].count() == 5
     release(res)
+
+
+def test_metric_alerts_and_revenue_drop(spark):
+    from mercato.operators import metrics
+
+    d = dt.date
+    daily = spark.createDataFrame(
+        [(d(2024, 1, 1), 100, 0.01, 0.8), (d(2024, 1, 2), 100, 0.05, 0.5), (d(2024, 1, 3), 0, None, None)],
+        "metric_date date, total_sessions long, conversion_rate double, cart_abandonment_rate double")
+    got = rows(metrics.metric_alerts(daily), "metric_date", "alert_name", "metric_value", "threshold")
+    assert got == [(d(2024, 1, 1), "high_cart_abandonment", 0.8, 0.75), (d(2024, 1, 1), "low_conversion_rate", 0.01, 0.02)]
+    rev = spark.createDataFrame([(d(2024, 1, i), Decimal(v)) for i, v in [(1, "100"), (2, "100"), (3, "40"), (30, "10")]],
+                                "metric_date date, total_revenue decimal(28,2)")
+    drops = rows(metrics.revenue_drop_alerts(rev), "metric_date", "avg_revenue")
+    assert drops == [(d(2024, 1, 3), 100.0), (d(2024, 1, 30), 70.0)]  # day 30 averages days 2..29
+
+
+def test_combine_rows_no_join(spark):
+    from mercato.operators import metrics
+
+    a = spark.createDataFrame([(1, "x")], "a int, b string")
+    b = spark.createDataFrame([(2.5,)], "c double")
+    r = metrics.combine_rows(a, b)
+    assert r.collect()[0].asDict() == {"a": 1, "b": "x", "c": 2.5}
+    p = r._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in p and "CartesianProduct" not in p
