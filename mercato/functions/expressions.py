@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mercato.schemas import MONEY
 
 
 def col_(c) -> Column:
@@ -21,9 +20,6 @@ def epoch_micros(ts) -> Column:
     return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
 
 
-def seconds_between(start, end) -> Column:
-    """Fractional seconds between two timestamps (keeps microseconds)."""
-    return (epoch_micros(end) - epoch_micros(start)).cast("double") / F.lit(1e6)
 
 
 def date_key(ts) -> Column:
@@ -53,12 +49,6 @@ def ratio(num, den) -> Column:
     return F.try_divide(col_(num).cast("double"), col_(den).cast("double"))
 
 
-def pct(num, den) -> Column:
-    return ratio(num, den) * F.lit(100.0)
-
-
-def money(c) -> Column:
-    return col_(c).cast(MONEY)
 
 
 def money_avg(sum_col, count_col) -> Column:
@@ -87,9 +77,6 @@ def activity_status(recency_days) -> Column:
     return F.when(d <= 30, "Active").when(d <= 90, "At Risk").otherwise("Inactive")
 
 
-def row_hash(*cols) -> Column:
-    """Change-detection hash of tracked attributes (null-safe)."""
-    return F.xxhash64(*[F.coalesce(col_(c).cast("string"), F.lit("\u0000")) for c in cols])
 
 
 def surrogate_key(*cols) -> Column:

@@ -3,12 +3,9 @@ whole landed tables, each with its DuckDB oracle where SQL can express it."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from mercato.operators import funnel, rfm, sessions
 from mercato.plans import params as P
-from mercato.plans.oracle_sql import (BEH, FACT_BEH, ORD, RFM_A, RFM_B, SEGMENT_CASE, ord_cte, web_cte,
-                                      with_)
+from mercato.plans.oracle_sql import BEH, FACT_BEH, ORD, RFM_A, RFM_B, ord_cte, web_cte, with_
 from mercato.plans.registry import query
 from mercato.sources import tables as T
 
@@ -254,8 +251,6 @@ def q_segment_report(spark, sf):
     return rfm.segment_report(_rfm_b(spark, sf))
 
 
-_ = (F, SEGMENT_CASE)
-
 # further query groups register themselves on import
 from mercato.plans import catalog_baskets  # noqa: E402,F401
 from mercato.plans import catalog_warehouse  # noqa: E402,F401

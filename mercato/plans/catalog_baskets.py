@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from mercato.operators import affinity, cohort
 from mercato.plans import params as P
 from mercato.plans.oracle_sql import ORD, with_
@@ -129,5 +127,3 @@ FROM r WHERE rank <= {P.CROSS_SELL_K}""")
 def q_cross_sell(spark, sf):
     return affinity.cross_sell(_brand_items(spark, sf), T.read(spark, sf, "orders"), "brand", P.CROSS_SELL_K)
 
-
-_ = F

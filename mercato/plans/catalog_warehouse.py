@@ -4,11 +4,9 @@ T01-T08, K01-K02, V01-V02)."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
-from mercato.operators import cleaning, dims, facts, funnel, metrics, rfm, scd, sessions, views
+from mercato.operators import cleaning, dims, facts, funnel, metrics, scd, sessions, views
 from mercato.plans import params as P
 from mercato.plans.catalog import WEB, _behavior, _fact_behavior, _rfm_b, _web
 from mercato.plans.oracle_sql import BEH, FACT_BEH, ORD, RFM_B, ord_cte, with_
@@ -459,5 +457,3 @@ FROM a WHERE customer_segment = 'At Risk' OR activity_status = 'At Risk'""")
 def q_at_risk_customers(spark, sf):
     return views.at_risk_customers(_rfm_b(spark, sf))
 
-
-_ = (dt, rfm, _behavior)

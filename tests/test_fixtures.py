@@ -211,3 +211,12 @@ def test_combine_rows_no_join(spark):
     assert r.collect()[0].asDict() == {"a": 1, "b": "x", "c": 2.5}
     p = r._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in p and "CartesianProduct" not in p
+
+
+def test_drop_null_keys_and_presets(spark):
+    from mercato.operators import cleaning
+
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (2, None)], "k int, v string")
+    assert rows(cleaning.drop_null_keys(df, ["k"])) == [(1, "a"), (2, None)]
+    assert cleaning.preset_range("2024-03-31", "7d") == ("2024-03-24", "2024-03-31")
+    assert cleaning.preset_range("2024-03-31", "1y") == ("2023-03-31", "2024-03-31")
