@@ -72,26 +72,47 @@ def fact_order_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def customer_snapshots(customers: DataFrame, orders: DataFrame, dates) -> list[tuple[str, DataFrame]]:
+    """Customers known at each snapshot date (ordered before it) with their
+    activity status as of that date.  One aggregate over the orders serves
+    every snapshot (last order before each date, per customer)."""
+    dates = list(dates)
+    last = orders.groupBy("customer_id").agg(*[
+        F.max(F.when(F.col("order_date") < F.lit(d).cast("timestamp_ntz"), F.col("order_date"))).alias(f"_l{i}")
+        for i, d in enumerate(dates)])
+    j = customers.join(last, "customer_id")
+    out = []
+    for i, d in enumerate(dates):
+        days = F.date_diff(F.lit(d).cast("date"), F.col(f"_l{i}").cast("date"))
+        snap = j.filter(F.col(f"_l{i}").isNotNull()).withColumn("activity_status", activity_status(days))
+        out.append((d, snap.drop(*[f"_l{k}" for k in range(len(dates))])))
+    return out
+
+
 def customer_snapshot(customers: DataFrame, orders: DataFrame, snapshot_date: str) -> DataFrame:
-    """Customers known at ``snapshot_date`` (ordered before it) with their
-    activity status as of that date."""
-    sd = F.lit(snapshot_date).cast("timestamp_ntz")
-    last = orders.filter(F.col("order_date") < sd).groupBy("customer_id") \
-        .agg(F.max("order_date").alias("_last"))
-    days = F.date_diff(sd.cast("date"), F.col("_last").cast("date"))
-    return customers.join(last, "customer_id").withColumn("activity_status", activity_status(days)).drop("_last")
+    return customer_snapshots(customers, orders, [snapshot_date])[0][1]
 
 
-def product_snapshot(products: DataFrame, lines: DataFrame, snapshot_date: str, window_days: int = 365) -> DataFrame:
+def product_snapshots(products: DataFrame, lines: DataFrame, dates, window_days: int = 365) -> list[tuple[str, DataFrame]]:
     """Products with lifecycle 'active' when shipped in the ``window_days``
-    before ``snapshot_date``, else 'dormant'; margin % from price and cost."""
-    sd = F.lit(snapshot_date).cast("timestamp_ntz")
-    lo = F.date_sub(F.lit(snapshot_date).cast("date"), window_days).cast("timestamp_ntz")
-    recent = lines.filter((F.col("ship_date") >= lo) & (F.col("ship_date") < sd)) \
-        .select("product_id").distinct().withColumn("_active", F.lit(True))
+    before each snapshot date, else 'dormant'; margin % from price and cost.
+    One aggregate over the order lines serves every snapshot."""
+    dates = list(dates)
+
+    def shipped(d):
+        lo = F.date_sub(F.lit(d).cast("date"), window_days).cast("timestamp_ntz")
+        return (F.col("ship_date") >= lo) & (F.col("ship_date") < F.lit(d).cast("timestamp_ntz"))
+
+    recent = lines.groupBy("product_id").agg(*[F.max(shipped(d)).alias(f"_a{i}") for i, d in enumerate(dates)])
     p = products.join(recent, "product_id", "left")
-    return p.select(
-        "product_id", "product_name", "category", "subcategory", "brand", "price", "cost",
-        (ratio(F.col("price") - F.col("cost"), "price") * 100).alias("margin_pct"),
-        F.when(F.col("_active"), "active").otherwise("dormant").alias("lifecycle"),
-    )
+    out = []
+    for i, d in enumerate(dates):
+        out.append((d, p.select(
+            "product_id", "product_name", "category", "subcategory", "brand", "price", "cost",
+            (ratio(F.col("price") - F.col("cost"), "price") * 100).alias("margin_pct"),
+            F.when(F.coalesce(F.col(f"_a{i}"), F.lit(False)), "active").otherwise("dormant").alias("lifecycle"))))
+    return out
+
+
+def product_snapshot(products: DataFrame, lines: DataFrame, snapshot_date: str, window_days: int = 365) -> DataFrame:
+    return product_snapshots(products, lines, [snapshot_date], window_days)[0][1]

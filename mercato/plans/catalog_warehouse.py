@@ -141,13 +141,13 @@ def _forders(spark, sf):
 
 def _customer_scd(spark, sf):
     cu, od = T.customers(spark, sf), T.orders(spark, sf)
-    snaps = [(d, facts.customer_snapshot(cu, od, d)) for d in P.SNAPSHOT_DATES]
+    snaps = facts.customer_snapshots(cu, od, P.SNAPSHOT_DATES)
     return scd.scd2_build(snaps, "customer_id", CUST_TRACKED)
 
 
 def _product_scd(spark, sf):
     pr, li = T.products(spark, sf, P.COST_RATIO), T.order_lines(spark, sf)
-    snaps = [(d, facts.product_snapshot(pr, li, d)) for d in P.SNAPSHOT_DATES]
+    snaps = facts.product_snapshots(pr, li, P.SNAPSHOT_DATES)
     return scd.scd2_build(snaps, "product_id", PROD_TRACKED)
 
 
