@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.expressions import activity_status, date_key, ratio, surrogate_key, time_key
 from mercato.operators.joins import join_small
-from mercato.operators.windows import previous_in_group, row_number_in_group
+from mercato.operators.windows import HOT_KEY_ROWS, previous_in_group, row_number_in_group
 from mercato.schemas import MONEY
 
 
@@ -24,12 +24,12 @@ def fact_web_events(events: DataFrame, with_keys: bool = False) -> DataFrame:
     return out
 
 
-def fact_orders(orders: DataFrame, with_keys: bool = False) -> DataFrame:
+def fact_orders(orders: DataFrame, with_keys: bool = False, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Order fact with first-order flag and days since the customer's previous
-    order.  The per-customer "previous order" runs on (customer, month)
-    slices with carry-over, so a customer with a huge history is no hot task."""
-    o = orders.withColumn("_m", F.trunc(F.col("order_date").cast("date"), "month"))
-    o = previous_in_group(o, ["customer_id"], ["order_date", "order_id"], "_m", {"d": "order_date"})
+    order.  Customers with more than ``hot_threshold`` orders are split into
+    daily slices with carry-over, so no customer is a hot task."""
+    o = previous_in_group(orders, ["customer_id"], ["order_date", "order_id"], F.col("order_date").cast("date"),
+                          {"d": "order_date"}, hot_threshold)
     out = o.select(
         "order_id", "customer_id",
         date_key("order_date").alias("date_key"),
@@ -45,15 +45,14 @@ def fact_orders(orders: DataFrame, with_keys: bool = False) -> DataFrame:
     return out
 
 
-def order_item_ids(lines: DataFrame, line_bucket: int = 1024) -> DataFrame:
+def order_item_ids(lines: DataFrame, line_bucket: int = 1024, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
     """``order_item_id`` = "<order>-<position>", position = row number in
     line order (line number, part, supplier, price).  Orders with very many
     lines are numbered in slices (line number, part range), which are
     monotone in that order, so a huge order is spread over many tasks."""
-    d = lines.withColumn("_lb", F.struct(F.col("line_sort.ln").alias("ln"),
-                                         F.floor(F.col("line_sort.pk") / F.lit(line_bucket)).alias("pb")))
-    d = row_number_in_group(d, ["order_id"], ["line_sort"], "_lb", "line_position")
-    return d.drop("_lb").withColumn(
+    bucket = F.struct(F.col("line_sort.ln").alias("ln"), F.floor(F.col("line_sort.pk") / F.lit(line_bucket)).alias("pb"))
+    d = row_number_in_group(lines, ["order_id"], ["line_sort"], bucket, "line_position", hot_threshold)
+    return d.withColumn(
         "order_item_id", F.concat(F.col("order_id").cast("string"), F.lit("-"), F.col("line_position").cast("string")))
 
 

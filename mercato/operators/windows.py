@@ -2,84 +2,130 @@
 
 ``Window.partitionBy(key)`` sends every row of a key to one task; one key
 holding a third of the data would make one task sort a third of the data.
-These helpers split each key into ordered buckets (time slices) and carry
-the state across bucket borders through a small bucket-level table (one row
-per key and bucket), so the big table is shuffled once on (key, bucket) and
-never gathered per key.
-
-Requirement: the bucket is a monotone function of the order (e.g. the hour of
-the timestamp the rows are ordered by), so "earlier bucket" means "earlier
-rows".
+
+The helpers here first find the hot keys - keys with more than
+``hot_threshold`` rows, one aggregate on the key columns (map-side
+combined) whose result is broadcast only after a size check.  Only rows of
+hot keys are split into ordered slices (``bucket``: a value monotone in the
+window order, e.g. the hour of the timestamp); state crosses slice borders
+through a small slice-level table.  Keys below the threshold keep one slice,
+so without hot keys the plan is the plain per-key window.
+
+``hot_threshold=None`` slices every key (no detection job).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import col_
+from mercato.operators.joins import checked_small
+
+HOT_KEY_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame | None:
+    """Keys with more than ``threshold`` rows, tagged ``_hot``; None if there
+    are none.  Broadcast-hinted only when the size check passes."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
+    hot, small, n = checked_small(counts.filter(F.col("_kn") > threshold)
+                                  .select(*keys, F.lit(True).alias("_hot")))
+    if n == 0:
+        hot.unpersist()
+        return None
+    return F.broadcast(hot) if small else hot
 
 
-def previous_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
-                      payload: dict) -> DataFrame:
+def with_slices(df: DataFrame, keys: Sequence[str], bucket: Column, hot_threshold: int | None
+                ) -> tuple[DataFrame, Column | None]:
+    """Add ``_b``: the slice of each row (``bucket`` for hot keys, one slice
+    per key otherwise).
+    Returns (frame, hot-row flag or None when no key is hot)."""
+    if hot_threshold is None:
+        return df.withColumn("_b", bucket), F.lit(True)
+    hot = hot_keys(df, keys, hot_threshold)
+    if hot is None:
+        return df.withColumn("_b", F.lit(0)), None
+    d = df.join(hot, list(keys), "left")
+    flag = F.coalesce(F.col("_hot"), F.lit(False))
+    # rows of other keys get a null slice: one slice per key, never matched
+    # by the slice-level carry join
+    d = d.withColumn("_b", F.when(flag, bucket))
+    return d.withColumn("_hotrow", flag).drop("_hot"), F.col("_hotrow")
+
+
+def previous_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
+                      payload: dict, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Add ``prev_<name>`` for each payload column: its value on the previous
-    row of the same key in ``order`` (null on the first row of the key).
+    row of the same key in ``order`` (null on the key's first row).
 
-    ``order`` must be a total order within the key.
+    ``order`` must be a total order within the key; ``bucket`` a monotone
+    function of it.
     """
     keys, order = list(keys), list(order)
     names = list(payload)
     fast = all(isinstance(payload[n], str) and payload[n] == order[0] for n in names)
     if fast:
-        # payload is the leading order column: a slice's last row carries its
-        # maximum (plain hash aggregate, no struct aggregation buffer)
         s = F.struct(*[col_(payload[n]).alias(n) for n in names])
-        last = df.groupBy(*keys, bucket).agg(
-            F.struct(*[F.max(col_(order[0])).alias(n) for n in names]).alias("_last"))
     else:
         s = F.struct(*[col_(o).alias(f"_o{i}") for i, o in enumerate(order)],
                      *[col_(payload[n]).alias(n) for n in names])
-        last = df.withColumn("_s", s).groupBy(*keys, bucket).agg(F.max("_s").alias("_last"))
-    w = Window.partitionBy(*keys, bucket).orderBy(*[col_(o) for o in order])
-    d = df.withColumn("_prev_in", F.lag(s).over(w))
-    # last row of every (key, bucket), then the last row of the previous
-    # non-empty bucket of the same key: bucket-level rows only.
-    wb = Window.partitionBy(*keys).orderBy(bucket)
-    carry = last.select(*keys, bucket, F.lag("_last").over(wb).alias("_carry"))
-    d = d.join(carry, on=[*keys, bucket], how="left")
-    prev = F.coalesce(F.col("_prev_in"), F.col("_carry"))
+    d, hot = with_slices(df, keys, bucket, hot_threshold)
+    w = Window.partitionBy(*keys, "_b").orderBy(*[col_(o) for o in order])
+    d = d.withColumn("_prev_in", F.lag(s).over(w))
+    if hot is None:
+        prev = F.col("_prev_in")
+    else:
+        # last row of every hot (key, slice), then the last row of the key's
+        # previous non-empty slice: slice-level rows of hot keys only.
+        h = d.filter(hot)
+        if fast:  # payload is the leading order column: its max is the last row's
+            last = h.groupBy(*keys, "_b").agg(F.struct(*[F.max(col_(order[0])).alias(n) for n in names]).alias("_last"))
+        else:
+            last = h.withColumn("_s", s).groupBy(*keys, "_b").agg(F.max("_s").alias("_last"))
+        wb = Window.partitionBy(*keys).orderBy("_b")
+        carry = last.select(*keys, "_b", F.lag("_last").over(wb).alias("_carry"))
+        d = d.join(carry, on=[*keys, "_b"], how="left")
+        prev = F.coalesce(F.col("_prev_in"), F.col("_carry"))
     for n in names:
         d = d.withColumn(f"prev_{n}", prev.getField(n))
-    return d.drop("_prev_in", "_carry")
+    return d.drop("_prev_in", "_carry", "_b", "_hotrow")
 
 
-def running_max_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
-                         value: str, out: str) -> DataFrame:
+def running_max_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
+                         value: str, out: str, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
     """``max(value) over (partition by key order by order rows unbounded
-    preceding)`` with bucket carry-over."""
+    preceding)`` with slice carry-over for hot keys."""
     keys, order = list(keys), list(order)
-    w = Window.partitionBy(*keys, bucket).orderBy(*[col_(o) for o in order]) \
+    d, hot = with_slices(df, keys, bucket, hot_threshold)
+    w = Window.partitionBy(*keys, "_b").orderBy(*[col_(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = df.withColumn("_run_in", F.max(value).over(w))
-    per_bucket = df.groupBy(*keys, bucket).agg(F.max(value).alias("_bmax"))
-    wb = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*keys, bucket, F.max("_bmax").over(wb).alias("_carry"))
-    d = d.join(carry, on=[*keys, bucket], how="left")
-    return d.withColumn(out, F.greatest(F.col("_run_in"), F.col("_carry"))).drop("_run_in", "_carry")
-
-
-def row_number_in_group(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: str,
-                        out: str) -> DataFrame:
-    """``row_number() over (partition by key order by order)`` with bucket
-    offsets: row number inside (key, bucket) plus the row count of the key's
-    earlier buckets (prefix sum on the bucket-level table)."""
+    d = d.withColumn("_run_in", F.max(value).over(w))
+    if hot is None:
+        return d.withColumnRenamed("_run_in", out).drop("_b", "_hotrow")
+    per_bucket = d.filter(hot).groupBy(*keys, "_b").agg(F.max(value).alias("_bmax"))
+    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(*keys, "_b", F.max("_bmax").over(wb).alias("_carry"))
+    d = d.join(carry, on=[*keys, "_b"], how="left")
+    return d.withColumn(out, F.greatest(F.col("_run_in"), F.col("_carry"))).drop("_run_in", "_carry", "_b", "_hotrow")
+
+
+def row_number_in_group(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: Column,
+                        out: str, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """``row_number() over (partition by key order by order)``; hot keys add
+    the row count of their earlier slices (prefix sum on slice-level rows)."""
     keys = list(keys)
-    w = Window.partitionBy(*keys, bucket).orderBy(*[col_(o) for o in order])
-    d = df.withColumn("_rn_in", F.row_number().over(w))
-    sizes = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_bn"))
-    wb = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select(*keys, bucket, F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"))
-    d = d.join(offs, on=[*keys, bucket], how="left")
-    return d.withColumn(out, (F.col("_rn_in") + F.col("_off")).cast("long")).drop("_rn_in", "_off")
+    d, hot = with_slices(df, keys, bucket, hot_threshold)
+    w = Window.partitionBy(*keys, "_b").orderBy(*[col_(o) for o in order])
+    d = d.withColumn("_rn_in", F.row_number().over(w))
+    if hot is None:
+        return d.withColumn(out, F.col("_rn_in").cast("long")).drop("_rn_in", "_b", "_hotrow")
+    sizes = d.filter(hot).groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select(*keys, "_b", F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"))
+    d = d.join(offs, on=[*keys, "_b"], how="left")
+    return d.withColumn(out, (F.col("_rn_in") + F.coalesce(F.col("_off"), F.lit(0))).cast("long")) \
+        .drop("_rn_in", "_off", "_b", "_hotrow")

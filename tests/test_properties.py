@@ -29,8 +29,8 @@ def test_ntile_sizes_and_equality(spark, n, k, parts):
 @SETTINGS
 @given(gaps=st.lists(st.sampled_from([0, 1, 59, 3600, 21599, 21600, 90000]), min_size=1, max_size=40),
        users=st.lists(st.integers(0, 2), min_size=40, max_size=40),
-       bucket=st.sampled_from([1, 60, 3600, 86400]))
-def test_sessionize_random(spark, gaps, users, bucket):
+       bucket=st.sampled_from([1, 60, 3600, 86400]), hot=st.sampled_from([None, 5, 10**6]))
+def test_sessionize_random(spark, gaps, users, bucket, hot):
     t, data = 1_704_067_200_000_000, []
     for i, g in enumerate(gaps):
         t += g * 1_000_000
@@ -44,7 +44,7 @@ def test_sessionize_random(spark, gaps, users, bucket):
             start[u] = us
         last[u] = us
         expect.append((i, f"{u}-{start[u]}"))
-    got = sessions.sessionize(ev, 6 * 3600, bucket_seconds=bucket).select("event_id", "session_id")
+    got = sessions.sessionize(ev, 6 * 3600, bucket_seconds=bucket, hot_threshold=hot).select("event_id", "session_id")
     assert rows(got) == sorted(expect)
 
 

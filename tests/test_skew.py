@@ -35,31 +35,37 @@ def _brute_sessions(df, gap):
 def test_sessionize_hot_user_slices_match_brute_force(spark):
     ev = _events(spark)
     expect = rows(_brute_sessions(ev, 6 * 3600))
-    for bucket in (60, 3600, 86400 * 30):
-        got = rows(sessions.sessionize(ev, 6 * 3600, bucket_seconds=bucket).select("event_id", "session_id"))
+    for bucket, hot in ((60, None), (3600, None), (86400 * 30, None), (3600, 100), (3600, 10**6)):
+        got = rows(sessions.sessionize(ev, 6 * 3600, bucket_seconds=bucket, hot_threshold=hot)
+                   .select("event_id", "session_id"))
         assert got == expect
 
 
 def test_previous_in_group_matches_lag(spark):
-    ev = _events(spark, users=2).withColumn("_b", F.floor(F.unix_seconds(F.col("event_timestamp").cast("timestamp")) / 1800))
+    ev = _events(spark, users=3)
+    b = F.floor(F.unix_seconds(F.col("event_timestamp").cast("timestamp")) / 1800)
     w = Window.partitionBy("customer_id").orderBy("event_timestamp", "event_id")
     expect = rows(ev.select("event_id", F.lag("event_timestamp").over(w).alias("p"), F.lag("event_id").over(w).alias("q")))
-    got = windows.previous_in_group(ev, ["customer_id"], ["event_timestamp", "event_id"], "_b",
-                                    {"p": F.col("event_timestamp"), "q": F.col("event_id")})
-    assert rows(got.select("event_id", F.col("prev_p").alias("p"), F.col("prev_q").alias("q"))) == expect
-    fast = windows.previous_in_group(ev, ["customer_id"], ["event_timestamp", "event_id"], "_b", {"p": "event_timestamp"})
-    assert rows(fast.select("event_id", "prev_p")) == [(a, b) for a, b, _ in expect]
+    for hot in (None, 120, 10**6):
+        got = windows.previous_in_group(ev, ["customer_id"], ["event_timestamp", "event_id"], b,
+                                        {"p": F.col("event_timestamp"), "q": F.col("event_id")}, hot)
+        assert rows(got.select("event_id", F.col("prev_p").alias("p"), F.col("prev_q").alias("q"))) == expect
+        fast = windows.previous_in_group(ev, ["customer_id"], ["event_timestamp", "event_id"], b,
+                                         {"p": "event_timestamp"}, hot)
+        assert rows(fast.select("event_id", "prev_p")) == [(a, p) for a, p, _ in expect]
 
 
 def test_row_number_and_running_max_in_group(spark):
-    ev = _events(spark, users=2).withColumn("_b", F.floor(F.col("event_id") / 37))
+    ev = _events(spark, users=3)
+    b = F.floor(F.col("event_id") / 37)
     w = Window.partitionBy("customer_id").orderBy("event_id")
     expect = rows(ev.select("event_id", F.row_number().over(w).alias("rn")))
-    got = windows.row_number_in_group(ev, ["customer_id"], ["event_id"], "_b", "rn")
-    assert rows(got.select("event_id", "rn")) == expect
     expect_m = rows(ev.select("event_id", F.max("event_timestamp").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m")))
-    got_m = windows.running_max_in_group(ev, ["customer_id"], ["event_id"], "_b", "event_timestamp", "m")
-    assert rows(got_m.select("event_id", "m")) == expect_m
+    for hot in (None, 120, 10**6):
+        got = windows.row_number_in_group(ev, ["customer_id"], ["event_id"], b, "rn", hot)
+        assert rows(got.select("event_id", "rn")) == expect
+        got_m = windows.running_max_in_group(ev, ["customer_id"], ["event_id"], b, "event_timestamp", "m", hot)
+        assert rows(got_m.select("event_id", "m")) == expect_m
 
 
 def test_distributed_ntile_matches_window_ntile(spark):
@@ -91,7 +97,7 @@ def test_dedup_latest_keeps_greatest(spark):
 def test_order_item_ids_unique(spark):
     from mercato.operators.facts import order_item_ids
 
-    ids = order_item_ids(T.order_items(spark, SF001), line_bucket=2)
+    ids = order_item_ids(T.order_items(spark, SF001), line_bucket=2, hot_threshold=3)
     n = ids.count()
     assert ids.select("order_item_id").distinct().count() == n
     w = Window.partitionBy("order_id").orderBy("line_sort")
