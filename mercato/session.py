@@ -51,6 +51,20 @@ def get_spark(app: str = "mercato", master: str | None = None,
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle and scan sizing for a cluster run: input splits and shuffle
+    partitions of about ``target_partition_bytes`` (so one task's data fits
+    in executor memory with room to spill), at least 3 waves of tasks; AQE
+    then coalesces small partitions and splits skewed ones at run time."""
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
     tests) fall back to a fresh scratch folder."""
