@@ -309,35 +309,63 @@ def _landed_events(spark, sf, name, copies=1):
     return ingest.land(data, scratch_path(spark, name), F.to_date("ts"))
 
 
-@query("stream_ingest_events")
+_STAGED_EVENTS_SQL = """
+SELECT event_id, user_id AS customer_id, ts AS event_timestamp, event_type, 1 AS page_views,
+       CAST(event_type = 'view' AS INTEGER) AS product_views, CAST(event_type = 'click' AS INTEGER) AS add_to_cart,
+       CAST(event_type = 'signup' AS INTEGER) AS checkout_started,
+       CAST(event_type = 'purchase' AS INTEGER) AS purchase_completed
+FROM events"""
+
+
+@query("stream_ingest_events", _STAGED_EVENTS_SQL)
 def q_stream_ingest_events(spark, sf):
+    """The staged rows (the wall-clock ``load_timestamp`` column is
+    checked in the streaming tests, not compared here)."""
     landing = _landed_events(spark, sf, "landing-events")
-    return ingest.ingest_events(spark, landing, scratch_path(spark, "staging-web-events"),
-                                scratch_path(spark, "ckpt-ingest"))
+    out = ingest.ingest_events(spark, landing, scratch_path(spark, "staging-web-events"),
+                               scratch_path(spark, "ckpt-ingest"))
+    return out.drop("load_timestamp")
 
 
-@query("stream_dedup")
+@query("stream_dedup", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_stream_dedup(spark, sf):
     landing = _landed_events(spark, sf, "landing-events-redelivered", copies=2)
     return ingest.dedup_events_stream(spark, landing, scratch_path(spark, "events-dedup"),
                                       scratch_path(spark, "ckpt-dedup"))
 
 
-@query("stream_daily_metrics")
+@query("stream_daily_metrics", """
+WITH mx AS (SELECT MAX(ts) AS m FROM events)
+SELECT CAST(ts AS DATE) AS metric_date, COUNT(*) AS events, COUNT(DISTINCT user_id) AS visitors,
+       COUNT(*) FILTER (WHERE event_type = 'view') AS product_views,
+       COUNT(*) FILTER (WHERE event_type = 'click') AS add_to_cart,
+       COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS value
+FROM events, mx GROUP BY CAST(ts AS DATE), m
+HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= m - INTERVAL 1 DAY""")
 def q_stream_daily_metrics(spark, sf):
     landing = _landed_events(spark, sf, "landing-events-daily")
     return ingest.daily_metrics_stream(spark, landing, scratch_path(spark, "daily-metrics-stream"),
                                        scratch_path(spark, "ckpt-daily"))
 
 
-@query("stream_sessions")
+@query("stream_sessions", with_(web_cte(), BEH) + f""",
+mx AS (SELECT MAX(epoch_us(ts)) AS m FROM events)
+SELECT customer_id, session_id, event_timestamp_min, event_timestamp_max, event_timestamp_count,
+       product_views_sum, add_to_cart_sum, checkout_started_sum, purchase_completed_sum
+FROM beh, mx
+WHERE epoch_us(event_timestamp_max) + {P.SESSION_GAP_SECONDS * 1_000_000} <= m - {6 * 3600 * 1_000_000}""")
 def q_stream_sessions(spark, sf):
     landing = _landed_events(spark, sf, "landing-events-sessions")
+    # closed sessions: last event + gap at or before the final watermark
+    # (latest event time - 6 h delay)
     return ingest.sessions_stream(spark, landing, scratch_path(spark, "sessions-stream"),
-                                  scratch_path(spark, "ckpt-sessions"))
+                                  scratch_path(spark, "ckpt-sessions"), gap=f"{P.SESSION_GAP_SECONDS} seconds",
+                                  delay="6 hours")
 
 
-@query("stream_orders_upsert")
+@query("stream_orders_upsert", with_(ORD) +
+       "SELECT *, 1 AS load_seq, CAST(date_trunc('month', order_date) AS DATE) AS order_month FROM ord")
 def q_stream_orders_upsert(spark, sf):
     o = T.orders(spark, sf).withColumn("load_seq", F.lit(1))
     landing = ingest.land(o, scratch_path(spark, "landing-orders"), F.trunc(F.col("order_date").cast("date"), "year"))

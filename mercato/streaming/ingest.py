@@ -6,7 +6,8 @@ resumes exactly once.  ``availableNow`` drains what has landed and stops
 (the cron schedule of the source system becomes the caller's trigger).
 
 Event time: landed timestamps are TIMESTAMP_NTZ, which watermarks reject,
-so streams cast them to TIMESTAMP (session zone UTC).
+so streams derive a TIMESTAMP from the wall clock read as UTC; reported
+times and dates come from the NTZ column itself.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ def read_landed_events(spark: SparkSession, landing: str, schema: T.StructType =
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     s = r.parquet(landing)
-    return s.withColumn("event_time", F.col("ts").cast("timestamp"))
+    # the NTZ wall clock read as UTC: windows and watermarks do not depend on
+    # the session time zone
+    return s.withColumn("event_time", F.timestamp_micros(epoch_micros("ts")))
 
 
 def _drain(query) -> None:
@@ -75,18 +78,24 @@ def dedup_events_stream(spark: SparkSession, landing: str, out: str, checkpoint:
 
 def daily_metrics_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
                          delay: str = "1 day") -> DataFrame:
-    """Per-day event metrics; append mode emits a day once the
-    watermark has passed its end (exact distinct counts are not allowed in
-    streaming aggregation, visitors use HyperLogLog)."""
+    """Per-day event metrics with EXACT visitor counts.  Streaming
+    aggregation cannot count distinct values, so two stateful aggregations
+    are chained: (day, user) first, then the day (``window_time`` carries
+    the event time of the first window into the second).  Append mode emits
+    a day once the watermark has passed its end."""
     s = read_landed_events(spark, landing).withWatermark("event_time", delay)
-    g = s.groupBy(F.window("event_time", "1 day").alias("w")).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.approx_count_distinct("user_id").alias("approx_visitors"),
-        F.count_if(F.col("event_type") == "view").alias("product_views"),
-        F.count_if(F.col("event_type") == "click").alias("add_to_cart"),
-        F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-        F.sum("value").alias("value"))
-    out_df = g.select(F.col("w.start").cast("date").alias("metric_date"), "events", "approx_visitors",
+    per_user = s.groupBy(F.window("event_time", "1 day").alias("w"), "user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("event_type") == "view").alias("pv"),
+        F.count_if(F.col("event_type") == "click").alias("atc"),
+        F.count_if(F.col("event_type") == "purchase").alias("pur"),
+        F.sum(F.col("value").cast("decimal(18,2)")).alias("v"), F.min("ts").alias("t0"))
+    g = per_user.groupBy(F.window(F.window_time("w"), "1 day").alias("d")).agg(
+        F.sum("n").alias("events"), F.count(F.lit(1)).alias("visitors"),
+        F.sum("pv").alias("product_views"), F.sum("atc").alias("add_to_cart"),
+        F.sum("pur").alias("purchases"), F.sum("v").cast("decimal(28,2)").alias("value"),
+        F.min("t0").alias("t0"))
+    out_df = g.select(F.col("t0").cast("date").alias("metric_date"), "events", "visitors",
                       "product_views", "add_to_cart", "purchases", "value")
     return run_to_files(out_df, out, checkpoint)
 
@@ -96,20 +105,20 @@ def sessions_stream(spark: SparkSession, landing: str, out: str, checkpoint: str
     """Session rollup with ``session_window``; a session is emitted once
     the watermark passes its end, so closed sessions equal the batch ones."""
     s = read_landed_events(spark, landing).withWatermark("event_time", delay)
-    ev = s.select("event_id", F.col("user_id").alias("customer_id"), "event_time", "event_type")
+    ev = s.select("event_id", F.col("user_id").alias("customer_id"), "event_time", "event_type", "ts")
     g = ev.groupBy("customer_id", F.session_window("event_time", gap).alias("s")).agg(
         F.count(F.lit(1)).alias("event_timestamp_count"),
         F.count_if(F.col("event_type") == "view").alias("product_views_sum"),
         F.count_if(F.col("event_type") == "click").alias("add_to_cart_sum"),
         F.count_if(F.col("event_type") == "signup").alias("checkout_started_sum"),
         F.count_if(F.col("event_type") == "purchase").alias("purchase_completed_sum"),
-        F.min("event_time").alias("first_ts"), F.max("event_time").alias("last_ts"))
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
     out_df = g.select(
         "customer_id",
         F.concat(F.col("customer_id").cast("string"), F.lit("-"),
-                 epoch_micros(F.col("first_ts").cast("timestamp_ntz")).cast("string")).alias("session_id"),
-        F.col("first_ts").cast("timestamp_ntz").alias("event_timestamp_min"),
-        F.col("last_ts").cast("timestamp_ntz").alias("event_timestamp_max"),
+                 epoch_micros("first_ts").cast("string")).alias("session_id"),
+        F.col("first_ts").alias("event_timestamp_min"),
+        F.col("last_ts").alias("event_timestamp_max"),
         "event_timestamp_count", "product_views_sum", "add_to_cart_sum", "checkout_started_sum",
         "purchase_completed_sum")
     return run_to_files(out_df, out, checkpoint)

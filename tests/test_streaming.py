@@ -46,9 +46,11 @@ def test_stream_dedup_removes_redelivery(spark):
 def test_stream_ingest_exactly_once_on_restart(spark):
     landing = _landing(spark)
     out, ck = scratch_path(spark, "t-ing"), scratch_path(spark, "t-ck")
-    first = ingest.ingest_events(spark, landing, out, ck).count()
+    first_df = ingest.ingest_events(spark, landing, out, ck)
+    first = first_df.count()
     second = ingest.ingest_events(spark, landing, out, ck).count()  # same checkpoint: nothing new
     assert first == second == T.read(spark, SF001, "events").count()
+    assert first_df.filter(F.col("load_timestamp").isNull()).count() == 0
 
 
 def test_stream_daily_metrics_equal_batch_counts(spark):
@@ -57,6 +59,8 @@ def test_stream_daily_metrics_equal_batch_counts(spark):
     batch = {r[0]: r[1] for r in ev.groupBy(F.to_date("ts")).count().collect()}
     got = {r.metric_date: r.events for r in out.collect()}
     assert got and all(batch[d] == n for d, n in got.items())
+    visitors = {r[0]: r[1] for r in ev.groupBy(F.to_date("ts")).agg(F.countDistinct("user_id")).collect()}
+    assert all(visitors[r.metric_date] == r.visitors for r in out.collect())
 
 
 def test_orders_upsert_is_idempotent_and_latest_wins(spark):
