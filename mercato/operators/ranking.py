@@ -110,19 +110,22 @@ def quantile_edges(df: DataFrame, column: str, probs: Sequence[float],
     return edges
 
 
-def quantile_edges_histogram(df: DataFrame, column: str, probs: Sequence[float]) -> list[float]:
-    """Exact quantiles for a column with bounded cardinality (days since the
-    last order, order counts): one aggregation to (value, count), cumulative
-    counts over that histogram, and only the values at the needed positions
-    reach the driver.  The ordered window runs on the histogram - one row
-    per distinct value - not on the data."""
+def quantile_edges_histogram(df: DataFrame, column, probs: Sequence[float]):
+    """Exact quantiles for columns with bounded cardinality (days since the
+    last order, order counts): one aggregation to (column, value, count),
+    cumulative counts over that histogram, and only the values at the needed
+    positions reach the driver.  The ordered window runs on the histogram -
+    one row per distinct value - not on the data.  ``column`` may be a list:
+    all histograms are built in the same pass (returns {column: edges})."""
     from pyspark.sql import Window
 
-    h = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull()) \
-        .groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("_v")
-    h = h.select("_v", "_c", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"),
-                 F.sum("_c").over(Window.partitionBy()).alias("_n"))
+    cols = [column] if isinstance(column, str) else list(column)
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (_col, _v)").filter(F.col("_v").isNotNull())
+    h = long.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("_col").orderBy("_v")
+    h = h.select("_col", "_v", "_c", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"),
+                 F.sum("_c").over(Window.partitionBy("_col")).alias("_n"))
     h = h.withColumn("_start", F.col("_cum") - F.col("_c"))
     # positions floor/ceil((n-1)p) for every p, computed in Spark from _n
     cond = None
@@ -131,24 +134,29 @@ def quantile_edges_histogram(df: DataFrame, column: str, probs: Sequence[float])
         for pos in (F.floor(hpos), F.ceil(hpos)):
             c = (F.col("_start") <= pos) & (pos < F.col("_cum"))
             cond = c if cond is None else cond | c
-    got = h.filter(cond).select("_v", "_start", "_cum", "_n").collect()
-    if not got:
-        return [None] * len(probs)
-    total = got[0]["_n"]
-
-    def value_at(i):
-        for r in got:
-            if r["_start"] <= i < r["_cum"]:
-                return r["_v"]
-        raise AssertionError(i)
-
-    edges = []
-    for p in probs:
-        hp = (total - 1) * float(p)
-        lo, hi = math.floor(hp), math.ceil(hp)
-        a, b = value_at(lo), value_at(hi)
-        edges.append(a + (b - a) * (hp - lo))
-    return edges
+    got = h.filter(cond).select("_col", "_v", "_start", "_cum", "_n").collect()
+    out = {}
+    for c in cols:
+        rows_c = [r for r in got if r["_col"] == c]
+        if not rows_c:
+            out[c] = [None] * len(probs)
+            continue
+        total = rows_c[0]["_n"]
+
+        def value_at(i, rows_c=rows_c):
+            for r in rows_c:
+                if r["_start"] <= i < r["_cum"]:
+                    return r["_v"]
+            raise AssertionError(i)
+
+        edges = []
+        for p in probs:
+            hp = (total - 1) * float(p)
+            lo, hi = math.floor(hp), math.ceil(hp)
+            a, b = value_at(lo), value_at(hi)
+            edges.append(a + (b - a) * (hp - lo))
+        out[c] = edges
+    return out[column] if isinstance(column, str) else out
 
 
 def quantile_bin(value, edges: Sequence[float], labels: Sequence[int]) -> Column:
@@ -164,14 +172,17 @@ def quantile_bin(value, edges: Sequence[float], labels: Sequence[int]) -> Column
 
 def quantile_score(df: DataFrame, column: str, out_col: str, bins: int = 5,
                    descending_labels: bool = False, strict: bool = False,
-                   tiebreak: Sequence = (), bounded_cardinality: bool = False) -> DataFrame:
+                   tiebreak: Sequence = (), bounded_cardinality: bool = False,
+                   edges: Sequence[float] | None = None) -> DataFrame:
     """Quantile bin labels.  ``bounded_cardinality`` selects the histogram
-    method (one job); otherwise global positions (range partitioning)."""
+    method (one job); otherwise global positions (range partitioning).
+    Precomputed ``edges`` skip both."""
     probs = [i / bins for i in range(bins + 1)]
-    if bounded_cardinality:
-        edges = quantile_edges_histogram(df, column, probs)
-    else:
-        edges = quantile_edges(df, column, probs, tiebreak)
+    if edges is None:
+        if bounded_cardinality:
+            edges = quantile_edges_histogram(df, column, probs)
+        else:
+            edges = quantile_edges(df, column, probs, tiebreak)
     if edges[0] is None:
         return df.withColumn(out_col, F.lit(None).cast("int"))
     if strict and len(set(edges)) != len(edges):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.expressions import (activity_status, epoch_micros, money_avg, ratio,
                                            rfm_score_string, segment_ladder)
-from mercato.operators.ranking import distributed_ntile, quantile_score, top_k
+from mercato.operators.ranking import distributed_ntile, quantile_edges_histogram, quantile_score, top_k
 from mercato.schemas import MONEY_SUM
 
 # Segment descriptions (the first four are the reported ones).
@@ -62,9 +62,11 @@ def rfm_quantile_scores(rfm: DataFrame, bins: int = 5, strict: bool = False) ->
     linear-interpolated quantiles (at most 2 rows per edge reach the driver)."""
     # recency (days) and frequency (order counts) have few distinct values:
     # histogram method; monetary is near-unique per customer: positions.
+    probs = [i / bins for i in range(bins + 1)]
+    small = quantile_edges_histogram(rfm, ["recency", "frequency"], probs)  # one pass for both
     s = quantile_score(rfm, "recency", "r_score", bins, descending_labels=True, strict=strict,
-                       bounded_cardinality=True)
-    s = quantile_score(s, "frequency", "f_score", bins, strict=strict, bounded_cardinality=True)
+                       edges=small["recency"])
+    s = quantile_score(s, "frequency", "f_score", bins, strict=strict, edges=small["frequency"])
     return quantile_score(s, "monetary", "m_score", bins, strict=strict)
 
 
