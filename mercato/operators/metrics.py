@@ -4,7 +4,7 @@ grain so no aggregate needs Catalyst's ``Expand``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import ratio
@@ -94,14 +94,15 @@ def revenue_trend(orders: DataFrame) -> DataFrame:
 
 
 def revenue_mom_change(orders: DataFrame) -> DataFrame:
-    """Month-over-month revenue change.  The window has no partition key but
-    runs on one row per month (bounded by the calendar, not the data)."""
+    """Month-over-month revenue change.  The previous month is found by an
+    equi-join on ``month = add_months(previous, 1)`` - no unpartitioned
+    window, so nothing is gathered into one task."""
     m = orders.groupBy(F.trunc(F.col("order_date").cast("date"), "month").alias("month")) \
         .agg(F.sum("order_total").cast(MONEY_SUM).alias("revenue"))
-    w = Window.orderBy("month")
-    prev = F.lag("revenue").over(w)
-    return m.select("month", "revenue", prev.alias("previous_revenue"),
-                    (ratio(F.col("revenue") - prev, prev) * 100).alias("pct_change"))
+    prev = m.select(F.add_months("month", 1).alias("month"), F.col("revenue").alias("previous_revenue"))
+    j = m.join(prev, "month", "left")
+    return j.select("month", "revenue", "previous_revenue",
+                    (ratio(F.col("revenue") - F.col("previous_revenue"), "previous_revenue") * 100).alias("pct_change"))
 
 
 def category_rollup(items_fact: DataFrame, products: DataFrame) -> DataFrame:
@@ -170,13 +171,15 @@ def metric_alerts(daily: DataFrame, min_conversion: float = 0.02, max_abandonmen
 
 def revenue_drop_alerts(daily_orders_df: DataFrame, factor: float = 0.5, trailing_days: int = 28) -> DataFrame:
     """Days whose revenue is below ``factor`` x the mean revenue of the
-    previous ``trailing_days`` calendar days (today excluded).  One row per
-    day with orders; the window is over days, bounded by the calendar."""
-    d = daily_orders_df.select("metric_date", "total_revenue",
-                               F.unix_date("metric_date").alias("_dn"))
-    w = Window.orderBy("_dn").rangeBetween(-trailing_days, -1)
-    d = d.select("metric_date", "total_revenue", F.sum("total_revenue").over(w).alias("_s"),
-                 F.count(F.lit(1)).over(w).alias("_n"))
+    previous ``trailing_days`` calendar days that had orders (today
+    excluded).  Each day's revenue is sent to the ``trailing_days`` days it
+    counts for (explode), summed per target day and joined back: an
+    equi-join, no unpartitioned window."""
+    d = daily_orders_df.select("metric_date", "total_revenue")
+    spread = d.select(F.explode(F.sequence(F.date_add("metric_date", 1), F.date_add("metric_date", trailing_days)))
+                      .alias("metric_date"), "total_revenue")
+    trailing = spread.groupBy("metric_date").agg(F.sum("total_revenue").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    j = d.join(trailing, "metric_date", "left")
     avg = ratio("_s", "_n")
-    out = d.select("metric_date", F.col("total_revenue").alias("daily_revenue"), avg.alias("avg_revenue"))
+    out = j.select("metric_date", F.col("total_revenue").alias("daily_revenue"), avg.alias("avg_revenue"))
     return out.filter(F.col("daily_revenue").cast("double") < F.lit(factor) * F.col("avg_revenue"))

@@ -358,10 +358,9 @@ def q_daily_revenue_mv(spark, sf):
 @query("revenue_mom_change", with_(ORD) + """,
 m AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, CAST(SUM(order_total) AS DECIMAL(28,2)) AS revenue
       FROM ord GROUP BY 1)
-SELECT month, revenue, LAG(revenue) OVER (ORDER BY month) AS previous_revenue,
-       CAST(revenue - LAG(revenue) OVER (ORDER BY month) AS DOUBLE)
-         / NULLIF(CAST(LAG(revenue) OVER (ORDER BY month) AS DOUBLE), 0) * 100 AS pct_change
-FROM m""")
+SELECT m.month, m.revenue, p.revenue AS previous_revenue,
+       CAST(m.revenue - p.revenue AS DOUBLE) / NULLIF(CAST(p.revenue AS DOUBLE), 0) * 100 AS pct_change
+FROM m LEFT JOIN m p ON m.month = CAST(p.month + INTERVAL 1 MONTH AS DATE)""")
 def q_revenue_mom_change(spark, sf):
     return metrics.revenue_mom_change(T.orders(spark, sf))
 

@@ -220,3 +220,14 @@ def test_drop_null_keys_and_presets(spark):
     assert rows(cleaning.drop_null_keys(df, ["k"])) == [(1, "a"), (2, None)]
     assert cleaning.preset_range("2024-03-31", "7d") == ("2024-03-24", "2024-03-31")
     assert cleaning.preset_range("2024-03-31", "1y") == ("2023-03-31", "2024-03-31")
+
+
+def test_month_over_month_uses_calendar_previous_month(spark):
+    from mercato.operators import metrics
+
+    o = spark.createDataFrame(
+        [(ts("2024-01-10 00:00:00"), Decimal("10.00")), (ts("2024-02-10 00:00:00"), Decimal("15.00")),
+         (ts("2024-04-10 00:00:00"), Decimal("30.00"))], "order_date timestamp_ntz, order_total decimal(18,2)")
+    got = rows(metrics.revenue_mom_change(o), "month", "previous_revenue", "pct_change")
+    d = dt.date
+    assert got == [(d(2024, 1, 1), None, None), (d(2024, 2, 1), Decimal("10.00"), 50.0), (d(2024, 4, 1), None, None)]
