@@ -41,7 +41,7 @@ def get_spark(app: str = "mercato", master: str | None = None,
     builder = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf["spark.driver.memory"] = os.environ.get("MERCATO_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("MERCATO_DRIVER_MEMORY") or _local_heap()
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -51,6 +51,16 @@ def get_spark(app: str = "mercato", master: str | None = None,
     return spark
 
 
+def _local_heap() -> str:
+    """Local-mode heap: 60 % of the machine's memory, at most 16 GB."""
+    try:
+        with open("/proc/meminfo") as f:
+            kb = int(next(line for line in f if line.startswith("MemTotal")).split()[1])
+        return f"{max(1, min(16, int(kb * 0.6 / 1024 / 1024)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle and scan sizing for a cluster run: input splits and shuffle
     partitions of about ``target_partition_bytes`` (so one task's data fits
