@@ -231,3 +231,40 @@ def test_month_over_month_uses_calendar_previous_month(spark):
     got = rows(metrics.revenue_mom_change(o), "month", "previous_revenue", "pct_change")
     d = dt.date
     assert got == [(d(2024, 1, 1), None, None), (d(2024, 2, 1), Decimal("10.00"), 50.0), (d(2024, 4, 1), None, None)]
+
+
+def test_dim_date_and_time_generators(spark):
+    from mercato.operators import dims
+
+    d = dims.dim_date(spark)
+    assert d.count() == 3650
+    last = d.orderBy(F.col("full_date").desc()).first()
+    assert last.full_date == dt.date(2029, 12, 28) and last.date_key == 20291228
+    jan7 = d.filter("full_date = date'2024-01-07'").first()  # a Sunday
+    assert (jan7.day_of_week, jan7.day_name, jan7.month_name, jan7.is_weekend, jan7.week) == (0, "Sun", "Jan", True, 1)
+    t = dims.dim_time(spark)
+    assert t.count() == 86400
+    r = {x.time_key: x for x in t.filter("time_key in (0, 32400, 64799, 64800, 75600, 79199)").collect()}
+    assert (r[32400].time_of_day, r[32400].is_business_hours) == ("Morning", True)
+    assert (r[64799].hour, r[64799].minute, r[64799].second, r[64799].is_business_hours) == (17, 59, 59, True)
+    assert (r[64800].time_of_day, r[64800].is_business_hours) == ("Evening", False)
+    assert r[0].time_of_day == "Night" and r[79199].time_of_day == "Evening"
+
+
+def test_surrogate_keys_unique(spark):
+    from conftest import SF001
+    from mercato.operators import facts
+    from mercato.sources import tables as T
+
+    fo = facts.fact_orders(T.orders(spark, SF001), with_keys=True)
+    assert fo.select("order_key").distinct().count() == fo.count()
+
+
+def test_reporting_views_registered(spark):
+    from conftest import SF001
+    from mercato.plans.views import register_reporting_views
+
+    names = register_reporting_views(spark, SF001)
+    assert "customer_lifetime_value" in names
+    n = spark.sql("SELECT COUNT(*) AS n FROM customer_lifetime_value WHERE activity_status IS NOT NULL").first().n
+    assert n > 0
