@@ -111,3 +111,20 @@ def test_histogram_quantiles_match_positions(spark):
     df = spark.createDataFrame([(rnd.randrange(40),) for _ in range(997)], "x long")
     probs = [0, 0.2, 0.4, 0.6, 0.8, 1.0]
     assert ranking.quantile_edges_histogram(df, "x", probs) == ranking.quantile_edges(df, "x", probs, num_partitions=4)
+
+
+def test_hot_third_of_events_on_real_data(spark):
+    """A third of the sf0.01 events re-assigned to one customer: the sliced
+    (hot) path and the plain per-key path give the same sessions, and the
+    hot path really slices (the hot-key list is joined into the plan)."""
+    from conftest import SF01
+    from mercato.plans import params as P
+
+    raw = T.raw_events(spark, SF01)
+    skewed = raw.withColumn("customer_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("customer_id")))
+    plain = sessions.sessionize(skewed, P.SESSION_GAP_SECONDS, hot_threshold=10**9)
+    sliced = sessions.sessionize(skewed, P.SESSION_GAP_SECONDS, hot_threshold=1000)
+    assert rows(plain.select("event_id", "session_id")) == rows(sliced.select("event_id", "session_id"))
+    p = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "_hot" in p
+    assert sliced.filter("customer_id = -1").select("session_id").distinct().count() >= 1
