@@ -58,13 +58,16 @@ def order_item_ids(lines: DataFrame, line_bucket: int = 1024, hot_threshold: int
 
 def fact_order_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Line totals, cost from the product's unit cost, profit and margin.
-    The catalogue is broadcast only after its size check."""
+    The catalogue is broadcast only after its size check.  ``order_item_id``
+    is kept when the input has it (``order_item_ids``); aggregates that do
+    not need line ids skip that numbering step."""
     p = products.select("product_id", F.col("cost").alias("_unit_cost"))
     j = join_small(order_items, p, "product_id", "left")
     line_total = (F.col("extended_price") - F.col("discount")).cast(MONEY)
     cost = (F.col("_unit_cost") * F.col("quantity")).cast(MONEY)
+    ids = ["order_item_id"] if "order_item_id" in order_items.columns else []
     return j.select(
-        "order_item_id", "order_id", "product_id", "quantity", "unit_price", "discount",
+        *ids, "order_id", "product_id", "quantity", "unit_price", "discount",
         line_total.alias("line_total"), cost.alias("cost"),
         (line_total - cost).cast(MONEY).alias("profit"),
         (ratio(line_total - cost, line_total) * 100).alias("profit_margin_pct"),

@@ -131,8 +131,9 @@ def _items(spark, sf):
     return facts.order_item_ids(T.order_items(spark, sf))
 
 
-def _fitems(spark, sf):
-    return facts.fact_order_items(_items(spark, sf), T.products(spark, sf, P.COST_RATIO))
+def _fitems(spark, sf, line_ids: bool = False):
+    items = _items(spark, sf) if line_ids else T.order_items(spark, sf)
+    return facts.fact_order_items(items, T.products(spark, sf, P.COST_RATIO))
 
 
 def _forders(spark, sf):
@@ -260,7 +261,7 @@ def q_fact_orders(spark, sf):
 
 @query("fact_order_items", with_(PROD, ITEMS, FITEMS) + "SELECT * FROM fitems")
 def q_fact_order_items(spark, sf):
-    return _fitems(spark, sf)
+    return _fitems(spark, sf, line_ids=True)
 
 
 # ---------------------------------------------------------------- metrics --

@@ -16,7 +16,7 @@ def register_reporting_views(spark: SparkSession, sf_dir: str) -> list[str]:
     customers, orders = T.customers(spark, sf_dir), T.orders(spark, sf_dir)
     rfm_b = rfm.rfm_ntile(customers, orders, P.AS_OF)
     products = T.products(spark, sf_dir, P.COST_RATIO)
-    items = facts.fact_order_items(facts.order_item_ids(T.order_items(spark, sf_dir)), products)
+    items = facts.fact_order_items(T.order_items(spark, sf_dir), products)
     named = {
         "customer_rfm": rfm_b,
         "customer_lifetime_value": views.customer_lifetime_value(customers, rfm_b),
