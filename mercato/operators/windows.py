@@ -73,15 +73,16 @@ def previous_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     else:
         s = F.struct(*[col_(o).alias(f"_o{i}") for i, o in enumerate(order)],
                      *[col_(payload[n]).alias(n) for n in names])
-    d, hot = with_slices(df, keys, bucket, hot_threshold)
+    d0, hot = with_slices(df, keys, bucket, hot_threshold)
     w = Window.partitionBy(*keys, "_b").orderBy(*[col_(o) for o in order])
-    d = d.withColumn("_prev_in", F.lag(s).over(w))
+    d = d0.withColumn("_prev_in", F.lag(s).over(w))
     if hot is None:
         prev = F.col("_prev_in")
     else:
         # last row of every hot (key, slice), then the last row of the key's
-        # previous non-empty slice: slice-level rows of hot keys only.
-        h = d.filter(hot)
+        # previous non-empty slice: slice-level rows of hot keys only, taken
+        # from the rows before the window (no second window pass).
+        h = d0.filter(hot)
         if fast:  # payload is the leading order column: its max is the last row's
             last = h.groupBy(*keys, "_b").agg(F.struct(*[F.max(col_(order[0])).alias(n) for n in names]).alias("_last"))
         else:
@@ -100,13 +101,13 @@ def running_max_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str
     """``max(value) over (partition by key order by order rows unbounded
     preceding)`` with slice carry-over for hot keys."""
     keys, order = list(keys), list(order)
-    d, hot = with_slices(df, keys, bucket, hot_threshold)
+    d0, hot = with_slices(df, keys, bucket, hot_threshold)
     w = Window.partitionBy(*keys, "_b").orderBy(*[col_(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_run_in", F.max(value).over(w))
+    d = d0.withColumn("_run_in", F.max(value).over(w))
     if hot is None:
         return d.withColumnRenamed("_run_in", out).drop("_b", "_hotrow")
-    per_bucket = d.filter(hot).groupBy(*keys, "_b").agg(F.max(value).alias("_bmax"))
+    per_bucket = d0.filter(hot).groupBy(*keys, "_b").agg(F.max(value).alias("_bmax"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(*keys, "_b", F.max("_bmax").over(wb).alias("_carry"))
     d = d.join(carry, on=[*keys, "_b"], how="left")
@@ -118,12 +119,12 @@ def row_number_in_group(df: DataFrame, keys: Sequence[str], order: Sequence, buc
     """``row_number() over (partition by key order by order)``; hot keys add
     the row count of their earlier slices (prefix sum on slice-level rows)."""
     keys = list(keys)
-    d, hot = with_slices(df, keys, bucket, hot_threshold)
+    d0, hot = with_slices(df, keys, bucket, hot_threshold)
     w = Window.partitionBy(*keys, "_b").orderBy(*[col_(o) for o in order])
-    d = d.withColumn("_rn_in", F.row_number().over(w))
+    d = d0.withColumn("_rn_in", F.row_number().over(w))
     if hot is None:
         return d.withColumn(out, F.col("_rn_in").cast("long")).drop("_rn_in", "_b", "_hotrow")
-    sizes = d.filter(hot).groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    sizes = d0.filter(hot).groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select(*keys, "_b", F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"))
     d = d.join(offs, on=[*keys, "_b"], how="left")
