@@ -64,10 +64,16 @@ def new_vs_returning(fact_orders: DataFrame) -> DataFrame:
                     .alias("returning_customer_revenue"))
 
 
-def product_performance(items_fact: DataFrame, orders: DataFrame) -> DataFrame:
+def product_performance(items_fact: DataFrame, orders: DataFrame, web_events: DataFrame | None = None,
+                        event_products: DataFrame | None = None) -> DataFrame:
     """Per product and order day: distinct orders, quantity, revenue, profit.
-    Views/add-to-cart need an event-to-product bridge the landed events do
-    not carry, so they are typed nulls."""
+
+    Views and add-to-cart need to know which product an event was about.
+    When an ``event_products`` bridge (event_id, product_id) is given, they
+    are counted from ``web_events`` per product and event day and full outer
+    joined with the order side, and ``conversion_rate`` = purchases / views.
+    Without a bridge (the landed events carry no product key) they are typed
+    nulls."""
     od = orders.select("order_id", F.col("order_date").cast("date").alias("metric_date"))
     j = items_fact.join(od, "order_id")
     per_order = j.groupBy("product_id", "metric_date", "order_id").agg(
@@ -75,9 +81,22 @@ def product_performance(items_fact: DataFrame, orders: DataFrame) -> DataFrame:
     g = per_order.groupBy("product_id", "metric_date").agg(
         F.count(F.lit(1)).alias("purchases"), F.sum("q").cast("long").alias("quantity_sold"),
         F.sum("r").cast(MONEY_SUM).alias("revenue"), F.sum("p").cast(MONEY_SUM).alias("profit"))
-    return g.select("product_id", "metric_date", F.lit(None).cast("long").alias("views"),
-                    F.lit(None).cast("long").alias("add_to_cart"), "purchases", "quantity_sold",
-                    "revenue", "profit", ratio("purchases", F.lit(None).cast("long")).alias("conversion_rate"))
+    if event_products is None or web_events is None:
+        return g.select("product_id", "metric_date", F.lit(None).cast("long").alias("views"),
+                        F.lit(None).cast("long").alias("add_to_cart"), "purchases", "quantity_sold",
+                        "revenue", "profit", F.lit(None).cast("double").alias("conversion_rate"))
+    ev = web_events.select("event_id", F.col("event_timestamp").cast("date").alias("metric_date"),
+                           "product_views", "add_to_cart").join(event_products.select("event_id", "product_id"), "event_id")
+    e = ev.groupBy("product_id", "metric_date").agg(
+        F.count_if(F.col("product_views") > 0).alias("views"), F.count_if(F.col("add_to_cart") > 0).alias("add_to_cart"))
+    k = e.join(g, ["product_id", "metric_date"], "full_outer")
+    zero = F.lit(0).cast("long")
+    return k.select("product_id", "metric_date",
+                    F.coalesce("views", zero).alias("views"), F.coalesce("add_to_cart", zero).alias("add_to_cart"),
+                    F.coalesce("purchases", zero).alias("purchases"), F.coalesce("quantity_sold", zero).alias("quantity_sold"),
+                    F.coalesce("revenue", F.lit(0).cast(MONEY_SUM)).alias("revenue"),
+                    F.coalesce("profit", F.lit(0).cast(MONEY_SUM)).alias("profit"),
+                    ratio(F.coalesce("purchases", zero), "views").alias("conversion_rate"))
 
 
 def revenue_trend(orders: DataFrame) -> DataFrame:

@@ -268,3 +268,26 @@ def test_reporting_views_registered(spark):
     assert "customer_lifetime_value" in names
     n = spark.sql("SELECT COUNT(*) AS n FROM customer_lifetime_value WHERE activity_status IS NOT NULL").first().n
     assert n > 0
+
+
+def test_product_performance_with_event_bridge(spark):
+    from mercato.operators import facts, metrics
+
+    d = dt.date
+    orders = spark.createDataFrame([(1, ts("2024-01-01 10:00:00")), (2, ts("2024-01-01 11:00:00"))],
+                                   "order_id int, order_date timestamp_ntz")
+    items = spark.createDataFrame(
+        [(1, 7, 2, Decimal("20.00"), Decimal("0.00"), Decimal("10.00")), (2, 7, 1, Decimal("10.00"), Decimal("1.00"), Decimal("10.00"))],
+        "order_id int, product_id int, quantity int, extended_price decimal(18,2), discount decimal(18,2), unit_price decimal(18,2)")
+    products = spark.createDataFrame([(7, Decimal("6.00"))], "product_id int, cost decimal(18,2)")
+    fi = facts.fact_order_items(items, products)
+    ev = spark.createDataFrame(
+        [(10, ts("2024-01-01 09:00:00"), 1, 0), (11, ts("2024-01-01 09:05:00"), 1, 0), (12, ts("2024-01-01 09:06:00"), 1, 0),
+         (13, ts("2024-01-01 09:07:00"), 1, 0), (14, ts("2024-01-01 09:08:00"), 0, 1), (15, ts("2024-01-02 09:00:00"), 1, 0)],
+        "event_id int, event_timestamp timestamp_ntz, product_views int, add_to_cart int")
+    bridge = spark.createDataFrame([(10, 7), (11, 7), (12, 7), (13, 7), (14, 7), (15, 7)], "event_id int, product_id int")
+    got = rows(metrics.product_performance(fi, orders, ev, bridge),
+               "product_id", "metric_date", "views", "add_to_cart", "purchases", "quantity_sold", "revenue", "conversion_rate")
+    assert got == [(7, d(2024, 1, 1), 4, 1, 2, 3, Decimal("29.00"), 0.5), (7, d(2024, 1, 2), 1, 0, 0, 0, Decimal("0.00"), 0.0)]
+    plain = metrics.product_performance(fi, orders).collect()[0]
+    assert plain.views is None and plain.conversion_rate is None
