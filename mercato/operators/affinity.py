@@ -59,7 +59,7 @@ def _pairs(items: DataFrame, cond, hot_threshold: int | None = HOT_BASKET,
 
 
 def positional_pairs(order_items: DataFrame, item_col: str = "product_id", **kw) -> DataFrame:
-    """Reference semantics: every (items[i], items[j]) with i < j in line
+    """Positional semantics: every (items[i], items[j]) with i < j in line
     order; direction-sensitive, keeps self-pairs and repeats."""
     items = order_items.select("order_id", F.col(item_col).alias("item"), F.col("line_sort").alias("k"))
     return _pairs(items, lambda l, r: l < r, **kw)

@@ -1,6 +1,6 @@
 """RFM metrics, scoring and segmentation.
 
-Two variants, as in the source system:
+Two variants:
 * A (``rfm_metrics`` -> ``rfm_segments``): all orders, recency as whole
   24-hour periods, frequency = order rows, quantile (qcut-style) scores.
 * B (``rfm_ntile``): completed orders of current customers, recency in

@@ -3,7 +3,7 @@
 Sources are landing folders read with a declared schema; sinks are file
 sinks or ``foreachBatch`` writers with checkpoints, so a restarted query
 resumes exactly once.  ``availableNow`` drains what has landed and stops
-(the cron schedule of the source system becomes the caller's trigger).
+(a cron-style schedule becomes the caller's trigger).
 
 Event time: landed timestamps are TIMESTAMP_NTZ, which watermarks reject,
 so streams derive a TIMESTAMP from the wall clock read as UTC; reported
