@@ -43,6 +43,18 @@ def at_risk_customers(rfm_b: DataFrame) -> DataFrame:
         "reason", F.when(seg & act, "segment+recency").when(seg, "segment").otherwise("recency"))
 
 
+def segment_snapshots(customers: DataFrame, orders: DataFrame, dates) -> list[tuple[str, DataFrame]]:
+    """RFM segment of every customer as of each date (only orders placed
+    before it): the snapshots that feed the segment history (D08 -> D03)."""
+    from mercato.operators.rfm import rfm_ntile
+
+    out = []
+    for d in dates:
+        before = orders.filter(F.col("order_date") < F.lit(d).cast("timestamp_ntz"))
+        out.append((d, rfm_ntile(customers, before, d).select("customer_id", "customer_segment", "rfm_score")))
+    return out
+
+
 def customer_with_segment(customers_current: DataFrame, rfm_b: DataFrame) -> DataFrame:
     """Segment write-back: current customers with segment and RFM score."""
     r = rfm_b.select("customer_id", "customer_segment", "rfm_score")

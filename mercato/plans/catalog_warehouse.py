@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from mercato.operators import cleaning, dims, facts, funnel, metrics, scd, sessions, views
 from mercato.plans import params as P
 from mercato.plans.catalog import WEB, _behavior, _fact_behavior, _rfm_b, _web
-from mercato.plans.oracle_sql import BEH, FACT_BEH, ORD, RFM_B, ord_cte, with_
+from mercato.plans.oracle_sql import BEH, FACT_BEH, ORD, RFM_B, ord_cte, rfm_b_cte, with_
 from mercato.plans.registry import query
 from mercato.sources import tables as T
 
@@ -242,6 +242,16 @@ def q_dim_customer_with_segment(spark, sf):
     return views.customer_with_segment(T.customers(spark, sf), _rfm_b(spark, sf))
 
 
+@query("dim_customer_segment_scd2", with_(ORD, rfm_b_cte("seg1", S1, S1), rfm_b_cte("seg2", S2, S2),
+                                          _scd2_sql("dims", "customer_id", ["customer_segment", "rfm_score"],
+                                                    "seg1", "seg2")) + "SELECT * FROM dims")
+def q_dim_customer_segment_scd2(spark, sf):
+    """D08 then D03: segment write-back as a type-2 history of each
+    customer's RFM segment at the snapshot dates."""
+    snaps = views.segment_snapshots(T.customers(spark, sf), T.orders(spark, sf), P.SNAPSHOT_DATES)
+    return scd.scd2_build(snaps, "customer_id", ["customer_segment", "rfm_score"])
+
+
 # ------------------------------------------------------------------ facts --
 
 @query("fact_web_events", with_(WEB) + """

@@ -133,5 +133,23 @@ rfmb AS (
   FROM s)"""
 
 
+def rfm_b_cte(name: str, as_of: str, before: str | None = None) -> str:
+    """The warehouse RFM model as one CTE ``name`` (orders before ``before``
+    only, when given), for point-in-time segment snapshots."""
+    cond = f" AND order_date < TIMESTAMP '{before}'" if before else ""
+    return f"""
+{name} AS (
+  SELECT customer_id, {RFM_SCORE} AS rfm_score, {SEGMENT_CASE} AS customer_segment
+  FROM (SELECT *, CAST(NTILE(5) OVER (ORDER BY recency_days DESC, customer_id) AS INTEGER) AS r_score,
+               CAST(NTILE(5) OVER (ORDER BY frequency, customer_id) AS INTEGER) AS f_score,
+               CAST(NTILE(5) OVER (ORDER BY monetary, customer_id) AS INTEGER) AS m_score
+        FROM (SELECT po.customer_id,
+                     CAST(date_diff('day', CAST(MAX(order_date) AS DATE), DATE '{as_of}') AS INTEGER) AS recency_days,
+                     COUNT(order_id) AS frequency, CAST(SUM(order_total) AS DECIMAL(28,2)) AS monetary
+              FROM (SELECT customer_id, order_id, MAX(order_date) AS order_date, MAX(order_total) AS order_total
+                    FROM ord WHERE order_status = 'completed'{cond} GROUP BY customer_id, order_id) po
+              JOIN customer c ON c.c_custkey = po.customer_id GROUP BY po.customer_id)))"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip("\n") for c in ctes) + "\n"
