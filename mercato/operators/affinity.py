@@ -67,8 +67,10 @@ def positional_pairs(order_items: DataFrame, item_col: str = "product_id", **kw)
 
 def canonical_pairs(order_items: DataFrame, item_col: str = "product_id", **kw) -> DataFrame:
     """Distinct items per order, unordered pairs with a < b."""
-    items = order_items.select("order_id", F.col(item_col).alias("item")).distinct() \
-        .withColumn("k", F.col("item"))
+    # one shuffle on the order id serves the dedup (its keys include the
+    # order id) and both sides of the self-join
+    items = order_items.select("order_id", F.col(item_col).alias("item")).repartition("order_id") \
+        .dropDuplicates(["order_id", "item"]).withColumn("k", F.col("item"))
     return _pairs(items, lambda l, r: l < r, **kw)
 
 
