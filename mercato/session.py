@@ -76,8 +76,10 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset on a
+    ``local`` master (tests) fall back to a fresh scratch folder.  On a
+    cluster a machine-local folder would not survive a lost executor, so an
+    unset setting is an error there."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
@@ -87,6 +89,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder shared by all "
+                               "executors (e.g. on HDFS or object storage)")
         configured = tempfile.mkdtemp(prefix="mercato-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
