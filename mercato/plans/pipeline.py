@@ -30,5 +30,27 @@ def run_full_pipeline(spark: SparkSession, sf_dir: str, start: str | None = None
     }
 
 
+def execute(results: dict, write, parallel: int = 4) -> None:
+    """Run ``write(name, df)`` for every output.
+
+    The persisted session rollup goes first, so its cache is filled once
+    before its three consumers read it.  The other outputs are independent
+    jobs; they are submitted from ``parallel`` driver threads so that their
+    stages share the executors instead of waiting for each other (Spark
+    schedules concurrent jobs of one session).  ``parallel=1`` runs them in
+    order."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    write("customer_behavior", results["customer_behavior"])
+    rest = [(k, df) for k, df in results.items() if k != "customer_behavior"]
+    if parallel <= 1:
+        for k, df in rest:
+            write(k, df)
+        return
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        for f in [pool.submit(write, k, df) for k, df in rest]:
+            f.result()
+
+
 def release(results: dict) -> None:
     results["customer_behavior"].unpersist()

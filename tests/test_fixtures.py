@@ -187,6 +187,25 @@ def test_full_pipeline_runs(spark):
     release(res)
 
 
+def test_full_pipeline_concurrent_equals_sequential(spark):
+    from conftest import SF001
+    from mercato.plans.pipeline import execute, release, run_full_pipeline
+
+    def collect_into(out):
+        def write(name, df):
+            out.append((name, sorted(map(tuple, df.collect()), key=repr)))
+        return write
+
+    got = {}
+    for parallel in (1, 4):
+        res, out = run_full_pipeline(spark, SF001), []
+        execute(res, collect_into(out), parallel=parallel)
+        release(res)
+        assert out[0][0] == "customer_behavior" and len(out) == len(res)
+        got[parallel] = dict(out)
+    assert got[1] == got[4]
+
+
 def test_metric_alerts_and_revenue_drop(spark):
     from mercato.operators import metrics
 
