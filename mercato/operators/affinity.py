@@ -26,29 +26,33 @@ def _total_orders(orders: DataFrame) -> Column:
     return orders.agg(F.count(F.lit(1)).alias("n")).scalar()
 
 
-def _pairs(items: DataFrame, cond, hot_threshold: int | None = HOT_BASKET,
-           salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """items(order_id, item, k) -> (order_id, a, b) for pairs with cond(l, r).
-
-    Baskets above ``hot_threshold`` lines are found first (one aggregate on
-    the order id, map-side combined).  None: a plain self-join.  Otherwise
-    the hot-order list is broadcast when its size check passes (else joined
-    by shuffle) and only those orders are salted/replicated.
-    """
-    def plain(t):
-        left = t.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"))
-        right = t.select("order_id", F.col("item").alias("b"), F.col("k").alias("kb"))
-        return left.join(right, "order_id").filter(cond(F.col("ka"), F.col("kb"))).select("order_id", "a", "b")
-
+def _hot_orders(lines: DataFrame, hot_threshold: int | None):
+    """Orders with more than ``hot_threshold`` lines as (order_id, _hot), or
+    None when there are none.  One aggregate on the order id, map-side
+    combined; the list is broadcast later only if its size check passed."""
     if hot_threshold is None:
-        return plain(items)
-    sizes = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
+        return None
+    sizes = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
     hot, small_enough, n_hot = checked_small(sizes.filter(F.col("_n") > hot_threshold)
                                              .select("order_id", F.lit(True).alias("_hot")))
     if n_hot == 0:
         hot.unpersist()
-        return plain(items)
-    t = items.join(F.broadcast(hot) if small_enough else hot, "order_id", "left")
+        return None
+    return F.broadcast(hot) if small_enough else hot
+
+
+def _pairs(items: DataFrame, cond, hot: DataFrame | None, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """items(order_id, item, k) -> (order_id, a, b) for pairs with cond(l, r).
+
+    ``hot`` None: a plain self-join on the order id.  Otherwise only the hot
+    orders are salted (left rows spread over ``salt_buckets`` sub-keys, right
+    rows replicated once per sub-key); all other orders keep sub-key 0.
+    """
+    if hot is None:
+        left = items.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"))
+        right = items.select("order_id", F.col("item").alias("b"), F.col("k").alias("kb"))
+        return left.join(right, "order_id").filter(cond(F.col("ka"), F.col("kb"))).select("order_id", "a", "b")
+    t = items.join(hot, "order_id", "left")
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("item", "k"), F.lit(salt_buckets))).otherwise(F.lit(0))
     replicas = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
     left = t.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"), salt.cast("int").alias("_salt"))
@@ -58,20 +62,30 @@ def _pairs(items: DataFrame, cond, hot_threshold: int | None = HOT_BASKET,
     return j.filter(cond(F.col("ka"), F.col("kb"))).select("order_id", "a", "b")
 
 
-def positional_pairs(order_items: DataFrame, item_col: str = "product_id", **kw) -> DataFrame:
+def positional_pairs(order_items: DataFrame, item_col: str = "product_id", hot_threshold: int | None = HOT_BASKET,
+                     salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Positional semantics: every (items[i], items[j]) with i < j in line
     order; direction-sensitive, keeps self-pairs and repeats."""
     items = order_items.select("order_id", F.col(item_col).alias("item"), F.col("line_sort").alias("k"))
-    return _pairs(items, lambda l, r: l < r, **kw)
-
-
-def canonical_pairs(order_items: DataFrame, item_col: str = "product_id", **kw) -> DataFrame:
-    """Distinct items per order, unordered pairs with a < b."""
-    # one shuffle on the order id serves the dedup (its keys include the
-    # order id) and both sides of the self-join
-    items = order_items.select("order_id", F.col(item_col).alias("item")).repartition("order_id") \
-        .dropDuplicates(["order_id", "item"]).withColumn("k", F.col("item"))
-    return _pairs(items, lambda l, r: l < r, **kw)
+    return _pairs(items, lambda l, r: l < r, _hot_orders(items, hot_threshold), salt_buckets)
+
+
+def canonical_pairs(order_items: DataFrame, item_col: str = "product_id", hot_threshold: int | None = HOT_BASKET,
+                    salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Distinct items per order, unordered pairs with a < b.
+
+    Hot baskets are found on the raw lines (a superset of those hot after
+    dedup; salting a basket that is not hot changes no result).  Without
+    any, one shuffle on the order id serves the dedup (its keys include the
+    order id) and both sides of the self-join.  With some, the dedup is
+    hashed on (order, item) and combined map-side, so a hot basket's lines
+    are spread over many tasks before its salted pair join."""
+    lines = order_items.select("order_id", F.col(item_col).alias("item"))
+    hot = _hot_orders(lines, hot_threshold)
+    if hot is None:
+        lines = lines.repartition("order_id")
+    items = lines.dropDuplicates(["order_id", "item"]).withColumn("k", F.col("item"))
+    return _pairs(items, lambda l, r: l < r, hot, salt_buckets)
 
 
 def pair_counts(pairs: DataFrame, orders: DataFrame) -> DataFrame:

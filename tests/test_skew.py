@@ -128,3 +128,17 @@ def test_hot_third_of_events_on_real_data(spark):
     p = sliced._jdf.queryExecution().executedPlan().toString()
     assert "_hot" in p
     assert sliced.filter("customer_id = -1").select("session_id").distinct().count() >= 1
+
+
+def test_hot_baskets_with_repeated_items_match_plain_pairs(spark):
+    """Every line doubled and a low threshold: most baskets take the salted
+    path, whose dedup is hashed on (order, item); counts equal the plain path."""
+    from mercato.operators import affinity
+
+    lines = T.order_lines(spark, SF001).select("order_id", "product_id", "line_sort")
+    doubled = lines.unionByName(lines)
+    orders = T.read(spark, SF001, "orders")
+    plain = affinity.product_affinity(doubled, orders, hot_threshold=None)
+    salted = affinity.product_affinity(doubled, orders, hot_threshold=4, salt_buckets=5)
+    assert plain.count() > 0
+    assert rows(plain) == rows(salted)
