@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mercato.llm import decontamination as dc
+from mercato.llm import simhash as sh
 from mercato.llm.common import read
 
 QUERIES: dict = {}
@@ -34,3 +35,10 @@ def op5(spark, sf_dir):
     found = dc.decontaminate(docs, read(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         dc.items_digest(F.col("items")).alias("items_sha256"), "contaminated")
+
+
+@query("op8_simhash_trie_join")
+def op8(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sh.near_duplicates(docs, keep=["doc_id"])
+    return found.select("doc_id", sh.hex_of(F.col("fp")).alias("fingerprint"), "component_id")

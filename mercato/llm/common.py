@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,6 +85,12 @@ def texts_of(batch: pa.RecordBatch) -> list[str | None]:
     return batch.column("_text_in").to_pylist()
 
 
-def payload(spark: SparkSession, value):
-    """A broadcast of a value whose size the caller has bounded."""
-    return spark.sparkContext.broadcast(value)
+class Payload:
+    """A broadcast of a value whose size the caller has bounded.  It travels
+    as pickled bytes, so its classes need not be importable on executors."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self):
+        return cloudpickle.loads(self.sent.value)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import append_columns, payload, texts_of
+from mercato.llm.common import Payload, append_columns, texts_of
 
 WINDOW = 13
 BLOCK_WORDS = 3
@@ -188,10 +188,10 @@ def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list:
         part.append((r["item"], r["text"]))
         size += len(r["text"])
         if size >= block_bytes:
-            out.append(payload(benchmark.sparkSession, compile_block(part)))
+            out.append(Payload(benchmark.sparkSession, compile_block(part)))
             part, size = [], 0
     if part:
-        out.append(payload(benchmark.sparkSession, compile_block(part)))
+        out.append(Payload(benchmark.sparkSession, compile_block(part)))
     return out
 
 
@@ -204,16 +204,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     per = round(1 / min_share)
 
     def make():
+        held = [blocks[0].get()] if len(blocks) == 1 else None
+
         def fn(batch):
             texts = [words(t) for t in texts_of(batch)]
             starts = np.zeros(len(texts) + 1, dtype=np.int64)
             np.cumsum([len(w) for w in texts], out=starts[1:])
             hit = np.zeros(int(starts[-1]), dtype=bool)
             items: list[set] = [set() for _ in texts]
-            for b in blocks:
-                search(texts, b.value, hit, starts, items)
-                if len(blocks) > 1:
-                    del b._value  # one block at a time in the worker
+            for block in held or (b.get() for b in blocks):  # one at a time
+                search(texts, block, hit, starts, items)
             total = np.concatenate([[0], np.cumsum(hit)])
             n_hit = total[starts[1:]] - total[starts[:-1]]
             n_words = np.diff(starts)
