@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mercato.llm import decontamination as dc
+from mercato.llm import langid as lid
 from mercato.llm import simhash as sh
-from mercato.llm.common import read
+from mercato.llm.common import crc32_of_id, read
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -42,3 +43,12 @@ def op8(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = sh.near_duplicates(docs, keep=["doc_id"])
     return found.select("doc_id", sh.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op4_script_viterbi_langid")
+def op4(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc32_of_id(F.col("doc_id")) % 5 == 0
+    model = lid.fit(docs.where(~held_out))
+    return (lid.identify(docs, model, keep=["doc_id"])
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "spans"))
