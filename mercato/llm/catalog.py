@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
+from mercato.llm import pii
 from mercato.llm import simhash as sh
 from mercato.llm.common import crc32_of_id, read
 
@@ -52,3 +53,9 @@ def op4(spark, sf_dir):
     model = lid.fit(docs.where(~held_out))
     return (lid.identify(docs, model, keep=["doc_id"])
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "spans"))
+
+
+@query("op6_feistel_pseudonyms")
+def op6(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs).select("doc_id", "text", "n_values")
