@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
-from mercato.llm import pii
+from mercato.llm import packing, pii
 from mercato.llm import simhash as sh
 from mercato.llm.common import crc32_of_id, read
 
@@ -59,3 +59,9 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs).select("doc_id", "text", "n_values")
+
+
+@query("op7_linear_grouping_packing")
+def op7(spark, sf_dir):
+    placed = packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
