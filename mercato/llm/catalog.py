@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
-from mercato.llm import packing, pii
+from mercato.llm import packing, pii, repair
 from mercato.llm import simhash as sh
 from mercato.llm.common import crc32_of_id, read
 
@@ -31,6 +31,11 @@ def oracle_sql() -> dict:
     return dict(ORACLE)
 
 
+@query("op1_repair_token_file")
+def op1(spark, sf_dir):
+    return repair.token_file(read(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False)
+
+
 @query("op5_wu_manber_decontamination")
 def op5(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
