@@ -8,6 +8,7 @@ from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
 from mercato.llm import packing, pii, repair
 from mercato.llm import simhash as sh
+from mercato.llm import tokencount
 from mercato.llm.common import crc32_of_id, read
 
 QUERIES: dict = {}
@@ -70,3 +71,8 @@ def op6(spark, sf_dir):
 def op7(spark, sf_dir):
     placed = packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op9_pretoken_counts")
+def op9(spark, sf_dir):
+    return tokencount.count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
