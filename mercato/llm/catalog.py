@@ -8,7 +8,7 @@ from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
 from mercato.llm import packing, pii, repair
 from mercato.llm import simhash as sh
-from mercato.llm import tokencount
+from mercato.llm import tokencount, urlfilter
 from mercato.llm.common import crc32_of_id, read
 
 QUERIES: dict = {}
@@ -76,3 +76,25 @@ def op7(spark, sf_dir):
 @query("op9_pretoken_counts")
 def op9(spark, sf_dir):
     return tokencount.count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+
+
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+URL_SQL = r"""
+WITH r(verdict, host, path) AS (VALUES """ + ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES) + r"""),
+p AS (SELECT page_id, row_number() OVER () AS rid,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+j AS (SELECT p.*, r.host || r.path AS rule, r.verdict,
+        row_number() OVER (PARTITION BY rid ORDER BY length(r.host || r.path) DESC, r.verdict DESC) AS k
+      FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM j WHERE k = 1
+"""
+
+
+@query("op10_url_range_join", URL_SQL)
+def op10(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, urlfilter.rule_table(spark, URL_RULES)).drop("url")
