@@ -45,9 +45,11 @@ CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])"
 PHONE_PLUS = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
 PHONE_US = r"(?<![0-9.+-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 
-FOUND = "|".join([EMAIL, ASSIGNED, ACCESS_KEY, IBAN, IP, DATE_YMD, DATE_DMY, SSN, PHONE_PLUS, PHONE_US, CARD])
+#: Most positions of a text fail at the first step of either branch.
+FOUND = ("(?<![A-Za-z0-9])(?:" + "|".join([EMAIL, ASSIGNED, ACCESS_KEY, IBAN]) + ")"
+         "|(?=[0-9+(])(?:" + "|".join([IP, DATE_YMD, DATE_DMY, SSN, PHONE_PLUS, PHONE_US, CARD]) + ")")
 #: A text without any of these holds no value.
-HINT = r"[0-9@]|(?i:password|passwd|pwd|secret|token|api[_-]?key)"
+HINT = "[0-9@=:]"
 
 FIRST_DAY = "1900-01-01"
 DAYS = (319, 229)  # 319 * 229 = 73,049 days, 1900-01-01 to 2099-12-31
@@ -55,6 +57,12 @@ SSNS = (898, 99 * 9999)
 ADDRESSES = (1 << 16, 1 << 16)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once (a lambda's argument is a
+    value; an expression named twice would be computed twice)."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _hash(key: str, kind: str, r: Column, other: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"), other), 512)
 
@@ -70,27 +78,37 @@ def _char(c: Column, by: Column, hexa: Column) -> Column:
 
 def _moved(half: Column, stream: Column, hexa: Column) -> Column:
     """Every character of a half, moved within its class by the stream."""
-    def at(i: Column) -> Column:
-        by = F.conv(F.substring(stream, 2 * (i % 64) + 1, F.lit(2)), 16, 10).cast("int")
-        return _char(F.substring(half, i + 1, F.lit(1)), by, hexa)
+    def each(half: Column, stream: Column) -> Column:
+        def at(i: Column) -> Column:
+            by = F.conv(F.substring(stream, 2 * (i % 64) + 1, F.lit(2)), 16, 10).cast("int")
+            return let(F.substring(half, i + 1, F.lit(1)), lambda c: _char(c, by, hexa))
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.length(half) - 1), at), "")
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.length(half) - 1), at), "")
+
+    return let(half, lambda h: let(stream, lambda s: each(h, s)))
 
 
 def permute(s: Column, key: str, kind: str, hexa: Column | None = None) -> Column:
     """Keyed permutation of the strings with the same character classes."""
-    hexa = F.lit(False) if hexa is None else hexa
+    if hexa is not None:
+        return let(hexa, lambda h: _permute(s, key, kind, h))
+    return _permute(s, key, kind, F.lit(False))
+
 
+def _permute(s: Column, key: str, kind: str, hexa: Column) -> Column:
     def step(acc: Column, r: Column) -> Column:
         h = F.floor(F.length(acc) / 2).cast("int")
         left, right = F.substring(acc, F.lit(1), h), F.substring(acc, h + 1, F.length(acc))
         return (F.when(r % 2 == 0, F.concat(_moved(left, _hash(key, kind, r, right), hexa), right))
                 .otherwise(F.concat(left, _moved(right, _hash(key, kind, r, left), hexa))))
 
-    # a single character has no other half: it moves by the key alone
-    one = _moved(s, _hash(key, kind, F.lit(0), F.lit("")), hexa)
-    many = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), s, step)
-    return F.when(F.length(s) > 1, many).when(F.length(s) == 1, one).otherwise(s)
+    def run(s: Column) -> Column:
+        # a single character has no other half: it moves by the key alone
+        one = _moved(s, _hash(key, kind, F.lit(0), F.lit("")), hexa)
+        many = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), s, step)
+        return F.when(F.length(s) > 1, many).when(F.length(s) == 1, one).otherwise(s)
+
+    return let(s, run)
 
 
 def permute_number(x: Column, radix: tuple[int, int], key: str, kind: str) -> Column:
@@ -105,8 +123,11 @@ def permute_number(x: Column, radix: tuple[int, int], key: str, kind: str) -> Co
         return F.when(r % 2 == 0, F.struct(moved("a", "b", a).alias("a"), acc["b"].alias("b"))).otherwise(
             F.struct(acc["a"].alias("a"), moved("b", "a", b).alias("b")))
 
-    start = F.struct(F.floor(x / b).cast("long").alias("a"), (x % b).cast("long").alias("b"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda s: s["a"] * b + s["b"])
+    def run(x: Column) -> Column:
+        start = F.struct(F.floor(x / b).cast("long").alias("a"), (x % b).cast("long").alias("b"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda s: s["a"] * b + s["b"])
+
+    return let(x, run)
 
 
 def _digits(m: Column) -> Column:
@@ -115,37 +136,40 @@ def _digits(m: Column) -> Column:
 
 def _refill(m: Column, digits: Column, of: str = "[0-9]") -> Column:
     """``m`` with its characters of a class replaced in turn by ``digits``."""
-    def at(i: Column) -> Column:
-        c = F.substring(m, i + 1, F.lit(1))
-        k = F.length(F.regexp_replace(F.substring(m, F.lit(1), i + 1), f"[^{of[1:-1]}]", ""))
-        return F.when(c.rlike(of), F.substring(digits, k, F.lit(1))).otherwise(c)
+    def each(digits: Column) -> Column:
+        def at(i: Column) -> Column:
+            c = F.substring(m, i + 1, F.lit(1))
+            k = F.length(F.regexp_replace(F.substring(m, F.lit(1), i + 1), f"[^{of[1:-1]}]", ""))
+            return F.when(c.rlike(of), F.substring(digits, k, F.lit(1))).otherwise(c)
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.length(m) - 1), at), "")
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.length(m) - 1), at), "")
+
+    return let(digits, each)
 
 
 def _luhn_sum(d: Column, first_weight: int) -> Column:
     """Luhn sum of digits, with the weight of the last one."""
-    n = F.length(d)
-
     def add(acc: Column, i: Column) -> Column:
-        x = F.substring(d, n - i, F.lit(1)).cast("int") * F.when((i + first_weight) % 2 == 0, 2).otherwise(1)
+        x = F.substring(d, F.length(d) - i, F.lit(1)).cast("int") * F.when((i + first_weight) % 2 == 0, 2).otherwise(1)
         return acc + x - F.when(x > 9, 9).otherwise(0)
 
-    return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add)
+    return F.aggregate(F.sequence(F.lit(0), F.length(d) - 1), F.lit(0), add)
 
 
 def _card(m: Column, key: str) -> Column:
-    d = _digits(m)
-    n = F.length(d)
-    body = F.concat(F.substring(d, 1, 1), permute(F.substring(d, F.lit(2), n - 2), key, "card"))
-    check = F.pmod(-_luhn_sum(body, 0), F.lit(10)).cast("string")
-    return F.when(_luhn_sum(d, 1) % 10 == 0, _refill(m, F.concat(body, check))).otherwise(m)
+    def valid(d: Column) -> Column:
+        body = F.concat(F.substring(d, 1, 1), permute(F.substring(d, F.lit(2), F.length(d) - 2), key, "card"))
+        return _refill(m, let(body, lambda b: F.concat(b, F.pmod(-_luhn_sum(b, 0), F.lit(10)).cast("string"))))
+
+    return let(_digits(m), lambda d: F.when(_luhn_sum(d, 1) % 10 == 0, valid(d)).otherwise(m))
 
 
 def _phone(m: Column, key: str) -> Column:
-    d = _digits(m)
-    keep = F.greatest(F.length(d) - 10, F.lit(0))
-    return _refill(m, F.concat(F.substring(d, F.lit(1), keep), permute(F.substring(d, keep + 1, F.length(d)), key, "phone")))
+    def new(d: Column) -> Column:
+        keep = F.greatest(F.length(d) - 10, F.lit(0))
+        return F.concat(F.substring(d, F.lit(1), keep), permute(F.substring(d, keep + 1, F.length(d)), key, "phone"))
+
+    return _refill(m, let(_digits(m), new))
 
 
 def _mod97(s: Column) -> Column:
@@ -157,29 +181,37 @@ def _mod97(s: Column) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    s = F.replace(m, F.lit(" "), F.lit(""))
-    country, body = F.substring(s, 1, 2), F.substring(s, F.lit(5), F.length(s))
-    new = permute(body, key, "iban")
-    check = F.lpad((F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    valid = _mod97(F.concat(body, F.substring(s, 1, 4))) == 1
-    return F.when(valid, _refill(m, F.concat(country, check, new), "[0-9A-Z]")).otherwise(m)
+    def checked(s: Column, new: Column) -> Column:
+        country = F.substring(s, 1, 2)
+        check = let(F.concat(new, country, F.lit("00")), lambda x: F.lpad((F.lit(98) - _mod97(x)).cast("string"), 2, "0"))
+        return F.concat(country, check, new)
+
+    def whole(s: Column) -> Column:
+        body = F.substring(s, F.lit(5), F.length(s))
+        valid = let(F.concat(body, F.substring(s, 1, 4)), _mod97) == 1
+        return F.when(valid, _refill(m, let(permute(body, key, "iban"), lambda n: checked(s, n)), "[0-9A-Z]")).otherwise(m)
+
+    return let(F.replace(m, F.lit(" "), F.lit("")), whole)
 
 
 def _ip(m: Column, key: str) -> Column:
-    o = F.transform(F.split(m, r"\."), lambda x: x.cast("long"))
-    y = permute_number(((o[0] * 256 + o[1]) * 256 + o[2]) * 256 + o[3], ADDRESSES, key, "ip")
-    return F.concat_ws(".", *[(F.shiftright(y, k) % 256).cast("string") for k in (24, 16, 8, 0)])
+    number = F.aggregate(F.split(m, r"\."), F.lit(0).cast("long"), lambda acc, x: acc * 256 + x.cast("long"))
+    return let(permute_number(number, ADDRESSES, key, "ip"),
+               lambda y: F.concat_ws(".", *[(F.shiftright(y, k) % 256).cast("string") for k in (24, 16, 8, 0)]))
 
 
 def _ssn(m: Column, key: str) -> Column:
     d = F.transform(F.split(m, "-"), lambda x: x.cast("long"))
     area = d[0] - 1 - F.when(d[0] > 666, 1).otherwise(0)
-    y = permute_number((area * 99 + d[1] - 1) * 9999 + d[2] - 1, SSNS, key, "ssn")
-    a = F.floor(y / F.lit(99 * 9999)).cast("long")
-    area = a + 1 + F.when(a >= 665, 1).otherwise(0)
-    group = F.floor(y / F.lit(9999)).cast("long") % 99 + 1
-    return F.concat_ws("-", F.lpad(area.cast("string"), 3, "0"), F.lpad(group.cast("string"), 2, "0"),
-                       F.lpad((y % 9999 + 1).cast("string"), 4, "0"))
+
+    def written(y: Column) -> Column:
+        a = F.floor(y / F.lit(99 * 9999)).cast("long")
+        area = a + 1 + F.when(a >= 665, 1).otherwise(0)
+        group = F.floor(y / F.lit(9999)).cast("long") % 99 + 1
+        return F.concat_ws("-", F.lpad(area.cast("string"), 3, "0"), F.lpad(group.cast("string"), 2, "0"),
+                           F.lpad((y % 9999 + 1).cast("string"), 4, "0"))
+
+    return let(permute_number((area * 99 + d[1] - 1) * 9999 + d[2] - 1, SSNS, key, "ssn"), written)
 
 
 def _other_day(day: Column, key: str) -> Column:
@@ -188,8 +220,8 @@ def _other_day(day: Column, key: str) -> Column:
 
 
 def _date_ymd(m: Column, key: str) -> Column:
-    day = F.try_to_date(m, "yyyy-MM-dd")
-    return F.when(day.isNotNull(), F.date_format(_other_day(day, key), "yyyy-MM-dd")).otherwise(m)
+    return let(F.try_to_date(m, "yyyy-MM-dd"),
+               lambda day: F.when(day.isNotNull(), F.date_format(_other_day(day, key), "yyyy-MM-dd")).otherwise(m))
 
 
 def _date_dmy(m: Column, key: str) -> Column:
@@ -201,13 +233,15 @@ def _date_dmy(m: Column, key: str) -> Column:
     day_first = F.when(dotted, p[1].cast("int") <= 12).otherwise(p[0].cast("int") > 12)
     d, mo = F.when(day_first, p[0]).otherwise(p[1]), F.when(day_first, p[1]).otherwise(p[0])
     day = F.try_to_date(F.concat_ws("-", p[2], F.lpad(mo, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
-    new = _other_day(day, key)
-    wide = (F.length(p[0]) == 2) & (F.length(p[1]) == 2)
-    nd, nm = F.dayofmonth(new).cast("string"), F.month(new).cast("string")
-    nd, nm = F.when(wide, F.lpad(nd, 2, "0")).otherwise(nd), F.when(wide, F.lpad(nm, 2, "0")).otherwise(nm)
-    out = F.when(day_first, F.concat(nd, sep, nm, sep, F.year(new).cast("string"))).otherwise(
-        F.concat(nm, sep, nd, sep, F.year(new).cast("string")))
-    return F.when(day.isNotNull(), out).otherwise(m)
+
+    def written(new: Column) -> Column:
+        wide = (F.length(p[0]) == 2) & (F.length(p[1]) == 2)
+        nd, nm = F.dayofmonth(new).cast("string"), F.month(new).cast("string")
+        nd, nm = F.when(wide, F.lpad(nd, 2, "0")).otherwise(nd), F.when(wide, F.lpad(nm, 2, "0")).otherwise(nm)
+        year = F.year(new).cast("string")
+        return F.when(day_first, F.concat(nd, sep, nm, sep, year)).otherwise(F.concat(nm, sep, nd, sep, year))
+
+    return let(day, lambda x: F.when(x.isNotNull(), let(_other_day(x, key), written)).otherwise(m))
 
 
 def _email(m: Column, key: str) -> Column:
