@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
-from mercato.llm import packing, pii, repair
+from mercato.llm import minhash, packing, pii, repair
 from mercato.llm import simhash as sh
 from mercato.llm import tokencount, urlfilter
 from mercato.llm.common import crc32_of_id, read
@@ -52,6 +52,11 @@ def op8(spark, sf_dir):
     return found.select("doc_id", sh.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op2_one_permutation_minhash")
+def op2(spark, sf_dir):
+    return minhash.with_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op4_script_viterbi_langid")
 def op4(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,3 +94,32 @@ class Payload:
 
     def get(self):
         return cloudpickle.loads(self.sent.value)
+
+
+#: Keys sampled for each cut point.
+PER_CUT = 20
+
+
+def cut_points(keys: DataFrame, key: str, buckets: int) -> list:
+    """Keys that cut a table into about ``buckets`` equal ranges, fewer if it
+    has few distinct keys.  Every distinct key has the same chance to be in
+    the sample, by its hash; one key a range comes to the driver."""
+    if buckets < 2:
+        return []
+    keys = keys.where(F.col(key).isNotNull())
+    n = keys.count()
+    share = min(1.0, buckets * PER_CUT / max(n, 1))
+    sample = keys.distinct().where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    rank = F.row_number().over(Window.orderBy(key))  # over the sample: PER_CUT rows a range
+    picked = sample.withColumn("_rank", rank).where(F.col("_rank") % PER_CUT == 0).select(key)
+    return sorted(r[0] for r in picked.collect())
+
+
+def bucket_of(key: F.Column, cuts: list, kind: str) -> F.Column:
+    """Number of cuts (sorted) at or below a key, by binary search."""
+    if not cuts:
+        return F.lit(0)
+    held = F.array(*[F.lit(c).cast(kind) for c in cuts])
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda acc, s: F.when(
+        (acc + s <= len(cuts)) & (F.get(held, acc + s - 1) <= key), acc + s).otherwise(acc))

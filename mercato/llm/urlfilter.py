@@ -34,13 +34,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import written
+from mercato.llm.common import bucket_of, cut_points, written
 
 DEFAULT = "allow"
 #: Url keys that one bucket holds at least on average.
 PER_BUCKET = 2_000
-#: Keys sampled for each bucket's limit.
-PER_CUT = 20
 
 
 def host_of(url: Column) -> Column:
@@ -83,31 +81,6 @@ def _intervals(rules: DataFrame) -> DataFrame:
                       F.concat("host", "path").alias("rule"), "verdict")
 
 
-def _bucket(key: Column, cuts: list) -> Column:
-    """Number of cuts at or below a key, by binary search."""
-    if not cuts:
-        return F.lit(0)
-    held = F.array(*[F.lit(c) for c in cuts])
-    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda acc, s: F.when(
-        (acc + s <= len(cuts)) & (F.get(held, acc + s - 1) <= key), acc + s).otherwise(acc))
-
-
-def _cuts(keys: DataFrame, per_bucket: int) -> list:
-    """Keys that cut the table into buckets of about equal size, at most one
-    bucket for each shuffle partition."""
-    n = keys.count()
-    buckets = min(-(-n // per_bucket), int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    if buckets < 2:
-        return []
-    # every distinct key has the same chance, by its hash
-    share = min(1.0, buckets * PER_CUT / n)
-    sample = keys.distinct().where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    rank = F.row_number().over(Window.orderBy("key"))  # over the sample: PER_CUT rows a bucket
-    picked = sample.withColumn("r", rank).where(F.col("r") % PER_CUT == 0).select("key")
-    return sorted(bytes(r["key"]) for r in picked.collect())
-
-
 def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, url: str = "url",
           per_bucket: int = PER_BUCKET) -> DataFrame:
     """``pages`` with host, path, rule (host and path of the winning rule, else
@@ -118,9 +91,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, url: str =
     keyed = urls.select("host", "path", F.explode(suffixes(F.col("host"))).alias("labels")).select(
         "host", "path", _key(F.col("labels"), F.col("path")).alias("key"))
     keys = written(keyed, "url-keys")
-    cuts = _cuts(keys.select("key"), per_bucket)
+    # at most one bucket for each shuffle partition
+    buckets = min(-(-keys.count() // per_bucket), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = [bytes(c) for c in cut_points(keys.select("key"), "key", buckets)]
     intervals = _intervals(rules)
-    low, high = _bucket(F.col("low"), cuts), _bucket(F.col("high"), cuts)
+    low, high = bucket_of(F.col("low"), cuts, "binary"), bucket_of(F.col("high"), cuts, "binary")
     each = intervals.withColumn("bucket", F.explode(F.sequence(low, high)))
     # an interval that began in an earlier bucket opens before all keys, the
     # outer one (shorter key) first; closings come before keys, as high is open
@@ -129,7 +104,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, url: str =
                         F.length("low").alias("turn"), F.lit(1).alias("step"), blank.alias("host"), blank.alias("path"), "rule", "verdict")
     closes = each.where(F.col("bucket") == high).select(
         "bucket", F.col("high").alias("key"), F.lit(-1).alias("turn"), F.lit(-1).alias("step"), blank, blank, blank, blank)
-    points = keys.select(_bucket(F.col("key"), cuts).alias("bucket"), "key", F.lit(1 << 30).alias("turn"), F.lit(0).alias("step"),
+    points = keys.select(bucket_of(F.col("key"), cuts, "binary").alias("bucket"), "key", F.lit(1 << 30).alias("turn"), F.lit(0).alias("step"),
                          "host", "path", blank, blank)
     events = opens.union(closes).union(points)
     sweep = Window.partitionBy("bucket").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, 0)
