@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
 from mercato.llm import minhash, packing, pii, repair
@@ -25,11 +26,11 @@ def query(name: str, oracle: str | None = None):
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return {**QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return dict(ORACLE)
+    return {**ORACLE, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
 
 
 @query("op1_repair_token_file")

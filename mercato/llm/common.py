@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -55,34 +57,48 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         at, done = stop, int(ends[stop - 1])
 
 
-def append_columns(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list]],
+def append_columns(df: DataFrame, make: Callable[[], Callable[[list], list]],
                    fields: list[T.StructField], text: str = "text",
                    keep: list[str] | None = None) -> DataFrame:
     """Rows of ``df`` with columns computed from its text column, in one
     Arrow map (no shuffle).
 
     ``make`` is called once per task and returns the function of a slice: a
-    record batch whose column ``_text`` is the text, to a list of one Arrow
-    array per field.  ``keep`` are the columns to carry (default: all).  A
-    carried column with the name of a new one gives way to it.
+    list of texts to a list of one Arrow array per field.  ``keep`` are the
+    columns to carry (default: all).  A carried column with the name of a new
+    one gives way to it.
     """
     new = [f.name for f in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c not in new]
-    src = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_text_in"))
+    src = df.select(*[F.col(f"`{c}`") for c in kept], *([] if text in kept else [F.col(f"`{text}`").alias("_text_in")]))
+    column = text if text in kept else "_text_in"
     schema = T.StructType([src.schema[c] for c in kept] + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            for part in slices(batch, "_text_in"):
+            for part in slices(batch, column):
                 cols = [part.column(c) for c in kept]
-                yield pa.RecordBatch.from_arrays([*cols, *fn(part)], names=[*kept, *new])
+                yield pa.RecordBatch.from_arrays([*cols, *fn(part.column(column).to_pylist())], names=[*kept, *new])
 
     return src.mapInArrow(run, schema)
 
 
-def texts_of(batch: pa.RecordBatch) -> list[str | None]:
-    return batch.column("_text_in").to_pylist()
+def set_aside(docs: DataFrame, names: list[str], fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The columns of ``docs`` in ``fn(docs)``, where ``fn`` makes columns of
+    the given names: own columns with those names are kept apart meanwhile."""
+    aside = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c.lower() in names}
+    out = fn(docs.withColumnsRenamed(aside))
+    return out.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
+
+
+def per_worker(key, make: Callable):
+    """``make()``, kept by the Python worker for its later tasks: for objects
+    that are slow to build and of bounded size."""
+    held = sys.modules.setdefault("_mercato_worker", types.ModuleType("_mercato_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
 
 
 class Payload:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import Payload, append_columns, texts_of
+from mercato.llm.common import Payload, append_columns
 
 WINDOW = 13
 BLOCK_WORDS = 3
@@ -206,8 +206,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     def make():
         held = [blocks[0].get()] if len(blocks) == 1 else None
 
-        def fn(batch):
-            texts = [words(t) for t in texts_of(batch)]
+        def fn(given):
+            texts = [words(t) for t in given]
             starts = np.zeros(len(texts) + 1, dtype=np.int64)
             np.cumsum([len(w) for w in texts], out=starts[1:])
             hit = np.zeros(int(starts[-1]), dtype=bool)

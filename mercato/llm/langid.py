@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import Payload, append_columns, slices, texts_of
+from mercato.llm.common import Payload, append_columns, slices
 
 FEATURES = 1 << 16
 ORDERS = (2, 3, 4)
@@ -251,8 +251,8 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, penal
     def make():
         m = sent.get()
 
-        def fn(batch):
-            got = label(texts_of(batch), m, penalty)
+        def fn(texts):
+            got = label(texts, m, penalty)
             return [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
                     pa.array([g[2] for g in got], T_SPANS)]
         return fn

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import append_columns, texts_of, written
+from mercato.llm.common import append_columns, set_aside, written
 from mercato.llm.components import components
 
 SHINGLE = 3
@@ -55,6 +55,9 @@ SPLIT_BITS = 4
 DIRECT = 32
 FRONTIER = 1 << 18
 
+#: Columns of near_duplicates.
+MADE = ("fp", "component_id", "root", "_row")
+
 _POP = np.array([bin(i).count("1") for i in range(1 << 16)], dtype=np.uint8)
 
 
@@ -80,7 +83,7 @@ def fingerprint(text: str | None, k: int = SHINGLE) -> int:
 def with_fingerprints(docs: DataFrame, keep: list[str] | None = None, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with the fingerprint ``fp`` (a signed long)."""
     def make():
-        return lambda batch: [pa.array([fingerprint(t, shingle) for t in texts_of(batch)], pa.int64())]
+        return lambda texts: [pa.array([fingerprint(t, shingle) for t in texts], pa.int64())]
 
     return append_columns(docs, make, [T.StructField("fp", T.LongType(), False)], keep=keep)
 
@@ -237,9 +240,9 @@ def links(fps: DataFrame, bits: int = MAX_BITS, limit: int = LIMIT) -> DataFrame
 
 def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int = SHINGLE,
                     bits: int = MAX_BITS, limit: int = LIMIT) -> DataFrame:
-    """``docs`` (columns ``keep``) with fp, component_id and ``_row``, a row
-    number that is unique and stays the same."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("fp", "component_id", "_row")]
+    """``docs`` (columns ``keep``) with fp, component_id, root (its smallest
+    fingerprint) and ``_row``, a row number that is unique and stays the same."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in MADE]
     rows = written(with_fingerprints(docs, [*dict.fromkeys([*keep, "doc_id"])], shingle)
                    .withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
     first = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
@@ -252,10 +255,13 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int
 
 def dedup(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """One row of each component: that of the smallest doc_id."""
-    found = near_duplicates(docs, None, shingle, bits)
+    return set_aside(docs, list(MADE), lambda d: _first_rows(near_duplicates(d, None, shingle, bits)))
+
+
+def _first_rows(found: DataFrame) -> DataFrame:
     narrow = found.select("root", "doc_id", "_row")
     stay = narrow.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("k"))
-    return found.join(stay.select(F.col("k._row").alias("_row")), "_row", "left_semi").select(*docs.columns)
+    return found.join(stay.select(F.col("k._row").alias("_row")), "_row", "left_semi")
 
 
 def hex_of(col) -> F.Column:
