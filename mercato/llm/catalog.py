@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from mercato.llm import ctw
 from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
 from mercato.llm import minhash, packing, pii, repair
@@ -58,6 +59,11 @@ def op2(spark, sf_dir):
     return minhash.with_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op3_context_tree_weighting")
+def op3(spark, sf_dir):
+    return ctw.score(read(spark, sf_dir, "documents").select("doc_id", "text"), ctw.held_out_rule(F.col("doc_id")))
+
+
 @query("op4_script_viterbi_langid")
 def op4(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
