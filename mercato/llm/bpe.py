@@ -1,21 +1,36 @@
 """Token ids of whole texts, with the tokenizers library.
 
-The tokenizer drops white space and never merges across it, so a text is the
-words between its ASCII white space: each distinct word is encoded once in a
-while and kept (``CACHE`` words at most, then the cache starts anew).  The
-ids equal those of the whole text; tests compare the two."""
+The tokenizer drops white space and never merges across the pieces of its
+split pattern, so a text's ids are those of its words, and a word's ids are
+those of its pieces.  Words between ASCII white space are looked up in a cache;
+those not in it are cut into pieces, and each new piece is encoded once.  Words
+with characters beyond ``PLAIN_LINES``, or that may hold a special string, take the
+tokenizer's whole pipeline.  The ids equal those of the whole text (tests
+compare the two).  The caches hold ``CACHE`` entries at most and then start
+anew, so a task's memory does not grow with its texts."""
 
 from __future__ import annotations
 
+import json
 import os
+import re
 
 import numpy as np
+import regex
 from pyspark.sql import SparkSession
 
-from mercato.llm.common import Payload
+from mercato.llm.common import Payload, per_worker
 
 WORD_BPE = "word_bpe_49k.json"
-CACHE = 300_000
+CACHE = 200_000
+#: Pieces that go to the tokenizer as one text.
+TOGETHER = 200
+
+#: Characters whose normal form, lower case and category no version of Unicode
+#: has changed: printable ASCII, Latin-1 and Latin Extended-A but for U+0130.
+PLAIN_LINES = re.compile("[\\n!-~¡-įı-ſ]+")
+#: Stands for a line's end among ids; no vocabulary is that large.
+BREAK = np.array(0xFFFFFFFF, dtype="<u4")
 
 
 def tokenizer_path(name: str = WORD_BPE) -> str:
@@ -30,23 +45,77 @@ def sent(spark: SparkSession, path: str | None = None) -> Payload:
         return Payload(spark, f.read())
 
 
+def encoder(definition: str) -> Encoder:
+    """The worker's encoder of a tokenizer; it keeps its caches over tasks."""
+    return per_worker(("encoder", hash(definition)), lambda: Encoder(definition))
+
+
 class Encoder:
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(definition)
+        self.whole = Tokenizer.from_str(definition)
+        d = json.loads(definition)
+        steps = d["pre_tokenizer"]["pretokenizers"]
+        self.pattern = regex.compile(next(s for s in steps if s["type"] == "Split")["pattern"]["Regex"] + r"|\n")
+        self.special = [t["content"] for t in d["added_tokens"]]
+        # the same model behind a split at spaces, for pieces found here
+        d["normalizer"], d["added_tokens"] = None, []
+        d["pre_tokenizer"]["pretokenizers"] = [
+            {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False},
+            *[s for s in steps if s["type"] != "Split"]]
+        self.pieces = Tokenizer.from_str(json.dumps(d))
+        suffix = d["model"]["end_of_word_suffix"]
+        self.ends = np.zeros(max(d["model"]["vocab"].values()) + 1, dtype=bool)
+        for token, i in d["model"]["vocab"].items():
+            self.ends[i] = token.endswith(suffix)
         self.known: dict[bytes, bytes] = {}
+        self.known_pieces: dict[str, bytes] = {}
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        groups = [pieces[a:a + TOGETHER] for a in range(0, len(pieces), TOGETHER)]
+        for group, e in zip(groups, self.pieces.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(group):
+                raise ValueError("the tokenizer left a piece without its end")
+            raw, at = ids.tobytes(), 0
+            for piece, end in zip(group, (4 * last).tolist()):
+                self.known_pieces[piece] = raw[at:end]
+                at = end
+
+    def _learn(self, words: list[bytes]) -> None:
+        for a in range(0, len(words), TOGETHER * 20):
+            part = words[a:a + TOGETHER * 20]
+            text = b"\n".join(part).decode()
+            if not PLAIN_LINES.fullmatch(text) or any(s in text for s in self.special):
+                lines = text.split("\n")
+                plain = [bool(PLAIN_LINES.fullmatch(t)) and not any(s in t for s in self.special) for t in lines]
+                got = self.whole.encode_batch_fast([t for t, p in zip(lines, plain) if not p], add_special_tokens=False)
+                self.known.update((w, np.array(e.ids, dtype="<u4").tobytes())
+                                  for w, e in zip((w for w, p in zip(part, plain) if not p), got))
+                part = [w for w, p in zip(part, plain) if p]
+                text = b"\n".join(part).decode()
+            if part:
+                self._learn_plain(part, text)
+
+    def _learn_plain(self, words: list[bytes], lines: str) -> None:
+        pieces = self.pattern.findall(lines.lower())
+        if len(self.known_pieces) > CACHE:
+            self.known_pieces = {}
+        self.known_pieces["\n"] = BREAK.tobytes()
+        self._learn_pieces([p for p in set(pieces) if p not in self.known_pieces])
+        raw = b"".join(map(self.known_pieces.__getitem__, pieces))
+        breaks = 4 * np.flatnonzero(np.frombuffer(raw, dtype="<u4") == BREAK)
+        for w, start, end in zip(words, [0, *(breaks + 4).tolist()], [*breaks.tolist(), len(raw)]):
+            self.known[w] = raw[start:end]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """uint32 ids of each text (null: none)."""
         split = [t.encode().split() if t else [] for t in texts]
         if len(self.known) > CACHE:
             self.known = {}
-        new = list({w for words in split for w in words if w not in self.known})
-        for a in range(0, len(new), 4096):
-            part = new[a:a + 4096]
-            got = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, got))
+        self._learn([w for w in set().union(*split) if w not in self.known])
         at = self.known.__getitem__
         return [np.frombuffer(b"".join(map(at, words)), dtype="<u4") for words in split]

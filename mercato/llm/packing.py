@@ -205,7 +205,7 @@ def pieces(docs: DataFrame, limit: int = LIMIT, end_id: int = END_ID, path: str
     definition = bpe.sent(docs.sparkSession, path)
 
     def run(batches):
-        encoder = bpe.Encoder(definition.get())
+        encoder = bpe.encoder(definition.get())
         part_id = TaskContext.get().partitionId()
         seen: Counter = Counter()
         end = np.array([end_id], dtype="<u4")
