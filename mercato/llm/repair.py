@@ -78,9 +78,10 @@ def compress(ids: np.ndarray, min_count: int | None = None, rounds: int | None =
         pair, count = order[edge[often]], count[often]
         if not len(pair):
             break
-        # pairs by falling count; of those that share a slot of the table the
-        # most frequent is looked up now, the others in a later round
-        pair = pair[np.lexsort((pair, -count))]
+        # pairs by falling count (equal ones by a hash: neighbours in a chain
+        # must not all wait for the first); of those that share a slot of the
+        # table the most frequent is looked up now, the others in a later round
+        pair = pair[np.lexsort((pair.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), -count))]
         slot = np.full(1 << SLOTS, len(pair), dtype=np.int32)
         slot[_slot(pair[::-1])] = np.arange(len(pair) - 1, -1, -1)
         rank = np.empty(len(key) + 2, dtype=np.int32)
@@ -215,7 +216,7 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID, tokenizer: str | Non
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        encoder = bpe.Encoder(definition.get())
+        encoder = bpe.encoder(definition.get())
         shard = TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4")
         block, held, size = 0, [], 0
