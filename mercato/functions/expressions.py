@@ -81,5 +81,7 @@ def activity_status(recency_days) -> Column:
 
 def surrogate_key(*cols) -> Column:
     """Deterministic surrogate key (replaces AUTOINCREMENT; no global
-    row_number, so no single-task numbering)."""
-    return F.xxhash64(*[col_(c) for c in cols])
+    row_number, so no single-task numbering): 128 bits, so a collision is
+    unlikely up to some 10^18 keys.  The columns are written as one JSON text,
+    so no two different lists of values look alike."""
+    return F.md5(F.to_json(F.struct(*[col_(c).alias(f"k{i}") for i, c in enumerate(cols)]), {"ignoreNullFields": "false"}))

@@ -37,5 +37,9 @@ def preset_range(as_of: str, preset: str) -> tuple[str, str]:
     """(start, end) date strings for a dashboard preset ending at ``as_of``."""
     end = dt.date.fromisoformat(as_of)
     days = PRESETS[preset]
-    start = end.replace(year=end.year - 1) if days is None else end - dt.timedelta(days=days)
+    if days is None:  # a year back; 29 February has the 28th as its day before
+        leap_day = (end.month, end.day) == (2, 29)
+        start = end.replace(year=end.year - 1, day=28 if leap_day else end.day)
+    else:
+        start = end - dt.timedelta(days=days)
     return start.isoformat(), end.isoformat()

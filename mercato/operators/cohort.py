@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import month_start, months_between_starts, ratio
+from mercato.operators.cleaning import drop_null_keys
 from mercato.schemas import MONEY_SUM
 
 
@@ -19,6 +20,7 @@ def cohort_assignment(orders: DataFrame) -> DataFrame:
     """Each order with its customer's first purchase, cohort month and month
     offset.  First purchase per customer is an aggregate joined back (AQE
     splits a hot customer's partition in the join; a window could not)."""
+    orders = drop_null_keys(orders, ["customer_id"])
     first = orders.groupBy("customer_id").agg(F.min("order_date").alias("first_purchase_date"))
     j = orders.select("order_id", "customer_id", "order_date").join(first, "customer_id")
     return j.select(
@@ -31,7 +33,7 @@ def cohort_assignment(orders: DataFrame) -> DataFrame:
 
 
 def customer_months(orders: DataFrame) -> DataFrame:
-    cm = orders.groupBy("customer_id", month_start("order_date").alias("order_month")) \
+    cm = drop_null_keys(orders, ["customer_id"]).groupBy("customer_id", month_start("order_date").alias("order_month")) \
         .agg(F.sum("order_total").alias("revenue"))
     w = Window.partitionBy("customer_id")  # bounded: one row per month
     return cm.withColumn("cohort_month", F.min("order_month").over(w)) \
@@ -68,11 +70,13 @@ def cohort_retention_limited(orders: DataFrame, retention_periods: int = 12,
                     & (F.col("cohort_size") >= min_cohort_size))
 
 
-def cohort_matrix(orders: DataFrame, n_offsets: int = 12) -> DataFrame:
+def cohort_matrix(orders: DataFrame, offsets: list[int] | None = None) -> DataFrame:
     """Wide form: one row per cohort, ``month_<i>`` = retention % at offset i
-    (null where no customer was active).  Explicit pivot values fix the
-    schema and avoid the extra distinct-values job."""
+    (null where no customer was active).  Without ``offsets``, every offset
+    that occurs has its column: one number per calendar month of history is
+    read first; a given list fixes the schema and saves that job."""
     r = cohort_retention(orders)
-    p = r.groupBy("cohort_month").pivot("months_since_first", list(range(n_offsets))) \
-        .agg(F.first("retention_rate"))
-    return p.select("cohort_month", *[F.col(str(i)).alias(f"month_{i}") for i in range(n_offsets)])
+    if offsets is None:
+        offsets = sorted(x[0] for x in r.select("months_since_first").distinct().collect())
+    p = r.groupBy("cohort_month").pivot("months_since_first", offsets).agg(F.first("retention_rate"))
+    return p.select("cohort_month", *[F.col(str(i)).alias(f"month_{i}") for i in offsets])

@@ -61,6 +61,9 @@ def dim_time(spark: SparkSession) -> DataFrame:
     return spark.range(86400).select(*time_attributes(F.col("id")))
 
 
-def dim_time_observed(time_keys: DataFrame, col: str = "time_key") -> DataFrame:
-    """Time rows for the seconds of day that occur in the facts."""
-    return time_keys.select(col_(col).alias("tk")).distinct().select(*time_attributes(F.col("tk")))
+def dim_time_with_facts(spark: SparkSession, time_keys: DataFrame, col: str = "time_key") -> DataFrame:
+    """All seconds of the day, each with the number of facts in it.  The facts
+    are counted per second first (combined map-side), so the join has at most
+    86,400 rows on either side."""
+    n = time_keys.groupBy(col_(col).alias("time_key")).agg(F.count(F.lit(1)).alias("n_facts"))
+    return dim_time(spark).join(n, "time_key", "left").withColumn("n_facts", F.coalesce("n_facts", F.lit(0).cast("long")))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import ratio
+from mercato.operators.cleaning import drop_null_keys
 
 # Stage names and order of the two funnel variants.
 STAGES = ["visit", "product_view", "add_to_cart", "checkout", "purchase"]
@@ -33,7 +34,7 @@ def _stage_rows(agg: DataFrame, keys: list[str], counts: list[str], names: list[
 
 def session_flags(events: DataFrame) -> DataFrame:
     """Session grain: which stages each session reached (stages independent)."""
-    return events.groupBy("session_id").agg(
+    return drop_null_keys(events, ["session_id"]).groupBy("session_id").agg(
         F.max(F.col("product_views") > 0).alias("pv"),
         F.max(F.col("add_to_cart") > 0).alias("atc"),
         F.max(F.col("checkout_started") > 0).alias("co"),
@@ -41,8 +42,11 @@ def session_flags(events: DataFrame) -> DataFrame:
     )
 
 
-def _global_counts(events: DataFrame) -> DataFrame:
+def _global_counts(events: DataFrame, sequential: bool = False) -> DataFrame:
     s = session_flags(events)
+    if sequential:  # a stage counts only with all stages before it
+        s = (s.withColumn("atc", F.col("pv") & F.col("atc")).withColumn("co", F.col("atc") & F.col("co"))
+             .withColumn("pur", F.col("co") & F.col("pur")))
     return s.agg(F.count(F.lit(1)).alias("n0"), F.count_if("pv").alias("n1"), F.count_if("atc").alias("n2"),
                  F.count_if("co").alias("n3"), F.count_if("pur").alias("n4"))
 
@@ -60,8 +64,10 @@ def _funnel_from_counts(counts: DataFrame) -> DataFrame:
     )
 
 
-def conversion_funnel(events: DataFrame) -> DataFrame:
-    return _funnel_from_counts(_global_counts(events))
+def conversion_funnel(events: DataFrame, sequential: bool = False) -> DataFrame:
+    """Global funnel.  Stages are independent flags of a session, or with
+    ``sequential`` each one needs all before it, so the counts never rise."""
+    return _funnel_from_counts(_global_counts(events, sequential))
 
 
 def behavior_counts(behavior: DataFrame) -> DataFrame:

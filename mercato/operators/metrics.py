@@ -106,9 +106,9 @@ def revenue_trend(orders: DataFrame) -> DataFrame:
                       F.trunc(F.col("order_date").cast("date"), "month").alias("month"),
                       "order_total")
     g = o.groupingSets([["day"], ["week"], ["month"]], "day", "week", "month") \
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum("order_total").cast(MONEY_SUM).alias("revenue"))
-    return g.select(
-        F.when(F.col("day").isNotNull(), "day").when(F.col("week").isNotNull(), "week").otherwise("month").alias("grain"),
+        .agg(F.grouping_id().alias("_g"), F.count(F.lit(1)).alias("orders"), F.sum("order_total").cast(MONEY_SUM).alias("revenue"))
+    return g.select(  # an order without a date is the null period of every grain
+        F.when(F.col("_g") == 3, "day").when(F.col("_g") == 5, "week").otherwise("month").alias("grain"),
         F.coalesce("day", "week", "month").alias("period_start"), "orders", "revenue")
 
 
@@ -139,7 +139,7 @@ def summary(events: DataFrame, orders: DataFrame) -> DataFrame:
     """Run summary: one row; the event count enters as a scalar subquery."""
     n_events = events.agg(F.count(F.lit(1))).scalar()
     per_cust = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), F.sum("order_total").alias("r"))
-    a = per_cust.agg(F.sum("n").alias("total_orders"), F.count(F.lit(1)).alias("unique_customers"),
+    a = per_cust.agg(F.sum("n").alias("total_orders"), F.count("customer_id").alias("unique_customers"),  # a null is no customer
                      F.sum("r").cast(MONEY_SUM).alias("total_revenue"))
     return a.select(n_events.alias("total_events"), "total_orders", "unique_customers", "total_revenue",
                     ratio("total_revenue", "total_orders").alias("avg_order_value"))
@@ -202,3 +202,9 @@ def revenue_drop_alerts(daily_orders_df: DataFrame, factor: float = 0.5, trailin
     avg = ratio("_s", "_n")
     out = j.select("metric_date", F.col("total_revenue").alias("daily_revenue"), avg.alias("avg_revenue"))
     return out.filter(F.col("daily_revenue").cast("double") < F.lit(factor) * F.col("avg_revenue"))
+
+
+def daily_revenue(orders: DataFrame) -> DataFrame:
+    """Orders and revenue per day."""
+    return orders.groupBy(F.col("order_date").cast("date").alias("period_start")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("order_total").cast(MONEY_SUM).alias("revenue"))

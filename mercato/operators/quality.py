@@ -65,13 +65,14 @@ def uniqueness(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
 
 def referential(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
                 table: str, name: str) -> DataFrame:
-    """Child rows whose key has no parent row: one left join to the distinct
-    parent keys and one aggregate (checked and failed counted together)."""
+    """Child rows whose key has no parent row.  Child rows are counted per key
+    first (combined map-side, so a hot key is one row), then joined to the
+    distinct parent keys."""
     p = parent.select(F.col(parent_key).alias("_pk")).distinct()
-    c = child.select(F.col(child_key).alias("_ck"))
+    c = child.groupBy(F.col(child_key).alias("_ck")).agg(F.count(F.lit(1)).alias("_n"))
     j = c.join(p, c["_ck"] == p["_pk"], "left")
-    a = j.agg(F.count(F.lit(1)).alias("records_checked"),
-              F.count_if(F.col("_pk").isNull()).alias("records_failed"))
+    a = j.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("records_checked"),
+              F.coalesce(F.sum(F.when(F.col("_pk").isNull(), F.col("_n"))), F.lit(0)).alias("records_failed"))
     return a.select(F.lit(table).alias("table_name"), F.lit("referential").alias("check_type"),
                     F.lit(name).alias("column_name"), "records_checked", "records_failed",
                     F.when(F.col("records_failed") == 0, "PASS").otherwise("FAIL").alias("check_result"))
@@ -100,10 +101,11 @@ def scd_integrity(dim: DataFrame, key: str, table: str) -> DataFrame:
 
 
 def audited_write(df: DataFrame, path: str, pipeline_name: str, failed_when: Column | None = None,
-                  mode: str = "overwrite") -> DataFrame:
-    """Write ``df`` and return its audit-log row (Q10).  Row counts come from
+                  mode: str = "overwrite", log_path: str | None = None) -> DataFrame:
+    """Write the rows of ``df`` that do not fail and return the audit-log row
+    (Q10), appended to ``log_path`` if given.  Row counts come from
     ``DataFrame.observe`` - collected by the same job that writes, no second
-    pass over the data."""
+    pass over the data.  A failed write is logged and raised."""
     import datetime as dt
 
     from pyspark.sql import Observation
@@ -111,16 +113,30 @@ def audited_write(df: DataFrame, path: str, pipeline_name: str, failed_when: Col
     obs = Observation(f"audit_{pipeline_name}")
     bad = failed_when if failed_when is not None else F.lit(False)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows_processed"), F.count_if(bad).alias("rows_failed"))
+    good = observed.filter(~F.coalesce(bad, F.lit(False)))
     start = dt.datetime.now()
-    status, error = "success", None
+
+    def log(status: str, processed: int, failed: int, error: str | None) -> DataFrame:
+        row = [(pipeline_name, start, dt.datetime.now(), status, processed, processed - failed, 0, failed, error)]
+        out = df.sparkSession.createDataFrame(row, AUDIT_SCHEMA)
+        if log_path is not None:
+            append_log(out, log_path)
+        return out
+
     try:
-        observed.write.mode(mode).parquet(path)
-        m = obs.get
-    except Exception as e:  # noqa: BLE001 - the audit row records the failure
-        status, error, m = "failed", str(e)[:5000], {"rows_processed": 0, "rows_failed": 0}
-    end = dt.datetime.now()
-    row = [(pipeline_name, start, end, status, int(m["rows_processed"]),
-            int(m["rows_processed"]) - int(m["rows_failed"]), 0, int(m["rows_failed"]), error)]
-    schema = ("pipeline_name string, start_timestamp timestamp_ntz, end_timestamp timestamp_ntz, status string, "
-              "rows_processed long, rows_inserted long, rows_updated long, rows_failed long, error_message string")
-    return df.sparkSession.createDataFrame(row, schema)
+        good.write.mode(mode).parquet(path)
+    except Exception as e:
+        log("failed", 0, 0, str(e))  # the log has the failure, and the caller sees it too
+        raise
+    m = obs.get
+    return log("success", int(m["rows_processed"]), int(m["rows_failed"]), None)
+
+
+AUDIT_SCHEMA = ("pipeline_name string, start_timestamp timestamp_ntz, end_timestamp timestamp_ntz, status string, "
+                "rows_processed long, rows_inserted long, rows_updated long, rows_failed long, error_message string")
+
+
+def append_log(rows: DataFrame, path: str) -> DataFrame:
+    """Append rows to a log table (Q09, Q10) and return the whole log."""
+    rows.coalesce(1).write.mode("append").parquet(path)
+    return rows.sparkSession.read.parquet(path)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.expressions import (activity_status, epoch_micros, money_avg, ratio,
                                            rfm_score_string, segment_ladder)
+from mercato.operators.cleaning import drop_null_keys
 from mercato.operators.ranking import distributed_ntile, quantile_edges_histogram, quantile_score, top_k
 from mercato.schemas import MONEY_SUM
 
@@ -46,7 +47,7 @@ def _ts(as_of: str):
 def rfm_metrics(orders: DataFrame, as_of: str) -> DataFrame:
     """Variant A metrics over all orders.  Recency = floor of whole days
     between the last order and ``as_of``."""
-    g = orders.groupBy("customer_id").agg(
+    g = drop_null_keys(orders, ["customer_id"]).groupBy("customer_id").agg(
         F.max("order_date").alias("_last"),
         F.count("order_id").alias("frequency"),
         F.sum("order_total").alias("monetary"),
@@ -95,10 +96,11 @@ def rfm_ntile(customers: DataFrame, orders: DataFrame, as_of: str, n: int = 5) -
     """Warehouse RFM model (variant B)."""
     completed = orders.filter(F.col("order_status") == "completed") \
         .select("order_id", "customer_id", "order_date", "order_total")
-    # distinct orders per customer in two balanced steps: dedup on
+    # every joined row counts for the sum, an order once for the count; distinct
+    # orders per customer in two balanced steps: dedup on
     # (customer, order) first, then a partial+final count per customer.
     per_order = completed.groupBy("customer_id", "order_id").agg(
-        F.max("order_date").alias("order_date"), F.max("order_total").alias("order_total"))
+        F.max("order_date").alias("order_date"), F.sum("order_total").alias("order_total"))
     cust = customers.select("customer_id")
     j = per_order.join(cust, "customer_id", "inner")
     m = j.groupBy("customer_id").agg(

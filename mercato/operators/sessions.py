@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import date_key, epoch_micros, ratio, surrogate_key
+from mercato.operators.cleaning import drop_null_keys
 from mercato.operators.windows import HOT_KEY_ROWS, with_slices
 
 COUNTERS = ["page_views", "product_views", "add_to_cart", "checkout_started", "purchase_completed"]
@@ -23,7 +24,17 @@ def sessionize(events: DataFrame, gap_seconds: int = 6 * 3600, user: str = "cust
     slice-level summary of those users (first/last event, latest session
     start inside the slice) carries sessions across slice borders.  Other
     users are one slice each, so no task ever holds a hot user whole.
+
+    Events without a user (often the largest key) get a null session and
+    bypass the shuffle.
     """
+    anonymous = events.where(F.col(user).isNull()).withColumn(out, F.lit(None).cast("string"))
+    return _sessionize(events.where(F.col(user).isNotNull()), gap_seconds, user, ts, tiebreak, out,
+                       bucket_seconds, hot_threshold).unionByName(anonymous)
+
+
+def _sessionize(events: DataFrame, gap_seconds: int, user: str, ts: str, tiebreak: str, out: str,
+                bucket_seconds: int, hot_threshold: int | None) -> DataFrame:
     gap = F.lit(int(gap_seconds) * 1_000_000)
     d = events.withColumn("_us", epoch_micros(ts))
     bucket = F.floor(F.col("_us") / F.lit(int(bucket_seconds) * 1_000_000)).cast("long")
@@ -53,8 +64,9 @@ def sessionize(events: DataFrame, gap_seconds: int = 6 * 3600, user: str = "cust
 
 def session_behavior(events: DataFrame) -> DataFrame:
     """Per (customer, session): first/last/count of events, counter sums,
-    duration in seconds (fractional), converted and abandoned-cart flags."""
-    b = events.groupBy("customer_id", "session_id").agg(
+    duration in seconds (fractional), converted and abandoned-cart flags.
+    Events without a customer belong to no session."""
+    b = drop_null_keys(events, ["customer_id", "session_id"]).groupBy("customer_id", "session_id").agg(
         F.min("event_timestamp").alias("event_timestamp_min"),
         F.max("event_timestamp").alias("event_timestamp_max"),
         F.count("event_timestamp").alias("event_timestamp_count"),
@@ -104,7 +116,7 @@ def dim_session(events: DataFrame) -> DataFrame:
     """Session dimension: start/end/duration and landing/exit page (the first
     and last event type; no URLs in the landed data)."""
     order = F.struct("event_timestamp", "event_id")
-    s = events.groupBy("session_id", "customer_id").agg(
+    s = drop_null_keys(events, ["session_id"]).groupBy("session_id", "customer_id").agg(
         F.min("event_timestamp").alias("session_start_timestamp"),
         F.max("event_timestamp").alias("session_end_timestamp"),
         F.min_by("event_type", order).alias("landing_page"),

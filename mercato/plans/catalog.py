@@ -3,7 +3,9 @@ whole landed tables, each with its DuckDB oracle where SQL can express it."""
 
 from __future__ import annotations
 
-from mercato.operators import funnel, rfm, sessions
+from pyspark.sql import functions as F
+
+from mercato.operators import cohort, funnel, metrics, rfm, sessions
 from mercato.plans import params as P
 from mercato.plans.oracle_sql import BEH, FACT_BEH, ORD, RFM_A, RFM_B, ord_cte, web_cte, with_
 from mercato.plans.registry import query
@@ -27,7 +29,7 @@ def _fact_behavior(spark, sf):
 # ---------------------------------------------------------------- sources --
 
 @query("scan_web_events", with_(web_cte(
-    f"WHERE ts >= TIMESTAMP '{P.EVENT_RANGE[0]}' AND ts <= TIMESTAMP '{P.EVENT_RANGE[1]}'"))
+    f"WHERE ts >= TIMESTAMP '{P.EVENT_RANGE[0]}' AND ts < TIMESTAMP '{P.EVENT_RANGE[1]}' + INTERVAL 1 DAY"))
     + "SELECT event_id, customer_id, session_id, event_timestamp, page_views, product_views, add_to_cart,"
       " checkout_started, purchase_completed FROM web")
 def q_scan_web_events(spark, sf):
@@ -36,7 +38,7 @@ def q_scan_web_events(spark, sf):
 
 
 @query("scan_orders", with_(ord_cte(
-    f"WHERE o_orderdate >= TIMESTAMP '{P.ORDER_RANGE[0]}' AND o_orderdate <= TIMESTAMP '{P.ORDER_RANGE[1]}'"))
+    f"WHERE o_orderdate >= TIMESTAMP '{P.ORDER_RANGE[0]}' AND o_orderdate < TIMESTAMP '{P.ORDER_RANGE[1]}' + INTERVAL 1 DAY"))
     + "SELECT order_id, customer_id, order_date, order_total, order_status FROM ord")
 def q_scan_orders(spark, sf):
     return T.orders(spark, sf, *P.ORDER_RANGE).select("order_id", "customer_id", "order_date",
@@ -107,7 +109,7 @@ n AS (SELECT COUNT(*) AS n0, COUNT(*) FILTER (WHERE pv) AS n1, COUNT(*) FILTER (
 """
 
 
-@query("conversion_funnel", with_(WEB) + _FUNNEL_FLAGS + """,
+_FUNNEL_STAGES = """,
 st AS (
   SELECT 'visit' AS stage, n0 AS sessions, 1 AS stage_order, n0 AS first_s, NULL::BIGINT AS prev_s FROM n UNION ALL
   SELECT 'product_view', n1, 2, n0, n0 FROM n UNION ALL
@@ -118,11 +120,25 @@ SELECT stage, sessions, stage_order,
        CAST(sessions AS DOUBLE) / NULLIF(CAST(first_s AS DOUBLE), 0) * 100 AS conversion_rate,
        100.0 - CAST(sessions AS DOUBLE) / NULLIF(CAST(first_s AS DOUBLE), 0) * 100 AS drop_off_rate,
        COALESCE(CAST(sessions AS DOUBLE) / NULLIF(CAST(prev_s AS DOUBLE), 0) * 100, 100.0) AS stage_conversion
-FROM st""")
+FROM st"""
+
+
+@query("conversion_funnel", with_(WEB) + _FUNNEL_FLAGS + _FUNNEL_STAGES)
 def q_conversion_funnel(spark, sf):
     return funnel.conversion_funnel(_web(spark, sf))
 
 
+def _sequential(sql: str) -> str:
+    return sql.replace("FILTER (WHERE atc)", "FILTER (WHERE pv AND atc)").replace(
+        "FILTER (WHERE co)", "FILTER (WHERE pv AND atc AND co)").replace(
+        "FILTER (WHERE pur)", "FILTER (WHERE pv AND atc AND co AND pur)")
+
+
+@query("conversion_funnel_sequential", with_(WEB) + _sequential(_FUNNEL_FLAGS) + _FUNNEL_STAGES)
+def q_conversion_funnel_sequential(spark, sf):
+    return funnel.conversion_funnel(_web(spark, sf), sequential=True)
+
+
 @query("overall_conversion", with_(WEB) + _FUNNEL_FLAGS +
        "SELECT round(CAST(n4 AS DOUBLE) / NULLIF(CAST(n0 AS DOUBLE), 0) * 100, 2) AS overall_conversion_rate FROM n")
 def q_overall_conversion(spark, sf):
@@ -251,6 +267,79 @@ def q_segment_report(spark, sf):
     return rfm.segment_report(_rfm_b(spark, sf))
 
 
+# ------------------------------------------------------------- null keys --
+# P10: a quarter of the keys are nulled by an expression on both sides.
+
+_NULL_EVENTS = WEB.replace("SELECT event_id, user_id AS customer_id", "SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN user_id END AS customer_id", 1).replace(
+    "PARTITION BY user_id ORDER BY", "PARTITION BY CASE WHEN event_id % 4 <> 0 THEN user_id END ORDER BY", 1)
+_NULL_ORD = ORD.replace("o_custkey AS customer_id", "CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey END AS customer_id")
+
+
+def _null_events(spark, sf):
+    raw = T.raw_events(spark, sf)
+    some = raw.withColumn("customer_id", F.when(F.col("event_id") % 4 != 0, F.col("customer_id")))
+    return sessions.sessionize(some, P.SESSION_GAP_SECONDS)
+
+
+def _null_orders(spark, sf):
+    return T.orders(spark, sf).withColumn("customer_id", F.when(F.col("order_id") % 4 != 0, F.col("customer_id")))
+
+
+@query("session_behavior_null_keys", with_(_NULL_EVENTS, BEH) + "SELECT * FROM beh WHERE customer_id IS NOT NULL")
+def q_session_behavior_null_keys(spark, sf):
+    return sessions.session_behavior(_null_events(spark, sf))
+
+
+@query("conversion_funnel_null_keys", with_(_NULL_EVENTS) + _FUNNEL_FLAGS.replace(
+    "FROM web GROUP BY", "FROM web WHERE session_id IS NOT NULL GROUP BY") + _FUNNEL_STAGES)
+def q_conversion_funnel_null_keys(spark, sf):
+    return funnel.conversion_funnel(_null_events(spark, sf))
+
+
+@query("rfm_metrics_null_keys", with_(_NULL_ORD, RFM_A) + "SELECT * FROM rfm WHERE customer_id IS NOT NULL")
+def q_rfm_metrics_null_keys(spark, sf):
+    return rfm.rfm_metrics(_null_orders(spark, sf), P.AS_OF)
+
+
+@query("summary_null_keys", with_(_NULL_ORD) + """
+SELECT (SELECT COUNT(*) FROM events) AS total_events, COUNT(*) AS total_orders, COUNT(DISTINCT customer_id) AS unique_customers,
+       CAST(SUM(order_total) AS DECIMAL(28,2)) AS total_revenue,
+       CAST(SUM(order_total) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0) AS avg_order_value FROM ord""")
+def q_summary_null_keys(spark, sf):
+    return metrics.summary(T.raw_events(spark, sf), _null_orders(spark, sf))
+
+
+@query("cohort_counts_null_keys", with_(_NULL_ORD) + """,
+cm AS (SELECT DISTINCT customer_id, date_trunc('month', order_date) AS m FROM ord WHERE customer_id IS NOT NULL),
+f AS (SELECT customer_id, MIN(m) AS f FROM cm GROUP BY customer_id)
+SELECT CAST(f AS DATE) AS cohort_month, CAST(date_diff('month', f, m) AS INTEGER) AS months_since_first, COUNT(*) AS customers
+FROM cm JOIN f USING (customer_id) GROUP BY 1, 2""")
+def q_cohort_counts_null_keys(spark, sf):
+    return cohort.cohort_counts(_null_orders(spark, sf))
+
+
+@query("pipeline_summary", with_(ord_cte(
+    f"WHERE o_orderdate >= TIMESTAMP '{P.ORDER_RANGE[0]}' AND o_orderdate < TIMESTAMP '{P.ORDER_RANGE[1]}' + INTERVAL 1 DAY"), RFM_A) + f"""
+SELECT (SELECT COUNT(*) FROM ord) AS total_orders,
+       (SELECT CAST(SUM(order_total) AS DECIMAL(28,2)) FROM ord) AS total_revenue,
+       (SELECT COUNT(*) FROM events WHERE ts >= TIMESTAMP '{P.ORDER_RANGE[0]}'
+          AND ts < TIMESTAMP '{P.ORDER_RANGE[1]}' + INTERVAL 1 DAY) AS total_events,
+       (SELECT COUNT(*) FROM rfm) AS customers_scored,
+       (SELECT CAST(SUM(n * (n - 1) // 2) AS BIGINT) FROM (SELECT COUNT(DISTINCT l_partkey) AS n FROM lineitem
+          WHERE l_orderkey IN (SELECT order_id FROM ord) GROUP BY l_orderkey)) AS pair_occurrences""")
+def q_pipeline_summary(spark, sf):
+    """K03 over a date range: every output covers the extracted orders only."""
+    from mercato.plans.pipeline import release, run_full_pipeline
+
+    res = run_full_pipeline(spark, sf, *P.ORDER_RANGE)
+    row = metrics.combine_rows(
+        res["summary"].select("total_orders", "total_revenue", "total_events"),
+        res["rfm_scores"].agg(F.count(F.lit(1)).alias("customers_scored")),
+        res["product_affinity"].agg(F.sum("co_occurrence_count").alias("pair_occurrences")))
+    release(res)
+    return row
+
+
 # further query groups register themselves on import
 from mercato.plans import catalog_baskets  # noqa: E402,F401
 from mercato.plans import catalog_warehouse  # noqa: E402,F401

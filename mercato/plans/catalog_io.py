@@ -201,6 +201,45 @@ def q_ingest_json_events(spark, sf):
     return files.read_json_events(spark, path)
 
 
+@query("load_stamped_events", """
+SELECT event_id, user_id AS customer_id, ts AS event_timestamp, TRUE AS loaded_after_event FROM events""")
+def q_load_stamped_events(spark, sf):
+    """The stamp itself is the wall clock, so its order to the event's
+    own time is compared."""
+    ev = files.with_load_timestamp(T.raw_events(spark, sf))
+    return ev.select("event_id", "customer_id", "event_timestamp",
+                     (F.col("load_timestamp") > F.col("event_timestamp")).alias("loaded_after_event"))
+
+
+@query("quality_log", with_(ORD) + """,
+n AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE NOT COALESCE(order_total > 200000, FALSE)) AS f FROM ord)
+SELECT run, 'fact.orders' AS table_name, 'minimum' AS check_type, n AS records_checked, f AS records_failed
+FROM n, (VALUES (1), (2)) r(run)""")
+def q_quality_log(spark, sf):
+    """Q09: check rows appended to a log, run after run."""
+    path = scratch_path(spark, "quality-log")
+    rows = quality.run_checks(T.orders(spark, sf), "fact.orders",
+                              [("minimum", "order_total", ~F.coalesce(F.col("order_total") > 200000, F.lit(False)))])
+    for run in (1, 2):
+        log = quality.append_log(rows.withColumn("run", F.lit(run)), path)
+    return log.select("run", "table_name", "check_type", "records_checked", "records_failed")
+
+
+@query("audit_log", with_(ORD) + """,
+n AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE order_status = 'cancelled') AS f FROM ord)
+SELECT pipeline_name, 'success' AS status, n AS rows_processed, n - f AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+       f AS rows_failed, n - f AS rows_in_table FROM n, (VALUES ('load 1'), ('load 2')) r(pipeline_name)""")
+def q_audit_log(spark, sf):
+    """Q10: two audited loads; the counts agree with the written table."""
+    path, log = scratch_path(spark, "audited-orders"), scratch_path(spark, "audit-log")
+    o = T.orders(spark, sf)
+    for name in ("load 1", "load 2"):
+        quality.audited_write(o, path, name, F.col("order_status") == "cancelled", log_path=log)
+    n = spark.read.parquet(path).agg(F.count(F.lit(1))).scalar()
+    return spark.read.parquet(log).select("pipeline_name", "status", "rows_processed", "rows_inserted", "rows_updated",
+                                          "rows_failed", n.alias("rows_in_table"))
+
+
 @query("rfm_materialized", with_(ORD, RFM_B) + "SELECT * FROM rfmb")
 def q_rfm_materialized(spark, sf):
     return sinks.materialize_table(_rfm_b(spark, sf), "customer_rfm")

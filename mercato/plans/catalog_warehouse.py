@@ -174,7 +174,7 @@ _L30 = cleaning.preset_range(P.AS_OF, "30d")
 
 
 @query("orders_last_30d", with_(ord_cte(
-    f"WHERE o_orderdate >= TIMESTAMP '{_L30[0]}' AND o_orderdate <= TIMESTAMP '{_L30[1]}'")) + "SELECT * FROM ord")
+    f"WHERE o_orderdate >= TIMESTAMP '{_L30[0]}' AND o_orderdate < TIMESTAMP '{_L30[1]}' + INTERVAL 1 DAY")) + "SELECT * FROM ord")
 def q_orders_last_30d(spark, sf):
     return T.orders(spark, sf, *_L30)
 
@@ -205,16 +205,17 @@ def q_dim_date(spark, sf):
 
 
 @query("dim_time", """
-WITH t AS (SELECT DISTINCT tk FROM (
+WITH n AS (SELECT tk, COUNT(*) AS n FROM (
     SELECT hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS tk FROM events UNION ALL
-    SELECT hour(o_orderdate) * 3600 + minute(o_orderdate) * 60 + second(o_orderdate) FROM orders))
-SELECT """ + TIME_COLS + " FROM t")
+    SELECT hour(o_orderdate) * 3600 + minute(o_orderdate) * 60 + second(o_orderdate) FROM orders) GROUP BY tk),
+t AS (SELECT s.tk, COALESCE(n.n, 0) AS n_facts FROM range(86400) s(tk) LEFT JOIN n ON n.tk = s.tk)
+SELECT """ + TIME_COLS + ", n_facts FROM t")
 def q_dim_time(spark, sf):
     from mercato.functions.expressions import time_key
 
     tks = T.read(spark, sf, "events").select(time_key("ts").alias("time_key")) \
         .unionByName(T.read(spark, sf, "orders").select(time_key("o_orderdate").alias("time_key")))
-    return dims.dim_time_observed(tks)
+    return dims.dim_time_with_facts(spark, tks)
 
 
 @query("dim_customer_scd2", with_(*CUST_SCD) + "SELECT * FROM dimc")
@@ -362,8 +363,7 @@ FROM ord GROUP BY 1""")
 def q_daily_revenue_mv(spark, sf):
     from mercato.sources.sinks import materialize_table
 
-    daily = metrics.revenue_trend(T.orders(spark, sf)).filter(F.col("grain") == "day").drop("grain")
-    return materialize_table(daily, "daily_revenue")
+    return materialize_table(metrics.daily_revenue(T.orders(spark, sf)), "daily_revenue")
 
 
 @query("revenue_mom_change", with_(ORD) + """,
@@ -387,12 +387,13 @@ def q_category_rollup(spark, sf):
 
 @query("metric_alerts", with_(WEB, BEH, FACT_BEH, ORD, FORD) + _DS + _DOR + _DAILY_METRICS + """
 SELECT metric_date, 'low_conversion_rate' AS alert_name, 'warning' AS severity, conversion_rate AS metric_value,
-       CAST(0.02 AS DOUBLE) AS threshold FROM dm WHERE total_sessions > 0 AND conversion_rate < 0.02
+       CAST({lo} AS DOUBLE) AS threshold FROM dm WHERE total_sessions > 0 AND conversion_rate < {lo}
 UNION ALL
-SELECT metric_date, 'high_cart_abandonment', 'warning', cart_abandonment_rate, CAST(0.75 AS DOUBLE)
-FROM dm WHERE total_sessions > 0 AND cart_abandonment_rate > 0.75""")
+SELECT metric_date, 'high_cart_abandonment', 'warning', cart_abandonment_rate, CAST({hi} AS DOUBLE)
+FROM dm WHERE total_sessions > 0 AND cart_abandonment_rate > {hi}""".format(lo=P.ALERT_MIN_CONVERSION, hi=P.ALERT_MAX_ABANDONMENT))
 def q_metric_alerts(spark, sf):
-    return metrics.metric_alerts(_daily_metrics(spark, sf))
+    """T08 with thresholds near the data's own rates, so that alerts occur."""
+    return metrics.metric_alerts(_daily_metrics(spark, sf), P.ALERT_MIN_CONVERSION, P.ALERT_MAX_ABANDONMENT)
 
 
 @query("revenue_drop_alerts", with_(ORD, FORD) + _DOR + """,
@@ -449,6 +450,19 @@ def q_customer_lifetime_value(spark, sf):
     return views.customer_lifetime_value(T.customers(spark, sf), _rfm_b(spark, sf))
 
 
+@query("customer_ltv_mv", with_(CUST, ORD, RFM_B) + """
+SELECT c.customer_id, c.first_name, c.last_name, r.customer_segment, r.total_orders, r.total_revenue AS lifetime_value,
+       r.avg_order_value, CAST(date_diff('day', r.first_order_date, r.last_order_date) AS INTEGER) AS customer_age_days,
+       r.recency_days, """ + _activity_sql("r.recency_days") + """ AS activity_status
+FROM cust c JOIN rfmb r ON r.customer_id = c.customer_id""")
+def q_customer_ltv_mv(spark, sf):
+    """Customer lifetime value as a stored table."""
+    from mercato.sources.sinks import materialize_table
+
+    ltv = views.customer_lifetime_value(T.customers(spark, sf), _rfm_b(spark, sf))
+    return materialize_table(ltv, "customer_ltv")
+
+
 @query("product_bestsellers", with_(PROD, ITEMS, FITEMS) + _PERF + """
 SELECT p.product_id, p.product_name, p.category, p.brand, CAST(SUM(quantity_sold) AS BIGINT) AS total_quantity_sold,
        CAST(SUM(revenue) AS DECIMAL(28,2)) AS total_revenue, CAST(SUM(profit) AS DECIMAL(28,2)) AS total_profit,

@@ -112,7 +112,7 @@ seg AS (SELECT *, {RFM_SCORE} AS rfm_score, {SEGMENT_CASE} AS segment FROM score
 
 RFM_B = f"""
 po AS (
-  SELECT customer_id, order_id, MAX(order_date) AS order_date, MAX(order_total) AS order_total
+  SELECT customer_id, order_id, MAX(order_date) AS order_date, SUM(order_total) AS order_total
   FROM ord WHERE order_status = 'completed' GROUP BY customer_id, order_id),
 m AS (
   SELECT po.customer_id,
@@ -146,7 +146,7 @@ def rfm_b_cte(name: str, as_of: str, before: str | None = None) -> str:
         FROM (SELECT po.customer_id,
                      CAST(date_diff('day', CAST(MAX(order_date) AS DATE), DATE '{as_of}') AS INTEGER) AS recency_days,
                      COUNT(order_id) AS frequency, CAST(SUM(order_total) AS DECIMAL(28,2)) AS monetary
-              FROM (SELECT customer_id, order_id, MAX(order_date) AS order_date, MAX(order_total) AS order_total
+              FROM (SELECT customer_id, order_id, MAX(order_date) AS order_date, SUM(order_total) AS order_total
                     FROM ord WHERE order_status = 'completed'{cond} GROUP BY customer_id, order_id) po
               JOIN customer c ON c.c_custkey = po.customer_id GROUP BY po.customer_id)))"""
 

@@ -14,5 +14,6 @@ TOP_PAIRS = 20                  # M05 (API default)
 CROSS_SELL_K = 3                # M06
 RETENTION_PERIODS = 12          # C06
 MIN_COHORT_SIZE = 10            # C06
-MATRIX_OFFSETS = 12             # C04: offsets 0..11
+ALERT_MIN_CONVERSION = 0.25     # T08
+ALERT_MAX_ABANDONMENT = 0.2     # T08
 SNAPSHOT_DATES = ("2000-01-01", "2001-01-01")  # SCD2 snapshots (D03/D04)

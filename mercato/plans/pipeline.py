@@ -1,4 +1,6 @@
-"""The full pipeline as a dict of lazy DataFrames.
+"""The full pipeline as a dict of DataFrames.  RFM quantiles, the pair
+counts' hot baskets and the cohort offsets are looked up by small jobs while
+the plans are built; the outputs themselves run when they are written.
 
 The session rollup feeds three consumers (behaviour, funnel, KPIs), so it is
 persisted once and released by the caller (``release``).
@@ -18,13 +20,16 @@ def run_full_pipeline(spark: SparkSession, sf_dir: str, start: str | None = None
                       as_of: str = P.AS_OF) -> dict:
     events = T.web_events(spark, sf_dir, start, end, gap_seconds=P.SESSION_GAP_SECONDS)
     orders = T.orders(spark, sf_dir, start, end)
+    lines = T.order_lines(spark, sf_dir)
+    if start is not None or end is not None:  # items of the extracted orders only
+        lines = lines.join(orders.select("order_id"), "order_id", "left_semi")
     behavior = sessions.session_behavior(events).persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "customer_behavior": behavior,
         "rfm_scores": rfm.rfm_segments(orders, as_of),
         "conversion_funnel": funnel.conversion_funnel_from_behavior(behavior),
         "cohort_retention": cohort.cohort_matrix(orders),
-        "product_affinity": affinity.product_affinity(T.order_lines(spark, sf_dir), T.read(spark, sf_dir, "orders")),
+        "product_affinity": affinity.product_affinity(lines, orders),
         "summary": metrics.summary(T.raw_events(spark, sf_dir, start, end), orders),
         "behavior_summary": sessions.behavior_summary(behavior),
     }

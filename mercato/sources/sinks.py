@@ -75,9 +75,11 @@ def clustered_write(df: DataFrame, path: str, cluster_by: Sequence[str], partiti
                     num_partitions: int | None = None) -> DataFrame:
     """Clustered layout: range-partition on the clustering keys and sort
     within files, so Parquet row-group min/max statistics skip data for
-    range predicates on those keys; optional directory partitioning."""
+    range predicates on those keys; optional directory partitioning (files are
+    sorted by it first: that is the order the partitioned writer asks for, so
+    it leaves the rows as they are)."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    laid = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+    laid = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*([partition_by] if partition_by else []), *cluster_by)
     w = laid.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)

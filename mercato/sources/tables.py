@@ -30,12 +30,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _range_filter(col: Column, start: str | None, end: str | None) -> Column | None:
-    """Inclusive start, inclusive end at midnight (date strings)."""
+    """Whole days from ``start`` to ``end``, both included (date strings)."""
     cond = None
     if start is not None:
         cond = col >= F.lit(start).cast("timestamp_ntz")
     if end is not None:
-        c2 = col <= F.lit(end).cast("timestamp_ntz")
+        c2 = col < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz")
         cond = c2 if cond is None else cond & c2
     return cond
 

@@ -99,7 +99,7 @@ def test_cohort_retention(spark):
     assert got == [(dt.date(2024, 1, 1), 0, 2, 100.0, Decimal("50.00")),
                    (dt.date(2024, 1, 1), 1, 1, 50.0, Decimal("50.00")),
                    (dt.date(2024, 2, 1), 0, 1, 100.0, Decimal("50.00"))]
-    m = cohort.cohort_matrix(o, 3).orderBy("cohort_month").collect()
+    m = cohort.cohort_matrix(o, [0, 1, 2]).orderBy("cohort_month").collect()
     assert (m[0].month_0, m[0].month_1, m[0].month_2) == (100.0, 50.0, None)
 
 

@@ -1,6 +1,8 @@
 """Quality checks find planted bad rows; masking; audit log."""
 
 import datetime as dt
+
+import pytest
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -58,8 +60,15 @@ def test_masking_reports_missing(spark):
 
 def test_audit_row_from_observation(spark, tmp_path):
     df = spark.range(10).withColumn("bad", F.col("id") % 4 == 0)
-    a = quality.audited_write(df, str(tmp_path / "t"), "unit", F.col("bad")).collect()[0]
-    assert (a.status, a.rows_processed, a.rows_failed, a.rows_inserted) == ("success", 10, 3, 7)
+    log = str(tmp_path / "log")
+    for _ in range(2):
+        a = quality.audited_write(df, str(tmp_path / "t"), "unit", F.col("bad"), log_path=log).collect()[0]
+        assert (a.status, a.rows_processed, a.rows_failed, a.rows_inserted) == ("success", 10, 3, 7)
+        assert spark.read.parquet(str(tmp_path / "t")).count() == 7
+    with pytest.raises(Exception, match="path"):
+        quality.audited_write(df, str(tmp_path / "t"), "unit", mode="error", log_path=log)
+    rows = spark.read.parquet(log).orderBy("start_timestamp").collect()
+    assert [r.status for r in rows] == ["success", "success", "failed"] and "path" in rows[2].error_message.lower()
 
 
 def test_json_landing_keeps_corrupt_lines(spark, tmp_path):
