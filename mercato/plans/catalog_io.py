@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from mercato.operators import funnel, governance, quality, rfm, scd, sessions
 from mercato.plans import params as P
-from mercato.plans.catalog import _rfm_b
+from mercato.plans.catalog import _DAILY, _rfm_b
 from mercato.plans.catalog_warehouse import CUST, CUST_SCD, _customer_scd, _forders
 from mercato.plans.oracle_sql import BEH, FACT_BEH, ORD, RFM_A, RFM_B, web_cte, with_
 from mercato.plans.registry import query
-from mercato.schemas import RAW_EVENTS
+from mercato.schemas import MONEY, RAW_EVENTS
 from mercato.session import scratch_path
 from mercato.sources import files, sinks
 from mercato.sources import tables as T
@@ -342,11 +342,13 @@ def q_export_segments(spark, sf):
 # -------------------------------------------------------------- streaming --
 
 def _landed_events(spark, sf, name, copies=1):
+    """Eight landed files that are not in order of time; each holds a share of
+    all days."""
     raw = T.read(spark, sf, "events").select(*[f.name for f in RAW_EVENTS.fields])
     data = raw
     for _ in range(copies - 1):
         data = data.unionByName(raw)
-    return ingest.land(data, scratch_path(spark, name), F.to_date("ts"))
+    return ingest.land(data, scratch_path(spark, name), F.pmod(F.xxhash64("event_id"), F.lit(8)), files=8)
 
 
 _STAGED_EVENTS_SQL = """
@@ -370,44 +372,69 @@ def q_stream_ingest_events(spark, sf):
 @query("stream_dedup", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_stream_dedup(spark, sf):
     landing = _landed_events(spark, sf, "landing-events-redelivered", copies=2)
-    return ingest.dedup_events_stream(spark, landing, scratch_path(spark, "events-dedup"),
-                                      scratch_path(spark, "ckpt-dedup"))
+    out = ingest.dedup_events_stream(spark, landing, scratch_path(spark, "events-dedup"),
+                                     scratch_path(spark, "ckpt-dedup"), max_files_per_trigger=2)
+    return out.select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 @query("stream_daily_metrics", """
-WITH mx AS (SELECT MAX(ts) AS m FROM events)
 SELECT CAST(ts AS DATE) AS metric_date, COUNT(*) AS events, COUNT(DISTINCT user_id) AS visitors,
        COUNT(*) FILTER (WHERE event_type = 'view') AS product_views,
        COUNT(*) FILTER (WHERE event_type = 'click') AS add_to_cart,
        COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchases,
        CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS value
-FROM events, mx GROUP BY CAST(ts AS DATE), m
-HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= m - INTERVAL 1 DAY""")
+FROM events GROUP BY CAST(ts AS DATE)""")
 def q_stream_daily_metrics(spark, sf):
     landing = _landed_events(spark, sf, "landing-events-daily")
-    return ingest.daily_metrics_stream(spark, landing, scratch_path(spark, "daily-metrics-stream"),
-                                       scratch_path(spark, "ckpt-daily"))
+    out = ingest.daily_metrics_stream(spark, landing, scratch_path(spark, "daily-metrics-stream"),
+                                      scratch_path(spark, "ckpt-daily"), max_files_per_trigger=2)
+    return out.select("metric_date", "events", "visitors", "product_views", "add_to_cart", "purchases", "value")
 
 
-@query("stream_sessions", with_(web_cte(), BEH) + f""",
-mx AS (SELECT MAX(epoch_us(ts)) AS m FROM events)
-SELECT customer_id, session_id, event_timestamp_min, event_timestamp_max, event_timestamp_count,
-       product_views_sum, add_to_cart_sum, checkout_started_sum, purchase_completed_sum
-FROM beh, mx
-WHERE epoch_us(event_timestamp_max) + {P.SESSION_GAP_SECONDS * 1_000_000} <= m - {6 * 3600 * 1_000_000}""")
-def q_stream_sessions(spark, sf):
+_SESSION_COLS = ["customer_id", "session_id", "event_timestamp_min", "event_timestamp_max", "event_timestamp_count",
+                 "product_views_sum", "add_to_cart_sum", "checkout_started_sum", "purchase_completed_sum"]
+
+
+def _stream_sessions(spark, sf):
     landing = _landed_events(spark, sf, "landing-events-sessions")
-    # closed sessions: last event + gap at or before the final watermark
-    # (latest event time - 6 h delay)
     return ingest.sessions_stream(spark, landing, scratch_path(spark, "sessions-stream"),
-                                  scratch_path(spark, "ckpt-sessions"), gap=f"{P.SESSION_GAP_SECONDS} seconds",
-                                  delay="6 hours")
+                                  scratch_path(spark, "ckpt-sessions"), P.SESSION_GAP_SECONDS, max_files_per_trigger=2)
 
 
-@query("stream_orders_upsert", with_(ORD) +
-       "SELECT *, 1 AS load_seq, CAST(date_trunc('month', order_date) AS DATE) AS order_month FROM ord")
+@query("stream_sessions", with_(web_cte(), BEH) + f"SELECT {', '.join(_SESSION_COLS)} FROM beh")
+def q_stream_sessions(spark, sf):
+    return _stream_sessions(spark, sf).select(*_SESSION_COLS)
+
+
+@query("stream_funnel_daily", with_(web_cte(), BEH, FACT_BEH) + _DAILY + """
+SELECT funnel_date, stage, stage_order, sessions,
+       CAST(sessions AS DOUBLE) / NULLIF(CAST(first_s AS DOUBLE), 0) AS conversion_rate,
+       1.0 - CAST(sessions AS DOUBLE) / NULLIF(CAST(first_s AS DOUBLE), 0) AS drop_off_rate
+FROM st""")
+def q_stream_funnel_daily(spark, sf):
+    """The daily funnel over the streamed sessions."""
+    fact = sessions.fact_customer_behavior(_stream_sessions(spark, sf).drop("start_day"))
+    return funnel.funnel_daily(fact, ordered=False)
+
+
+@query("stream_orders_upsert", with_(ORD) + """,
+loads AS (
+  SELECT *, 1 AS load_seq FROM ord
+  UNION ALL SELECT * REPLACE (order_total + 1 AS order_total, order_date + INTERVAL 40 DAY AS order_date), 3 FROM ord WHERE order_id % 7 = 0
+  UNION ALL SELECT * REPLACE (order_total + 2 AS order_total), 2 FROM ord WHERE order_id % 5 = 0),
+best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY load_seq DESC) AS k FROM loads)
+SELECT * EXCLUDE (k) REPLACE (CAST(order_total AS DECIMAL(18,2)) AS order_total),
+       CAST(date_trunc('month', order_date) AS DATE) AS order_month FROM best WHERE k = 1""")
 def q_stream_orders_upsert(spark, sf):
-    o = T.orders(spark, sf).withColumn("load_seq", F.lit(1))
-    landing = ingest.land(o, scratch_path(spark, "landing-orders"), F.trunc(F.col("order_date").cast("date"), "year"))
+    """Eight files, two a batch, dealt by a hash of order and load, so an
+    order's loads arrive in any order: first loads, updates that move an order
+    to another month, and reloads that are stale by then."""
+    o = T.orders(spark, sf)
+    moved = o.filter(F.col("order_id") % 7 == 0).withColumns({
+        "order_total": (F.col("order_total") + 1).cast(MONEY), "order_date": F.col("order_date") + F.expr("INTERVAL 40 DAYS")})
+    again = o.filter(F.col("order_id") % 5 == 0).withColumn("order_total", (F.col("order_total") + 2).cast(MONEY))
+    loads = o.withColumn("load_seq", F.lit(1)).unionByName(moved.withColumn("load_seq", F.lit(3))).unionByName(
+        again.withColumn("load_seq", F.lit(2)))
+    landing = ingest.land(loads, scratch_path(spark, "landing-orders"), F.pmod(F.xxhash64("order_id", "load_seq"), F.lit(8)), files=8)
     return ingest.orders_upsert_stream(spark, landing, scratch_path(spark, "fact-orders-upsert"),
-                                       scratch_path(spark, "ckpt-orders"), o.schema)
+                                       scratch_path(spark, "ckpt-orders"), loads.schema, max_files_per_trigger=2)

@@ -5,9 +5,8 @@ sinks or ``foreachBatch`` writers with checkpoints, so a restarted query
 resumes exactly once.  ``availableNow`` drains what has landed and stops
 (a cron-style schedule becomes the caller's trigger).
 
-Event time: landed timestamps are TIMESTAMP_NTZ, which watermarks reject,
-so streams derive a TIMESTAMP from the wall clock read as UTC; reported
-times and dates come from the NTZ column itself.
+Event time: landed timestamps are TIMESTAMP_NTZ; days and times are read from
+that column as they stand, whatever the session time zone.
 """
 
 from __future__ import annotations
@@ -18,15 +17,20 @@ from pyspark.sql import types as T
 
 from mercato.functions.expressions import epoch_micros
 from mercato.operators.cleaning import dedup_latest
+from mercato.operators.sessions import session_behavior, sessionize
 from mercato.schemas import RAW_EVENTS
 from mercato.session import materialize
 from mercato.sources.tables import events_from_raw
 
 
-def land(df: DataFrame, path: str, slice_col=None, fmt: str = "parquet") -> str:
+def land(df: DataFrame, path: str, slice_col=None, fmt: str = "parquet", files: int | None = None) -> str:
     """Write ``df`` into a landing folder, one file group per slice (e.g.
-    per day), as an upstream system would drop files."""
-    d = df.repartition(slice_col) if slice_col is not None else df
+    per day), as an upstream system would drop files; with ``files``, that
+    many files, by a slice column of whole numbers."""
+    if files:
+        d = df.withColumn("_slice", slice_col.cast("int")).repartitionById(files, "_slice").drop("_slice")
+    else:
+        d = df.repartition(slice_col) if slice_col is not None else df
     d.write.mode("overwrite").format(fmt).save(path)
     return path
 
@@ -67,88 +71,189 @@ def ingest_events(spark: SparkSession, landing: str, out: str, checkpoint: str)
     return run_to_files(staged, out, checkpoint)
 
 
+# --- complete results, whatever the order of arrival -------------------------
+#
+# The operators below keep their state in tables, not in windows that a
+# watermark closes: a late row is a row of its day like any other, and a day or
+# session that is still open is written and replaced later.  Every micro-batch
+# reads only the partitions that it touches, and replaying one changes nothing.
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written (asked of the file system, not guessed
+    from a failed read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
+
+
+def _partition(value) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+
+
+def replace_in_partitions(target: str, partition: str, key: str, touched: DataFrame, fresh: DataFrame) -> None:
+    """Replace rows of a table that is partitioned by a date column.
+
+    ``touched`` has the old rows' key (null: none) and the partitions of old
+    and new rows; ``fresh`` are the new rows.  The other rows of those
+    partitions are kept, the partitions written anew, and those left without a
+    row removed.  The number of touched partitions comes to the driver, as a
+    list of dates."""
+    spark = fresh.sparkSession
+    touched = materialize(touched.select(key, partition).distinct())
+    parts = [r[0] for r in touched.select(partition).distinct().collect()]
+    if not parts:
+        return
+    rows = fresh
+    if _exists(spark, target):
+        old = spark.read.schema(fresh.schema).parquet(target)
+        known = [p for p in parts if p is not None]
+        here = F.col(partition).isin(known) if known else F.lit(False)
+        here = here | F.col(partition).isNull() if None in parts else here
+        kept = old.filter(here).join(touched.filter(F.col(key).isNotNull()).select(key).distinct(), key, "left_anti")
+        rows = kept.select(*fresh.columns).unionByName(fresh)
+    rows = materialize(rows)  # read before its partitions are overwritten
+    (rows.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition).parquet(target))
+    full = {r[0] for r in rows.select(partition).distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    for p in parts:
+        if p not in full:
+            gone = jvm.org.apache.hadoop.fs.Path(f"{target}/{partition}={_partition(p)}")
+            gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+
+
+def _run(stream: DataFrame, upsert, checkpoint: str) -> None:
+    _drain(stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
+           .trigger(availableNow=True).start())
+
+
+def _new_events(batch: DataFrame, staged: str) -> DataFrame:
+    """Events of a batch that the staged table does not hold yet, appended to
+    it; only the batch's days of the table are read."""
+    spark = batch.sparkSession
+    b = dedup_latest(batch.withColumn("day", F.to_date("ts")), ["event_id"], ["ts"])
+    if _exists(spark, staged):
+        days = [r[0] for r in b.select("day").distinct().collect()]
+        old = spark.read.schema(b.schema).parquet(staged).filter(F.col("day").isin([d for d in days if d is not None]) | F.col("day").isNull())
+        b = b.join(old.select("event_id"), "event_id", "left_anti")
+    new = materialize(b)
+    new.repartition("day").write.mode("append").partitionBy("day").parquet(staged)
+    return new
+
+
 def dedup_events_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                        delay: str = "1 day") -> DataFrame:
-    """Drop re-delivered events within the watermark delay (state is
-    bounded by the delay, not by history)."""
-    s = read_landed_events(spark, landing).withWatermark("event_time", delay) \
-        .dropDuplicatesWithinWatermark(["event_id"])
-    return run_to_files(s.drop("event_time"), out, checkpoint)
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """Drop re-delivered events, however late they come.  A batch is
+    matched with the table's days that it touches, so nothing is kept in
+    memory between batches and no late event is lost.  (A re-delivery has the
+    time of its event.)"""
+    s = read_landed_events(spark, landing, max_files_per_trigger=max_files_per_trigger).drop("event_time")
+    _run(s, lambda batch, _: _new_events(batch, out), checkpoint)
+    return spark.read.parquet(out)
+
+
+def _staged_days(spark: SparkSession, staged: str, days: list) -> DataFrame:
+    return spark.read.parquet(staged).filter(F.col("day").isin(days))
 
 
 def daily_metrics_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                         delay: str = "1 day") -> DataFrame:
-    """Per-day event metrics with EXACT visitor counts.  Streaming
-    aggregation cannot count distinct values, so two stateful aggregations
-    are chained: (day, user) first, then the day (``window_time`` carries
-    the event time of the first window into the second).  Append mode emits
-    a day once the watermark has passed its end."""
-    s = read_landed_events(spark, landing).withWatermark("event_time", delay)
-    per_user = s.groupBy(F.window("event_time", "1 day").alias("w"), "user_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("event_type") == "view").alias("pv"),
-        F.count_if(F.col("event_type") == "click").alias("atc"),
-        F.count_if(F.col("event_type") == "purchase").alias("pur"),
-        F.sum(F.col("value").cast("decimal(18,2)")).alias("v"), F.min("ts").alias("t0"))
-    g = per_user.groupBy(F.window(F.window_time("w"), "1 day").alias("d")).agg(
-        F.sum("n").alias("events"), F.count(F.lit(1)).alias("visitors"),
-        F.sum("pv").alias("product_views"), F.sum("atc").alias("add_to_cart"),
-        F.sum("pur").alias("purchases"), F.sum("v").cast("decimal(28,2)").alias("value"),
-        F.min("t0").alias("t0"))
-    out_df = g.select(F.col("t0").cast("date").alias("metric_date"), "events", "visitors",
-                      "product_views", "add_to_cart", "purchases", "value")
-    return run_to_files(out_df, out, checkpoint)
-
-
-def sessions_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                    gap: str = "6 hours", delay: str = "6 hours") -> DataFrame:
-    """Session rollup with ``session_window``; a session is emitted once
-    the watermark passes its end, so closed sessions equal the batch ones."""
-    s = read_landed_events(spark, landing).withWatermark("event_time", delay)
-    ev = s.select("event_id", F.col("user_id").alias("customer_id"), "event_time", "event_type", "ts")
-    g = ev.groupBy("customer_id", F.session_window("event_time", gap).alias("s")).agg(
-        F.count(F.lit(1)).alias("event_timestamp_count"),
-        F.count_if(F.col("event_type") == "view").alias("product_views_sum"),
-        F.count_if(F.col("event_type") == "click").alias("add_to_cart_sum"),
-        F.count_if(F.col("event_type") == "signup").alias("checkout_started_sum"),
-        F.count_if(F.col("event_type") == "purchase").alias("purchase_completed_sum"),
-        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-    out_df = g.select(
-        "customer_id",
-        F.concat(F.col("customer_id").cast("string"), F.lit("-"),
-                 epoch_micros("first_ts").cast("string")).alias("session_id"),
-        F.col("first_ts").alias("event_timestamp_min"),
-        F.col("last_ts").alias("event_timestamp_max"),
-        "event_timestamp_count", "product_views_sum", "add_to_cart_sum", "checkout_started_sum",
-        "purchase_completed_sum")
-    return run_to_files(out_df, out, checkpoint)
+                         max_files_per_trigger: int | None = None) -> DataFrame:
+    """Per-day event metrics with exact visitor counts, and the daily
+    funnel's sessions are X04's.  A batch's new events are staged by day; the
+    days that they touch are counted anew and replaced."""
+    staged = out.rstrip("/") + "-staged"
+
+    def upsert(batch: DataFrame, epoch_id: int) -> None:
+        # the days of all the batch's events, also of those that an earlier,
+        # failed run of this batch has staged already
+        days = [r[0] for r in batch.select(F.to_date("ts").alias("d")).distinct().collect() if r[0] is not None]
+        _new_events(batch, staged)
+        if not days:
+            return
+        ev = _staged_days(spark, staged, days)
+        per_user = ev.groupBy("day", "user_id").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("event_type") == "view").alias("pv"),
+            F.count_if(F.col("event_type") == "click").alias("atc"),
+            F.count_if(F.col("event_type") == "purchase").alias("pur"),
+            F.sum(F.col("value").cast("decimal(18,2)")).alias("v"))
+        g = per_user.groupBy(F.col("day").alias("metric_date")).agg(
+            F.sum("n").alias("events"), F.count("user_id").alias("visitors"), F.sum("pv").alias("product_views"),
+            F.sum("atc").alias("add_to_cart"), F.sum("pur").alias("purchases"), F.sum("v").cast("decimal(28,2)").alias("value"))
+        (g.repartition("metric_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("metric_date").parquet(out))
+
+    _run(read_landed_events(spark, landing, max_files_per_trigger=max_files_per_trigger).drop("event_time"), upsert, checkpoint)
+    return spark.read.parquet(out)
+
+
+def sessions_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, gap_seconds: int = 6 * 3600,
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """Session rollup, open sessions included.  A batch's new events are
+    staged by day.  The stored sessions of the batch's users within the gap of
+    its events are taken back, and the events of that time are cut into
+    sessions anew: late events may join, split off or merge sessions."""
+    staged = out.rstrip("/") + "-staged"
+
+    def upsert(batch: DataFrame, epoch_id: int) -> None:
+        _new_events(batch, staged)
+        seen = batch.filter("user_id is not null").select(F.col("user_id").alias("customer_id"), "ts")
+        reach = seen.groupBy("customer_id").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+        none = F.lit(None).cast("timestamp_ntz")
+        taken = None
+        if _exists(spark, out):
+            old = spark.read.parquet(out).select("customer_id", "session_id", "start_day", "event_timestamp_min", "event_timestamp_max")
+            gap = F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")
+            taken = materialize(old.join(reach, "customer_id").filter(
+                (F.col("event_timestamp_max") >= F.col("lo") - gap) & (F.col("event_timestamp_min") <= F.col("hi") + gap)))
+            span = taken.groupBy("customer_id").agg(F.min("event_timestamp_min").alias("a"), F.max("event_timestamp_max").alias("b"))
+            reach = reach.join(span, "customer_id", "left")
+        else:
+            reach = reach.withColumns({"a": none, "b": none})
+        reach = materialize(reach.select(F.col("customer_id").alias("user_id"), F.least("lo", "a").alias("lo"), F.greatest("hi", "b").alias("hi")))
+        first, last = reach.agg(F.to_date(F.min("lo")), F.to_date(F.max("hi"))).first()
+        if first is None:
+            return
+        ev = spark.read.parquet(staged).filter(F.col("day").between(F.lit(first), F.lit(last)))
+        ev = ev.join(reach, "user_id").filter(F.col("ts").between(F.col("lo"), F.col("hi")))
+        fresh = session_behavior(sessionize(events_from_raw(ev), gap_seconds)).withColumn("start_day", F.to_date("event_timestamp_min"))
+        fresh = materialize(fresh)
+        touched = fresh.select(F.lit(None).cast("string").alias("session_id"), "start_day")
+        if taken is not None:
+            touched = touched.unionByName(taken.select("session_id", "start_day"))
+        replace_in_partitions(out, "start_day", "session_id", touched, fresh)
+
+    _run(read_landed_events(spark, landing, max_files_per_trigger=max_files_per_trigger).drop("event_time"), upsert, checkpoint)
+    return spark.read.parquet(out)
 
 
 def orders_upsert_stream(spark: SparkSession, landing: str, target: str, checkpoint: str,
-                         schema: T.StructType) -> DataFrame:
-    """Each micro-batch is de-duplicated (latest load wins), merged with
-    the target rows of the months it touches and written back with dynamic
-    partition overwrite - replaying a batch rewrites the same partitions
-    with the same rows (idempotent)."""
+                         schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The table holds the greatest ``load_seq`` of every order, whatever
+    the order of arrival.  A batch is de-duplicated and compared with the
+    stored rows of its orders (a narrow scan of id, sequence and month); a
+    stale row changes nothing, and an order whose date has moved leaves its old
+    month."""
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         b = batch.withColumn("order_month", F.trunc(F.col("order_date").cast("date"), "month"))
-        b = dedup_latest(b, ["order_id"], ["load_seq"])
-        months = b.select("order_month").distinct()
-        try:
-            existing = batch.sparkSession.read.parquet(target)
-            old = existing.join(months, "order_month", "left_semi").join(b.select("order_id"), "order_id", "left_anti")
-            merged = old.unionByName(b)
-        except Exception:  # noqa: BLE001 - first batch: no target yet
-            merged = b
-        # materialize before overwriting the partitions it was read from
-        merged = materialize(merged)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("order_month").parquet(target))
-
-    s = spark.readStream.schema(schema).parquet(landing)
-    q = s.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
-    _drain(q)
-    return spark.read.parquet(target)
+        b = dedup_latest(b.filter(F.col("order_id").isNotNull()), ["order_id"], ["load_seq"])
+        none = F.lit(None)
+        if _exists(spark, target):
+            old = spark.read.schema(b.schema).parquet(target).select(
+                "order_id", F.col("load_seq").alias("_seq"), F.col("order_month").alias("_month"))
+            b = b.join(old, "order_id", "left").filter(F.col("_seq").isNull() | (F.col("load_seq") >= F.col("_seq")))
+        else:
+            b = b.withColumns({"_seq": none.cast(b.schema["load_seq"].dataType), "_month": none.cast("date")})
+        b = materialize(b)
+        touched = b.select("order_id", "order_month").unionByName(
+            b.filter(F.col("_seq").isNotNull()).select("order_id", F.col("_month").alias("order_month")))
+        replace_in_partitions(target, "order_month", "order_id", touched, b.drop("_seq", "_month"))
 
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    _run(r.parquet(landing), upsert, checkpoint)
+    return spark.read.parquet(target)

@@ -11,34 +11,37 @@ from mercato.sources import tables as T
 from mercato.streaming import ingest
 
 
-def _landing(spark, copies=1):
+def _landing(spark, copies=1, files=None):
     raw = T.read(spark, SF001, "events").select(*[f.name for f in RAW_EVENTS.fields])
     data = raw
     for _ in range(copies - 1):
         data = data.unionByName(raw)
+    if files:  # every file has events of all days
+        return ingest.land(data, scratch_path(spark, "t-landing"), F.pmod(F.xxhash64("event_id"), F.lit(files)), files=files)
     return ingest.land(data, scratch_path(spark, "t-landing"), F.to_date("ts"))
 
 
-def test_stream_sessions_equal_batch_on_closed_sessions(spark):
-    out = ingest.sessions_stream(spark, _landing(spark), scratch_path(spark, "t-sess"), scratch_path(spark, "t-ck"),
-                                 gap=f"{P.SESSION_GAP_SECONDS} seconds", delay="6 hours")
+SESSION_COLS = ["customer_id", "session_id", "event_timestamp_min", "event_timestamp_max", "event_timestamp_count",
+                "product_views_sum", "add_to_cart_sum", "checkout_started_sum", "purchase_completed_sum"]
+
+
+def test_stream_sessions_equal_batch_whatever_the_order(spark):
+    out = ingest.sessions_stream(spark, _landing(spark, files=5), scratch_path(spark, "t-sess"), scratch_path(spark, "t-ck"),
+                                 P.SESSION_GAP_SECONDS, max_files_per_trigger=1)
     batch = sessions.session_behavior(T.web_events(spark, SF001, gap_seconds=P.SESSION_GAP_SECONDS))
-    cols = ["customer_id", "session_id", "event_timestamp_min", "event_timestamp_max", "event_timestamp_count",
-            "product_views_sum", "add_to_cart_sum", "checkout_started_sum", "purchase_completed_sum"]
-    streamed = rows(out.select(*cols))
-    assert len(streamed) > 0
-    b = {r[1]: r for r in rows(batch.select(*cols))}
-    for r in streamed:
-        assert b[r[1]] == r
-    # only the sessions still open at the end of the stream are held back
-    last = batch.agg(F.max("event_timestamp_max")).collect()[0][0]
-    open_n = batch.filter(F.col("event_timestamp_max") > F.lit(last) - F.expr("INTERVAL 12 HOURS")).count()
-    assert len(b) - len(streamed) <= open_n
+    assert rows(out.select(*SESSION_COLS)) == rows(batch.select(*SESSION_COLS))
+
+
+def test_stream_sessions_replayed_batch_changes_nothing(spark):
+    landing, out = _landing(spark, files=3), scratch_path(spark, "t-sess")
+    once = rows(ingest.sessions_stream(spark, landing, out, scratch_path(spark, "t-ck"), max_files_per_trigger=2).select(*SESSION_COLS))
+    again = rows(ingest.sessions_stream(spark, landing, out, scratch_path(spark, "t-ck"), max_files_per_trigger=1).select(*SESSION_COLS))
+    assert once == again
 
 
 def test_stream_dedup_removes_redelivery(spark):
-    out = ingest.dedup_events_stream(spark, _landing(spark, copies=2), scratch_path(spark, "t-dd"),
-                                     scratch_path(spark, "t-ck"))
+    out = ingest.dedup_events_stream(spark, _landing(spark, copies=2, files=4), scratch_path(spark, "t-dd"),
+                                     scratch_path(spark, "t-ck"), max_files_per_trigger=1)
     assert out.count() == T.read(spark, SF001, "events").count()
     assert out.select("event_id").distinct().count() == out.count()
 
@@ -53,14 +56,33 @@ def test_stream_ingest_exactly_once_on_restart(spark):
     assert first_df.filter(F.col("load_timestamp").isNull()).count() == 0
 
 
-def test_stream_daily_metrics_equal_batch_counts(spark):
-    out = ingest.daily_metrics_stream(spark, _landing(spark), scratch_path(spark, "t-dm"), scratch_path(spark, "t-ck"))
+def test_stream_daily_metrics_are_complete(spark):
+    out = ingest.daily_metrics_stream(spark, _landing(spark, files=4), scratch_path(spark, "t-dm"), scratch_path(spark, "t-ck"),
+                                      max_files_per_trigger=1)
     ev = T.read(spark, SF001, "events")
-    batch = {r[0]: r[1] for r in ev.groupBy(F.to_date("ts")).count().collect()}
-    got = {r.metric_date: r.events for r in out.collect()}
-    assert got and all(batch[d] == n for d, n in got.items())
-    visitors = {r[0]: r[1] for r in ev.groupBy(F.to_date("ts")).agg(F.countDistinct("user_id")).collect()}
-    assert all(visitors[r.metric_date] == r.visitors for r in out.collect())
+    batch = {(r[0], r[1], r[2]) for r in ev.groupBy(F.to_date("ts")).agg(F.count("*"), F.countDistinct("user_id")).collect()}
+    assert {(r.metric_date, r.events, r.visitors) for r in out.collect()} == batch
+
+
+def test_orders_upsert_keeps_the_greatest_sequence(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    schema = "order_id long, order_date timestamp_ntz, order_total decimal(18,2), load_seq int"
+    jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
+    batches = [[(1, jan, Decimal(1), 5), (2, jan, Decimal(2), 1), (3, jan, Decimal(3), 1), (4, None, Decimal(4), 1)],
+               [(1, feb, Decimal(9), 4), (2, feb, Decimal(8), 2)],  # 1 is stale, 2 moves
+               [(3, feb, Decimal(7), 2), (1, feb, Decimal(6), 6), (4, feb, Decimal(5), 2)]]  # January is left empty
+    target = scratch_path(spark, "t-target")
+    for i, b in enumerate(batches):
+        landing = ingest.land(spark.createDataFrame(b, schema), scratch_path(spark, f"t-orders-{i}"))
+        for _ in range(2):  # each load twice: the second changes nothing
+            out = ingest.orders_upsert_stream(spark, landing, target, scratch_path(spark, "t-ck"), spark.createDataFrame(b, schema).schema)
+        got = {r.order_id: (r.order_date, int(r.order_total), r.load_seq) for r in out.collect()}
+        if i == 1:
+            assert got == {1: (jan, 1, 5), 2: (feb, 8, 2), 3: (jan, 3, 1), 4: (None, 4, 1)}
+    assert got == {1: (feb, 6, 6), 2: (feb, 8, 2), 3: (feb, 7, 2), 4: (feb, 5, 2)}
+    assert out.count() == 4 and {str(r.order_month) for r in out.collect()} == {"2024-02-01"}
 
 
 def test_orders_upsert_is_idempotent_and_latest_wins(spark):
