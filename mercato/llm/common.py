@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -84,6 +85,18 @@ def append_columns(df: DataFrame, make: Callable[[], Callable[[list], list]],
     return src.mapInArrow(run, schema)
 
 
+def pack_array(x: np.ndarray) -> bytes:
+    """A compressed array of whole numbers; bytes of equal weight lie together."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpack_array(raw: bytes, kind) -> np.ndarray:
+    kind = np.dtype(kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def set_aside(docs: DataFrame, names: list[str], fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The columns of ``docs`` in ``fn(docs)``, where ``fn`` makes columns of
     the given names: own columns with those names are kept apart meanwhile."""
