@@ -275,26 +275,39 @@ UNION ALL
 SELECT run2.* FROM run2, hwm WHERE funnel_date > m - {lookback}""")
 
 
+def funnel_days(spark, sf, since=None, end=None):
+    """Daily funnel of the sessions that start on ``since`` or later.  Events
+    are read from one gap before that day: a session that goes on over its
+    midnight then shows its first event before it."""
+    raw = T.raw_events(spark, sf)
+    if since is not None:
+        first = F.lit(since).cast("timestamp_ntz") - F.expr(f"INTERVAL {P.SESSION_GAP_SECONDS} SECONDS")
+        raw = raw.filter(F.col("event_timestamp") >= first)
+    if end is not None:
+        raw = raw.filter(F.col("event_timestamp") < F.lit(end).cast("timestamp_ntz"))
+    fb = sessions.fact_customer_behavior(sessions.session_behavior(sessions.sessionize(raw, P.SESSION_GAP_SECONDS)))
+    if since is not None:
+        fb = fb.filter(F.col("session_date") >= F.lit(since))
+    return funnel.funnel_daily(fb, ordered=False)
+
+
 def _funnel_incremental(spark, sf, lookback):
     path = scratch_path(spark, "agg-conversion-funnel")
     for end in (_CUTOFF, None):
-        raw = T.raw_events(spark, sf)
-        if end is not None:
-            raw = raw.filter(F.col("event_timestamp") < F.lit(end).cast("timestamp_ntz"))
-        fb = sessions.fact_customer_behavior(sessions.session_behavior(
-            sessions.sessionize(raw, P.SESSION_GAP_SECONDS)))
-        out = sinks.incremental_by_date(funnel.funnel_daily(fb, ordered=False), path, "funnel_date", lookback)
+        out = sinks.incremental_by_date(lambda since, end=end: funnel_days(spark, sf, since, end), path, "funnel_date", lookback, spark)
     return out.select("funnel_date", "stage", "stage_order", "sessions", "conversion_rate", "drop_off_rate")
 
 
 @query("funnel_incremental", _funnel_runs_sql(0))
 def q_funnel_incremental(spark, sf):
+    """The strict filter, as an option."""
     return _funnel_incremental(spark, sf, 0)
 
 
-@query("funnel_incremental_lookback", _funnel_runs_sql(1))
+@query("funnel_incremental_lookback", _funnel_runs_sql(sinks.LOOKBACK_DAYS))
 def q_funnel_incremental_lookback(spark, sf):
-    return _funnel_incremental(spark, sf, 1)
+    """The default look-back: late days are counted again."""
+    return _funnel_incremental(spark, sf, sinks.LOOKBACK_DAYS)
 
 
 _SNAP_DATE = "2001-01-01"

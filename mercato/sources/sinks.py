@@ -8,6 +8,7 @@ never blind append.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 
 from mercato.session import scratch_path
 
+#: Days before the high-water mark that an incremental run computes again.
+LOOKBACK_DAYS = 2
+
 
 def materialize_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Full refresh (``materialized='table'``): overwrite, then serve reads
@@ -25,30 +29,44 @@ def materialize_table(df: DataFrame, name: str, path: str | None = None, fmt: st
     return spark.read.format(fmt).load(path)
 
 
-def _table_exists(spark, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing path is the normal first run
-        return False
+def table_exists(spark, path: str) -> bool:
+    """Whether a table has been written (asked of the file system)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
+
+
+def partition_days(spark, path: str, column: str) -> list[dt.date]:
+    """Days of a table that is partitioned by a date: a listing of folders,
+    no file is read."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    days = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return sorted(dt.date.fromisoformat(d) for d in days if d != "__HIVE_DEFAULT_PARTITION__")
 
 
-def incremental_by_date(df: DataFrame, path: str, date_col: str, lookback_days: int = 0) -> DataFrame:
+def first_open_day(spark, path: str, date_col: str, lookback_days: int) -> dt.date | None:
+    """First day that the next run computes again; None: all of them."""
+    days = partition_days(spark, path, date_col) if table_exists(spark, path) else []
+    return days[-1] - dt.timedelta(days=lookback_days - 1) if days else None
+
+
+def incremental_by_date(source, path: str, date_col: str, lookback_days: int = LOOKBACK_DAYS, spark=None) -> DataFrame:
     """Incremental model keyed by day.
 
-    First run: everything.  Later runs: only days after the high-water mark
-    ``max(date_col)`` of the target, minus ``lookback_days`` (0 reproduces
-    the strict ``> max`` filter; >0 re-processes late days).  Days are
-    written with dynamic partition overwrite, so a re-run replaces whole
-    days and never duplicates them.  The high-water mark is one scalar read
-    from the target (partition metadata only).
-    """
-    spark = df.sparkSession
-    if _table_exists(spark, path):
-        hwm = spark.read.parquet(path).agg(F.max(date_col)).collect()[0][0]
-        if hwm is not None:
-            lo = F.date_sub(F.lit(hwm).cast("date"), lookback_days)
-            df = df.filter(F.col(date_col) > lo)
+    First run: everything.  Later runs: days after the high-water mark (the
+    last partition, from a listing) minus ``lookback_days``, so that rows which
+    arrive late for a loaded day are counted; 0 is the strict ``> max`` filter,
+    which loses them.  ``source`` is a frame, or a function of the first day
+    to compute (None: all) that returns one: the function pushes the bound
+    into its scans, so a run reads the open days only.  Days are written with
+    dynamic partition overwrite, so a re-run replaces whole days and never
+    duplicates them."""
+    spark = spark or source.sparkSession
+    since = first_open_day(spark, path, date_col, lookback_days)
+    df = source(since) if callable(source) else source
+    if since is not None:
+        df = df.filter(F.col(date_col) >= F.lit(since))
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(path))
     return spark.read.parquet(path)

@@ -20,6 +20,7 @@ from mercato.operators.cleaning import dedup_latest
 from mercato.operators.sessions import session_behavior, sessionize
 from mercato.schemas import RAW_EVENTS
 from mercato.session import materialize
+from mercato.sources.sinks import table_exists
 from mercato.sources.tables import events_from_raw
 
 
@@ -79,15 +80,6 @@ def ingest_events(spark: SparkSession, landing: str, out: str, checkpoint: str)
 # reads only the partitions that it touches, and replaying one changes nothing.
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table has been written (asked of the file system, not guessed
-    from a failed read)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
-
-
 def _partition(value) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
 
@@ -106,7 +98,7 @@ def replace_in_partitions(target: str, partition: str, key: str, touched: DataFr
     if not parts:
         return
     rows = fresh
-    if _exists(spark, target):
+    if table_exists(spark, target):
         old = spark.read.schema(fresh.schema).parquet(target)
         known = [p for p in parts if p is not None]
         here = F.col(partition).isin(known) if known else F.lit(False)
@@ -134,7 +126,7 @@ def _new_events(batch: DataFrame, staged: str) -> DataFrame:
     it; only the batch's days of the table are read."""
     spark = batch.sparkSession
     b = dedup_latest(batch.withColumn("day", F.to_date("ts")), ["event_id"], ["ts"])
-    if _exists(spark, staged):
+    if table_exists(spark, staged):
         days = [r[0] for r in b.select("day").distinct().collect()]
         old = spark.read.schema(b.schema).parquet(staged).filter(F.col("day").isin([d for d in days if d is not None]) | F.col("day").isNull())
         b = b.join(old.select("event_id"), "event_id", "left_anti")
@@ -203,7 +195,7 @@ def sessions_stream(spark: SparkSession, landing: str, out: str, checkpoint: str
         reach = seen.groupBy("customer_id").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
         none = F.lit(None).cast("timestamp_ntz")
         taken = None
-        if _exists(spark, out):
+        if table_exists(spark, out):
             old = spark.read.parquet(out).select("customer_id", "session_id", "start_day", "event_timestamp_min", "event_timestamp_max")
             gap = F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")
             taken = materialize(old.join(reach, "customer_id").filter(
@@ -241,7 +233,7 @@ def orders_upsert_stream(spark: SparkSession, landing: str, target: str, checkpo
         b = batch.withColumn("order_month", F.trunc(F.col("order_date").cast("date"), "month"))
         b = dedup_latest(b.filter(F.col("order_id").isNotNull()), ["order_id"], ["load_seq"])
         none = F.lit(None)
-        if _exists(spark, target):
+        if table_exists(spark, target):
             old = spark.read.schema(b.schema).parquet(target).select(
                 "order_id", F.col("load_seq").alias("_seq"), F.col("order_month").alias("_month"))
             b = b.join(old, "order_id", "left").filter(F.col("_seq").isNull() | (F.col("load_seq") >= F.col("_seq")))

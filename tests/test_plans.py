@@ -65,3 +65,12 @@ def test_top_k_is_take_ordered(spark, qs):
 def test_cross_sell_uses_group_limit(spark, qs):
     p = plan(qs["cross_sell"](spark, SF001))
     assert "WindowGroupLimit" in p
+
+
+def test_incremental_run_pushes_its_bound_into_the_scan(spark):
+    import datetime as dt
+
+    from mercato.plans.catalog_io import funnel_days
+
+    p = plan(funnel_days(spark, SF001, since=dt.date(2024, 1, 20)))
+    assert "GreaterThanOrEqual(ts,2024-01-19T18:00" in p
