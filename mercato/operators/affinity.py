@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import ratio
+from mercato.operators.facts import order_item_ids
 from mercato.operators.joins import checked_small
 
 HOT_BASKET = 10_000
@@ -65,8 +66,9 @@ def _pairs(items: DataFrame, cond, hot: DataFrame | None, salt_buckets: int = SA
 def positional_pairs(order_items: DataFrame, item_col: str = "product_id", hot_threshold: int | None = HOT_BASKET,
                      salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Positional semantics: every (items[i], items[j]) with i < j in line
-    order; direction-sensitive, keeps self-pairs and repeats."""
-    items = order_items.select("order_id", F.col(item_col).alias("item"), F.col("line_sort").alias("k"))
+    order; direction-sensitive, keeps self-pairs and repeats.  The position is
+    a line's number in its order, so identical lines pair as well."""
+    items = order_item_ids(order_items).select("order_id", F.col(item_col).alias("item"), F.col("line_position").alias("k"))
     return _pairs(items, lambda l, r: l < r, _hot_orders(items, hot_threshold), salt_buckets)
 
 

@@ -74,31 +74,24 @@ def fact_order_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def customer_snapshots(customers: DataFrame, orders: DataFrame, dates) -> list[tuple[str, DataFrame]]:
+def customer_snapshots(customers: DataFrame, orders: DataFrame, dates) -> DataFrame:
     """Customers known at each snapshot date (ordered before it) with their
-    activity status as of that date.  One aggregate over the orders serves
-    every snapshot (last order before each date, per customer)."""
+    activity status as of that date, one row a ``snapshot_date``.  One scan
+    and one aggregate of the orders serve every date."""
     dates = list(dates)
     last = orders.groupBy("customer_id").agg(*[
         F.max(F.when(F.col("order_date") < F.lit(d).cast("timestamp_ntz"), F.col("order_date"))).alias(f"_l{i}")
         for i, d in enumerate(dates)])
-    j = customers.join(last, "customer_id")
-    out = []
-    for i, d in enumerate(dates):
-        days = F.date_diff(F.lit(d).cast("date"), F.col(f"_l{i}").cast("date"))
-        snap = j.filter(F.col(f"_l{i}").isNotNull()).withColumn("activity_status", activity_status(days))
-        out.append((d, snap.drop(*[f"_l{k}" for k in range(len(dates))])))
-    return out
-
-
-def customer_snapshot(customers: DataFrame, orders: DataFrame, snapshot_date: str) -> DataFrame:
-    return customer_snapshots(customers, orders, [snapshot_date])[0][1]
+    at = F.array(*[F.struct(F.lit(d).cast("date").alias("d"), F.col(f"_l{i}").alias("last")) for i, d in enumerate(dates)])
+    j = customers.join(last, "customer_id").withColumn("_s", F.explode(F.filter(at, lambda x: x["last"].isNotNull())))
+    days = F.date_diff(F.col("_s.d"), F.col("_s.last").cast("date"))
+    return j.select(*customers.columns, F.col("_s.d").alias("snapshot_date"), activity_status(days).alias("activity_status"))
 
 
-def product_snapshots(products: DataFrame, lines: DataFrame, dates, window_days: int = 365) -> list[tuple[str, DataFrame]]:
+def product_snapshots(products: DataFrame, lines: DataFrame, dates, window_days: int = 365) -> DataFrame:
     """Products with lifecycle 'active' when shipped in the ``window_days``
-    before each snapshot date, else 'dormant'; margin % from price and cost.
-    One aggregate over the order lines serves every snapshot."""
+    before each snapshot date, else 'dormant'; margin % from price and cost;
+    one row a ``snapshot_date``, from one aggregate over the order lines."""
     dates = list(dates)
 
     def shipped(d):
@@ -106,15 +99,10 @@ def product_snapshots(products: DataFrame, lines: DataFrame, dates, window_days:
         return (F.col("ship_date") >= lo) & (F.col("ship_date") < F.lit(d).cast("timestamp_ntz"))
 
     recent = lines.groupBy("product_id").agg(*[F.max(shipped(d)).alias(f"_a{i}") for i, d in enumerate(dates)])
-    p = products.join(recent, "product_id", "left")
-    out = []
-    for i, d in enumerate(dates):
-        out.append((d, p.select(
-            "product_id", "product_name", "category", "subcategory", "brand", "price", "cost",
-            (ratio(F.col("price") - F.col("cost"), "price") * 100).alias("margin_pct"),
-            F.when(F.coalesce(F.col(f"_a{i}"), F.lit(False)), "active").otherwise("dormant").alias("lifecycle"))))
-    return out
-
-
-def product_snapshot(products: DataFrame, lines: DataFrame, snapshot_date: str, window_days: int = 365) -> DataFrame:
-    return product_snapshots(products, lines, [snapshot_date], window_days)[0][1]
+    at = F.array(*[F.struct(F.lit(d).cast("date").alias("d"), F.coalesce(F.col(f"_a{i}"), F.lit(False)).alias("live"))
+                   for i, d in enumerate(dates)])
+    p = products.join(recent, "product_id", "left").withColumn("_s", F.explode(at))
+    return p.select("product_id", "product_name", "category", "subcategory", "brand", "price", "cost",
+                    F.col("_s.d").alias("snapshot_date"),
+                    (ratio(F.col("price") - F.col("cost"), "price") * 100).alias("margin_pct"),
+                    F.when(F.col("_s.live"), "active").otherwise("dormant").alias("lifecycle"))

@@ -1,9 +1,10 @@
 """Slowly changing dimensions, type 2.
 
-No MERGE on Parquet: a new snapshot is compared with the open versions by a
-full outer join on the natural key (one shuffle of each side), and each
-joined row emits its old version (kept or closed) and, when needed, its new
-version - one pass, no self-union.  Validity is half-open
+``scd2_build`` makes the dimension of a whole history of snapshots in one
+pass.  ``scd2_merge`` applies one new snapshot: no MERGE on Parquet, it is
+compared with the open versions by a full outer join on the natural key, and
+each joined row emits its old version (kept or closed) and, when needed, its
+new one.  Validity is half-open
 ``[effective_date, expiry_date)``; an open version has a null expiry.
 """
 
@@ -11,9 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.functions.expressions import surrogate_key
+
 META = ["effective_date", "expiry_date", "is_current"]
 
 
@@ -58,12 +61,43 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[
 
 def scd2_build(snapshots: Sequence[tuple[str, DataFrame]], key: str, tracked: Sequence[str],
                close_missing: bool = False) -> DataFrame:
-    """Fold dated snapshots (oldest first) into a type-2 dimension."""
-    (d0, s0), *rest = snapshots
-    dim = scd2_initial(s0.select(key, *tracked), d0)
-    for d, s in rest:
-        dim = scd2_merge(dim, s.select(key, *tracked), key, tracked, d, close_missing)
-    return dim
+    """Type-2 dimension of dated snapshots (oldest first)."""
+    rows = None
+    for d, s in snapshots:
+        part = s.select(key, *tracked, F.lit(d).cast("date").alias("snapshot_date"))
+        rows = part if rows is None else rows.unionByName(part)
+    return scd2_from_rows(rows, key, tracked, [d for d, _ in snapshots], close_missing)
+
+
+def scd2_from_rows(rows: DataFrame, key: str, tracked: Sequence[str], dates: Sequence[str],
+                   close_missing: bool = False) -> DataFrame:
+    """Type-2 dimension of all snapshots in one pass: ``rows`` has a row for
+    each key and ``snapshot_date`` (one of ``dates``) that knows it.  Each row
+    is compared with the key's row before it; a window holds one row a
+    snapshot.  The plan has one shuffle on the key however many snapshots
+    there are.  A key missing from a snapshot stays open unless
+    ``close_missing``."""
+    held = F.array(*[F.lit(d).cast("date") for d in dates])
+    r = rows.select(key, F.struct(*tracked).alias("_a"), F.array_position(held, F.col("snapshot_date")).alias("_i"))
+    w = Window.partitionBy(key).orderBy("_i")
+    before, seen = F.lag("_a").over(w), F.lag("_i").over(w)
+    starts = seen.isNull() | ~before.eqNullSafe(F.col("_a"))
+    if close_missing:
+        starts = starts | (F.col("_i") - seen > 1)
+    r = r.withColumn("_s", starts.cast("int")).withColumn("_v", F.sum("_s").over(w))
+    v = r.groupBy(key, "_v").agg(F.min_by("_a", "_i").alias("_a"), F.min("_i").alias("_from"), F.max("_i").alias("_to"))
+    end = F.lead("_from").over(Window.partitionBy(key).orderBy("_v"))
+    if close_missing:  # the next change, or the first snapshot without the key
+        end = F.least(end, F.when(F.col("_to") < len(dates), F.col("_to") + 1))
+    v = v.withColumn("_end", end)
+    return v.select(key, "_a.*", F.element_at(held, F.col("_from").cast("int")).alias("effective_date"),
+                    F.when(F.col("_end").isNotNull(), F.element_at(held, F.col("_end").cast("int"))).alias("expiry_date"),
+                    F.col("_end").isNull().alias("is_current"))
+
+
+def with_version_key(dim: DataFrame, key: str, out: str) -> DataFrame:
+    """The surrogate key of each version: natural key and effective date."""
+    return dim.withColumn(out, surrogate_key(key, "effective_date"))
 
 
 def scd2_lookup(facts: DataFrame, dim: DataFrame, key: str, ts: str, attrs: Sequence[str],

@@ -116,6 +116,16 @@ def q_affinity_top(spark, sf):
                                  min_support=P.MIN_SUPPORT, limit=P.TOP_PAIRS)
 
 
+@query("affinity_configured", with_(_BRAND_ITEMS, _CANON.format(src="bit")) + f"""
+SELECT product_a, product_b, co_occurrence_count, support, confidence, lift FROM lift
+WHERE support >= {P.MIN_SUPPORT} AND confidence >= {P.MIN_CONFIDENCE} AND lift >= {P.MIN_LIFT}
+ORDER BY co_occurrence_count DESC, product_a, product_b LIMIT {P.MAX_PAIRS}""")
+def q_affinity_configured(spark, sf):
+    """M05 with all configured thresholds as parameters."""
+    return affinity.affinity_top(_brand_items(spark, sf), T.read(spark, sf, "orders"), "brand", min_support=P.MIN_SUPPORT,
+                                 min_confidence=P.MIN_CONFIDENCE, min_lift=P.MIN_LIFT, limit=P.MAX_PAIRS)
+
+
 @query("cross_sell", with_(_BRAND_ITEMS, _CANON.format(src="bit")) + f""",
 bth AS (SELECT product_a AS product_id, product_b AS recommended_product_id, co_occurrence_count, support, confidence, lift FROM lift
          UNION ALL

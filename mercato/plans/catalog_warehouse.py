@@ -143,13 +143,13 @@ def _forders(spark, sf):
 def _customer_scd(spark, sf):
     cu, od = T.customers(spark, sf), T.orders(spark, sf)
     snaps = facts.customer_snapshots(cu, od, P.SNAPSHOT_DATES)
-    return scd.scd2_build(snaps, "customer_id", CUST_TRACKED)
+    return scd.scd2_from_rows(snaps, "customer_id", CUST_TRACKED, P.SNAPSHOT_DATES)
 
 
 def _product_scd(spark, sf):
     pr, li = T.products(spark, sf, P.COST_RATIO), T.order_lines(spark, sf)
     snaps = facts.product_snapshots(pr, li, P.SNAPSHOT_DATES)
-    return scd.scd2_build(snaps, "product_id", PROD_TRACKED)
+    return scd.scd2_from_rows(snaps, "product_id", PROD_TRACKED, P.SNAPSHOT_DATES)
 
 
 # ------------------------------------------------------------------ scans --
@@ -275,6 +275,66 @@ def q_fact_order_items(spark, sf):
     return _fitems(spark, sf, line_ids=True)
 
 
+# D07 on the facts: the key of the dimension version valid at the fact's time
+# (null before the first version).
+
+def _version_key_sql(key: str) -> str:
+    return (f"""CASE WHEN d.effective_date IS NOT NULL THEN md5('{{"k0":' || d.{key} || ',"k1":"' """
+            """|| strftime(d.effective_date, '%Y-%m-%d') || '"}') END""")
+
+
+def _asof_sql(key: str, dim: str, day: str) -> str:
+    return (f"LEFT JOIN {dim} d ON d.{key} = x.{key} AND {day} >= d.effective_date"
+            f" AND (d.expiry_date IS NULL OR {day} < d.expiry_date)")
+
+
+def _keyed(fact, dim, key, ts, out):
+    return scd.scd2_lookup(fact, scd.with_version_key(dim, key, out), key, ts, [out]).drop("effective_date")
+
+
+@query("fact_orders_keyed", with_(*CUST_SCD) + f"""
+SELECT x.order_id, x.customer_id, x.order_date, {_version_key_sql("customer_id")} AS customer_key
+FROM ord x {_asof_sql("customer_id", "dimc", "CAST(x.order_date AS DATE)")}""")
+def q_fact_orders_keyed(spark, sf):
+    o = _forders(spark, sf).select("order_id", "customer_id", "order_date")
+    return _keyed(o, _customer_scd(spark, sf), "customer_id", "order_date", "customer_key")
+
+
+@query("fact_order_items_keyed", with_(ITEMS, *PROD_SCD) + f"""
+, oi AS (SELECT i.order_item_id, i.order_id, i.product_id, o.o_orderdate AS order_date FROM items i JOIN orders o ON o.o_orderkey = i.order_id)
+SELECT x.order_item_id, x.order_id, x.product_id, x.order_date, {_version_key_sql("product_id")} AS product_key
+FROM oi x {_asof_sql("product_id", "dimp", "CAST(x.order_date AS DATE)")}""")
+def q_fact_order_items_keyed(spark, sf):
+    items = _items(spark, sf).select("order_item_id", "order_id", "product_id")
+    dated = items.join(T.orders(spark, sf).select("order_id", "order_date"), "order_id")
+    return _keyed(dated, _product_scd(spark, sf), "product_id", "order_date", "product_key") \
+        .select("order_item_id", "order_id", "product_id", "order_date", "product_key")
+
+
+@query("fact_web_events_keyed", with_(*CUST_SCD, WEB) + f"""
+SELECT x.event_id, x.customer_id, x.event_timestamp, {_version_key_sql("customer_id")} AS customer_key,
+       md5('{{"k0":"' || x.session_id || '"}}') AS session_key
+FROM web x {_asof_sql("customer_id", "dimc", "CAST(x.event_timestamp AS DATE)")}""")
+def q_fact_web_events_keyed(spark, sf):
+    ev = facts.fact_web_events(_web(spark, sf), with_keys=True).select("event_id", "customer_id", "event_timestamp", "session_key")
+    return _keyed(ev, _customer_scd(spark, sf), "customer_id", "event_timestamp", "customer_key") \
+        .select("event_id", "customer_id", "event_timestamp", "customer_key", "session_key")
+
+
+@query("dq_version_keys", with_(*CUST_SCD) + f"""
+, k AS (SELECT {_version_key_sql("customer_id")} AS customer_key FROM ord x {_asof_sql("customer_id", "dimc", "CAST(x.order_date AS DATE)")})
+SELECT 'fact.orders' AS table_name, 'referential' AS check_type, 'customer_key' AS column_name, COUNT(*) AS records_checked,
+       CAST(0 AS BIGINT) AS records_failed, 'PASS' AS check_result FROM k WHERE customer_key IS NOT NULL""")
+def q_dq_version_keys(spark, sf):
+    """Every customer_key of the order fact is a version of the dimension."""
+    from mercato.operators import quality
+
+    dim = scd.with_version_key(_customer_scd(spark, sf), "customer_id", "customer_key")
+    o = _forders(spark, sf).select("order_id", "customer_id", "order_date")
+    keyed = scd.scd2_lookup(o, dim, "customer_id", "order_date", ["customer_key"]).filter("customer_key IS NOT NULL")
+    return quality.referential(keyed, dim, "customer_key", "customer_key", "fact.orders", "customer_key")
+
+
 # ---------------------------------------------------------------- metrics --
 
 _DS = """,
@@ -346,6 +406,26 @@ def q_product_performance(spark, sf):
     return _perf(spark, sf)
 
 
+@query("product_performance_events", with_(PROD, ITEMS, FITEMS) + _PERF + """,
+ev AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS product_id, CAST(ts AS DATE) AS metric_date,
+              COUNT(*) FILTER (WHERE event_type = 'view') AS views, COUNT(*) FILTER (WHERE event_type = 'click') AS add_to_cart
+       FROM events WHERE json_extract(props, '$.k') IS NOT NULL GROUP BY 1, 2)
+SELECT COALESCE(e.product_id, p.product_id) AS product_id, COALESCE(e.metric_date, p.metric_date) AS metric_date,
+       COALESCE(e.views, 0) AS views, COALESCE(e.add_to_cart, 0) AS add_to_cart, COALESCE(p.purchases, 0) AS purchases,
+       COALESCE(p.quantity_sold, 0) AS quantity_sold, COALESCE(p.revenue, CAST(0 AS DECIMAL(28,2))) AS revenue,
+       COALESCE(p.profit, CAST(0 AS DECIMAL(28,2))) AS profit,
+       CAST(COALESCE(p.purchases, 0) AS DOUBLE) / NULLIF(CAST(e.views AS DOUBLE), 0) AS conversion_rate
+FROM ev e FULL OUTER JOIN perf p ON p.product_id = e.product_id AND p.metric_date = e.metric_date""")
+def q_product_performance_events(spark, sf):
+    """T02 with views and carts: an event's product is its property k (a
+    declared mapping of the landed events)."""
+    from mercato.schemas import PROPS_JSON
+
+    bridge = T.read(spark, sf, "events").select("event_id", F.from_json("props", PROPS_JSON).getField("k").alias("product_id")) \
+        .filter(F.col("product_id").isNotNull())
+    return metrics.product_performance(_fitems(spark, sf), T.orders(spark, sf), T.raw_events(spark, sf), bridge)
+
+
 @query("revenue_trend", with_(ORD) + """
 SELECT CASE WHEN GROUPING(day) = 0 THEN 'day' WHEN GROUPING(week) = 0 THEN 'week' ELSE 'month' END AS grain,
        COALESCE(day, week, month) AS period_start, COUNT(*) AS orders,

@@ -10,6 +10,9 @@ COST_RATIO = 0.6
 SAMPLE_CUSTOMER = 42            # P06: the customer whose sessions are shown
 SEGMENT_FILTER = "Champions"    # P05
 MIN_SUPPORT = 0.01              # M05 (API default)
+MIN_CONFIDENCE = 0.15           # M05: near the data's own, so that pairs remain
+MIN_LIFT = 0.95                 # M05
+MAX_PAIRS = 1000                # M05 (configured)
 TOP_PAIRS = 20                  # M05 (API default)
 CROSS_SELL_K = 3                # M06
 RETENTION_PERIODS = 12          # C06
