@@ -1,12 +1,12 @@
 """Token ids of whole texts, with the tokenizers library.
 
 The tokenizer drops white space and never merges across the pieces of its
-split pattern, so a text's ids are those of its words, and a word's ids are
-those of its pieces.  Words between ASCII white space are looked up in a cache;
-those not in it are cut into pieces, and each new piece is encoded once.  Words
-with characters beyond ``PLAIN_LINES``, or that may hold a special string, take the
+split pattern, so a text's ids are those of its pieces.  A text of ``PLAIN``
+characters is cut into pieces here; each new piece is encoded once and kept.
+Other texts, and those that hold a special string, are cut at ASCII white
+space (no piece goes over it), and their words that are not plain take the
 tokenizer's whole pipeline.  The ids equal those of the whole text (tests
-compare the two).  The caches hold ``CACHE`` entries at most and then start
+compare the two).  The cache holds ``CACHE`` pieces at most and then starts
 anew, so a task's memory does not grow with its texts."""
 
 from __future__ import annotations
@@ -16,21 +16,32 @@ import os
 import re
 
 import numpy as np
-import regex
 from pyspark.sql import SparkSession
 
 from mercato.llm.common import Payload, per_worker
 
 WORD_BPE = "word_bpe_49k.json"
-CACHE = 200_000
+#: Some 200 MB at most.
+CACHE = 1_000_000
 #: Pieces that go to the tokenizer as one text.
 TOGETHER = 200
 
 #: Characters whose normal form, lower case and category no version of Unicode
-#: has changed: printable ASCII, Latin-1 and Latin Extended-A but for U+0130.
-PLAIN_LINES = re.compile("[\\n!-~¡-įı-ſ]+")
-#: Stands for a line's end among ids; no vocabulary is that large.
-BREAK = np.array(0xFFFFFFFF, dtype="<u4")
+#: has changed: ASCII, Latin-1 and Latin Extended-A but for U+0130; of them,
+#: letters and numbers.  The rest of the split pattern is the tokenizer's own.
+_PLAIN = r"\t-\r -~\u00A1-\u012F\u0131-\u017F"
+_LETTERS = r"A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F"
+_NUMBERS = r"0-9\u00B2\u00B3\u00B9\u00BC-\u00BE"
+PLAIN = re.compile(f"[{_PLAIN}]*")
+
+
+def plain_pattern(split: str) -> re.Pattern:
+    """The split pattern for plain text, with its classes spelt out."""
+    classes = {r"[\p{L}]+": f"[{_LETTERS}]+", r"[\p{N}]": f"[{_NUMBERS}]", r"[^\s\p{L}\p{N}]+": rf"[^\s{_LETTERS}{_NUMBERS}]+"}
+    parts = [classes.get(p, p) for p in split.split("|")]
+    if not set(classes) <= set(split.split("|")) or any("\\p" in p for p in parts):
+        raise ValueError("the tokenizer splits by another pattern")
+    return re.compile("|".join(parts))
 
 
 def tokenizer_path(name: str = WORD_BPE) -> str:
@@ -58,7 +69,7 @@ class Encoder:
         self.whole = Tokenizer.from_str(definition)
         d = json.loads(definition)
         steps = d["pre_tokenizer"]["pretokenizers"]
-        self.pattern = regex.compile(next(s for s in steps if s["type"] == "Split")["pattern"]["Regex"] + r"|\n")
+        self.pattern = plain_pattern(next(s for s in steps if s["type"] == "Split")["pattern"]["Regex"])
         self.special = [t["content"] for t in d["added_tokens"]]
         # the same model behind a split at spaces, for pieces found here
         d["normalizer"], d["added_tokens"] = None, []
@@ -70,10 +81,9 @@ class Encoder:
         self.ends = np.zeros(max(d["model"]["vocab"].values()) + 1, dtype=bool)
         for token, i in d["model"]["vocab"].items():
             self.ends[i] = token.endswith(suffix)
-        self.known: dict[bytes, bytes] = {}
-        self.known_pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
-    def _learn_pieces(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         groups = [pieces[a:a + TOGETHER] for a in range(0, len(pieces), TOGETHER)]
         for group, e in zip(groups, self.pieces.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, dtype="<u4")
@@ -82,40 +92,32 @@ class Encoder:
                 raise ValueError("the tokenizer left a piece without its end")
             raw, at = ids.tobytes(), 0
             for piece, end in zip(group, (4 * last).tolist()):
-                self.known_pieces[piece] = raw[at:end]
+                self.known[piece] = raw[at:end]
                 at = end
 
-    def _learn(self, words: list[bytes]) -> None:
-        for a in range(0, len(words), TOGETHER * 20):
-            part = words[a:a + TOGETHER * 20]
-            text = b"\n".join(part).decode()
-            if not PLAIN_LINES.fullmatch(text) or any(s in text for s in self.special):
-                lines = text.split("\n")
-                plain = [bool(PLAIN_LINES.fullmatch(t)) and not any(s in t for s in self.special) for t in lines]
-                got = self.whole.encode_batch_fast([t for t, p in zip(lines, plain) if not p], add_special_tokens=False)
-                self.known.update((w, np.array(e.ids, dtype="<u4").tobytes())
-                                  for w, e in zip((w for w, p in zip(part, plain) if not p), got))
-                part = [w for w, p in zip(part, plain) if p]
-                text = b"\n".join(part).decode()
-            if part:
-                self._learn_plain(part, text)
-
-    def _learn_plain(self, words: list[bytes], lines: str) -> None:
-        pieces = self.pattern.findall(lines.lower())
-        if len(self.known_pieces) > CACHE:
-            self.known_pieces = {}
-        self.known_pieces["\n"] = BREAK.tobytes()
-        self._learn_pieces([p for p in set(pieces) if p not in self.known_pieces])
-        raw = b"".join(map(self.known_pieces.__getitem__, pieces))
-        breaks = 4 * np.flatnonzero(np.frombuffer(raw, dtype="<u4") == BREAK)
-        for w, start, end in zip(words, [0, *(breaks + 4).tolist()], [*breaks.tolist(), len(raw)]):
-            self.known[w] = raw[start:end]
+    def _is_plain(self, text: str) -> bool:
+        return PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+
+    def _ids_of_other(self, text: str) -> bytes:
+        """A text that is not plain, word by word."""
+        out = []
+        for w in text.encode().split():
+            t = w.decode()
+            if self._is_plain(t):
+                pieces = self.pattern.findall(t.lower())
+                self._learn([p for p in set(pieces) if p not in self.known])
+                out += map(self.known.__getitem__, pieces)
+            else:
+                out.append(np.array(self.whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes())
+        return b"".join(out)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """uint32 ids of each text (null: none)."""
-        split = [t.encode().split() if t else [] for t in texts]
         if len(self.known) > CACHE:
             self.known = {}
-        self._learn([w for w in set().union(*split) if w not in self.known])
+        find = self.pattern.findall
+        cut = [[] if not t else find(t.lower()) if self._is_plain(t) else None for t in texts]
+        self._learn([p for p in set().union(*(c for c in cut if c)) if p not in self.known])
         at = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(at, words)), dtype="<u4") for words in split]
+        return [np.frombuffer(self._ids_of_other(t) if c is None else b"".join(map(at, c)), dtype="<u4")
+                for t, c in zip(texts, cut)]

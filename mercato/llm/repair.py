@@ -92,10 +92,15 @@ def compress(ids: np.ndarray, min_count: int | None = None, rounds: int | None =
         # an occurrence stands if no overlapping one is more frequent; in a run
         # of one pair (a a a a) every other one does.  The rest see what is
         # left in the next round
-        place = np.arange(len(at))
-        begins = at != rank[:-2]
-        odd = (place - np.maximum.accumulate(np.where(begins, place, 0))) & 1
-        stand = np.flatnonzero((at < len(pair)) & (odd == 0) & (~begins | (at < rank[:-2])) & (at <= rank[2:]))
+        before, after = rank[:-2], rank[2:]
+        ok = (at < before) & (at <= after) & (at < len(pair))
+        run = np.flatnonzero((at == before) & (at < len(pair)))
+        if len(run):
+            begins = np.flatnonzero(np.r_[True, np.diff(run) > 1])
+            place = run - np.repeat(run[begins], np.diff(np.r_[begins, len(run)])) + 1
+            run = run[place % 2 == 0]
+            ok[run] = at[run] <= after[run]
+        stand = np.flatnonzero(ok)
         used = np.bincount(at[stand], minlength=len(pair))
         good = used >= max(2, min_count // 2)
         stand = stand[good[at[stand]]]
