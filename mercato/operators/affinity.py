@@ -2,10 +2,12 @@
 
 Pairs are produced by a self equi-join on the order id (never a nested loop
 or a cross join) and counted with partial aggregation.  A basket with more
-than ``hot_threshold`` lines is salted: its left rows are spread over
-``salt_buckets`` sub-keys and its right rows replicated once per sub-key, so
-one huge order becomes ``salt_buckets`` join tasks instead of one (AQE's
-skew-join split is the second line of defence).  Apriori
+than ``hot_threshold`` lines is salted: its left rows are spread over sub-keys
+and its right rows replicated once per sub-key.  The pairs of a basket grow
+with the square of its size, so the number of sub-keys does (``salt_buckets``
+at least): no task makes more than about ``hot_threshold`` squared pairs of
+one order.  Lift, top pairs and cross-selling read the order lines once, into
+a written table of distinct (order, item).  Apriori
 pruning (drop items below the support threshold before pairing) keeps the
 threshold queries small.  Order totals are scalar subqueries.
 """
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from mercato.functions.expressions import ratio
 from mercato.operators.facts import order_item_ids
 from mercato.operators.joins import checked_small
+from mercato.session import materialize
 
 HOT_BASKET = 10_000
 SALT_BUCKETS = 16
@@ -28,14 +31,15 @@ def _total_orders(orders: DataFrame) -> Column:
 
 
 def _hot_orders(lines: DataFrame, hot_threshold: int | None):
-    """Orders with more than ``hot_threshold`` lines as (order_id, _hot), or
-    None when there are none.  One aggregate on the order id, map-side
+    """Orders with more than ``hot_threshold`` lines as (order_id, _hot), where
+    _hot is the square of how often the size is over it, or None when there
+    are none.  One aggregate on the order id, map-side
     combined; the list is broadcast later only if its size check passed."""
     if hot_threshold is None:
         return None
     sizes = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
     hot, small_enough, n_hot = checked_small(sizes.filter(F.col("_n") > hot_threshold)
-                                             .select("order_id", F.lit(True).alias("_hot")))
+                                             .select("order_id", F.ceil(F.pow(F.col("_n") / F.lit(max(1, hot_threshold)), 2)).cast("int").alias("_hot")))
     if n_hot == 0:
         hot.unpersist()
         return None
@@ -46,16 +50,17 @@ def _pairs(items: DataFrame, cond, hot: DataFrame | None, salt_buckets: int = SA
     """items(order_id, item, k) -> (order_id, a, b) for pairs with cond(l, r).
 
     ``hot`` None: a plain self-join on the order id.  Otherwise only the hot
-    orders are salted (left rows spread over ``salt_buckets`` sub-keys, right
-    rows replicated once per sub-key); all other orders keep sub-key 0.
+    orders are salted (left rows spread over sub-keys, right rows replicated
+    once per sub-key); all other orders keep sub-key 0.
     """
     if hot is None:
         left = items.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"))
         right = items.select("order_id", F.col("item").alias("b"), F.col("k").alias("kb"))
         return left.join(right, "order_id").filter(cond(F.col("ka"), F.col("kb"))).select("order_id", "a", "b")
     t = items.join(hot, "order_id", "left")
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("item", "k"), F.lit(salt_buckets))).otherwise(F.lit(0))
-    replicas = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
+    salts = F.greatest(F.col("_hot"), F.lit(salt_buckets))
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64("item", "k"), salts)).otherwise(F.lit(0))
+    replicas = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
     left = t.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"), salt.cast("int").alias("_salt"))
     right = t.select("order_id", F.col("item").alias("b"), F.col("k").alias("kb"),
                      F.explode(replicas).alias("_salt")).withColumn("_salt", F.col("_salt").cast("int"))
@@ -106,9 +111,20 @@ def product_affinity(order_items: DataFrame, orders: DataFrame, item_col: str =
     return pair_counts(canonical_pairs(order_items, item_col, **kw), orders)
 
 
-def item_counts(order_items: DataFrame, item_col: str = "product_id") -> DataFrame:
-    return order_items.select("order_id", F.col(item_col).alias("item")).distinct() \
-        .groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+def basket_items(order_items: DataFrame, item_col: str = "product_id") -> DataFrame:
+    """Distinct (order_id, item), written once: counts, pruning and both sides
+    of the pair join read this narrow table."""
+    return materialize(order_items.select("order_id", F.col(item_col).alias("item")).distinct())
+
+
+def item_counts(items: DataFrame) -> DataFrame:
+    return items.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _basket_pairs(items: DataFrame, orders: DataFrame, hot_threshold: int | None = HOT_BASKET,
+                  salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    pairs = _pairs(items.withColumn("k", F.col("item")), lambda l, r: l < r, _hot_orders(items, hot_threshold), salt_buckets)
+    return pair_counts(pairs, orders)
 
 
 def _with_lift(pairs: DataFrame, counts: DataFrame, orders: DataFrame, checked: bool = False) -> DataFrame:
@@ -133,8 +149,8 @@ def _with_lift(pairs: DataFrame, counts: DataFrame, orders: DataFrame, checked:
 
 def affinity_lift(order_items: DataFrame, orders: DataFrame, item_col: str = "product_id", **kw) -> DataFrame:
     """Canonical pairs with confidence(a->b) = n_ab/n_a and lift."""
-    pairs = product_affinity(order_items, orders, item_col, **kw)
-    return _with_lift(pairs, item_counts(order_items, item_col), orders).drop("n_a", "n_b")
+    items = basket_items(order_items, item_col)
+    return _with_lift(_basket_pairs(items, orders, **kw), item_counts(items), orders).drop("n_a", "n_b")
 
 
 def affinity_top(order_items: DataFrame, orders: DataFrame, item_col: str = "product_id",
@@ -143,15 +159,13 @@ def affinity_top(order_items: DataFrame, orders: DataFrame, item_col: str = "pro
     """Pairs above thresholds, most frequent first.  Items whose own support
     is below ``min_support`` cannot be in a qualifying pair and are removed
     before pairing (exact)."""
-    counts, small_enough, _ = checked_small(item_counts(order_items, item_col))  # one pass, cached
+    items = basket_items(order_items, item_col)
+    counts, small_enough, _ = checked_small(item_counts(items))  # one pass, cached
     total = _total_orders(orders)
     frequent = counts.filter(F.col("n").cast("double") / total >= F.lit(min_support))
     frequent = F.broadcast(frequent) if small_enough else frequent
-    items = order_items.select("order_id", F.col(item_col).alias("it")) \
-        .join(frequent.select(F.col("item").alias("it")), "it", "left_semi")
-    pruned = items.select("order_id", F.col("it").alias(item_col))
-    pairs = pair_counts(canonical_pairs(pruned, item_col, **kw), orders) \
-        .filter(F.col("support") >= F.lit(min_support))
+    pruned = items.join(frequent.select("item"), "item", "left_semi").select("order_id", "item")
+    pairs = _basket_pairs(pruned, orders, **kw).filter(F.col("support") >= F.lit(min_support))
     out = _with_lift(pairs, frequent, orders, checked=small_enough).drop("n_a", "n_b")
     if min_confidence is not None:
         out = out.filter(F.col("confidence") >= F.lit(min_confidence))
@@ -169,8 +183,8 @@ def cross_sell(order_items: DataFrame, orders: DataFrame, item_col: str = "produ
     per partition."""
     from pyspark.sql import Window
 
-    pairs = product_affinity(order_items, orders, item_col, **kw)
-    m = _with_lift(pairs, item_counts(order_items, item_col), orders)
+    items = basket_items(order_items, item_col)
+    m = _with_lift(_basket_pairs(items, orders, **kw), item_counts(items), orders)
     # both directions from ONE pass over the pair table (no self-union)
     fields = ["co_occurrence_count", "support", "lift"]
     fwd = F.struct(F.col("product_a").alias("product_id"), F.col("product_b").alias("recommended_product_id"),
