@@ -21,8 +21,8 @@ from pyspark.sql import SparkSession
 from mercato.llm.common import Payload, per_worker
 
 WORD_BPE = "word_bpe_49k.json"
-#: Some 200 MB at most.
-CACHE = 1_000_000
+#: Some 120 MB at most.
+CACHE = 600_000
 #: Pieces that go to the tokenizer as one text.
 TOGETHER = 200
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from mercato.session import scratch_path
 
 #: Bytes of text that one step inside a task handles at once.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 #: Rows that one such step handles at once.
 SLICE_ROWS = 8192
 
@@ -76,6 +76,7 @@ def append_columns(df: DataFrame, make: Callable[[], Callable[[list], list]],
     schema = T.StructType([src.schema[c] for c in kept] + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        per_worker(None, lambda: None)
         fn = make()
         for batch in batches:
             for part in slices(batch, column):
@@ -106,12 +107,14 @@ def set_aside(docs: DataFrame, names: list[str], fn: Callable[[DataFrame], DataF
 
 
 def per_worker(key, make: Callable):
-    """``make()``, kept by the Python worker for its later tasks: for objects
-    that are slow to build and of bounded size."""
+    """``make()``, kept by the Python worker for its later tasks of this kind:
+    for objects that are slow to build and of bounded size.  A worker keeps one
+    such object; tasks of another kind give it up."""
     held = sys.modules.setdefault("_mercato_worker", types.ModuleType("_mercato_worker")).__dict__
-    if key not in held:
-        held[key] = make()
-    return held[key]
+    if held.get("key") != key:
+        held.update(key=None, value=None)  # the old one goes before the new one is built
+        held.update(value=make(), key=key)
+    return held.get("value")
 
 
 class Payload:
