@@ -168,7 +168,8 @@ def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     low = 0 if low is None else low
     first = low - 1 if nulls else low  # nulls come before all ids
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(low - 1))
-    ranges = -(-(total or 0) // range_bytes)
+    # a range a shuffle partition, more if they would be large
+    ranges = max(-(-(total or 0) // range_bytes), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     starts = sorted({first, *cut_points(docs.select(key.alias("k")), "k", ranges)})
     part = bucket_of(key, starts, "bigint") - 1
     # a range's first document is also the next one of the range before it
@@ -178,7 +179,7 @@ def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), part.alias("part"), key.alias("key"))
             .withColumn("at", F.explode(F.coalesce(places, F.array(F.struct(F.col("part"), F.lit(False).alias("after"))))))
             .select("at.part", "at.after", "key", "doc_id", "text")
-            .repartition(len(starts), "part").sortWithinPartitions("part", "after", "key", "text"))
+            .repartitionById(len(starts), "part").sortWithinPartitions("part", "after", "key", "text"))
 
     def run(batches):
         hasher = Hasher()
