@@ -4,7 +4,9 @@ DataFrame functions only (no Python on the executors, no shuffle).
 Found: e-mail addresses, IPv4 addresses, phone numbers, payment cards (Luhn),
 US social security numbers, IBANs (mod 97), calendar dates 1900-2099, access
 keys and the values of password, token, secret and API-key assignments.
-Numbers and dates that fail their validation are left alone.
+Numbers and dates that fail their validation are left alone.  Cards are looked
+for at every digit group, in the written forms of ``CARD``, so other numbers
+may stand next to them; an IBAN has its country's length.
 
 Each value is permuted by a keyed Feistel network within its own format, so
 equal values stay linked across documents and the pseudonym is as valid as
@@ -36,18 +38,49 @@ ROUNDS = 8
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 ASSIGNED = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[ \t]{0,4}[=:][ \t]{0,4}[\"']?)[A-Za-z0-9+/_-]{8,}+"
 ACCESS_KEY = r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b"
-IBAN = r"\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b"
+#: Countries by the length of their IBANs.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    tail = f" [A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{length - 4}}}|(?: [A-Z0-9]{{4}}){{{groups}}}{tail})"
+
+
+def _layout(*groups: int) -> str:
+    return "[ -]".join(f"[0-9]{{{n}}}" for n in groups)
+
+
+#: With its country's length, so that no word behind it is taken in; else any length.
+IBAN = (r"\b(?:" + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items())
+        + r"|[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))\b")
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 DATE_YMD = r"(?<![0-9/.-])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9/-])"
-DATE_DMY = r"(?<![0-9/.-])(?:0?[1-9]|[12][0-9]|3[01])([/.])(?:0?[1-9]|[12][0-9]|3[01])\1(?:19|20)[0-9]{2}(?![0-9/-])"
+_FIELD = "(?:0?[1-9]|[12][0-9]|3[01])"
+DATE_DMY = ("(?<![0-9/.-])(?:" + "|".join(f"{_FIELD}{sep}{_FIELD}{sep}(?:19|20)[0-9]{{2}}" for sep in ("/", "[.]")) + ")(?![0-9/-])")
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
-CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])"
-PHONE_PLUS = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+#: A phone number ends before a card in groups.
+_GROUPED = "[ -](?:" + "|".join(_layout(*x) for x in [(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 5, 6)]) + ")(?![0-9])"
+PHONE_PLUS = (r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})"
+              f"(?:(?!{_GROUPED}(?! ?[0-9]{{4}}(?![0-9])))[ .-]?[0-9]{{2,4}}){{2}}(?:(?!{_GROUPED})[ .-]?[0-9]{{2,4}}){{0,2}}(?![0-9])")
 PHONE_US = r"(?<![0-9.+-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+#: Digit groups joined by single blanks or hyphens, up to a value of another
+#: kind; ``_cards`` finds the cards among them.
+DIGITS = ("(?<![0-9])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?:[ -](?!" + "|".join([IP, DATE_YMD, DATE_DMY, SSN, PHONE_US]) + ")[0-9]++)*+")
+#: Written forms of cards, each tried at every group of a run of digits.
+CARD = "^(?:" + "|".join(["[0-9]{13,19}", *(_layout(*x) for x in [
+    (4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 5, 6), (4, 4, 5), (4, 3, 3, 3), (8, 8), (6, 10), (6, 13)])]) + ")(?![0-9])"
+CARD_19 = "^" + _layout(4, 4, 4, 4, 3) + "(?![0-9])"
 
 #: Most positions of a text fail at the first step of either branch.
 FOUND = ("(?<![A-Za-z0-9])(?:" + "|".join([EMAIL, ASSIGNED, ACCESS_KEY, IBAN]) + ")"
-         "|(?=[0-9+(])(?:" + "|".join([IP, DATE_YMD, DATE_DMY, SSN, PHONE_PLUS, PHONE_US, CARD]) + ")")
+         "|(?=[0-9+(])(?:" + "|".join([IP, DATE_YMD, DATE_DMY, SSN, PHONE_PLUS, PHONE_US, DIGITS]) + ")")
 #: A text without any of these holds no value.
 HINT = "[0-9@=:]"
 
@@ -161,7 +194,55 @@ def _card(m: Column, key: str) -> Column:
         body = F.concat(F.substring(d, 1, 1), permute(F.substring(d, F.lit(2), F.length(d) - 2), key, "card"))
         return _refill(m, let(body, lambda b: F.concat(b, F.pmod(-_luhn_sum(b, 0), F.lit(10)).cast("string"))))
 
-    return let(_digits(m), lambda d: F.when(_luhn_sum(d, 1) % 10 == 0, valid(d)).otherwise(m))
+    return let(_digits(m), valid)
+
+
+def _luhn(m: Column) -> Column:
+    return let(_digits(m), lambda d: _luhn_sum(d, 1) % 10 == 0)
+
+
+def _one(m: Column, new: Column) -> Column:
+    """A match and its pseudonym: the text, and the number of values replaced."""
+    return let(new, lambda x: F.struct(x.alias("text"), (x != m).cast("long").alias("n")))
+
+
+def _cards(m: Column, key: str, odd: bool) -> Column:
+    """The cards among the digit groups of a match, from the left, each in a
+    written form; if there is none and ``odd``, all of 13 to 19 digits, however
+    grouped, as one card."""
+    def joined(groups: Column, at: Column, n: Column) -> Column:
+        return F.array_join(F.slice(groups, at + 1, n), "")
+
+    def first_valid(near: Column) -> Column:
+        def size(form: str, other: Column) -> Column:
+            return let(F.regexp_extract(near, form, 0), lambda c: F.when(
+                (c != "") & _luhn(c), F.size(F.split(c, "[ -]"))).otherwise(other))
+
+        return size(CARD, size(CARD_19, F.lit(0)))
+
+    def placed(groups: Column) -> Column:
+        """(first group, number of groups) of every card, none within another."""
+        every = F.filter(F.transform(groups, lambda g, i: F.struct(
+            i.alias("at"), F.when(g.rlike("^[0-9]"), let(joined(groups, i, F.lit(5)), first_valid)).otherwise(0).alias("n"))),
+            lambda c: c["n"] > 0)
+        none = F.filter(every, lambda c: F.lit(False))
+        return F.aggregate(every, none, lambda acc, c: F.when(
+            c["at"] >= F.coalesce(F.get(acc, F.size(acc) - 1)["at"] + F.get(acc, F.size(acc) - 1)["n"], F.lit(0)),
+            F.concat(acc, F.array(c))).otherwise(acc))
+
+    def written(groups: Column, cards: Column) -> Column:
+        def end(k: Column) -> Column:
+            return F.coalesce(F.get(cards, k)["at"] + F.get(cards, k)["n"], F.lit(0))
+
+        new = F.transform(cards, lambda c, k: F.concat(
+            joined(groups, end(k - 1), c["at"] - end(k - 1)), _card(joined(groups, c["at"], c["n"]), key)))
+        tail = joined(groups, end(F.size(cards) - 1), F.size(groups))
+        return F.struct(F.concat(F.array_join(new, ""), tail).alias("text"), F.size(cards).cast("long").alias("n"))
+
+    whole = F.when(F.length(_digits(m)).between(13, 19) & _luhn(m), _one(m, _card(m, key))) if odd else F.when(F.lit(False), _one(m, m))
+    none = whole.otherwise(F.struct(m.alias("text"), F.lit(0).cast("long").alias("n")))
+    return let(F.regexp_extract_all(m, F.lit("[0-9]+[ -]?|[^0-9]+"), F.lit(0)), lambda groups: let(
+        placed(groups), lambda cards: F.when(F.size(cards) > 0, written(groups, cards)).otherwise(none)))
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -189,7 +270,8 @@ def _iban(m: Column, key: str) -> Column:
     def whole(s: Column) -> Column:
         body = F.substring(s, F.lit(5), F.length(s))
         valid = let(F.concat(body, F.substring(s, 1, 4)), _mod97) == 1
-        return F.when(valid, _refill(m, let(permute(body, key, "iban"), lambda n: checked(s, n)), "[0-9A-Z]")).otherwise(m)
+        new = _refill(m, let(permute(body, key, "iban"), lambda n: checked(s, n)), "[0-9A-Z]")
+        return F.when(valid, _one(m, new)).otherwise(_cards(m, key, odd=False))
 
     return let(F.replace(m, F.lit(" "), F.lit("")), whole)
 
@@ -257,20 +339,22 @@ def _assigned(m: Column, key: str) -> Column:
 
 
 def pseudonym(m: Column, key: str) -> Column:
-    """The pseudonym of one match of FOUND; the match itself if not valid."""
+    """The pseudonym of one match of FOUND (the match itself if not valid) and
+    the number of values replaced in it."""
     def whole(pattern: str) -> Column:
         return m.rlike(f"^(?:{pattern})$")
 
-    return (F.when(whole(EMAIL), _email(m, key))
-            .when(m.rlike("^(?i:password|passwd|pwd|secret|token|api)"), _assigned(m, key))
-            .when(whole(ACCESS_KEY), F.concat(F.substring(m, 1, 4), permute(F.substring(m, 5, 16), key, "access")))
+    access = F.concat(F.substring(m, 1, 4), permute(F.substring(m, 5, 16), key, "access"))
+    return (F.when(whole(EMAIL), _one(m, _email(m, key)))
+            .when(m.rlike("^(?i:password|passwd|pwd|secret|token|api)"), _one(m, _assigned(m, key)))
+            .when(whole(ACCESS_KEY), _one(m, access))
             .when(m.rlike("^[A-Z]{2}"), _iban(m, key))
-            .when(whole(IP), _ip(m, key))
-            .when(whole(DATE_YMD), _date_ymd(m, key))
-            .when(whole(DATE_DMY), _date_dmy(m, key))
-            .when(whole(SSN), _ssn(m, key))
-            .when(whole(CARD), _card(m, key))
-            .otherwise(_phone(m, key)))
+            .when(whole(IP), _one(m, _ip(m, key)))
+            .when(whole(DATE_YMD), _one(m, _date_ymd(m, key)))
+            .when(whole(DATE_DMY), _one(m, _date_dmy(m, key)))
+            .when(whole(SSN), _one(m, _ssn(m, key)))
+            .when(m.startswith("+") | whole(PHONE_US), _one(m, _phone(m, key)))
+            .otherwise(_cards(m, key, odd=True)))
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
@@ -282,8 +366,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFra
     some = F.coalesce(F.size("_found") > 0, F.lit(False))
     found = (found.withColumn("_new", F.when(some, F.transform("_found", lambda m: pseudonym(m, key))))
              .withColumn("_gaps", F.when(some, F.split(t, FOUND, -1))))
-    new = F.array_join(F.zip_with("_gaps", "_new", lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
-    changed = F.aggregate(F.arrays_zip("_found", "_new"), F.lit(0).cast("long"),
-                          lambda acc, x: acc + (x["_found"] != x["_new"]).cast("long"))
+    new = F.array_join(F.zip_with("_gaps", "_new", lambda g, m: F.concat(g, F.coalesce(m["text"], F.lit("")))), "")
+    changed = F.aggregate("_new", F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
     return (found.withColumn("n_values", F.when(some, changed).otherwise(F.lit(0).cast("long")))
             .withColumn(text, F.when(some, new).otherwise(t)).drop("_found", "_new", "_gaps"))

@@ -86,6 +86,42 @@ def test_equal_values_stay_linked_and_valid(masked):
     assert len(octets) == 4 and all(0 <= int(o) < 256 for o in octets)
 
 
+CARD, SPACED, AMEX = "4041894974608795", "4041 8949 7460 8795", "3782 822463 10005"
+IBANS = ["ES91 2100 0418 4502 0005 1332", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"]
+#: Text and the values that must go from it.
+NEIGHBOURS = [
+    (f"{CARD} 12/25", [CARD]), (f"{SPACED} 123", [SPACED]), (f"7 {CARD}", [CARD]), (f"{CARD} {CARD}", [CARD, CARD]),
+    (f"{CARD}-{CARD}", [CARD, CARD]), (f"{SPACED} {SPACED}", [SPACED, SPACED]), (f"2024-01-02 {CARD}", ["2024-01-02", CARD]),
+    (f"{CARD} 2024-01-02", [CARD, "2024-01-02"]), (f"2024 {SPACED} 2025", [SPACED]), (f"{AMEX} 1234", [AMEX]), (f"no 12-{CARD}-34", [CARD]),
+    (f"{CARD} 123-45-6789 {CARD}", [CARD, "123-45-6789", CARD]), (f"{CARD} 988-555-2485", [CARD, "988-555-2485"]),
+    (f"{CARD} 42.144.35.254", [CARD, "42.144.35.254"]), (f"{CARD} 28.02.2001", [CARD, "28.02.2001"]),
+    (f"+1 (988) 555-2485 {SPACED}", ["+1 (988) 555-2485", SPACED]), (f"+49 30 1234 5678 {SPACED} 123", ["+49 30 1234 5678", SPACED]),
+    (f"+49 30 1234 5678 {SPACED} 1234 5678", ["+49 30 1234 5678", SPACED]), (f"+1 988 555 2485 {AMEX}", ["+1 988 555 2485", AMEX]),
+    (f"12345678901234567890123 {CARD}", [CARD]), (f"AB12 {SPACED}", [SPACED]), ("404189 49746 08795", ["404189 49746 08795"]),
+    *((f"{x} {after}", [x]) for x in IBANS for after in ("EUR", "BANK", "12", "1234 5678")),
+    ("4041894974608796 12", []), ("1 2 3 4 5 6 7 8 9 10 11 12 13 14 15", []), ("0 " * 20_000, []),
+    ("12 34 " * 3000 + CARD, [CARD]),
+]
+
+
+def test_values_next_to_other_digits(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NEIGHBOURS)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.pseudonymise(docs).collect()}
+    for i, (text, values) in enumerate(NEIGHBOURS):
+        r = got[i]
+        assert r["n_values"] == len(values), (text[:60], r["text"][:60])
+        assert not [v for v in values if v in r["text"]], text[:60]
+        for v in values:
+            if v in (CARD, SPACED, AMEX):
+                # digits beside the card stay as they were, the card stays a valid one
+                a = text.index(v)
+                assert luhn(re.sub("[^0-9]", "", r["text"][a:a + len(v)])) and (len(values) > 1 or r["text"][a + len(v):] == text[a + len(v):])
+            if v in IBANS:
+                assert mod97(r["text"][:len(v)].replace(" ", "")) == 1 and r["text"][len(v):] == text[len(v):]
+        if not values:
+            assert r["text"] == text
+
+
 def test_permutations_are_one_to_one(spark):
     days = spark.range(pii.DAYS[0] * pii.DAYS[1]).select(pii.permute_number(F.col("id"), pii.DAYS, "k", "date").alias("y"))
     r = days.agg(F.countDistinct("y"), F.min("y"), F.max("y")).first()
