@@ -18,8 +18,9 @@ a step of Viterbi handles all documents of a slice at once.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
 0 and no spans; so is every text if no labelled row was found.  Words whose
-script no language has count for none.  Ties go to the first language in
-sorted order.
+script no language has lie in a neighbour's span, but their letters count for
+no language, only in the total: a text of such words alone has the first
+language with score 0.  Ties go to the first language in sorted order.
 """
 
 from __future__ import annotations
@@ -136,6 +137,10 @@ class Model:
         self.logp = np.log((counts + SMOOTH) / total).astype(np.float32)
         self.may = scripts >= MIN_SCRIPT * np.maximum(scripts.sum(axis=1, keepdims=True), 1)
 
+    def known(self, words: list[str]) -> np.ndarray:
+        """Whether any language is a candidate for the word."""
+        return self.may[:, script_of(words)].any(axis=0)
+
     def scores(self, words: list[str]) -> np.ndarray:
         """[word, language]: log-probability, 0 for words no language may have."""
         whose, feature = grams(words)
@@ -229,16 +234,17 @@ def label(texts: list[str | None], model: Model, penalty: float = SWITCH_PENALTY
     words = list(number)
     emit = model.scores(words)
     letters = np.array([len(w) for w in words])
+    counted = letters * model.known(words)
     ids = np.concatenate(rows)
     length = np.array([len(r) for r in rows])
     start = np.cumsum(length) - length
     path = viterbi(emit[ids], start, length, penalty)
     k = len(model.langs)
-    share = np.bincount(np.repeat(np.arange(len(rows)), length) * k + path, weights=letters[ids], minlength=len(rows) * k).reshape(-1, k)
+    share = np.bincount(np.repeat(np.arange(len(rows)), length) * k + path, weights=counted[ids], minlength=len(rows) * k).reshape(-1, k)
     best = share.argmax(axis=1)
+    total = np.add.reduceat(letters[ids], start)
     for j, i in enumerate(which):
-        total = share[j].sum()
-        out[i] = (model.langs[best[j]], float(share[j, best[j]] / total),
+        out[i] = (model.langs[best[j]], float(share[j, best[j]] / total[j]),
                   _spans(texts[i], path[start[j]:start[j] + length[j]], model.langs))
     return out
 

@@ -49,6 +49,15 @@ def test_language_drops_only_texts_without_one(stages):
     assert not gone
 
 
+def test_language_drops_texts_mostly_in_a_script_not_learned(spark):
+    base = spark.read.parquet(f"{SF001}/documents.parquet")
+    en = "the house and the garden of the old man "
+    new = [(9101, "日本語 日本語"), (9102, en + "日本語 " * 30), (9103, en * 20 + "日本語")]
+    docs = base.unionByName(spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in new], base.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs, SF001).where("doc_id > 9100").collect()}
+    assert kept == {9103}
+
+
 def test_one_document_of_each_component_stays(stages):
     before, after = rows(stages[1][1]), rows(stages[1][2])
     fps = [simhash.fingerprint(r["text"]) for r in before]

@@ -425,6 +425,17 @@ def test_language(docs, odd, none):
     assert {r["lang_pred"] for r in langid.identify(odd, empty).collect()} == {"und"}
 
 
+def test_letters_of_unlearned_scripts_count_for_no_language(docs):
+    model = langid.fit(docs.sparkSession.read.parquet(f"{SF001}/documents.parquet"))
+    en = "the house and the garden of the old man "
+    n, m = len(en.replace(" ", "")), len("日本語")
+    cases = ["日本語 日本語", "ไทย", en, en + "日本語 " * n, "日本語 " * 3 + en * 20]
+    assert model.known(["日本語", "ไทย", "the"]).tolist() == [False, False, True]
+    got = langid.label(cases, model)
+    assert [g[0] for g in got[2:]] == ["en"] * 3 and all(g[0] in model.langs for g in got)
+    assert [g[1] for g in got] == pytest.approx([0, 0, 1, n / (n + m * n), 20 * n / (20 * n + 3 * m)])
+
+
 # --- decontamination ----------------------------------------------------------
 
 def test_decontamination(spark, docs, odd, none):
