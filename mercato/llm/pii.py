@@ -61,15 +61,16 @@ def _layout(*groups: int) -> str:
 IBAN = (r"\b(?:" + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items())
         + r"|[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))\b")
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"
-DATE_YMD = r"(?<![0-9/.-])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9/-])"
 _FIELD = "(?:0?[1-9]|[12][0-9]|3[01])"
-DATE_DMY = ("(?<![0-9/.-])(?:" + "|".join(f"{_FIELD}{sep}{_FIELD}{sep}(?:19|20)[0-9]{{2}}" for sep in ("/", "[.]")) + ")(?![0-9/-])")
+DATE_YMD = (r"(?<![0-9/.-])(?:19|20)[0-9]{2}(?:-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"
+            r"|/(?:0?[1-9]|1[0-2])/(?:0[1-9]|[12][0-9]|3[01]|[1-9]))(?![0-9/-])")
+DATE_DMY = ("(?<![0-9/.-])(?:" + "|".join(f"{_FIELD}{sep}{_FIELD}{sep}(?:19|20)[0-9]{{2}}" for sep in ("/", "[.]", "-")) + ")(?![0-9/-])")
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 #: A phone number ends before a card in groups.
 _GROUPED = "[ -](?:" + "|".join(_layout(*x) for x in [(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 5, 6)]) + ")(?![0-9])"
 PHONE_PLUS = (r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})"
               f"(?:(?!{_GROUPED}(?! ?[0-9]{{4}}(?![0-9])))[ .-]?[0-9]{{2,4}}){{2}}(?:(?!{_GROUPED})[ .-]?[0-9]{{2,4}}){{0,2}}(?![0-9])")
-PHONE_US = r"(?<![0-9.+-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+PHONE_US = r"(?<![0-9.+-])(?:1[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 #: Digit groups joined by single blanks or hyphens, up to a value of another
 #: kind; ``_cards`` finds the cards among them.
 DIGITS = ("(?<![0-9])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?:[ -](?!" + "|".join([IP, DATE_YMD, DATE_DMY, SSN, PHONE_US]) + ")[0-9]++)*+")
@@ -302,17 +303,25 @@ def _other_day(day: Column, key: str) -> Column:
 
 
 def _date_ymd(m: Column, key: str) -> Column:
-    return let(F.try_to_date(m, "yyyy-MM-dd"),
-               lambda day: F.when(day.isNotNull(), F.date_format(_other_day(day, key), "yyyy-MM-dd")).otherwise(m))
+    p = F.split(m, "[/-]")
+    sep = F.substring(m, 5, 1)
+    wide = (F.length(p[1]) == 2) & (F.length(p[2]) == 2)
+
+    def written(new: Column) -> Column:
+        return F.when(wide, F.concat(F.date_format(new, "yyyy"), sep, F.date_format(new, "MM"), sep, F.date_format(new, "dd"))).otherwise(
+            F.concat(F.date_format(new, "yyyy"), sep, F.month(new).cast("string"), sep, F.dayofmonth(new).cast("string")))
+
+    return let(F.try_to_date(F.concat_ws("-", p[0], F.lpad(p[1], 2, "0"), F.lpad(p[2], 2, "0")), "yyyy-MM-dd"),
+               lambda day: F.when(day.isNotNull(), let(_other_day(day, key), written)).otherwise(m))
 
 
 def _date_dmy(m: Column, key: str) -> Column:
-    """Day first with dots or if the second field is no month, else month
-    first if the first field may be one (with slashes), as they are written."""
-    p = F.split(m, "[/.]")
-    sep = F.regexp_extract(m, "[/.]", 0)
-    dotted = sep == "."
-    day_first = F.when(dotted, p[1].cast("int") <= 12).otherwise(p[0].cast("int") > 12)
+    """Day first with dots or hyphens or if the second field is no month, else
+    month first if the first field may be one (with slashes), as they are
+    written."""
+    p = F.split(m, "[/.-]")
+    sep = F.regexp_extract(m, "[/.-]", 0)
+    day_first = F.when(sep != "/", p[1].cast("int") <= 12).otherwise(p[0].cast("int") > 12)
     d, mo = F.when(day_first, p[0]).otherwise(p[1]), F.when(day_first, p[1]).otherwise(p[0])
     day = F.try_to_date(F.concat_ws("-", p[2], F.lpad(mo, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
 

@@ -122,6 +122,22 @@ def test_values_next_to_other_digits(spark):
             assert r["text"] == text
 
 
+def test_more_phone_and_date_forms(spark):
+    texts = ["1-800-555-1234", "1.800.555.1234", "1 (800) 555-1234", "800-555-1234",
+             "2001/02/28", "2001/2/28", "28-02-2001", "02-28-2001", "2001-02-28", "2/28/2001"]
+    same = ["2001/02/30", "30-02-2001", "31-31-2001", "/2001/02/28/", "1-2-3-2001", "5551234567"]
+    docs = spark.createDataFrame([(i, f"on {t}, so") for i, t in enumerate(texts + same)], "doc_id long, text string")
+    got = [r for r in pii.pseudonymise(docs).orderBy("doc_id").collect()]
+    new = [r["text"][3:-4] for r in got]
+    assert [r["n_values"] for r in got] == [1] * len(texts) + [0] * len(same) and new[len(texts):] == same
+    assert not set(new) & set(texts)
+    assert [re.sub("[0-9]", "9", x) for x in new[:4]] == [re.sub("[0-9]", "9", x) for x in texts[:4]]
+    assert len({re.sub("[^0-9]", "", x)[-10:] for x in new[:4]}) == 1 and all(x[0] == "1" for x in new[:3])
+    y, m, d = new[8].split("-")
+    short = [str(int(x)) for x in (m, d)]
+    assert new[4:8] == [f"{y}/{m}/{d}", f"{y}/{short[0]}/{short[1]}", f"{d}-{m}-{y}", f"{m}-{d}-{y}"]
+
+
 def test_permutations_are_one_to_one(spark):
     days = spark.range(pii.DAYS[0] * pii.DAYS[1]).select(pii.permute_number(F.col("id"), pii.DAYS, "k", "date").alias("y"))
     r = days.agg(F.countDistinct("y"), F.min("y"), F.max("y")).first()
