@@ -82,6 +82,33 @@ def test_contaminated_documents_go(spark, stages):
     assert Counter(r["doc_id"] for r in after) == want and 9004 not in want
 
 
+def test_contaminated_documents_go_by_their_whole_texts(spark, stages):
+    texts = [r["text"] for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
+    windows = set()
+    for w in map(decontamination.words, texts):
+        n = min(13, len(w))
+        windows |= {tuple(w[i:i + n]) for i in range(len(w) - n + 1 if n else 0)}
+    sizes = {len(x) for x in windows}
+
+    def stays(text):
+        w, hit = decontamination.words(text), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i:i + n]) in windows:
+                    hit.update(range(i, i + n))
+        return not hit or 20 * len(hit) < len(w)
+
+    before, after = rows(stages[2][1]), rows(stages[2][2])
+    assert Counter(r["doc_id"] for r in after) == Counter(r["doc_id"] for r in before if stays(r["text"]))
+    passage = next(t for t in texts if len(decontamination.words(t)) >= 13)
+    far = "z " * 10_000
+    long = [far + passage * 200, far * 20 + passage, passage + far * 20]
+    docs = spark.createDataFrame([(9201 + i, t, "en", "s", len(t)) for i, t in enumerate(long)], stages[2][1].select(
+        "doc_id", "text", "lang", "source", "n_chars").schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.decontaminate(spark, docs, SF001).collect()}
+    assert kept == {9201 + i for i, t in enumerate(long) if stays(t)} == {9202, 9203}
+
+
 def test_personal_data_goes_and_lengths_follow(stages):
     before = {r["doc_id"]: r for r in rows(stages[3][1])}
     after = {r["doc_id"]: r for r in rows(stages[3][2])}
