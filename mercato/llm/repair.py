@@ -6,7 +6,7 @@ cut into *blocks* of about ``BLOCK_TOKENS`` ids (whole documents); a block is on
 grammar.  Re-Pair works in rounds: all adjacent pairs are counted, the pairs
 of at least ``MIN_COUNT`` occurrences get a nonterminal each, and occurrences
 that do not overlap a more frequent pair's are replaced; the next round counts
-the shorter sequence.
+the shorter sequence, until no pair has as many.
 
 File format: a Parquet folder (so that any store Spark reads will do), one row
 a block:
@@ -44,10 +44,9 @@ from mercato.session import scratch_path
 
 BLOCK_TOKENS = 1 << 20
 SHARD_BYTES = 24 << 20
-#: Occurrences that make a pair frequent, and rounds at most: a shorter file
-#: against more time; any values give files that decode to the same ids.
+#: Occurrences that make a pair frequent: a shorter file against more time; any
+#: value gives files that decode to the same ids.
 MIN_COUNT = 8
-MAX_ROUNDS = 8
 #: log2 of the size of the table of pairs.
 SLOTS = 18
 STRIDE = 1024
@@ -59,16 +58,14 @@ BLOCKS = ("shard long, block int, n_docs long, n_tokens long, doc_ids array<{id}
 
 # --- one block --------------------------------------------------------------
 
-def compress(ids: np.ndarray, min_count: int | None = None, rounds: int | None = None) -> dict:
+def compress(ids: np.ndarray, min_count: int | None = None) -> dict:
     """Re-Pair grammar of an id sequence: base, left, right, expansion, and
-    the final sequence of ids and nonterminals."""
-    min_count, rounds = min_count or MIN_COUNT, rounds or MAX_ROUNDS
+    the final sequence of ids and nonterminals, in which no pair is frequent."""
+    min_count = min_count or MIN_COUNT
     seq = ids.astype(np.int64)
     base = top = int(seq.max(initial=-1)) + 1
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:  # each round replaces the most frequent pair at least
         shift = max(1, int(top).bit_length())
         key = seq[:-1] << shift | seq[1:]
         order = np.sort(key)

@@ -91,6 +91,14 @@ def test_repair_round_trip():
     assert b["size"] < 500 * 64 / 10
 
 
+def test_repair_leaves_no_frequent_pair():
+    rng = np.random.default_rng(1)
+    for x in (np.zeros(1 << 14, dtype="<u4"), np.tile(rng.integers(0, 50, size=3000), 40).astype("<u4"), rng.integers(0, 20, size=20_000).astype("<u4")):
+        g = repair.compress(x)
+        assert max(Counter(zip(g["seq"][:-1].tolist(), g["seq"][1:].tolist())).values(), default=0) < repair.MIN_COUNT
+        assert np.array_equal(repair.decode_block(repair.encode_block(x)), x)
+
+
 def check_plan(ranges, used, histogram, limit):
     bins, cover = defaultdict(list), defaultdict(list)
     for length, rank, n, first, each, off in ranges.tolist():
