@@ -10,7 +10,7 @@ from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
 from mercato.llm import minhash, packing, pii, repair
 from mercato.llm import simhash as sh
-from mercato.llm import tokencount, urlfilter
+from mercato.llm import tokencount, urlfilter, warc
 from mercato.llm.common import crc32_of_id, read
 
 QUERIES: dict = {}
@@ -110,3 +110,24 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM j W
 def op10(spark, sf_dir):
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return urlfilter.judge(pages, urlfilter.rule_table(spark, URL_RULES)).drop("url")
+
+
+WARC_SQL = r"""
+WITH d AS (SELECT page_id, coalesce(html, '') AS html, row_number() OVER () AS rid FROM pages),
+x AS (SELECT page_id, rid, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex,
+             row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, rid) AS k,
+             max(page_id) OVER (PARTITION BY html) AS top FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + (((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT)) >> CAST(15 - 5 * (i % 4) AS INT)) & 31), 1)), '') AS payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k = 1 THEN NULL ELSE top END AS refers_to
+FROM x
+"""
+
+
+@query("op11_warc_normaliser", WARC_SQL)
+def op11(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = warc.read_archives(warc.archive(pages), pages.schema["page_id"].dataType, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
