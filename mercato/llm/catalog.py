@@ -10,7 +10,7 @@ from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
 from mercato.llm import minhash, packing, pii, repair
 from mercato.llm import simhash as sh
-from mercato.llm import tokencount, urlfilter, warc
+from mercato.llm import tokencount, turns, urlfilter, warc
 from mercato.llm.common import crc32_of_id, read
 
 QUERIES: dict = {}
@@ -131,3 +131,8 @@ def op11(spark, sf_dir):
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = warc.read_archives(warc.archive(pages), pages.schema["page_id"].dataType, with_payload=False)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op13_conversation_repair")
+def op13(spark, sf_dir):
+    return turns.with_digest(turns.repair(turns.damage(read(spark, sf_dir, "conversations"))))
