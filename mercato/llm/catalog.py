@@ -10,7 +10,7 @@ from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
 from mercato.llm import minhash, packing, pii, repair
 from mercato.llm import simhash as sh
-from mercato.llm import tokencount, turns, urlfilter, warc
+from mercato.llm import tokencount, turns, urlfilter, variants, warc
 from mercato.llm.common import crc32_of_id, read
 
 QUERIES: dict = {}
@@ -136,3 +136,35 @@ def op11(spark, sf_dir):
 @query("op13_conversation_repair")
 def op13(spark, sf_dir):
     return turns.with_digest(turns.repair(turns.damage(read(spark, sf_dir, "conversations"))))
+
+
+VARIANTS_SQL = r"""
+WITH RECURSIVE crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(i AS BIGINT))) AS tab),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT doc, run, count(*) AS m, hex(encode(doc || ':' || run)) AS hex FROM runs GROUP BY doc, run),
+hashed AS (SELECT run, m, xor(4294967295, list_reduce(
+        list_transform(range(length(hex) // 2), lambda i: CAST('0x' || substr(hex, 2 * i + 1, 2) AS BIGINT)),
+        lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1]), 4294967295)) AS h FROM counted, crc_table),
+spelled AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+        ELSE run END AS word, m FROM hashed),
+words AS (SELECT word, CAST(sum(m) AS BIGINT) AS n FROM spelled WHERE length(word) >= 5 GROUP BY word HAVING sum(m) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+links AS (SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+        UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+        UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY m DESC, encode(other)) AS k,
+        count(*) OVER (PARTITION BY word) AS n_near FROM links),
+forms AS (SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.m >= 2 * w.n THEN r.other END AS form,
+        CASE WHEN r.m >= 2 * w.n THEN r.m END AS form_n FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.k = 1),
+chain AS (SELECT word, word AS at, form AS next FROM forms
+        UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.next)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.next IS NULL
+"""
+
+
+@query("op12_gram_index_variants", VARIANTS_SQL)
+def op12(spark, sf_dir):
+    return variants.variants(variants.word_counts(read(spark, sf_dir, "documents").select("doc_id", "text")))
