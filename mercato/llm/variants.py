@@ -239,12 +239,20 @@ def near_pairs(words: DataFrame, qmax: int = QMAX, grams: int = GRAMS) -> DataFr
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lists = written(words.select("word", "n").repartition(parts).mapInArrow(run, schema), "postings")
     size = F.length("word").cast("long")
-    met = [F.struct((F.col("place") + moved).alias("place"), (size + longer).alias("size")) for moved, longer in ((0, 0), (0, 1), (1, 1))]
-    probes = (lists.select(F.col("word").alias("a"), F.col("n").alias("an"), "gram", F.explode(F.array(*met)).alias("at"))
-              .select("a", "an", "gram", "at.place", "at.size"))
+    # one edit leaves one half of the shorter word as it is: hashes of the
+    # halves spare most comparisons of whole words
+    halves = lambda n: [F.hash(F.expr(f"left(word, ({n}) div 2)")), F.hash(F.expr(f"right(word, ({n}) - ({n}) div 2)"))]
+    own, less = halves("length(word)"), halves("length(word) - 1")
+    met = [F.struct((F.col("place") + moved).alias("place"), (size + longer).alias("size"), F.lit(bool(longer)).alias("longer"))
+           for moved, longer in ((0, 0), (0, 1), (1, 1))]
+    probes = (lists.select(F.col("word").alias("a"), F.col("n").alias("an"), "gram", own[0].alias("a1"), own[1].alias("a2"),
+                           F.explode(F.array(*met)).alias("at"))
+              .select("a", "an", "gram", "a1", "a2", "at.*"))
     listed = lists.select(F.col("word").alias("b"), F.col("n").alias("bn"), F.col("gram").alias("bgram"),
-                          F.col("place").alias("bplace"), size.alias("bsize"))
-    near = F.expr("gram = bgram AND place = bplace AND size = bsize AND (size > length(a) OR a < b) AND levenshtein(a, b, 1) = 1")
+                          F.col("place").alias("bplace"), size.alias("bsize"), own[0].alias("b1"), own[1].alias("b2"),
+                          less[0].alias("c1"), less[1].alias("c2"))
+    near = F.expr("gram = bgram AND place = bplace AND size = bsize AND if(longer, a1 = c1 OR a2 = c2, (a1 = b1 OR a2 = b2) AND a < b)"
+                  " AND levenshtein(a, b, 1) = 1")
     return probes.join(listed, near).select("a", "an", "b", "bn").distinct()
 
 
