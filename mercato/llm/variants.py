@@ -206,12 +206,13 @@ def gram_counts(words: DataFrame, qmax: int = QMAX, grams: int = GRAMS) -> dict[
         if held:
             yield _counted(held)
 
-    counts = written(_summed(words.select("word").mapInArrow(run, _COUNTED)).withColumn("q", F.length("word")), "grams")
-    totals = {r["q"]: r["t"] for r in counts.groupBy("q").agg(F.sum("n").alias("t")).collect()}
-    kept = F.lit(False)
-    for q, total in totals.items():
-        kept = kept | ((F.col("q") == q) & (F.col("n") * grams >= total))
-    return {r["word"]: r["n"] for r in counts.where(kept).select("word", "n").collect()}
+    size = F.length("word") + 2
+    totals = words.agg(*[F.sum(F.greatest(size - q + 1, F.lit(0)).cast("long")) for q in range(2, qmax + 1)]).first()
+    least = F.lit(None).cast("long")
+    for q, total in zip(range(2, qmax + 1), totals):
+        least = F.when(F.length("word") == q, -(-(total or 0) // grams)).otherwise(least)
+    counts = _summed(words.select("word").mapInArrow(run, _COUNTED))
+    return {r["word"]: r["n"] for r in counts.where(F.col("n") >= least).collect()}
 
 
 def near_pairs(words: DataFrame, qmax: int = QMAX, grams: int = GRAMS) -> DataFrame:
@@ -258,12 +259,12 @@ def near_pairs(words: DataFrame, qmax: int = QMAX, grams: int = GRAMS) -> DataFr
 
 def _roots(forms: DataFrame) -> DataFrame:
     """(word, root) for words (word, form) that have one, by doubling."""
-    now = written(forms.select("word", F.col("form").alias("root"), F.lit(True).alias("moved")), "roots")
-    while not now.where("moved").isEmpty():
+    now = forms.select("word", F.col("form").alias("root"))
+    while True:
         step = now.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        now = written(now.join(step, "root", "left").select(
-            "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
-    return now.select("word", "root")
+        if now.join(step, "root", "left_semi").isEmpty():
+            return now
+        now = written(now.join(step, "root", "left").select("word", F.coalesce("further", "root").alias("root")), "roots")
 
 
 def variants(words: DataFrame, qmax: int = QMAX, grams: int = GRAMS) -> DataFrame:
