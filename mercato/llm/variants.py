@@ -97,9 +97,12 @@ def word_counts(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count:
             for part in slices(batch, "text"):
                 for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
                     own = zlib.crc32(f"{doc}:".encode())
-                    runs = Counter(m.group() for m in RUN.finditer(text.translate(LOWER))) if len(text) > 1 << 20 \
-                        else Counter(RUN.findall(text.translate(LOWER)))
+                    runs = Counter(m.group() for m in RUN.finditer(text)) if len(text) > 1 << 20 else Counter(RUN.findall(text))
                     for word, n in runs.items():
+                        if len(word) < least_length:
+                            continue  # damage only shortens
+                        if not word.islower():
+                            word = word.lower() if word.isascii() else word.translate(LOWER)
                         word = damaged(word, own)
                         if len(word) >= least_length:
                             held[word] += n
