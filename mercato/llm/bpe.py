@@ -2,27 +2,33 @@
 
 The tokenizer drops white space and never merges across the pieces of its
 split pattern, so a text's ids are those of its pieces.  A text of ``PLAIN``
-characters is cut into pieces here; each new piece is encoded once and kept.
+characters is cut into words and pieces here, by Arrow; each new piece is encoded
+once and kept.
 Other texts, and those that hold a special string, are cut at ASCII white
 space (no piece goes over it), and their words that are not plain take the
 tokenizer's whole pipeline.  The ids equal those of the whole text (tests
-compare the two).  The cache holds ``CACHE`` pieces at most and then starts
-anew, so a task's memory does not grow with its texts."""
+compare the two).  The cache has a bound in bytes and starts anew beyond it, so
+a task's memory does not grow with its texts."""
 
 from __future__ import annotations
 
 import json
 import os
 import re
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 from mercato.llm.common import Payload, per_worker
 
 WORD_BPE = "word_bpe_49k.json"
-#: Some 120 MB at most.
-CACHE = 600_000
+#: Bytes of cached pieces (with ENTRY for each one's objects and ids) after
+#: which the cache starts anew, between two slices.
+CACHE_BYTES = 96 << 20
+ENTRY = 200
 #: Pieces that go to the tokenizer as one text.
 TOGETHER = 200
 
@@ -81,43 +87,90 @@ class Encoder:
         self.ends = np.zeros(max(d["model"]["vocab"].values()) + 1, dtype=bool)
         for token, i in d["model"]["vocab"].items():
             self.ends[i] = token.endswith(suffix)
-        self.known: dict[str, bytes] = {}
+        # the same for Arrow, which writes characters otherwise
+        self.spaced = re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", f"({self.pattern.pattern})")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # piece: its number
+        self.held = 0
+        self.pool = np.zeros(0, dtype="<u4")  # the pieces' ids, by number
+        self.first = self.size = np.zeros(0, dtype=np.int64)
 
     def _learn(self, pieces: list[str]) -> None:
         groups = [pieces[a:a + TOGETHER] for a in range(0, len(pieces), TOGETHER)]
+        ids, size = [], []
         for group, e in zip(groups, self.pieces.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(e.ids, dtype="<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
+            ids.append(np.array(e.ids, dtype="<u4"))
+            last = np.flatnonzero(self.ends[ids[-1]]) + 1
             if len(last) != len(group):
                 raise ValueError("the tokenizer left a piece without its end")
-            raw, at = ids.tobytes(), 0
-            for piece, end in zip(group, (4 * last).tolist()):
-                self.known[piece] = raw[at:end]
-                at = end
+            size.append(np.diff(last, prepend=0))
+        if not pieces:
+            return
+        new = np.concatenate(size)
+        self.known.update(zip(pieces, range(len(self.size), len(self.size) + len(pieces))))
+        self.first = np.r_[self.first, len(self.pool) + np.cumsum(new) - new]
+        self.size = np.r_[self.size, new]
+        self.pool = np.concatenate([self.pool, *ids])
+        self.held += sum(map(len, pieces)) + ENTRY * len(pieces)
+
+    def _numbers(self, pieces) -> np.ndarray:
+        """The numbers of pieces; new ones are encoded first."""
+        out = np.fromiter(map(self.known.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            words = [pieces[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(words)))
+            out[new] = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        return out
 
     def _is_plain(self, text: str) -> bool:
         return PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
 
-    def _ids_of_other(self, text: str) -> bytes:
+    def _ids_of_other(self, text: str) -> np.ndarray:
         """A text that is not plain, word by word."""
-        out = []
+        out = [np.zeros(0, dtype="<u4")]
         for w in text.encode().split():
             t = w.decode()
             if self._is_plain(t):
-                pieces = self.pattern.findall(t.lower())
-                self._learn([p for p in set(pieces) if p not in self.known])
-                out += map(self.known.__getitem__, pieces)
+                n = self._numbers(self.pattern.findall(t.lower()))
+                out.append(_gathered(self.pool, self.first[n], self.size[n])[0])
             else:
-                out.append(np.array(self.whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes())
-        return b"".join(out)
+                out.append(np.array(self.whole.encode(t, add_special_tokens=False).ids, dtype="<u4"))
+        return np.concatenate(out)
+
+    def _ids_of_plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Each distinct word of the texts is cut into pieces once, and each
+        distinct piece looked up once; the texts are put together from their
+        words' ids by place."""
+        split = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        cut = pc.ascii_split_whitespace(pc.replace_substring_regex(words.dictionary, pattern=self.spaced, replacement=r"\1 "))
+        pieces = cut.flatten().dictionary_encode()
+        strings = pieces.dictionary.to_numpy(zero_copy_only=False)
+        n = np.where(strings != "", 0, -1)  # a cut ends with an empty string
+        n[n == 0] = self._numbers(strings[n == 0])
+        n = n[pieces.indices.to_numpy()]
+        real = n >= 0
+        of_words, ends = _gathered(self.pool, self.first[n[real]], self.size[n[real]])
+        # the words' ids lie in a row: where each begins, and how many it has
+        bounds = np.r_[0, ends][np.r_[0, np.cumsum(real)][cut.offsets.to_numpy()]]
+        at = words.indices.to_numpy()
+        ids, ends = _gathered(of_words, bounds[:-1][at], np.diff(bounds)[at])
+        cuts = np.r_[0, ends][split.offsets.to_numpy()].tolist()
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """uint32 ids of each text (null: none)."""
-        if len(self.known) > CACHE:
-            self.known = {}
-        find = self.pattern.findall
-        cut = [[] if not t else find(t.lower()) if self._is_plain(t) else None for t in texts]
-        self._learn([p for p in set().union(*(c for c in cut if c)) if p not in self.known])
-        at = self.known.__getitem__
-        return [np.frombuffer(self._ids_of_other(t) if c is None else b"".join(map(at, c)), dtype="<u4")
-                for t, c in zip(texts, cut)]
+        if self.held > CACHE_BYTES:
+            self._forget()
+        plain = [t is None or self._is_plain(t) for t in texts]
+        done = iter(self._ids_of_plain([t or "" for t, p in zip(texts, plain) if p]))
+        return [next(done) if p else self._ids_of_other(t) for t, p in zip(texts, plain)]
+
+
+def _gathered(pool: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """pool[first:first + size] of each, in a row, and where each ends."""
+    ends = np.cumsum(size)
+    return pool[np.repeat(first - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)], ends

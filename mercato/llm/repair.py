@@ -5,8 +5,8 @@ doc_id in order of their text), each followed by an end id.  The id stream is
 cut into *blocks* of about ``BLOCK_TOKENS`` ids (whole documents); a block is one self-contained
 grammar.  Re-Pair works in rounds: all adjacent pairs are counted, the pairs
 of at least ``MIN_COUNT`` occurrences get a nonterminal each, and occurrences
-that do not overlap a more frequent pair's are replaced; the next round counts
-the shorter sequence, until no pair has as many.
+that do not overlap a more frequent pair's are replaced; later rounds count
+only where a pair's count can have changed, until no pair has as many.
 
 File format: a Parquet folder (so that any store Spark reads will do), one row
 a block:
@@ -20,9 +20,10 @@ a block:
   position (in ids) of every ``STRIDE``-th symbol, for random access.
 
 A document's ids are read with ``decode_range``, which expands only the
-symbols that cover them.  Shards are ranges of doc_id (a sampled range
-partitioning, about ``SHARD_BYTES`` of text each); a task holds one block at a
-time, however many documents its shard has.
+symbols that cover them.  Shards are ranges of doc_id and of the beginnings of
+texts (a sampled range partitioning, about ``SHARD_BYTES`` of text each, but at
+most ``MAX_SHARDS``); a task holds one block at a time, however many documents
+its shard has.  A document longer than a block is one block.
 
 Defined results: null or empty text is the end id alone; repeated rows are
 separate documents; an empty table makes an empty file.
@@ -44,6 +45,8 @@ from mercato.session import scratch_path
 
 BLOCK_TOKENS = 1 << 20
 SHARD_BYTES = 24 << 20
+#: A task holds a block at a time, so beyond this many shards they get larger.
+MAX_SHARDS = 20_000
 #: Occurrences that make a pair frequent: a shorter file against more time; any
 #: value gives files that decode to the same ids.
 MIN_COUNT = 8
@@ -60,16 +63,22 @@ BLOCKS = ("shard long, block int, n_docs long, n_tokens long, doc_ids array<{id}
 
 def compress(ids: np.ndarray, min_count: int | None = None) -> dict:
     """Re-Pair grammar of an id sequence: base, left, right, expansion, and
-    the final sequence of ids and nonterminals, in which no pair is frequent."""
+    the final sequence of ids and nonterminals, in which no pair is frequent.
+
+    The first round counts all pairs.  Later ones count where a pair can have
+    become frequent or still is: beside the symbols of the round before, and
+    at frequent pairs that had to wait; any other pair only loses occurrences."""
     min_count = min_count or MIN_COUNT
     seq = ids.astype(np.int64)
     base = top = int(seq.max(initial=-1)) + 1
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    spot = None  # places of the pairs to count; at first all
     while len(seq) > 1:  # each round replaces the most frequent pair at least
         shift = max(1, int(top).bit_length())
-        key = seq[:-1] << shift | seq[1:]
+        key = (seq[:-1] << shift | seq[1:]) if spot is None else (seq[spot] << shift | seq[spot + 1])
         order = np.sort(key)
-        edge = np.flatnonzero(np.r_[True, order[1:] != order[:-1]])
+        edge = np.flatnonzero(order[1:] != order[:-1]) + 1
+        edge = np.r_[0, edge] if len(order) else edge
         count = np.diff(np.r_[edge, len(order)])
         often = count >= min_count
         pair, count = order[edge[often]], count[often]
@@ -80,33 +89,49 @@ def compress(ids: np.ndarray, min_count: int | None = None) -> dict:
         # table the most frequent is looked up now, the others in a later round
         pair = pair[np.lexsort((pair.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), -count))]
         slot = np.full(1 << SLOTS, len(pair), dtype=np.int32)
-        slot[_slot(pair[::-1])] = np.arange(len(pair) - 1, -1, -1)
-        rank = np.empty(len(key) + 2, dtype=np.int32)
-        rank[0] = rank[-1] = len(pair)
-        at = rank[1:-1]
-        at[:] = slot[_slot(key)]
-        at[np.r_[pair, -1][at] != key] = len(pair)
+        at_slot = _slot(pair)
+        slot[at_slot[::-1]] = np.arange(len(pair) - 1, -1, -1)
+        hashed = _slot(key)
+        found = slot[hashed]
+        hit = np.flatnonzero(np.r_[pair, -1][found] == key)
+        place, at = hit if spot is None else spot[hit], found[hit]
+        rank = np.full(len(seq) + 1, len(pair), dtype=np.int32)  # of the pair at each place, from the second on
+        rank[place + 1] = at
         # an occurrence stands if no overlapping one is more frequent; in a run
         # of one pair (a a a a) every other one does.  The rest see what is
         # left in the next round
-        before, after = rank[:-2], rank[2:]
-        ok = (at < before) & (at <= after) & (at < len(pair))
-        run = np.flatnonzero((at == before) & (at < len(pair)))
+        before, after = rank[place], rank[place + 2]
+        ok = (at < before) & (at <= after)
+        run = np.flatnonzero(at == before)
         if len(run):
-            begins = np.flatnonzero(np.r_[True, np.diff(run) > 1])
-            place = run - np.repeat(run[begins], np.diff(np.r_[begins, len(run)])) + 1
-            run = run[place % 2 == 0]
+            p = place[run]
+            begins = np.flatnonzero(np.r_[True, np.diff(p) > 1])
+            nth = p - np.repeat(p[begins], np.diff(np.r_[begins, len(p)])) + 1
+            run = run[nth % 2 == 0]
             ok[run] = at[run] <= after[run]
-        stand = np.flatnonzero(ok)
-        used = np.bincount(at[stand], minlength=len(pair))
-        good = used >= max(2, min_count // 2)
-        stand = stand[good[at[stand]]]
-        if not len(stand):
+        taken = np.flatnonzero(ok)
+        good = np.bincount(at[taken], minlength=len(pair)) >= max(2, min_count // 2)
+        taken = taken[good[at[taken]]]
+        if not len(taken):
             break
-        seq[stand] = (np.cumsum(good) - 1 + top)[at[stand]]
+        stand = place[taken]
+        # the next round looks beside the new symbols, and at frequent pairs
+        # that wait: those with an occurrence that did not stand or without a slot
+        look = np.zeros(len(seq) + 1, dtype=bool)  # by place + 1
+        look[place + 1] = True
+        lost = slot[at_slot] != np.arange(len(pair))
+        if lost.any():
+            shared = np.zeros(1 << SLOTS, dtype=bool)
+            shared[at_slot[lost]] = True
+            near = np.flatnonzero(shared[hashed])
+            near = near[np.isin(key[near], pair[lost])]
+            look[(near if spot is None else spot[near]) + 1] = True
+        look[stand] = look[stand + 1] = True
+        seq[stand] = (np.cumsum(good) - 1 + top)[at[taken]]
         keep = np.ones(len(seq), dtype=bool)
         keep[stand + 1] = False
         seq = seq[keep]
+        spot = np.flatnonzero(look[1:][keep][:-1])
         left.append(pair[good] >> shift)
         right.append(pair[good] & (1 << shift) - 1)
         top += int(good.sum())
@@ -213,7 +238,8 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID, tokenizer: str | Non
     """Write the token file of ``docs`` (columns doc_id, text) to ``path``."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     definition = bpe.sent(docs.sparkSession, tokenizer)
-    ordered = (docs.select("doc_id", "text").repartitionByRange(max(1, -(-total // shard_bytes)), "doc_id")
+    shards = max(1, min(-(-total // shard_bytes), MAX_SHARDS))
+    ordered = (docs.select("doc_id", "text").repartitionByRange(shards, "doc_id", F.substring("text", 1, 64))
                .sortWithinPartitions("doc_id", "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -253,7 +279,8 @@ def _schema(id_type: pa.DataType) -> pa.Schema:
 
 def with_starts(blocks: DataFrame) -> DataFrame:
     """Blocks with ``start``, the ids of all blocks before: shard totals are
-    summed over the shards (a row each), blocks within their shard."""
+    summed over the shards (a row each, MAX_SHARDS at most), blocks within
+    their shard."""
     totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_shard_start"))
