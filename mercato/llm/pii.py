@@ -19,6 +19,7 @@ dates, octets stay octets, separators and letter case stay in place):
 * dates, addresses and SSNs: the number of the value in its valid range is
   written as (a, b) in mixed radix, and the two parts take turns.
 
+Mail addresses that differ in case alone stay linked up to case.
 Kept as they are: the last label of a mail domain, a phone number's country
 code (digits before the last ten), a card's first digit, an IBAN's country.
 
@@ -29,13 +30,21 @@ extra columns need no care; a carried column ``n_values`` gives way.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY = "mercato-pseudonym-key-1"
+#: Spark setting that holds the key.  Whoever has the key can invert the
+#: pseudonyms, and only equal keys give equal pseudonyms, so runs that must link
+#: set it.  Where it is unset, a session makes a random key and keeps it.
+KEY_SETTING = "spark.mercato.pseudonym.key"
 ROUNDS = 8
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: At most 256 characters before the @, and a domain of at most 127 labels of at
+#: most 63 characters: a repeated group without a bound is matched by recursion,
+#: and a long text would overflow the stack.
+EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,256}+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,63}(?![A-Za-z])")
 ASSIGNED = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[ \t]{0,4}[=:][ \t]{0,4}[\"']?)[A-Za-z0-9+/_-]{8,}+"
 ACCESS_KEY = r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b"
 #: Countries by the length of their IBANs.
@@ -112,14 +121,14 @@ def _char(c: Column, by: Column, hexa: Column) -> Column:
 
 def _moved(half: Column, stream: Column, hexa: Column) -> Column:
     """Every character of a half, moved within its class by the stream."""
-    def each(half: Column, stream: Column) -> Column:
-        def at(i: Column) -> Column:
+    def each(stream: Column) -> Column:
+        def at(c: Column, i: Column) -> Column:
             by = F.conv(F.substring(stream, 2 * (i % 64) + 1, F.lit(2)), 16, 10).cast("int")
-            return let(F.substring(half, i + 1, F.lit(1)), lambda c: _char(c, by, hexa))
+            return _char(c, by, hexa)
 
-        return F.array_join(F.transform(F.sequence(F.lit(0), F.length(half) - 1), at), "")
+        return F.array_join(F.transform(F.split(half, ""), at), "")
 
-    return let(half, lambda h: let(stream, lambda s: each(h, s)))
+    return let(stream, each)
 
 
 def permute(s: Column, key: str, kind: str, hexa: Column | None = None) -> Column:
@@ -336,9 +345,13 @@ def _date_dmy(m: Column, key: str) -> Column:
 
 
 def _email(m: Column, key: str) -> Column:
+    """The address in lower case is permuted, and the capitals put back where
+    they were: addresses that differ in case stay linked."""
     head = F.regexp_extract(m, r"^(.*)(\.[A-Za-z]+)$", 1)
     tail = F.regexp_extract(m, r"^(.*)(\.[A-Za-z]+)$", 2)
-    return F.concat(permute(head, key, "email"), tail)
+    return let(head, lambda h: F.concat(F.array_join(F.zip_with(
+        F.split(permute(F.lower(h), key, "email"), ""), F.split(h, ""),
+        lambda new, old: F.when(old.rlike("[A-Z]"), F.upper(new)).otherwise(new)), ""), tail))
 
 
 def _assigned(m: Column, key: str) -> Column:
@@ -366,9 +379,18 @@ def pseudonym(m: Column, key: str) -> Column:
             .otherwise(_cards(m, key, odd=True)))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
+def key_of(spark: SparkSession) -> str:
+    """The session's key (see KEY_SETTING)."""
+    if not (key := spark.conf.get(KEY_SETTING, None)):
+        spark.conf.set(KEY_SETTING, key := secrets.token_hex(32))
+    return key
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, text: str = "text") -> DataFrame:
     """``docs`` with its text pseudonymised and ``n_values``, the number of
-    values replaced.  Other columns pass through."""
+    values replaced.  Other columns pass through.  Without a ``key``, the
+    session's is taken."""
+    key = key or key_of(docs.sparkSession)
     t = F.col(f"`{text}`")
     holds = F.coalesce(t.rlike(HINT), F.lit(False))
     found = docs.withColumn("_found", F.when(holds, F.regexp_extract_all(t, F.lit(FOUND), F.lit(0))))
