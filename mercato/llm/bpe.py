@@ -27,7 +27,7 @@ from mercato.llm.common import Payload, per_worker
 WORD_BPE = "word_bpe_49k.json"
 #: Bytes of cached pieces (with ENTRY for each one's objects and ids) after
 #: which the cache starts anew, between two slices.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 72 << 20
 ENTRY = 200
 #: Pieces that go to the tokenizer as one text.
 TOGETHER = 200

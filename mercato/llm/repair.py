@@ -239,7 +239,7 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID, tokenizer: str | Non
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     definition = bpe.sent(docs.sparkSession, tokenizer)
     shards = max(1, min(-(-total // shard_bytes), MAX_SHARDS))
-    ordered = (docs.select("doc_id", "text").repartitionByRange(shards, "doc_id", F.substring("text", 1, 64))
+    ordered = (docs.select("doc_id", "text").repartitionByRange(shards, "doc_id", F.substring("text", 1, 16))
                .sortWithinPartitions("doc_id", "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
