@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions.expressions import activity_status, date_key, ratio, surrogate_key, time_key
+from mercato.functions.expressions import activity_status, date_key, epoch_micros, ratio, surrogate_key, time_key
 from mercato.operators.joins import join_small
 from mercato.operators.windows import HOT_KEY_ROWS, previous_in_group, row_number_in_group
 from mercato.schemas import MONEY
@@ -27,8 +27,9 @@ def fact_web_events(events: DataFrame, with_keys: bool = False) -> DataFrame:
 def fact_orders(orders: DataFrame, with_keys: bool = False, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Order fact with first-order flag and days since the customer's previous
     order.  Customers with more than ``hot_threshold`` orders are split into
-    daily slices with carry-over, so no customer is a hot task."""
-    o = previous_in_group(orders, ["customer_id"], ["order_date", "order_id"], F.col("order_date").cast("date"),
+    slices of equal numbers of orders with carry-over, so no customer is a hot
+    task."""
+    o = previous_in_group(orders, ["customer_id"], ["order_date", "order_id"], epoch_micros("order_date"),
                           {"d": "order_date"}, hot_threshold)
     out = o.select(
         "order_id", "customer_id",
@@ -45,13 +46,13 @@ def fact_orders(orders: DataFrame, with_keys: bool = False, hot_threshold: int |
     return out
 
 
-def order_item_ids(lines: DataFrame, line_bucket: int = 1024, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+def order_item_ids(lines: DataFrame, line_bucket: int = 1, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
     """``order_item_id`` = "<order>-<position>", position = row number in
     line order (line number, part, supplier, price).  Orders with very many
-    lines are numbered in slices (line number, part range), which are
-    monotone in that order, so a huge order is spread over many tasks."""
-    bucket = F.struct(F.col("line_sort.ln").alias("ln"), F.floor(F.col("line_sort.pk") / F.lit(line_bucket)).alias("pb"))
-    d = row_number_in_group(lines, ["order_id"], ["line_sort"], bucket, "line_position", hot_threshold)
+    lines are numbered in slices of equal numbers of lines, cut by line number
+    and part (ranges of ``line_bucket``), so a huge order is spread over many tasks."""
+    value = F.expr(f"CAST(line_sort.ln AS DECIMAL(38,0)) * 1000000000000 + FLOOR(line_sort.pk / {int(line_bucket)})").cast("decimal(38,0)")
+    d = row_number_in_group(lines, ["order_id"], ["line_sort"], value, "line_position", hot_threshold)
     return d.withColumn(
         "order_item_id", F.concat(F.col("order_id").cast("string"), F.lit("-"), F.col("line_position").cast("string")))
 

@@ -5,7 +5,8 @@ Two variants:
   24-hour periods, frequency = order rows, quantile (qcut-style) scores.
 * B (``rfm_ntile``): completed orders of current customers, recency in
   calendar days, distinct orders, ``NTILE(5)`` scores with the customer id as
-  tie-break, computed with ``distributed_ntile`` (no single-partition window).
+  tie-break, all three by one selection of their cuts (``selection``: no
+  single-partition window, no sort of the customers, no job before the plan runs).
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 from mercato.functions.expressions import (activity_status, epoch_micros, money_avg, ratio,
                                            rfm_score_string, segment_ladder)
 from mercato.operators.cleaning import drop_null_keys
-from mercato.operators.ranking import distributed_ntile, quantile_edges_histogram, quantile_score, top_k
+from mercato.operators.ranking import top_k
+from mercato.operators.scd import current
+from mercato.operators.selection import ntile_scores, quantile_bins, quantile_edges_sql
 from mercato.schemas import MONEY_SUM
 
 # Segment descriptions (the first four are the reported ones).
@@ -40,6 +43,11 @@ SEGMENT_RULES = [
 ]
 
 
+RFM = ["recency", "frequency", "monetary"]
+#: What the three NTILE scores order by.
+NTILE_SCORES = {"r_score": "-recency_days", "f_score": "frequency", "m_score": "monetary"}
+
+
 def _ts(as_of: str):
     return F.lit(as_of).cast("timestamp_ntz")
 
@@ -60,15 +68,16 @@ def rfm_metrics(orders: DataFrame, as_of: str) -> DataFrame:
 
 def rfm_quantile_scores(rfm: DataFrame, bins: int = 5, strict: bool = False) -> DataFrame:
     """Quantile scores, recency labels reversed.  Edges are exact
-    linear-interpolated quantiles (at most 2 rows per edge reach the driver)."""
-    # recency (days) and frequency (order counts) have few distinct values:
-    # histogram method; monetary is near-unique per customer: positions.
+    linear-interpolated quantiles, found within the plan (``selection``).
+    ``strict`` looks at them first and raises if they collapse."""
     probs = [i / bins for i in range(bins + 1)]
-    small = quantile_edges_histogram(rfm, ["recency", "frequency"], probs)  # one pass for both
-    s = quantile_score(rfm, "recency", "r_score", bins, descending_labels=True, strict=strict,
-                       edges=small["recency"])
-    s = quantile_score(s, "frequency", "f_score", bins, strict=strict, edges=small["frequency"])
-    return quantile_score(s, "monetary", "m_score", bins, strict=strict)
+    up = list(range(1, bins + 1))
+    if strict:
+        edges = rfm.sparkSession.sql(f"WITH {quantile_edges_sql('{src}', RFM, probs)} SELECT e FROM edges", src=rfm).first()[0]
+        for c, e in (edges or {}).items():
+            if len(set(e)) != len(e):
+                raise ValueError(f"quantile edges of {c} collapse: {e}")
+    return quantile_bins(rfm, {"recency": ("r_score", up[::-1]), "frequency": ("f_score", up), "monetary": ("m_score", up)}, probs)
 
 
 def rfm_segments(orders: DataFrame, as_of: str, bins: int = 5, strict: bool = False) -> DataFrame:
@@ -93,7 +102,10 @@ def rules_segment(scores: DataFrame, rules=SEGMENT_RULES, out: str = "rule_segme
 
 
 def rfm_ntile(customers: DataFrame, orders: DataFrame, as_of: str, n: int = 5) -> DataFrame:
-    """Warehouse RFM model (variant B)."""
+    """Warehouse RFM model (variant B).  Of a customer dimension with versions
+    (a column ``is_current``) only the current ones count."""
+    if "is_current" in customers.columns:
+        customers = current(customers)
     completed = orders.filter(F.col("order_status") == "completed") \
         .select("order_id", "customer_id", "order_date", "order_total")
     # every joined row counts for the sum, an order once for the count; distinct
@@ -110,9 +122,7 @@ def rfm_ntile(customers: DataFrame, orders: DataFrame, as_of: str, n: int = 5) -
         F.min("order_date").cast("date").alias("first_order_date"),
         F.max("order_date").cast("date").alias("last_order_date"),
     )
-    m = distributed_ntile(m, n, [F.col("recency_days").desc(), F.col("customer_id")], "r_score")
-    m = distributed_ntile(m, n, [F.col("frequency"), F.col("customer_id")], "f_score")
-    m = distributed_ntile(m, n, [F.col("monetary"), F.col("customer_id")], "m_score")
+    m = ntile_scores(m, n, NTILE_SCORES, "customer_id")
     return m.select(
         "customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
         rfm_score_string().alias("rfm_score"),

@@ -7,23 +7,24 @@ from pyspark.sql import functions as F
 
 from mercato.functions.expressions import date_key, epoch_micros, ratio, surrogate_key
 from mercato.operators.cleaning import drop_null_keys
-from mercato.operators.windows import HOT_KEY_ROWS, with_slices
+from mercato.operators.windows import HOT_KEY_ROWS, with_carry, with_slices
 
 COUNTERS = ["page_views", "product_views", "add_to_cart", "checkout_started", "purchase_completed"]
 
 
 def sessionize(events: DataFrame, gap_seconds: int = 6 * 3600, user: str = "customer_id",
                ts: str = "event_timestamp", tiebreak: str = "event_id", out: str = "session_id",
-               bucket_seconds: int = 3600, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+               bucket_seconds: int | None = None, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Assign ``session_id`` = "<user>-<epoch micros of the session's first
     event>".  A new session starts when the gap to the user's previous event
     is >= ``gap_seconds`` (the same rule as ``session_window``).
 
     Events are shuffled once, on (user, slice).  A user with more than
-    ``hot_threshold`` events is cut into ``bucket_seconds`` time slices; a
-    slice-level summary of those users (first/last event, latest session
-    start inside the slice) carries sessions across slice borders.  Other
-    users are one slice each, so no task ever holds a hot user whole.
+    ``hot_threshold`` events is cut into slices of about equal numbers of events
+    (or of ``bucket_seconds``, if given); a slice-level summary of those users
+    (first/last event, latest session start inside the slice) carries sessions
+    across slice borders.  Other users are one slice each, so no task ever
+    holds a hot user whole, even if all its events fall in one hour.
 
     Events without a user (often the largest key) get a null session and
     bypass the shuffle.
@@ -34,32 +35,32 @@ def sessionize(events: DataFrame, gap_seconds: int = 6 * 3600, user: str = "cust
 
 
 def _sessionize(events: DataFrame, gap_seconds: int, user: str, ts: str, tiebreak: str, out: str,
-                bucket_seconds: int, hot_threshold: int | None) -> DataFrame:
+                bucket_seconds: int | None, hot_threshold: int | None) -> DataFrame:
     gap = F.lit(int(gap_seconds) * 1_000_000)
-    d = events.withColumn("_us", epoch_micros(ts))
-    bucket = F.floor(F.col("_us") / F.lit(int(bucket_seconds) * 1_000_000)).cast("long")
-    d, hot = with_slices(d, [user], bucket, hot_threshold)
+    us = F.col("_us")
+    bucket = None if bucket_seconds is None else F.floor(us / F.lit(int(bucket_seconds) * 1_000_000)).cast("long")
+    d0 = with_slices(events.withColumn("_us", epoch_micros(ts)), [user], us, hot_threshold, bucket)
     w = Window.partitionBy(user, "_b").orderBy("_us", tiebreak)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev = F.lag("_us").over(w)
-    # starts decided inside the slice (all but the slice's first event)
-    d = d.withColumn("_istart", F.when(prev.isNotNull() & (F.col("_us") - prev >= gap), F.col("_us")))
-    d = d.withColumn("_run", F.max("_istart").over(upto)).withColumn("_first", F.first("_us").over(upto))
-    enter = F.col("_first")  # a single-slice user: the slice's first event opens a session
-    if hot is not None:
-        s = d.filter(hot).groupBy(user, "_b").agg(F.min("_us").alias("_f"), F.max("_us").alias("_last"),
-                                                  F.max("_istart").alias("_bstart"))
-        wb = Window.partitionBy(user).orderBy("_b")
-        prev_last = F.lag("_last").over(wb)
-        s = s.withColumn("_fstart", F.when(prev_last.isNull() | (F.col("_f") - prev_last >= gap), F.col("_f")))
-        s = s.withColumn("_lstart", F.coalesce("_bstart", "_fstart"))
-        s = s.withColumn("_carry", F.max("_lstart").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-        s = s.select(user, "_b", F.coalesce("_fstart", "_carry").alias("_enter"))
-        d = d.join(s, [user, "_b"], "left")
-        enter = F.coalesce(F.col("_enter"), F.col("_first"))
-    sess = F.coalesce(F.col("_run"), enter)
-    d = d.withColumn(out, F.concat(F.col(user).cast("string"), F.lit("-"), sess.cast("string")))
-    return d.drop("_us", "_b", "_hotrow", "_istart", "_run", "_first", "_enter")
+
+    def starts(d: DataFrame) -> DataFrame:
+        """Starts decided inside the slice (all but the slice's first event)."""
+        prev = F.lag("_us").over(w)
+        return d.withColumn("_istart", F.when(prev.isNotNull() & (us - prev >= gap), us))
+
+    d = starts(d0).withColumn("_run", F.max("_istart").over(upto)).withColumn("_first", F.first("_us").over(upto))
+    # of hot users' slices: the session that each one's first event is in
+    s = starts(d0.where("_b IS NOT NULL").select(user, "_b", "_us", tiebreak)).groupBy(user, "_b").agg(
+        F.min("_us").alias("_f"), F.max("_us").alias("_last"), F.max("_istart").alias("_bstart"))
+    wb = Window.partitionBy(user).orderBy("_b")
+    prev_last = F.lag("_last").over(wb)
+    s = s.withColumn("_fstart", F.when(prev_last.isNull() | (F.col("_f") - prev_last >= gap), F.col("_f")))
+    s = s.withColumn("_lstart", F.coalesce("_bstart", "_fstart"))
+    s = s.withColumn("_carry", F.max("_lstart").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
+    d = with_carry(d, s.select(user, "_b", F.coalesce("_fstart", "_carry").alias("_enter")), [user])
+    # a single-slice user: the slice's first event opens a session
+    sess = F.coalesce("_run", "_enter", "_first")
+    return d.select(*events.columns, F.concat(F.col(user).cast("string"), F.lit("-"), sess.cast("string")).alias(out))
 
 
 def session_behavior(events: DataFrame) -> DataFrame:

@@ -3,16 +3,23 @@
 ``Window.partitionBy(key)`` sends every row of a key to one task; one key
 holding a third of the data would make one task sort a third of the data.
 
-The helpers here first find the hot keys - keys with more than
-``hot_threshold`` rows, one aggregate on the key columns (map-side
-combined) whose result is broadcast only after a size check.  Only rows of
-hot keys are split into ordered slices (``bucket``: a value monotone in the
-window order, e.g. the hour of the timestamp); state crosses slice borders
-through a small slice-level table.  Keys below the threshold keep one slice,
-so without hot keys the plan is the plain per-key window.
-
-``hot_threshold=None`` slices every key (no detection job).
-"""
+The helpers here cut *hot* keys, those with more than ``hot_threshold`` rows,
+into slices of about equal row counts, in three steps that are part of the plan
+(no job runs while it is built):
+
+1. a frequent-items sketch (``approx_top_k``: bounded, merged, no shuffle by key)
+   gives the hot keys; it cannot miss a key with more than one in ``HOT_KEYS`` of
+   the rows, and at most ``HOT_KEYS`` keys have as many;
+2. for those keys, quantiles of the order column (``percentile_approx``) cut their
+   rows into ``SLICES`` ranges;
+3. windows run on (key, slice), and a slice-level table (at most
+   ``HOT_KEYS * SLICES`` rows, hence broadcast) carries the state from slice to
+   slice, like the second pass of a parallel prefix scan.
+
+Keys below the threshold are one slice.  Which keys are cut, and where, decides
+the work of a task only, never a result; rows of equal order value stay together.
+A caller can give the slices itself (``bucket``, monotone in the order), and
+``hot_threshold=None`` then cuts every key."""
 
 from __future__ import annotations
 
@@ -22,111 +29,95 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import col_
-from mercato.operators.joins import checked_small
+from mercato.operators.selection import below
 
 HOT_KEY_ROWS = 1_000_000
+HOT_KEYS = 1000
+SLICES = 512
+ACCURACY = 20_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame | None:
-    """Keys with more than ``threshold`` rows, tagged ``_hot``; None if there
-    are none.  Broadcast-hinted only when the size check passes."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
-    hot, small, n = checked_small(counts.filter(F.col("_kn") > threshold)
-                                  .select(*keys, F.lit(True).alias("_hot")))
-    if n == 0:
-        hot.unpersist()
-        return None
-    return F.broadcast(hot) if small else hot
+def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> Column:
+    """A scalar subquery: the hashes of the keys with more than ``threshold``
+    rows, as an array (a hash shared by chance costs slices, nothing else)."""
+    return df.select(F.xxhash64(*keys).alias("k")).selectExpr(
+        f"transform(filter(approx_top_k(k, {HOT_KEYS}, {16 * HOT_KEYS}), x -> x.count > {int(threshold)}), x -> x.item) AS k").scalar()
 
 
-def with_slices(df: DataFrame, keys: Sequence[str], bucket: Column, hot_threshold: int | None
-                ) -> tuple[DataFrame, Column | None]:
-    """Add ``_b``: the slice of each row (``bucket`` for hot keys, one slice
-    per key otherwise).
-    Returns (frame, hot-row flag or None when no key is hot)."""
+def with_slices(df: DataFrame, keys: Sequence[str], value: Column, hot_threshold: int | None,
+                bucket: Column | None = None) -> DataFrame:
+    """Add ``_b``, the slice of each row of a hot key, null for other keys'
+    rows.  ``value`` is a number that the window order starts with."""
     if hot_threshold is None:
-        return df.withColumn("_b", bucket), F.lit(True)
-    hot = hot_keys(df, keys, hot_threshold)
-    if hot is None:
-        return df.withColumn("_b", F.lit(0)), None
-    d = df.join(hot, list(keys), "left")
-    flag = F.coalesce(F.col("_hot"), F.lit(False))
-    # rows of other keys get a null slice: one slice per key, never matched
-    # by the slice-level carry join
-    d = d.withColumn("_b", F.when(flag, bucket))
-    return d.withColumn("_hotrow", flag).drop("_hot"), F.col("_hotrow")
-
-
-def previous_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
-                      payload: dict, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+        return df.withColumn("_b", value if bucket is None else bucket)
+    d = df.select("*", F.xxhash64(*keys).alias("_k"), value.alias("_v"), hot_keys(df, keys, hot_threshold).alias("_hot"))
+    hot = F.array_contains("_hot", F.col("_k"))
+    if bucket is not None:
+        return d.select(*df.columns, F.when(hot, bucket).alias("_b"))
+    grid = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
+    cuts = (d.where(hot).groupBy("_k").agg(F.expr(f"percentile_approx(_v, array({grid}), {ACCURACY})").alias("c"))
+            .selectExpr("map_from_entries(collect_list(struct(_k, c))) AS m").scalar())
+    d = d.select("*", cuts.alias("_cuts"))
+    at = below("_cuts[_k]", SLICES - 1, "_v")
+    return d.selectExpr(*[f"`{c}`" for c in df.columns], f"IF(array_contains(_hot, _k), {at}, NULL) AS _b")
+
+
+def with_carry(d: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join a slice-level table (one row a slice of a hot key) on key, which
+    may be null, and slice."""
+    names = [*keys, "_b"]
+    c = F.broadcast(carry.withColumnsRenamed({k: f"_c{i}" for i, k in enumerate(names)}))
+    same = " AND ".join(f"`{k}` <=> _c{i}" for i, k in enumerate(keys))
+    return d.join(c, F.expr(f"{same} AND _b = _c{len(keys)}"), "left").drop(*[f"_c{i}" for i in range(len(names))])
+
+
+def previous_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
+                      payload: dict, hot_threshold: int | None = HOT_KEY_ROWS, bucket: Column | None = None) -> DataFrame:
     """Add ``prev_<name>`` for each payload column: its value on the previous
     row of the same key in ``order`` (null on the key's first row).
 
-    ``order`` must be a total order within the key; ``bucket`` a monotone
-    function of it.
+    ``order`` must be a total order within the key; ``value`` a number monotone
+    in it (see ``with_slices``).
     """
     keys, order = list(keys), list(order)
     names = list(payload)
-    fast = all(isinstance(payload[n], str) and payload[n] == order[0] for n in names)
-    if fast:
-        s = F.struct(*[col_(payload[n]).alias(n) for n in names])
-    else:
-        s = F.struct(*[col_(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                     *[col_(payload[n]).alias(n) for n in names])
-    d0, hot = with_slices(df, keys, bucket, hot_threshold)
+    s = F.struct(*[col_(payload[n]).alias(n) for n in names])
+    at = F.struct(*[col_(o).alias(f"_o{i}") for i, o in enumerate(order)])
+    d0 = with_slices(df, keys, value, hot_threshold, bucket)
     w = Window.partitionBy(*keys, "_b").orderBy(*[col_(o) for o in order])
     d = d0.withColumn("_prev_in", F.lag(s).over(w))
-    if hot is None:
-        prev = F.col("_prev_in")
-    else:
-        # last row of every hot (key, slice), then the last row of the key's
-        # previous non-empty slice: slice-level rows of hot keys only, taken
-        # from the rows before the window (no second window pass).
-        h = d0.filter(hot)
-        if fast:  # payload is the leading order column: its max is the last row's
-            last = h.groupBy(*keys, "_b").agg(F.struct(*[F.max(col_(order[0])).alias(n) for n in names]).alias("_last"))
-        else:
-            last = h.withColumn("_s", s).groupBy(*keys, "_b").agg(F.max("_s").alias("_last"))
-        wb = Window.partitionBy(*keys).orderBy("_b")
-        carry = last.select(*keys, "_b", F.lag("_last").over(wb).alias("_carry"))
-        d = d.join(carry, on=[*keys, "_b"], how="left")
-        prev = F.coalesce(F.col("_prev_in"), F.col("_carry"))
-    for n in names:
-        d = d.withColumn(f"prev_{n}", prev.getField(n))
-    return d.drop("_prev_in", "_carry", "_b", "_hotrow")
-
-
-def running_max_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
-                         value: str, out: str, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
-    """``max(value) over (partition by key order by order rows unbounded
+    # last row of every hot (key, slice), then of the slice before
+    last = d0.where("_b IS NOT NULL").groupBy(*keys, "_b").agg(F.max_by(s, at).alias("_last"))
+    wb = Window.partitionBy(*keys).orderBy("_b")
+    d = with_carry(d, last.select(*keys, "_b", F.lag("_last").over(wb).alias("_carry")), keys)
+    prev = F.coalesce(F.col("_prev_in"), F.col("_carry"))
+    return d.select(*df.columns, *[prev.getField(n).alias(f"prev_{n}") for n in names])
+
+
+def running_max_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
+                         of: str, out: str, hot_threshold: int | None = HOT_KEY_ROWS, bucket: Column | None = None) -> DataFrame:
+    """``max(of) over (partition by key order by order rows unbounded
     preceding)`` with slice carry-over for hot keys."""
     keys, order = list(keys), list(order)
-    d0, hot = with_slices(df, keys, bucket, hot_threshold)
+    d0 = with_slices(df, keys, value, hot_threshold, bucket)
     w = Window.partitionBy(*keys, "_b").orderBy(*[col_(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d0.withColumn("_run_in", F.max(value).over(w))
-    if hot is None:
-        return d.withColumnRenamed("_run_in", out).drop("_b", "_hotrow")
-    per_bucket = d0.filter(hot).groupBy(*keys, "_b").agg(F.max(value).alias("_bmax"))
+    d = d0.withColumn("_run_in", F.max(of).over(w))
+    per_slice = d0.where("_b IS NOT NULL").groupBy(*keys, "_b").agg(F.max(of).alias("_bmax"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*keys, "_b", F.max("_bmax").over(wb).alias("_carry"))
-    d = d.join(carry, on=[*keys, "_b"], how="left")
-    return d.withColumn(out, F.greatest(F.col("_run_in"), F.col("_carry"))).drop("_run_in", "_carry", "_b", "_hotrow")
+    d = with_carry(d, per_slice.select(*keys, "_b", F.max("_bmax").over(wb).alias("_carry")), keys)
+    return d.select(*df.columns, F.greatest("_run_in", "_carry").alias(out))
 
 
-def row_number_in_group(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: Column,
-                        out: str, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+def row_number_in_group(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column,
+                        out: str, hot_threshold: int | None = HOT_KEY_ROWS, bucket: Column | None = None) -> DataFrame:
     """``row_number() over (partition by key order by order)``; hot keys add
     the row count of their earlier slices (prefix sum on slice-level rows)."""
     keys = list(keys)
-    d0, hot = with_slices(df, keys, bucket, hot_threshold)
+    d0 = with_slices(df, keys, value, hot_threshold, bucket)
     w = Window.partitionBy(*keys, "_b").orderBy(*[col_(o) for o in order])
     d = d0.withColumn("_rn_in", F.row_number().over(w))
-    if hot is None:
-        return d.withColumn(out, F.col("_rn_in").cast("long")).drop("_rn_in", "_b", "_hotrow")
-    sizes = d0.filter(hot).groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    sizes = d0.where("_b IS NOT NULL").groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select(*keys, "_b", F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"))
-    d = d.join(offs, on=[*keys, "_b"], how="left")
-    return d.withColumn(out, (F.col("_rn_in") + F.coalesce(F.col("_off"), F.lit(0))).cast("long")) \
-        .drop("_rn_in", "_off", "_b", "_hotrow")
+    d = with_carry(d, sizes.select(*keys, "_b", F.sum("_bn").over(wb).alias("_off")), keys)
+    return d.select(*df.columns, (F.col("_rn_in") + F.coalesce(F.col("_off"), F.lit(0))).cast("long").alias(out))

@@ -142,3 +142,22 @@ def test_hot_baskets_with_repeated_items_match_plain_pairs(spark):
     salted = affinity.product_affinity(doubled, orders, hot_threshold=4, salt_buckets=5)
     assert plain.count() > 0
     assert rows(plain) == rows(salted)
+
+
+def test_one_users_hour_spreads_over_slices(spark):
+    """All events of one user within an hour: slices of about equal counts,
+    each a task of its own, and the same sessions."""
+    rnd = random.Random(9)
+    data = [(i, 1, 1_700_000_000_000_000 + rnd.randrange(3_600_000_000)) for i in range(6000)]
+    data += [(10_000 + i, 2 + i, 1_700_000_000_000_000) for i in range(500)]
+    ev = spark.createDataFrame(data, "event_id long, customer_id long, us long").select(
+        "event_id", "customer_id", F.timestamp_micros("us").cast("timestamp_ntz").alias("event_timestamp"))
+    cut = windows.with_slices(ev.withColumn("_us", F.unix_micros(F.col("event_timestamp").cast("timestamp"))),
+                              ["customer_id"], F.col("_us"), 1000)
+    sizes = [r["count"] for r in cut.where("customer_id = 1").groupBy("_b").count().collect()]
+    assert len(sizes) > 300 and max(sizes) < 6000 / windows.SLICES * 4
+    assert cut.where("customer_id <> 1 AND _b IS NOT NULL").count() == 0
+    tasks = cut.repartition(16, "customer_id", "_b").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in tasks) < 6500 / 4
+    got = rows(sessions.sessionize(ev, 20, hot_threshold=1000).select("event_id", "session_id"))
+    assert got == rows(_brute_sessions(ev, 20))
