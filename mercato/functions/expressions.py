@@ -56,16 +56,29 @@ def money_avg(sum_col, count_col) -> Column:
     return ratio(col_(sum_col), col_(count_col))
 
 
-def segment_ladder(r="r_score", f="f_score", m="m_score") -> Column:
+# The RFM segment ladder (first match wins) as (condition over
+# the scores r, f and m, segment), and the segment of all others.
+SEGMENT_LADDER = [
+    ("r >= 4 AND f >= 4 AND m >= 4", "Champions"),
+    ("r >= 3 AND f >= 3 AND m >= 3", "Loyal Customers"),
+    ("r >= 4 AND f <= 2", "New Customers"),
+    ("r <= 2 AND f >= 3", "At Risk"),
+    ("r <= 2 AND f <= 2", "Lost Customers"),
+    ("r >= 3 AND f <= 2", "Potential Loyalists"),
+]
+OTHER_SEGMENT = "Regular Customers"
+
+
+def segment_sql(r: str = "r_score", f: str = "f_score", m: str = "m_score") -> str:
+    """The ladder as SQL text over three score columns."""
+    names = {"r": r, "f": f, "m": m}
+    whens = " ".join(f"WHEN {' '.join(names.get(w, w) for w in cond.split(' '))} THEN '{segment}'" for cond, segment in SEGMENT_LADDER)
+    return f"CASE {whens} ELSE '{OTHER_SEGMENT}' END"
+
+
+def segment_ladder(r: str = "r_score", f: str = "f_score", m: str = "m_score") -> Column:
     """RFM segment ladder, first match wins."""
-    r, f, m = col_(r), col_(f), col_(m)
-    return (F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
-            .when((r >= 3) & (f >= 3) & (m >= 3), "Loyal Customers")
-            .when((r >= 4) & (f <= 2), "New Customers")
-            .when((r <= 2) & (f >= 3), "At Risk")
-            .when((r <= 2) & (f <= 2), "Lost Customers")
-            .when((r >= 3) & (f <= 2), "Potential Loyalists")
-            .otherwise("Regular Customers"))
+    return F.expr(segment_sql(r, f, m))
 
 
 def rfm_score_string(r="r_score", f="f_score", m="m_score") -> Column:

@@ -1,16 +1,24 @@
 """Market-basket affinity.
 
-Pairs are produced by a self equi-join on the order id (never a nested loop
-or a cross join) and counted with partial aggregation.  A basket with more
-than ``hot_threshold`` lines is salted: its left rows are spread over sub-keys
-and its right rows replicated once per sub-key.  The pairs of a basket grow
-with the square of its size, so the number of sub-keys does (``salt_buckets``
-at least): no task makes more than about ``hot_threshold`` squared pairs of
-one order.  Lift, top pairs and cross-selling read the order lines once, into
-a written table of distinct (order, item).  Apriori
-pruning (drop items below the support threshold before pairing) keeps the
-threshold queries small.  Order totals are scalar subqueries.
-"""
+Two exact ways count how many orders hold both items of a pair.
+
+* **Vertical**, while there are at most ``BITMAP_ITEMS`` items (brands, categories,
+  or what a support threshold leaves): orders are numbered within hash buckets,
+  each item gets a bitmap of order numbers for each bucket, and a pair's count is
+  the size of two bitmaps' intersection.  No pair is expanded per order, so a
+  basket of 10,000 lines is 10,000 bits.
+* **Horizontal** otherwise: a self equi-join on the order id (never a nested loop
+  or a cross join), counted with partial aggregation.  Baskets of more than
+  ``hot_threshold`` lines are salted: left rows are spread over sub-keys and right
+  rows replicated once per sub-key.  The pairs of a basket grow with the square of
+  its size, so the number of sub-keys does: no task makes more than about
+  ``hot_threshold`` squared pairs of one order.
+
+Which way, and which baskets are hot, is decided while the plan runs, by scalar
+subqueries (a count of items; a frequent-items sketch of the orders): the rows
+of the way not taken are dropped at their scan, and no job runs while the plan
+is built.  Apriori pruning removes items below the support threshold first.
+Lines without an order or an item are in no basket."""
 
 from __future__ import annotations
 
@@ -19,53 +27,58 @@ from pyspark.sql import functions as F
 
 from mercato.functions.expressions import ratio
 from mercato.operators.facts import order_item_ids
-from mercato.operators.joins import checked_small
-from mercato.session import materialize
+from mercato.operators.windows import hot_counts
 
 HOT_BASKET = 10_000
 SALT_BUCKETS = 16
+#: Items up to which pairs are counted by bitmaps.
+BITMAP_ITEMS = 256
+#: Orders a bucket (its bitmaps have 32,768 bits), and buckets at least.
+BUCKET_ORDERS = 30_000
+BUCKETS = 32
+BITS = 32_768
 
 
 def _total_orders(orders: DataFrame) -> Column:
     return orders.agg(F.count(F.lit(1)).alias("n")).scalar()
 
 
-def _hot_orders(lines: DataFrame, hot_threshold: int | None):
-    """Orders with more than ``hot_threshold`` lines as (order_id, _hot), where
-    _hot is the square of how often the size is over it, or None when there
-    are none.  One aggregate on the order id, map-side
-    combined; the list is broadcast later only if its size check passed."""
+def _self_join(items: DataFrame, cond) -> DataFrame:
+    """items(order_id, item, k) -> (order_id, a, b) for pairs with cond(l, r)."""
+    left = items.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"))
+    right = items.select("order_id", F.col("item").alias("b"), F.col("k").alias("kb"))
+    return left.join(right, "order_id").filter(cond(F.col("ka"), F.col("kb"))).select("order_id", "a", "b")
+
+
+def _salted_join(items: DataFrame, cond, hot_threshold: int, salt_buckets: int) -> DataFrame:
+    """The same for hot orders; ``_hot`` is an order's estimated size."""
+    salts = F.greatest(F.ceil(F.pow(F.col("_hot") / F.lit(max(1, hot_threshold)), 2)), F.lit(salt_buckets)).cast("long")
+    left = items.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"),
+                        F.pmod(F.xxhash64("item", "k"), salts).alias("_salt"))
+    right = items.select("order_id", F.col("item").alias("b"), F.col("k").alias("kb"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_salt"))
+    return left.join(right, ["order_id", "_salt"]).filter(cond(F.col("ka"), F.col("kb"))).select("order_id", "a", "b")
+
+
+def _split_hot(lines: DataFrame, hot_threshold: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """The lines of ordinary orders, and those of orders with more than
+    ``hot_threshold`` lines (usually none) with their size ``_hot``."""
     if hot_threshold is None:
-        return None
-    sizes = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
-    hot, small_enough, n_hot = checked_small(sizes.filter(F.col("_n") > hot_threshold)
-                                             .select("order_id", F.ceil(F.pow(F.col("_n") / F.lit(max(1, hot_threshold)), 2)).cast("int").alias("_hot")))
-    if n_hot == 0:
-        hot.unpersist()
-        return None
-    return F.broadcast(hot) if small_enough else hot
-
-
-def _pairs(items: DataFrame, cond, hot: DataFrame | None, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """items(order_id, item, k) -> (order_id, a, b) for pairs with cond(l, r).
-
-    ``hot`` None: a plain self-join on the order id.  Otherwise only the hot
-    orders are salted (left rows spread over sub-keys, right rows replicated
-    once per sub-key); all other orders keep sub-key 0.
-    """
-    if hot is None:
-        left = items.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"))
-        right = items.select("order_id", F.col("item").alias("b"), F.col("k").alias("kb"))
-        return left.join(right, "order_id").filter(cond(F.col("ka"), F.col("kb"))).select("order_id", "a", "b")
-    t = items.join(hot, "order_id", "left")
-    salts = F.greatest(F.col("_hot"), F.lit(salt_buckets))
-    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64("item", "k"), salts)).otherwise(F.lit(0))
-    replicas = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
-    left = t.select("order_id", F.col("item").alias("a"), F.col("k").alias("ka"), salt.cast("int").alias("_salt"))
-    right = t.select("order_id", F.col("item").alias("b"), F.col("k").alias("kb"),
-                     F.explode(replicas).alias("_salt")).withColumn("_salt", F.col("_salt").cast("int"))
-    j = left.join(right, ["order_id", "_salt"])
-    return j.filter(cond(F.col("ka"), F.col("kb"))).select("order_id", "a", "b")
+        return lines, None
+    sized = lines.withColumn("_sizes", hot_counts(lines, ["order_id"], hot_threshold)).withColumn(
+        "_hot", F.expr("_sizes[xxhash64(order_id)]")).drop("_sizes")
+    return sized.where("_hot IS NULL").drop("_hot"), sized.where("_hot IS NOT NULL")
+
+
+def _pairs(items: DataFrame, cond, hot_threshold: int | None, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """items(order_id, item, k) -> (order_id, a, b) for pairs with cond(l, r)."""
+    plain, hot = _split_hot(items, hot_threshold)
+    out = _self_join(plain, cond)
+    return out if hot is None else out.unionByName(_salted_join(hot, cond, hot_threshold, salt_buckets))
+
+
+def _lines(order_items: DataFrame, item_col: str) -> DataFrame:
+    return order_items.select("order_id", F.col(item_col).alias("item")).where("order_id IS NOT NULL AND item IS NOT NULL")
 
 
 def positional_pairs(order_items: DataFrame, item_col: str = "product_id", hot_threshold: int | None = HOT_BASKET,
@@ -74,25 +87,24 @@ def positional_pairs(order_items: DataFrame, item_col: str = "product_id", hot_t
     order; direction-sensitive, keeps self-pairs and repeats.  The position is
     a line's number in its order, so identical lines pair as well."""
     items = order_item_ids(order_items).select("order_id", F.col(item_col).alias("item"), F.col("line_position").alias("k"))
-    return _pairs(items, lambda l, r: l < r, _hot_orders(items, hot_threshold), salt_buckets)
+    return _pairs(items, lambda l, r: l < r, hot_threshold, salt_buckets)
 
 
 def canonical_pairs(order_items: DataFrame, item_col: str = "product_id", hot_threshold: int | None = HOT_BASKET,
                     salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Distinct items per order, unordered pairs with a < b.
 
-    Hot baskets are found on the raw lines (a superset of those hot after
-    dedup; salting a basket that is not hot changes no result).  Without
-    any, one shuffle on the order id serves the dedup (its keys include the
-    order id) and both sides of the self-join.  With some, the dedup is
-    hashed on (order, item) and combined map-side, so a hot basket's lines
-    are spread over many tasks before its salted pair join."""
-    lines = order_items.select("order_id", F.col(item_col).alias("item"))
-    hot = _hot_orders(lines, hot_threshold)
+    One shuffle of the ordinary lines on the order id serves the dedup (its keys
+    include the order id) and both sides of the self-join.  Hot orders' lines are
+    deduplicated on (order, item), combined map-side, before their salted join."""
+    plain, hot = _split_hot(_lines(order_items, item_col), hot_threshold)
+    below = lambda l, r: l < r
+    items = plain.repartition("order_id").dropDuplicates(["order_id", "item"]).withColumn("k", F.col("item"))
+    out = _self_join(items, below)
     if hot is None:
-        lines = lines.repartition("order_id")
-    items = lines.dropDuplicates(["order_id", "item"]).withColumn("k", F.col("item"))
-    return _pairs(items, lambda l, r: l < r, hot, salt_buckets)
+        return out
+    big = hot.groupBy("order_id", "item").agg(F.first("_hot").alias("_hot")).withColumn("k", F.col("item"))
+    return out.unionByName(_salted_join(big, below, hot_threshold, salt_buckets))
 
 
 def pair_counts(pairs: DataFrame, orders: DataFrame) -> DataFrame:
@@ -111,62 +123,75 @@ def product_affinity(order_items: DataFrame, orders: DataFrame, item_col: str =
     return pair_counts(canonical_pairs(order_items, item_col, **kw), orders)
 
 
-def basket_items(order_items: DataFrame, item_col: str = "product_id") -> DataFrame:
-    """Distinct (order_id, item), written once: counts, pruning and both sides
-    of the pair join read this narrow table."""
-    return materialize(order_items.select("order_id", F.col(item_col).alias("item")).distinct())
-
-
-def item_counts(items: DataFrame) -> DataFrame:
-    return items.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _basket_pairs(items: DataFrame, orders: DataFrame, hot_threshold: int | None = HOT_BASKET,
-                  salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    pairs = _pairs(items.withColumn("k", F.col("item")), lambda l, r: l < r, _hot_orders(items, hot_threshold), salt_buckets)
-    return pair_counts(pairs, orders)
-
-
-def _with_lift(pairs: DataFrame, counts: DataFrame, orders: DataFrame, checked: bool = False) -> DataFrame:
-    """Attach n_a, n_b.  The item-count table (one row per item) is broadcast
-    only after its size check passes; otherwise both joins shuffle."""
-    if checked:
-        c = counts
-    else:
-        c, small_enough, _ = checked_small(counts)
-        c = F.broadcast(c) if small_enough else c
-    na = c.select(F.col("item").alias("product_a"), F.col("n").alias("n_a"))
-    nb = c.select(F.col("item").alias("product_b"), F.col("n").alias("n_b"))
-    j = pairs.join(na, "product_a").join(nb, "product_b")
+def _vertical(lines: DataFrame, total: Column) -> DataFrame:
+    """(product_a, product_b, co_occurrence_count, n_a, n_b) by bitmaps.
+
+    A line's order gets its number within the bucket from a dense rank, so one
+    shuffle of the lines on the bucket serves the numbering and the bitmaps
+    (a bucket's repeats of an order and item set the same bit)."""
+    buckets = F.greatest(F.ceil(total / BUCKET_ORDERS), F.lit(BUCKETS)).cast("long")
+    numbered = lines.select("item", "order_id", F.pmod(F.xxhash64("order_id"), buckets).alias("bucket")).selectExpr(
+        "bucket", "item", "dense_rank() OVER (PARTITION BY bucket ORDER BY order_id) - 1 AS at")
+    held = numbered.groupBy("bucket", F.expr(f"at DIV {BITS} AS part"), "item").agg(
+        F.expr(f"bitmap_construct_agg(at % {BITS})").alias("orders"))
+    counts = held.groupBy("item").agg(F.sum(F.expr("bitmap_count(orders)")).alias("n"))
+    a = held.withColumnsRenamed({"item": "product_a", "orders": "_a"})
+    b = held.withColumnsRenamed({"item": "product_b", "orders": "_b"})
+    both = a.join(b, ["bucket", "part"]).where("product_a < product_b").select(
+        "bucket", "part", "product_a", "product_b", F.explode(F.array("_a", "_b")).alias("orders"))
+    shared = both.groupBy("bucket", "part", "product_a", "product_b").agg(F.expr("bitmap_count(bitmap_and_agg(orders))").alias("n"))
+    pairs = shared.groupBy("product_a", "product_b").agg(F.sum("n").alias("co_occurrence_count")).where("co_occurrence_count > 0")
+    return _with_counts(pairs, counts)
+
+
+def _with_counts(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    na = counts.select(F.col("item").alias("product_a"), F.col("n").alias("n_a"))
+    nb = counts.select(F.col("item").alias("product_b"), F.col("n").alias("n_b"))
+    return pairs.join(na, "product_a").join(nb, "product_b")
+
+
+def _horizontal(lines: DataFrame, hot_threshold: int | None, salt_buckets: int) -> DataFrame:
+    """The same by a self-join on the order."""
+    pairs = canonical_pairs(lines, "item", hot_threshold, salt_buckets).groupBy(
+        F.col("a").alias("product_a"), F.col("b").alias("product_b")).agg(F.count(F.lit(1)).alias("co_occurrence_count"))
+    counts = lines.select("order_id", "item").distinct().groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    return _with_counts(pairs, counts)
+
+
+def pair_table(order_items: DataFrame, orders: DataFrame, item_col: str = "product_id", min_support: float | None = None,
+               bitmap_items: int = BITMAP_ITEMS, hot_threshold: int | None = HOT_BASKET,
+               salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Canonical pairs with support, confidence(a->b) = n_ab/n_a, lift, n_a and
+    n_b.  With ``min_support``, items below it are removed first: an item's lines
+    are at least its orders, so lines decide, and those left are at most (lines an
+    order / min_support) items, a proven bound for their broadcast."""
+    lines = _lines(order_items, item_col)
     total = _total_orders(orders)
-    return j.select(
-        "product_a", "product_b", "co_occurrence_count", "support",
+    items = lines.groupBy("item").agg(F.count(F.lit(1)).alias("lines"))
+    if min_support is not None:
+        items = items.where(F.col("lines").cast("double") / total >= F.lit(min_support))
+        lines = lines.join(F.broadcast(items.select("item")), "item", "left_semi").select("order_id", "item")
+    few = items.limit(bitmap_items + 1).agg(F.count(F.lit(1)).alias("n")).scalar() <= bitmap_items
+    pairs = _vertical(lines.where(few), total).unionByName(_horizontal(lines.where(~few), hot_threshold, salt_buckets))
+    support = F.col("co_occurrence_count").cast("double") / total
+    out = pairs.select(
+        "product_a", "product_b", "co_occurrence_count", support.alias("support"),
         ratio("co_occurrence_count", "n_a").alias("confidence"),
-        (F.col("co_occurrence_count").cast("double") * total
-         / (F.col("n_a").cast("double") * F.col("n_b"))).alias("lift"),
+        (F.col("co_occurrence_count").cast("double") * total / (F.col("n_a").cast("double") * F.col("n_b"))).alias("lift"),
         "n_a", "n_b")
+    return out if min_support is None else out.where(F.col("support") >= F.lit(min_support))
 
 
 def affinity_lift(order_items: DataFrame, orders: DataFrame, item_col: str = "product_id", **kw) -> DataFrame:
-    """Canonical pairs with confidence(a->b) = n_ab/n_a and lift."""
-    items = basket_items(order_items, item_col)
-    return _with_lift(_basket_pairs(items, orders, **kw), item_counts(items), orders).drop("n_a", "n_b")
+    """Canonical pairs with confidence and lift."""
+    return pair_table(order_items, orders, item_col, **kw).drop("n_a", "n_b")
 
 
 def affinity_top(order_items: DataFrame, orders: DataFrame, item_col: str = "product_id",
                  min_support: float = 0.01, limit: int | None = 20, min_confidence: float | None = None,
                  min_lift: float | None = None, **kw) -> DataFrame:
-    """Pairs above thresholds, most frequent first.  Items whose own support
-    is below ``min_support`` cannot be in a qualifying pair and are removed
-    before pairing (exact)."""
-    items = basket_items(order_items, item_col)
-    counts, small_enough, _ = checked_small(item_counts(items))  # one pass, cached
-    total = _total_orders(orders)
-    frequent = counts.filter(F.col("n").cast("double") / total >= F.lit(min_support))
-    frequent = F.broadcast(frequent) if small_enough else frequent
-    pruned = items.join(frequent.select("item"), "item", "left_semi").select("order_id", "item")
-    pairs = _basket_pairs(pruned, orders, **kw).filter(F.col("support") >= F.lit(min_support))
-    out = _with_lift(pairs, frequent, orders, checked=small_enough).drop("n_a", "n_b")
+    """Pairs above thresholds, most frequent first."""
+    out = pair_table(order_items, orders, item_col, min_support, **kw).drop("n_a", "n_b")
     if min_confidence is not None:
         out = out.filter(F.col("confidence") >= F.lit(min_confidence))
     if min_lift is not None:
@@ -183,8 +208,7 @@ def cross_sell(order_items: DataFrame, orders: DataFrame, item_col: str = "produ
     per partition."""
     from pyspark.sql import Window
 
-    items = basket_items(order_items, item_col)
-    m = _with_lift(_basket_pairs(items, orders, **kw), item_counts(items), orders)
+    m = pair_table(order_items, orders, item_col, **kw)
     # both directions from ONE pass over the pair table (no self-union)
     fields = ["co_occurrence_count", "support", "lift"]
     fwd = F.struct(F.col("product_a").alias("product_id"), F.col("product_b").alias("recommended_product_id"),

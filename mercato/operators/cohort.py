@@ -15,6 +15,9 @@ from mercato.functions.expressions import month_start, months_between_starts, ra
 from mercato.operators.cleaning import drop_null_keys
 from mercato.schemas import MONEY_SUM
 
+#: Month offsets with a column in the retention matrix (ten years).
+MATRIX_MONTHS = 120
+
 
 def cohort_assignment(orders: DataFrame) -> DataFrame:
     """Each order with its customer's first purchase, cohort month and month
@@ -70,13 +73,16 @@ def cohort_retention_limited(orders: DataFrame, retention_periods: int = 12,
                     & (F.col("cohort_size") >= min_cohort_size))
 
 
-def cohort_matrix(orders: DataFrame, offsets: list[int] | None = None) -> DataFrame:
+def cohort_matrix(orders: DataFrame, offsets: list[int] | None = None, months: int = MATRIX_MONTHS) -> DataFrame:
     """Wide form: one row per cohort, ``month_<i>`` = retention % at offset i
-    (null where no customer was active).  Without ``offsets``, every offset
-    that occurs has its column: one number per calendar month of history is
-    read first; a given list fixes the schema and saves that job."""
+    (null where no customer was active).  The columns are those of ``offsets``,
+    else of every offset below ``months``: a schema that does not depend on the
+    data, and no job to find it.  An offset that has no column raises (unless
+    ``offsets`` leaves it out on purpose), so no cell is lost in silence."""
     r = cohort_retention(orders)
     if offsets is None:
-        offsets = sorted(x[0] for x in r.select("months_since_first").distinct().collect())
-    p = r.groupBy("cohort_month").pivot("months_since_first", offsets).agg(F.first("retention_rate"))
-    return p.select("cohort_month", *[F.col(str(i)).alias(f"month_{i}") for i in offsets])
+        offsets = list(range(months))
+        r = r.withColumn("retention_rate", F.when(F.col("months_since_first") < months, F.col("retention_rate")).otherwise(F.raise_error(
+            F.concat(F.lit(f"cohort_matrix has {months} months, but orders are apart by "), F.col("months_since_first").cast("string"))).cast("double")))
+    return r.groupBy("cohort_month").agg(*[F.expr(
+        f"max(retention_rate) FILTER (WHERE months_since_first = {int(i)}) AS month_{int(i)}") for i in offsets])

@@ -43,16 +43,24 @@ def dim_date_spanning(dates: DataFrame, col: str = "d") -> DataFrame:
     return days.select(*date_attributes(F.col("d")))
 
 
+# First and last hour of the parts of the day and of business hours.
+DAY_PARTS = {"Morning": (6, 11), "Afternoon": (12, 17), "Evening": (18, 21)}
+OTHER_PART = "Night"
+BUSINESS_HOURS = (9, 17)
+
+
 def time_attributes(tk: Column) -> list[Column]:
     hour = F.floor(tk / 3600).cast("int")
+    part = F.lit(OTHER_PART)
+    for name, hours in DAY_PARTS.items():
+        part = F.when(hour.between(*hours), name).otherwise(part)
     return [
         tk.cast("int").alias("time_key"),
         hour.alias("hour"),
         F.floor((tk % 3600) / 60).cast("int").alias("minute"),
         (tk % 60).cast("int").alias("second"),
-        F.when(hour.between(6, 11), "Morning").when(hour.between(12, 17), "Afternoon")
-        .when(hour.between(18, 21), "Evening").otherwise("Night").alias("time_of_day"),
-        hour.between(9, 17).alias("is_business_hours"),
+        part.alias("time_of_day"),
+        hour.between(*BUSINESS_HOURS).alias("is_business_hours"),
     ]
 
 

@@ -59,7 +59,7 @@ def order_item_ids(lines: DataFrame, line_bucket: int = 1, hot_threshold: int |
 
 def fact_order_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Line totals, cost from the product's unit cost, profit and margin.
-    The catalogue is broadcast only after its size check.  ``order_item_id``
+    ``order_item_id``
     is kept when the input has it (``order_item_ids``); aggregates that do
     not need line ids skip that numbering step."""
     p = products.select("product_id", F.col("cost").alias("_unit_cost"))

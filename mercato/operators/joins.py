@@ -1,32 +1,12 @@
-"""Joins with a checked broadcast side.
-
-``join_small`` counts the small side first (one job over an aggregate or a
-dimension) and broadcasts it only when the count is under ``max_rows``;
-above that it is a plain shuffle join, where AQE may still switch to a
-broadcast on the measured size or split skewed partitions.  The small side
-is persisted while it is checked so the count is not paid twice.
-"""
+"""Joins with a side that is usually small."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def checked_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool, int]:
-    """(frame, broadcastable?, row count).  Counts at most ``max_rows + 1``."""
-    d = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = d.limit(max_rows + 1).count()
-    if n > max_rows:
-        d.unpersist()
-        return df, False, n
-    return d, True, n
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    s, ok, _ = checked_small(small, max_rows)
-    return big.join(F.broadcast(s) if ok else s, on, how)
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a dimension or an aggregate.  Nothing is hinted, counted or cached:
+    Spark broadcasts a side by its bytes, the file sizes at planning or what its
+    shuffle wrote at run time, and splits skewed partitions otherwise."""
+    return big.join(small, on, how)

@@ -64,6 +64,20 @@ def new_vs_returning(fact_orders: DataFrame) -> DataFrame:
                     .alias("returning_customer_revenue"))
 
 
+def product_days(items_fact: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per product and order day: distinct orders, quantity, revenue, profit.
+
+    Lines are first summed to (order, product), on the shuffle by order that the
+    join needs anyway; an order has one day, so the second shuffle counts rows for
+    its distinct orders and combines them map-side."""
+    per_order = items_fact.repartition("order_id").groupBy("order_id", "product_id").agg(
+        F.sum("quantity").alias("q"), F.sum("line_total").alias("r"), F.sum("profit").alias("p"))
+    od = orders.select("order_id", F.col("order_date").cast("date").alias("metric_date"))
+    return per_order.join(od, "order_id").groupBy("product_id", "metric_date").agg(
+        F.count(F.lit(1)).alias("purchases"), F.sum("q").cast("long").alias("quantity_sold"),
+        F.sum("r").cast(MONEY_SUM).alias("revenue"), F.sum("p").cast(MONEY_SUM).alias("profit"))
+
+
 def product_performance(items_fact: DataFrame, orders: DataFrame, web_events: DataFrame | None = None,
                         event_products: DataFrame | None = None) -> DataFrame:
     """Per product and order day: distinct orders, quantity, revenue, profit.
@@ -74,13 +88,7 @@ def product_performance(items_fact: DataFrame, orders: DataFrame, web_events: Da
     joined with the order side, and ``conversion_rate`` = purchases / views.
     Without a bridge (the landed events carry no product key) they are typed
     nulls."""
-    od = orders.select("order_id", F.col("order_date").cast("date").alias("metric_date"))
-    j = items_fact.join(od, "order_id")
-    per_order = j.groupBy("product_id", "metric_date", "order_id").agg(
-        F.sum("quantity").alias("q"), F.sum("line_total").alias("r"), F.sum("profit").alias("p"))
-    g = per_order.groupBy("product_id", "metric_date").agg(
-        F.count(F.lit(1)).alias("purchases"), F.sum("q").cast("long").alias("quantity_sold"),
-        F.sum("r").cast(MONEY_SUM).alias("revenue"), F.sum("p").cast(MONEY_SUM).alias("profit"))
+    g = product_days(items_fact, orders)
     if event_products is None or web_events is None:
         return g.select("product_id", "metric_date", F.lit(None).cast("long").alias("views"),
                         F.lit(None).cast("long").alias("add_to_cart"), "purchases", "quantity_sold",

@@ -6,11 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import activity_status, ratio
+from mercato.operators.scd import current
 from mercato.schemas import MONEY_SUM
 
 
-def customer_lifetime_value(customers_current: DataFrame, rfm_b: DataFrame) -> DataFrame:
-    c = customers_current.select("customer_id", "first_name", "last_name")
+def _current(dim: DataFrame) -> DataFrame:
+    """The current versions of a dimension that has versions."""
+    return current(dim) if "is_current" in dim.columns else dim
+
+
+def customer_lifetime_value(customers: DataFrame, rfm_b: DataFrame) -> DataFrame:
+    """``customers`` is the landed table, or a dimension of which the current
+    versions count."""
+    c = _current(customers).select("customer_id", "first_name", "last_name")
     j = c.join(rfm_b, "customer_id")
     return j.select(
         "customer_id", "first_name", "last_name", "customer_segment", "total_orders",
@@ -19,15 +27,17 @@ def customer_lifetime_value(customers_current: DataFrame, rfm_b: DataFrame) -> D
         "recency_days", activity_status("recency_days").alias("activity_status"))
 
 
-def product_bestsellers(products_current: DataFrame, performance: DataFrame) -> DataFrame:
+def product_bestsellers(products: DataFrame, performance: DataFrame) -> DataFrame:
     """Aggregate the performance table per product first, then join the
-    product attributes (the join sees one row per product)."""
+    product attributes (the join sees one row per product; of a dimension the
+    current versions count).  The conversion rate is the mean of the days that
+    have one."""
     g = performance.groupBy("product_id").agg(
         F.sum("quantity_sold").cast("long").alias("total_quantity_sold"),
         F.sum("revenue").cast(MONEY_SUM).alias("total_revenue"),
         F.sum("profit").cast(MONEY_SUM).alias("total_profit"),
         F.sum("conversion_rate").alias("_cr"), F.count("conversion_rate").alias("_crn"))
-    p = products_current.select("product_id", "product_name", "category", "brand")
+    p = _current(products).select("product_id", "product_name", "category", "brand")
     j = p.join(g, "product_id")
     return j.select("product_id", "product_name", "category", "brand", "total_quantity_sold",
                     "total_revenue", "total_profit", ratio("_cr", "_crn").alias("avg_conversion_rate")) \

@@ -37,11 +37,12 @@ SLICES = 512
 ACCURACY = 20_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> Column:
+def hot_counts(df: DataFrame, keys: Sequence[str], threshold: int) -> Column:
     """A scalar subquery: the hashes of the keys with more than ``threshold``
-    rows, as an array (a hash shared by chance costs slices, nothing else)."""
+    rows, as a map to their (estimated) counts.  A hash shared by chance costs
+    slices, nothing else."""
     return df.select(F.xxhash64(*keys).alias("k")).selectExpr(
-        f"transform(filter(approx_top_k(k, {HOT_KEYS}, {16 * HOT_KEYS}), x -> x.count > {int(threshold)}), x -> x.item) AS k").scalar()
+        f"map_from_entries(filter(approx_top_k(k, {HOT_KEYS}, {16 * HOT_KEYS}), x -> x.count > {int(threshold)})) AS k").scalar()
 
 
 def with_slices(df: DataFrame, keys: Sequence[str], value: Column, hot_threshold: int | None,
@@ -50,7 +51,7 @@ def with_slices(df: DataFrame, keys: Sequence[str], value: Column, hot_threshold
     rows.  ``value`` is a number that the window order starts with."""
     if hot_threshold is None:
         return df.withColumn("_b", value if bucket is None else bucket)
-    d = df.select("*", F.xxhash64(*keys).alias("_k"), value.alias("_v"), hot_keys(df, keys, hot_threshold).alias("_hot"))
+    d = df.select("*", F.xxhash64(*keys).alias("_k"), value.alias("_v"), F.map_keys(hot_counts(df, keys, hot_threshold)).alias("_hot"))
     hot = F.array_contains("_hot", F.col("_k"))
     if bucket is not None:
         return d.select(*df.columns, F.when(hot, bucket).alias("_b"))

@@ -52,9 +52,9 @@ def q_cohort_retention_limited(spark, sf):
     return cohort.cohort_retention_limited(T.orders(spark, sf), P.RETENTION_PERIODS, P.MIN_COHORT_SIZE)
 
 
-@query("cohort_matrix", "WITH wide AS (PIVOT (" + with_(ORD) + _CELLS + """
-SELECT cohort_month, 'month_' || months_since_first AS k, retention_rate FROM ret2)
-ON k USING first(retention_rate) GROUP BY cohort_month) SELECT * FROM wide""")
+@query("cohort_matrix", with_(ORD) + _CELLS + "SELECT cohort_month, " + ", ".join(
+    f"MAX(CASE WHEN months_since_first = {i} THEN retention_rate END) AS month_{i}" for i in range(cohort.MATRIX_MONTHS))
+    + " FROM ret2 GROUP BY cohort_month")
 def q_cohort_matrix(spark, sf):
     return cohort.cohort_matrix(T.orders(spark, sf))
 

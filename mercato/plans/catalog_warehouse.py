@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.operators import cleaning, dims, facts, funnel, metrics, scd, sessions, views
+from mercato.operators import cleaning, dims, facts, funnel, metrics, rfm, scd, sessions, views
 from mercato.plans import params as P
 from mercato.plans.catalog import WEB, _behavior, _fact_behavior, _rfm_b, _web
 from mercato.plans.oracle_sql import BEH, FACT_BEH, ORD, RFM_B, ord_cte, rfm_b_cte, with_
@@ -553,6 +553,91 @@ def q_product_bestsellers(spark, sf):
     return views.product_bestsellers(T.products(spark, sf, P.COST_RATIO), _perf(spark, sf))
 
 
+# ------------------------------------------------- current versions (P03) --
+
+_RFM_CURRENT = RFM_B.replace("JOIN customer c ON c.c_custkey = po.customer_id", "JOIN dimc c ON c.customer_id = po.customer_id AND c.is_current")
+
+
+@query("rfm_ntile_current", with_(*CUST_SCD, _RFM_CURRENT) + "SELECT * FROM rfmb")
+def q_rfm_ntile_current(spark, sf):
+    """R10 over the current versions of D03 (customers with two versions count
+    once, those that D03 does not know do not)."""
+    return rfm.rfm_ntile(_customer_scd(spark, sf), T.orders(spark, sf), P.AS_OF)
+
+
+@query("customer_lifetime_value_current", with_(*CUST_SCD, _RFM_CURRENT) + """
+SELECT c.customer_id, c.first_name, c.last_name, r.customer_segment, r.total_orders, r.total_revenue AS lifetime_value,
+       r.avg_order_value, CAST(date_diff('day', r.first_order_date, r.last_order_date) AS INTEGER) AS customer_age_days,
+       r.recency_days, """ + _activity_sql("r.recency_days") + """ AS activity_status
+FROM dimc c JOIN rfmb r ON r.customer_id = c.customer_id WHERE c.is_current""")
+def q_customer_lifetime_value_current(spark, sf):
+    dim = _customer_scd(spark, sf)
+    return views.customer_lifetime_value(dim, rfm.rfm_ntile(dim, T.orders(spark, sf), P.AS_OF))
+
+
+_EVENT_PERF = """,
+ev AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS product_id, CAST(ts AS DATE) AS metric_date,
+              COUNT(*) FILTER (WHERE event_type = 'view') AS views, COUNT(*) FILTER (WHERE event_type = 'click') AS add_to_cart
+       FROM events WHERE json_extract(props, '$.k') IS NOT NULL GROUP BY 1, 2),
+eperf AS (SELECT COALESCE(e.product_id, p.product_id) AS product_id, COALESCE(e.metric_date, p.metric_date) AS metric_date,
+       COALESCE(e.views, 0) AS views, COALESCE(e.add_to_cart, 0) AS add_to_cart, COALESCE(p.purchases, 0) AS purchases,
+       COALESCE(p.quantity_sold, 0) AS quantity_sold, COALESCE(p.revenue, CAST(0 AS DECIMAL(28,2))) AS revenue,
+       COALESCE(p.profit, CAST(0 AS DECIMAL(28,2))) AS profit,
+       CAST(COALESCE(p.purchases, 0) AS DOUBLE) / NULLIF(CAST(e.views AS DOUBLE), 0) AS conversion_rate
+FROM ev e FULL OUTER JOIN perf p ON p.product_id = e.product_id AND p.metric_date = e.metric_date)
+"""
+
+
+def _best_sql(products: str) -> str:
+    # rates are ratios of small counts: their mean to nine places does not
+    # depend on the order in which they are added
+    return f"""
+SELECT p.product_id, p.product_name, p.category, p.brand, CAST(SUM(quantity_sold) AS BIGINT) AS total_quantity_sold,
+       CAST(SUM(revenue) AS DECIMAL(28,2)) AS total_revenue, CAST(SUM(profit) AS DECIMAL(28,2)) AS total_profit,
+       round(AVG(conversion_rate), 9) AS avg_conversion_rate
+FROM {products} p JOIN eperf f ON f.product_id = p.product_id GROUP BY 1, 2, 3, 4"""
+
+
+@query("product_bestsellers_current", with_(ITEMS, *PROD_SCD, FITEMS) + _PERF + _EVENT_PERF + _best_sql("(SELECT * FROM dimp WHERE is_current)"))
+def q_product_bestsellers_current(spark, sf):
+    """V02 with a real conversion rate, over the current versions of D04."""
+    best = views.product_bestsellers(_product_scd(spark, sf), q_product_performance_events(spark, sf))
+    return best.withColumn("avg_conversion_rate", F.round("avg_conversion_rate", 9))
+
+
+# ------------------------------------------------------ views by name (I11) --
+
+def _view(spark, sf, name):
+    from mercato.plans.views import register_reporting_views
+
+    register_reporting_views(spark, sf)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+@query("view_customer_rfm", with_(ORD, RFM_B) + "SELECT * FROM rfmb")
+def q_view_customer_rfm(spark, sf):
+    return _view(spark, sf, "customer_rfm")
+
+
+@query("view_customer_lifetime_value", with_(CUST, ORD, RFM_B) + """
+SELECT c.customer_id, c.first_name, c.last_name, r.customer_segment, r.total_orders, r.total_revenue AS lifetime_value,
+       r.avg_order_value, CAST(date_diff('day', r.first_order_date, r.last_order_date) AS INTEGER) AS customer_age_days,
+       r.recency_days, """ + _activity_sql("r.recency_days") + """ AS activity_status
+FROM cust c JOIN rfmb r ON r.customer_id = c.customer_id""")
+def q_view_customer_lifetime_value(spark, sf):
+    return _view(spark, sf, "customer_lifetime_value")
+
+
+@query("view_product_performance", with_(PROD, ITEMS, FITEMS) + _PERF + _EVENT_PERF + "SELECT * FROM eperf")
+def q_view_product_performance(spark, sf):
+    return _view(spark, sf, "product_performance")
+
+
+@query("view_product_bestsellers", with_(PROD, ITEMS, FITEMS) + _PERF + _EVENT_PERF + _best_sql("prod"))
+def q_view_product_bestsellers(spark, sf):
+    return _view(spark, sf, "product_bestsellers").withColumn("avg_conversion_rate", F.round("avg_conversion_rate", 9))
+
+
 @query("at_risk_customers", with_(ORD, RFM_B) + """,
 a AS (SELECT customer_id, recency_days, customer_segment, """ + _activity_sql("recency_days") + """ AS activity_status FROM rfmb)
 SELECT *, CASE WHEN customer_segment = 'At Risk' AND activity_status = 'At Risk' THEN 'segment+recency'

@@ -5,6 +5,7 @@ Fragments are CTEs over the landed tables (views ``events``, ``orders``,
 exact (DECIMAL, integer cents); ratios are DOUBLE divisions of exact sums.
 """
 
+from mercato.functions.expressions import segment_sql
 from mercato.plans import params as P
 
 GAP_US = P.SESSION_GAP_SECONDS * 1_000_000
@@ -74,14 +75,7 @@ ord AS (
 
 ORD = ord_cte()
 
-SEGMENT_CASE = """CASE
-    WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
-    WHEN r_score >= 3 AND f_score >= 3 AND m_score >= 3 THEN 'Loyal Customers'
-    WHEN r_score >= 4 AND f_score <= 2 THEN 'New Customers'
-    WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk'
-    WHEN r_score <= 2 AND f_score <= 2 THEN 'Lost Customers'
-    WHEN r_score >= 3 AND f_score <= 2 THEN 'Potential Loyalists'
-    ELSE 'Regular Customers' END"""
+SEGMENT_CASE = segment_sql()
 
 RFM_SCORE = "CAST(r_score AS VARCHAR) || CAST(f_score AS VARCHAR) || CAST(m_score AS VARCHAR)"
 

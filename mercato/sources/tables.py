@@ -153,3 +153,29 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("state"),
         F.col("c_mktsegment").alias("city"),
     )
+
+
+def staging_sql(sf_dir: str, name: str, cost_ratio: float = DEFAULT_COST_RATIO) -> str:
+    """SQL text of a staging table over the landed files: ``orders``,
+    ``customers``, ``products`` or ``order_items``.  Views hold text, so each
+    read lists the files anew."""
+    def landed(t: str) -> str:
+        return f"parquet.`{sf_dir.rstrip('/')}/{t}.parquet`"
+
+    money = "DECIMAL(18,2)"
+    status = " ".join(f"WHEN '{code}' THEN '{text}'" for code, text in ORDER_STATUS.items())
+    return {
+        "orders": f"""SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_date,
+  CASE o_orderstatus {status} END AS order_status, CAST(o_totalprice AS {money}) AS order_total FROM {landed("orders")}""",
+        "customers": f"""SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,
+  split_part(c_name, '#', 2) AS last_name FROM {landed("customer")}""",
+        "products": f"""SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, p_brand AS brand,
+  CAST(CAST(p_retailprice AS {money}) * CAST({cost_ratio} AS DECIMAL(4,2)) AS {money}) AS cost FROM {landed("part")}""",
+        "order_items": f"""SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INT) AS quantity,
+  CAST(CAST(l_extendedprice AS {money}) - CAST(CAST(l_extendedprice AS {money}) * CAST(l_discount AS DECIMAL(4,2)) AS {money}) AS {money}) AS line_total
+  FROM {landed("lineitem")}""",
+        # an event's product is its property k (a declared mapping)
+        "event_products": f"""SELECT CAST(get_json_object(props, '$.k') AS BIGINT) AS product_id, CAST(ts AS DATE) AS metric_date,
+  event_type = '{EVENT_COUNTERS["product_views"]}' AS viewed, event_type = '{EVENT_COUNTERS["add_to_cart"]}' AS carted
+  FROM {landed("events")} WHERE get_json_object(props, '$.k') IS NOT NULL""",
+    }[name]
