@@ -43,9 +43,10 @@ SEGMENT_RULES = [
 ]
 
 
-RFM = ["recency", "frequency", "monetary"]
-#: What the three NTILE scores order by.
-NTILE_SCORES = {"r_score": "-recency_days", "f_score": "frequency", "m_score": "monetary"}
+#: The metrics of variant A, with their units (money in cents).
+RFM = {"recency": 1, "frequency": 1, "monetary": 100}
+#: What the three NTILE scores order by, as whole numbers.
+NTILE_SCORES = {"r_score": "-recency_days", "f_score": "frequency", "m_score": "monetary * 100"}
 
 
 def _ts(as_of: str):
@@ -77,7 +78,8 @@ def rfm_quantile_scores(rfm: DataFrame, bins: int = 5, strict: bool = False) ->
         for c, e in (edges or {}).items():
             if len(set(e)) != len(e):
                 raise ValueError(f"quantile edges of {c} collapse: {e}")
-    return quantile_bins(rfm, {"recency": ("r_score", up[::-1]), "frequency": ("f_score", up), "monetary": ("m_score", up)}, probs)
+    out = {"recency": ("r_score", up[::-1]), "frequency": ("f_score", up), "monetary": ("m_score", up)}
+    return quantile_bins(rfm, {c: (*to, RFM[c]) for c, to in out.items()}, probs)
 
 
 def rfm_segments(orders: DataFrame, as_of: str, bins: int = 5, strict: bool = False) -> DataFrame:

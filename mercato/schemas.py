@@ -48,3 +48,17 @@ RAW_EVENT_JSON = T.StructType([
 RAW_EVENTS = T.StructType([f for f in RAW_EVENT_JSON.fields if f.name != "_corrupt_record"])
 
 PROPS_JSON = T.StructType([T.StructField("k", T.LongType())])
+
+# Columns of the landed tables that the warehouse reads (declared, so that no
+# job looks at footers while a plan is built).
+LANDED = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+                " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}

@@ -23,7 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2MB",  # local runs; see cluster_conf
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.schemas import MONEY
+from mercato.schemas import LANDED, MONEY
 
 # Event-type to counter mapping and order-status codes.
 EVENT_COUNTERS = {
@@ -26,7 +26,8 @@ DEFAULT_COST_RATIO = 0.6
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A landed table with its declared columns."""
+    return spark.read.schema(LANDED[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _range_filter(col: Column, start: str | None, end: str | None) -> Column | None:
@@ -138,10 +139,10 @@ def products(spark: SparkSession, sf_dir: str, cost_ratio: float = DEFAULT_COST_
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with country/state from nation/region.  Nation (25 rows) and
     region (5 rows) are fixed-size reference tables, so broadcasting them is
-    bounded."""
+    bounded; with one row a key, a reader that needs neither is spared the joins."""
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey").dropDuplicates(["n_nationkey"])
+    r = read(spark, sf_dir, "region").select("r_regionkey", "r_name").dropDuplicates(["r_regionkey"])
     j = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
          .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey, "left"))
     return j.select(

@@ -55,7 +55,7 @@ def test_quantiles_equal_numpy(spark, kind):
     data = table(kind, 3)
     probs = [0, 0.1, 1 / 3, 0.5, 0.8, 1.0]
     df = spark.createDataFrame(data, "id long, v long")
-    got = spark.sql(f"WITH {selection.quantile_edges_sql('{src}', ['v'], probs)} SELECT e['v'] FROM edges", src=df).first()[0]
+    got = spark.sql(f"WITH {selection.quantile_edges_sql('{src}', dict(v=1), probs)} SELECT e['v'] FROM edges", src=df).first()[0]
     assert np.allclose(got, np.quantile([v for _, v in data if v is not None], probs), rtol=0, atol=1e-9)
 
 
