@@ -378,7 +378,7 @@ def q_stream_ingest_events(spark, sf):
     checked in the streaming tests, not compared here)."""
     landing = _landed_events(spark, sf, "landing-events")
     out = ingest.ingest_events(spark, landing, scratch_path(spark, "staging-web-events"),
-                               scratch_path(spark, "ckpt-ingest"))
+                               scratch_path(spark, "ckpt-ingest"), max_files_per_trigger=2)
     return out.drop("load_timestamp")
 
 
@@ -404,6 +404,54 @@ def q_stream_daily_metrics(spark, sf):
     return out.select("metric_date", "events", "visitors", "product_views", "add_to_cart", "purchases", "value")
 
 
+def _moved_events(spark, sf):
+    """All events, and a second delivery of every fifth, moved by some days or
+    without a time: (first deliveries, second ones)."""
+    raw = T.read(spark, sf, "events").select(*[f.name for f in RAW_EVENTS.fields])
+    raw = raw.withColumn("ts", F.expr("IF(event_id % 11 = 0, CAST(NULL AS TIMESTAMP_NTZ), ts)"))
+    days = F.expr("make_dt_interval(CAST(event_id % 7 - 3 AS INT))")
+    return raw, raw.where("event_id % 5 = 0").withColumn("ts", F.col("ts") + days)
+
+
+_MOVED_SQL = """
+WITH first AS (SELECT * REPLACE (CASE WHEN event_id % 11 <> 0 THEN ts END AS ts) FROM events),
+ev AS (SELECT * FROM first UNION ALL
+       SELECT * REPLACE (ts + to_days(CAST(event_id % 7 - 3 AS INTEGER)) AS ts) FROM first WHERE event_id % 5 = 0),
+latest AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY ts DESC NULLS LAST) AS k FROM ev)
+"""
+
+
+def _land_moved(spark, sf, name):
+    first, second = _moved_events(spark, sf)
+    both = first.withColumn("_n", F.lit(0)).unionByName(second.withColumn("_n", F.lit(1)))
+    # the two deliveries of an event are in different files, in either order
+    file = F.pmod(F.xxhash64("event_id") + F.col("_n") * 3, F.lit(8))
+    return ingest.land(both.withColumn("_f", file.cast("int")).repartitionById(8, "_f").drop("_f", "_n"), scratch_path(spark, name))
+
+
+@query("stream_dedup_moved", _MOVED_SQL + "SELECT event_id, ts, user_id, event_type, value, props FROM latest WHERE k = 1")
+def q_stream_dedup_moved(spark, sf):
+    """X02 with re-deliveries that move an event to another day, in a later or
+    an earlier batch."""
+    out = ingest.dedup_events_stream(spark, _land_moved(spark, sf, "landing-moved"), scratch_path(spark, "events-moved"),
+                                     scratch_path(spark, "ckpt-moved"), max_files_per_trigger=2)
+    return out.select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@query("stream_daily_metrics_moved", _MOVED_SQL + """
+SELECT CAST(ts AS DATE) AS metric_date, COUNT(*) AS events, COUNT(DISTINCT user_id) AS visitors,
+       COUNT(*) FILTER (WHERE event_type = 'view') AS product_views,
+       COUNT(*) FILTER (WHERE event_type = 'click') AS add_to_cart,
+       COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS value
+FROM latest WHERE k = 1 GROUP BY CAST(ts AS DATE)""")
+def q_stream_daily_metrics_moved(spark, sf):
+    """X03 over the same deliveries: events without a time have the null day."""
+    out = ingest.daily_metrics_stream(spark, _land_moved(spark, sf, "landing-moved-daily"), scratch_path(spark, "daily-moved"),
+                                      scratch_path(spark, "ckpt-daily-moved"), max_files_per_trigger=2)
+    return out.select("metric_date", "events", "visitors", "product_views", "add_to_cart", "purchases", "value")
+
+
 _SESSION_COLS = ["customer_id", "session_id", "event_timestamp_min", "event_timestamp_max", "event_timestamp_count",
                  "product_views_sum", "add_to_cart_sum", "checkout_started_sum", "purchase_completed_sum"]
 

@@ -65,9 +65,11 @@ def run_to_files(stream: DataFrame, out: str, checkpoint: str, mode: str = "appe
     return stream.sparkSession.read.parquet(out)
 
 
-def ingest_events(spark: SparkSession, landing: str, out: str, checkpoint: str) -> DataFrame:
-    """Landed raw events -> staging web events with load timestamp."""
-    s = read_landed_events(spark, landing)
+def ingest_events(spark: SparkSession, landing: str, out: str, checkpoint: str,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed raw events -> staging web events with load timestamp, in
+    micro-batches of ``max_files_per_trigger`` files (None: one of all)."""
+    s = read_landed_events(spark, landing, max_files_per_trigger=max_files_per_trigger)
     staged = events_from_raw(s).withColumn("load_timestamp", F.current_timestamp())
     return run_to_files(staged, out, checkpoint)
 
@@ -84,6 +86,35 @@ def _partition(value) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _days_filter(column: str, days: list):
+    known = [d for d in days if d is not None]
+    here = F.col(column).isin(known) if known else F.lit(False)
+    return here | F.col(column).isNull() if None in days else here
+
+
+def _days_of(df: DataFrame, column: str) -> list:
+    """Distinct days (null among them): at most the days of the calendar."""
+    return [r[0] for r in df.select(column).distinct().collect()]
+
+
+def overwrite_partitions(target: str, partition: str, parts: list, rows: DataFrame) -> None:
+    """Replace whole partitions by ``rows`` (materialised), and remove those of
+    ``parts`` that are left without a row.  A reader between the two steps can
+    still see a removed partition."""
+    spark = rows.sparkSession
+    (rows.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition).parquet(target))
+    full = set(_days_of(rows, partition))
+    for p in parts:
+        if p not in full:
+            _remove(spark, f"{target}/{partition}={_partition(p)}")
+
+
 def replace_in_partitions(target: str, partition: str, key: str, touched: DataFrame, fresh: DataFrame) -> None:
     """Replace rows of a table that is partitioned by a date column.
 
@@ -94,26 +125,16 @@ def replace_in_partitions(target: str, partition: str, key: str, touched: DataFr
     list of dates."""
     spark = fresh.sparkSession
     touched = materialize(touched.select(key, partition).distinct())
-    parts = [r[0] for r in touched.select(partition).distinct().collect()]
+    parts = _days_of(touched, partition)
     if not parts:
         return
     rows = fresh
     if table_exists(spark, target):
         old = spark.read.schema(fresh.schema).parquet(target)
-        known = [p for p in parts if p is not None]
-        here = F.col(partition).isin(known) if known else F.lit(False)
-        here = here | F.col(partition).isNull() if None in parts else here
-        kept = old.filter(here).join(touched.filter(F.col(key).isNotNull()).select(key).distinct(), key, "left_anti")
+        kept = old.filter(_days_filter(partition, parts)).join(
+            touched.filter(F.col(key).isNotNull()).select(key).distinct(), key, "left_anti")
         rows = kept.select(*fresh.columns).unionByName(fresh)
-    rows = materialize(rows)  # read before its partitions are overwritten
-    (rows.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition).parquet(target))
-    full = {r[0] for r in rows.select(partition).distinct().collect()}
-    jvm = spark.sparkContext._jvm
-    for p in parts:
-        if p not in full:
-            gone = jvm.org.apache.hadoop.fs.Path(f"{target}/{partition}={_partition(p)}")
-            gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+    overwrite_partitions(target, partition, parts, materialize(rows))  # read before its partitions are overwritten
 
 
 def _run(stream: DataFrame, upsert, checkpoint: str) -> None:
@@ -121,50 +142,73 @@ def _run(stream: DataFrame, upsert, checkpoint: str) -> None:
            .trigger(availableNow=True).start())
 
 
-def _new_events(batch: DataFrame, staged: str) -> DataFrame:
-    """Events of a batch that the staged table does not hold yet, appended to
-    it; only the batch's days of the table are read."""
+def _merge_events(batch: DataFrame, staged: str, journal: str, epoch_id: int) -> DataFrame:
+    """Bring a batch into the staged table, which holds the latest delivery of
+    each event (by ``ts``, then the other columns, as ``dedup_latest`` does), by
+    day.  The result names what may have changed: (user_id, ts, day) of the
+    batch's events and of the deliveries that they replace.
+
+    Ids are matched over the whole table (a narrow scan of id and day), full
+    rows read from the days with a match only; new events are appended, replaced
+    ones rewritten with their days.  The result is written to ``journal`` before
+    anything changes, so a batch that is run again after a failure names the same."""
     spark = batch.sparkSession
-    b = dedup_latest(batch.withColumn("day", F.to_date("ts")), ["event_id"], ["ts"])
+    _remove(spark, f"{journal}/epoch={epoch_id - 1}")
+    journal = f"{journal}/epoch={epoch_id}"
+    b = materialize(dedup_latest(batch.withColumn("day", F.to_date("ts")), ["event_id"], ["ts"]))
+    place = ["user_id", "ts", "day"]
+    touched, known, old = b.select(*place), None, None
     if table_exists(spark, staged):
-        days = [r[0] for r in b.select("day").distinct().collect()]
-        old = spark.read.schema(b.schema).parquet(staged).filter(F.col("day").isin([d for d in days if d is not None]) | F.col("day").isNull())
-        b = b.join(old.select("event_id"), "event_id", "left_anti")
-    new = materialize(b)
+        table = spark.read.schema(b.schema).parquet(staged)
+        known = materialize(table.select("event_id", "day").join(b.select("event_id"), "event_id"))
+        days = _days_of(known, "day")
+        if days:
+            same = b.select("event_id", F.struct(*[c for c in b.columns if c != "event_id"]).alias("_new"))
+            old = table.filter(_days_filter("day", days)).join(same, "event_id")
+            rest = F.struct(*[c for c in b.columns if c != "event_id"])
+            old = materialize(old.filter(F.col("_new") > rest).drop("_new"))  # deliveries that the batch replaces
+            touched = touched.unionByName(old.select(*place))
+    if table_exists(spark, journal):
+        touched = spark.read.schema(touched.schema).parquet(journal)
+    else:
+        touched.write.mode("overwrite").parquet(journal)
+        touched = spark.read.schema(touched.schema).parquet(journal)
+    new = b if known is None else b.join(known.select("event_id"), "event_id", "left_anti")
     new.repartition("day").write.mode("append").partitionBy("day").parquet(staged)
-    return new
+    if old is not None:
+        fresh = b.join(old.select("event_id"), "event_id", "left_semi")
+        moved = old.select("event_id", "day").unionByName(fresh.select("event_id", "day"))
+        replace_in_partitions(staged, "day", "event_id", moved, fresh)
+    return touched
 
 
 def dedup_events_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Drop re-delivered events, however late they come.  A batch is
-    matched with the table's days that it touches, so nothing is kept in
-    memory between batches and no late event is lost.  (A re-delivery has the
-    time of its event.)"""
+    """One row an event, its latest delivery, whatever the order of arrival
+    and however late one comes, also if it moves the event to another day.
+    Nothing is kept in memory between batches."""
     s = read_landed_events(spark, landing, max_files_per_trigger=max_files_per_trigger).drop("event_time")
-    _run(s, lambda batch, _: _new_events(batch, out), checkpoint)
-    return spark.read.parquet(out)
 
+    def upsert(batch: DataFrame, epoch_id: int) -> None:
+        _merge_events(batch, out, f"{checkpoint}-journal", epoch_id)
 
-def _staged_days(spark: SparkSession, staged: str, days: list) -> DataFrame:
-    return spark.read.parquet(staged).filter(F.col("day").isin(days))
+    _run(s, upsert, checkpoint)
+    return spark.read.parquet(out)
 
 
 def daily_metrics_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
                          max_files_per_trigger: int | None = None) -> DataFrame:
-    """Per-day event metrics with exact visitor counts, and the daily
-    funnel's sessions are X04's.  A batch's new events are staged by day; the
-    days that they touch are counted anew and replaced."""
+    """Per-day event metrics with exact visitor counts (events without a
+    time have the null day); the daily funnel's sessions are X04's.  A batch's
+    events are staged by day; the days that they touch are counted anew and
+    replaced."""
     staged = out.rstrip("/") + "-staged"
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        # the days of all the batch's events, also of those that an earlier,
-        # failed run of this batch has staged already
-        days = [r[0] for r in batch.select(F.to_date("ts").alias("d")).distinct().collect() if r[0] is not None]
-        _new_events(batch, staged)
+        days = _days_of(_merge_events(batch, staged, f"{checkpoint}-journal", epoch_id), "day")
         if not days:
             return
-        ev = _staged_days(spark, staged, days)
+        ev = spark.read.parquet(staged).filter(_days_filter("day", days))
         per_user = ev.groupBy("day", "user_id").agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("event_type") == "view").alias("pv"),
@@ -174,8 +218,7 @@ def daily_metrics_stream(spark: SparkSession, landing: str, out: str, checkpoint
         g = per_user.groupBy(F.col("day").alias("metric_date")).agg(
             F.sum("n").alias("events"), F.count("user_id").alias("visitors"), F.sum("pv").alias("product_views"),
             F.sum("atc").alias("add_to_cart"), F.sum("pur").alias("purchases"), F.sum("v").cast("decimal(28,2)").alias("value"))
-        (g.repartition("metric_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("metric_date").parquet(out))
+        overwrite_partitions(out, "metric_date", days, materialize(g))
 
     _run(read_landed_events(spark, landing, max_files_per_trigger=max_files_per_trigger).drop("event_time"), upsert, checkpoint)
     return spark.read.parquet(out)
@@ -183,39 +226,39 @@ def daily_metrics_stream(spark: SparkSession, landing: str, out: str, checkpoint
 
 def sessions_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, gap_seconds: int = 6 * 3600,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Session rollup, open sessions included.  A batch's new events are
-    staged by day.  The stored sessions of the batch's users within the gap of
-    its events are taken back, and the events of that time are cut into
-    sessions anew: late events may join, split off or merge sessions."""
+    """Session rollup, open sessions included.  A batch's events are staged
+    by day.  For each user and day of them (and of the deliveries that they
+    replace), the stored sessions within the gap are taken back, and the events
+    of those stretches are cut into sessions anew: late events may join, split
+    off or merge sessions.  Only the days of those stretches are read, so one
+    event that is a year late reads its own days, not the year.  A batch that is
+    run again after a failure does the same work with the same result."""
     staged = out.rstrip("/") + "-staged"
+    gap = F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        _new_events(batch, staged)
-        seen = batch.filter("user_id is not null").select(F.col("user_id").alias("customer_id"), "ts")
-        reach = seen.groupBy("customer_id").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-        none = F.lit(None).cast("timestamp_ntz")
+        touched = _merge_events(batch, staged, f"{checkpoint}-journal", epoch_id).filter("user_id IS NOT NULL AND ts IS NOT NULL")
+        reach = touched.groupBy(F.col("user_id").alias("customer_id"), "day").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).drop("day")
         taken = None
         if table_exists(spark, out):
             old = spark.read.parquet(out).select("customer_id", "session_id", "start_day", "event_timestamp_min", "event_timestamp_max")
-            gap = F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")
-            taken = materialize(old.join(reach, "customer_id").filter(
-                (F.col("event_timestamp_max") >= F.col("lo") - gap) & (F.col("event_timestamp_min") <= F.col("hi") + gap)))
-            span = taken.groupBy("customer_id").agg(F.min("event_timestamp_min").alias("a"), F.max("event_timestamp_max").alias("b"))
-            reach = reach.join(span, "customer_id", "left")
-        else:
-            reach = reach.withColumns({"a": none, "b": none})
-        reach = materialize(reach.select(F.col("customer_id").alias("user_id"), F.least("lo", "a").alias("lo"), F.greatest("hi", "b").alias("hi")))
-        first, last = reach.agg(F.to_date(F.min("lo")), F.to_date(F.max("hi"))).first()
-        if first is None:
+            taken = old.join(reach, "customer_id").filter(
+                (F.col("event_timestamp_max") >= F.col("lo") - gap) & (F.col("event_timestamp_min") <= F.col("hi") + gap))
+            taken = materialize(taken.drop("lo", "hi").distinct())
+            reach = reach.unionByName(taken.select("customer_id", F.col("event_timestamp_min").alias("lo"), F.col("event_timestamp_max").alias("hi")))
+        stretch = materialize(reach.select(F.col("customer_id").alias("user_id"), "lo", "hi", F.explode(
+            F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("day")))
+        days = _days_of(stretch, "day")
+        if not days:
             return
-        ev = spark.read.parquet(staged).filter(F.col("day").between(F.lit(first), F.lit(last)))
-        ev = ev.join(reach, "user_id").filter(F.col("ts").between(F.col("lo"), F.col("hi")))
+        ev = spark.read.parquet(staged).filter(_days_filter("day", days))
+        ev = ev.join(stretch, ["user_id", "day"]).filter(F.col("ts").between(F.col("lo"), F.col("hi"))).drop("lo", "hi", "day").distinct()
         fresh = session_behavior(sessionize(events_from_raw(ev), gap_seconds)).withColumn("start_day", F.to_date("event_timestamp_min"))
         fresh = materialize(fresh)
-        touched = fresh.select(F.lit(None).cast("string").alias("session_id"), "start_day")
+        moved = fresh.select(F.lit(None).cast("string").alias("session_id"), "start_day")
         if taken is not None:
-            touched = touched.unionByName(taken.select("session_id", "start_day"))
-        replace_in_partitions(out, "start_day", "session_id", touched, fresh)
+            moved = moved.unionByName(taken.select("session_id", "start_day"))
+        replace_in_partitions(out, "start_day", "session_id", moved, fresh)
 
     _run(read_landed_events(spark, landing, max_files_per_trigger=max_files_per_trigger).drop("event_time"), upsert, checkpoint)
     return spark.read.parquet(out)

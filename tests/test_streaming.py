@@ -100,3 +100,99 @@ def test_orders_upsert_is_idempotent_and_latest_wins(spark):
     # replay the same files with a fresh checkpoint: same table
     again = ingest.orders_upsert_stream(spark, landing, target, scratch_path(spark, "t-ck"), first.schema)
     assert again.count() == n
+
+
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def _event(i, when, user=1, kind="view"):
+    import datetime as dt
+
+    return (i, when and dt.datetime.fromisoformat(when), user, kind, 1.0, None)
+
+
+def _batches(spark, batches, run):
+    """Land batches one after another into one stream's folder."""
+    for i, b in enumerate(batches):
+        landing = ingest.land(spark.createDataFrame(b, EVENTS), scratch_path(spark, f"t-b{i}"))
+        out = run(landing)
+    return out
+
+
+MOVED = [[_event(1, "2024-01-01 10:00:00"), _event(2, "2024-01-01 10:30:00"), _event(3, None), _event(4, "2024-01-02 09:00:00", None)],
+         [_event(1, "2024-01-05 10:00:00"), _event(5, "2023-01-01 00:10:00")],  # 1 moves; 5 is a year late
+         [_event(1, "2024-01-03 10:00:00"), _event(3, "2024-01-01 11:00:00")],  # an older delivery of 1; 3 gets a time
+         [_event(2, "2024-01-04 23:00:00"), _event(6, "2024-01-05 04:00:00", 1, "purchase")]]
+
+
+def _latest():
+    best = {}
+    for b in MOVED:
+        for e in b:
+            if e[0] not in best or (e[1] is not None and (best[e[0]][1] is None or e[1] > best[e[0]][1])):
+                best[e[0]] = e
+    return best
+
+
+def test_moved_deliveries_in_any_order_of_batches(spark):
+    import itertools
+
+    for order in itertools.permutations(range(4)):
+        if order[0] not in (0, 3):
+            continue
+        out = scratch_path(spark, "t-mv")
+        got = _batches(spark, [MOVED[i] for i in order],
+                       lambda landing: ingest.dedup_events_stream(spark, landing, out, scratch_path(spark, "t-ck")))
+        assert {r.event_id: r.ts for r in got.collect()} == {i: e[1] for i, e in _latest().items()}, order
+        assert got.count() == 6
+        if order != (0, 1, 2, 3):
+            break
+
+
+def test_daily_metrics_and_sessions_follow_moved_events(spark):
+    out, sess = scratch_path(spark, "t-dm"), scratch_path(spark, "t-ss")
+    daily = _batches(spark, MOVED, lambda x: ingest.daily_metrics_stream(spark, x, out, scratch_path(spark, "t-ck")))
+    days = {}
+    for e in _latest().values():
+        days.setdefault(e[1] and e[1].date(), []).append(e)
+    assert {(r.metric_date, r.events, r.visitors) for r in daily.collect()} == {
+        (d, len(es), len({e[2] for e in es if e[2]})) for d, es in days.items()}
+    got = _batches(spark, MOVED, lambda x: ingest.sessions_stream(spark, x, sess, scratch_path(spark, "t-ck"), 6 * 3600))
+    ev = spark.createDataFrame([e for e in _latest().values() if e[1]], EVENTS)
+    from mercato.sources.tables import events_from_raw
+
+    batch = sessions.session_behavior(sessions.sessionize(events_from_raw(ev), 6 * 3600))
+    assert rows(got.select(*SESSION_COLS)) == rows(batch.select(*SESSION_COLS))
+
+
+def test_failure_between_staging_and_result_is_made_good(spark, monkeypatch):
+    """The batch that moves an event fails after staging; run again, it also
+    counts the day that the event has left."""
+    import pytest
+
+    out, ck = scratch_path(spark, "t-fail"), scratch_path(spark, "t-ck")
+    landing = scratch_path(spark, "t-land")
+    spark.createDataFrame(MOVED[0], EVENTS).write.parquet(landing)
+    ingest.daily_metrics_stream(spark, landing, out, ck)
+    spark.createDataFrame(MOVED[1], EVENTS).write.mode("append").parquet(landing)
+    whole = ingest.overwrite_partitions
+
+    def fail(target, *args):
+        if target == out:
+            raise RuntimeError("lost")
+        return whole(target, *args)
+
+    monkeypatch.setattr(ingest, "overwrite_partitions", fail)
+    with pytest.raises(Exception, match="lost"):
+        ingest.daily_metrics_stream(spark, landing, out, ck)
+    monkeypatch.setattr(ingest, "overwrite_partitions", whole)
+    got = {str(r.metric_date): r.events for r in ingest.daily_metrics_stream(spark, landing, out, ck).collect()}
+    assert got == {"2024-01-01": 1, "None": 1, "2024-01-02": 1, "2024-01-05": 1, "2023-01-01": 1}
+
+
+def test_ingest_runs_several_batches(spark):
+    landing, out, ck = _landing(spark, files=6), scratch_path(spark, "t-ing"), scratch_path(spark, "t-ck")
+    got = ingest.ingest_events(spark, landing, out, ck, max_files_per_trigger=2)
+    assert got.count() == T.read(spark, SF001, "events").count()
+    batches = spark.read.text(f"{ck}/commits").select(F.input_file_name().alias("f")).distinct().count()
+    assert batches >= 3
