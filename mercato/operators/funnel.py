@@ -103,7 +103,12 @@ def daily_counts(fact_behavior: DataFrame) -> DataFrame:
 
 def funnel_daily(fact_behavior: DataFrame, ordered: bool = True) -> DataFrame:
     """Daily funnel with fractions of the first stage (warehouse model)."""
-    rows = _stage_rows(daily_counts(fact_behavior), ["funnel_date"], ["n0", "n1", "n2", "n3", "n4"], DAILY_STAGES)
+    return funnel_of_counts(daily_counts(fact_behavior), ordered)
+
+
+def funnel_of_counts(counts: DataFrame, ordered: bool = True) -> DataFrame:
+    """The daily funnel of counts per day (n0 to n4), however they were made."""
+    rows = _stage_rows(counts, ["funnel_date"], ["n0", "n1", "n2", "n3", "n4"], DAILY_STAGES)
     conv = ratio("sessions", "first_sessions")
     out = rows.select("funnel_date", "stage", "stage_order", "sessions",
                       conv.alias("conversion_rate"), (F.lit(1.0) - conv).alias("drop_off_rate"))

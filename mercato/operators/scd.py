@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import surrogate_key
+from mercato.operators.selection import shared
+from mercato.operators.windows import HOT_KEY_ROWS, with_carry, with_slices
 
 META = ["effective_date", "expiry_date", "is_current"]
 
@@ -103,7 +105,8 @@ def with_version_key(dim: DataFrame, key: str, out: str) -> DataFrame:
 def scd2_lookup(facts: DataFrame, dim: DataFrame, key: str, ts: str, attrs: Sequence[str],
                 how: str = "left") -> DataFrame:
     """Point-in-time lookup: the version valid at each fact's timestamp
-    (equi-join on the key plus a range condition; at most one match)."""
+    (equi-join on the key plus a range condition; at most one match).  A fact is
+    compared with every version of its key: right for a few versions each."""
     d = dim.select(F.col(key).alias("_k"), *attrs, "effective_date", "expiry_date")
     t = F.col(ts).cast("date")
     cond = (F.col(key) == F.col("_k")) & (t >= F.col("effective_date")) \
@@ -111,5 +114,33 @@ def scd2_lookup(facts: DataFrame, dim: DataFrame, key: str, ts: str, attrs: Sequ
     return facts.join(d, cond, how).drop("_k", "expiry_date")
 
 
+def scd2_sweep(facts: DataFrame, dim: DataFrame, key: str, ts: str, attrs: Sequence[str],
+               how: str = "left", hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """The same as ``scd2_lookup``, as a sweep, for keys with many versions.
+
+    Facts and versions go through one sorted stream a key, and each fact takes
+    the last version before it: one shuffle, however many versions a key has,
+    and no range condition in a join.  A hot key's stream is cut into slices of
+    equal counts, to which the last version of the slices before is carried."""
+    shown = [*attrs, "effective_date"]
+    version = F.struct(*shown, "expiry_date")
+    f = facts.select(F.col(key).alias("_key"), F.col(ts).cast("date").alias("_t"), F.lit(1).alias("_fact"), F.struct("*").alias("_f"))
+    v = dim.select(F.col(key).alias("_key"), F.col("effective_date").alias("_t"), F.lit(0).alias("_fact"), version.alias("_version"))
+    both = f.unionByName(shared(v), allowMissingColumns=True)
+    value = F.date_diff("_t", F.lit("1970-01-01").cast("date"))
+    d0 = with_slices(both, ["_key"], value, hot_threshold, sketched=f.select("_key", "_t"))
+    w = Window.partitionBy("_key", "_b").orderBy("_t", "_fact").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d0.withColumn("_last", F.last("_version", ignorenulls=True).over(w))
+    ends = d0.where("_b IS NOT NULL").groupBy("_key", "_b").agg(F.max_by("_version", F.when(F.col("_version").isNotNull(), F.col("_t"))).alias("_end"))
+    before = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    d = with_carry(d.where("_fact = 1"), ends.select("_key", "_b", F.last("_end", ignorenulls=True).over(before).alias("_carry")), ["_key"])
+    d = d.withColumn("_at", F.coalesce("_last", "_carry"))
+    d = d.withColumn("_at", F.when(F.col("_key").isNotNull() & F.col("_t").isNotNull()
+                                   & (F.col("_at.expiry_date").isNull() | (F.col("_t") < F.col("_at.expiry_date"))), F.col("_at")))
+    if how == "inner":
+        d = d.where("_at IS NOT NULL")
+    return d.select("_f.*", *[F.col(f"_at.{c}").alias(c) for c in shown])
+
+
 def current(dim: DataFrame) -> DataFrame:
     return dim.filter(F.col("is_current"))

@@ -46,21 +46,25 @@ def hot_counts(df: DataFrame, keys: Sequence[str], threshold: int) -> Column:
 
 
 def with_slices(df: DataFrame, keys: Sequence[str], value: Column, hot_threshold: int | None,
-                bucket: Column | None = None) -> DataFrame:
+                bucket: Column | None = None, sketched: DataFrame | None = None) -> DataFrame:
     """Add ``_b``, the slice of each row of a hot key, null for other keys'
-    rows.  ``value`` is a number that the window order starts with."""
+    rows.  ``value`` is a number that the window order starts with.  The sketches
+    read ``sketched`` (default: all of ``df``), rows with the same keys and value."""
     if hot_threshold is None:
         return df.withColumn("_b", value if bucket is None else bucket)
-    d = df.select("*", F.xxhash64(*keys).alias("_k"), value.alias("_v"), F.map_keys(hot_counts(df, keys, hot_threshold)).alias("_hot"))
-    hot = F.array_contains("_hot", F.col("_k"))
+    of = df if sketched is None else sketched
+    hot_keys = F.map_keys(hot_counts(of, keys, hot_threshold)).alias("_hot")
+    d = df.select("*", F.xxhash64(*keys).alias("_slice_k"), value.alias("_slice_v"), hot_keys)
+    hot = F.array_contains("_hot", F.col("_slice_k"))
     if bucket is not None:
         return d.select(*df.columns, F.when(hot, bucket).alias("_b"))
     grid = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
-    cuts = (d.where(hot).groupBy("_k").agg(F.expr(f"percentile_approx(_v, array({grid}), {ACCURACY})").alias("c"))
-            .selectExpr("map_from_entries(collect_list(struct(_k, c))) AS m").scalar())
-    d = d.select("*", cuts.alias("_cuts"))
-    at = below("_cuts[_k]", SLICES - 1, "_v")
-    return d.selectExpr(*[f"`{c}`" for c in df.columns], f"IF(array_contains(_hot, _k), {at}, NULL) AS _b")
+    rows = of.select(F.xxhash64(*keys).alias("_slice_k"), value.alias("_slice_v"), hot_keys)
+    cuts = (rows.where(hot).groupBy("_slice_k").agg(F.expr(f"percentile_approx(_slice_v, array({grid}), {ACCURACY})").alias("c"))
+            .selectExpr("map_from_entries(collect_list(struct(_slice_k, c))) AS m").scalar())
+    d = d.select("*", cuts.alias("_slice_cuts"))
+    at = below("_slice_cuts[_slice_k]", SLICES - 1, "_slice_v")
+    return d.selectExpr(*[f"`{c}`" for c in df.columns], f"IF(array_contains(_hot, _slice_k), {at}, NULL) AS _b")
 
 
 def with_carry(d: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -344,3 +344,4 @@ def q_pipeline_summary(spark, sf):
 from mercato.plans import catalog_baskets  # noqa: E402,F401
 from mercato.plans import catalog_warehouse  # noqa: E402,F401
 from mercato.plans import catalog_io  # noqa: E402,F401
+from mercato.plans import catalog_changes  # noqa: E402,F401

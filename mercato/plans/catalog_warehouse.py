@@ -237,6 +237,16 @@ def q_scd2_asof_lookup(spark, sf):
     return scd.scd2_lookup(o, _customer_scd(spark, sf), "customer_id", "order_date", ["activity_status"])
 
 
+@query("scd2_asof_sweep", with_(*CUST_SCD) + """
+SELECT o.order_id, o.customer_id, o.order_date, d.activity_status, d.effective_date
+FROM ord o LEFT JOIN dimc d ON d.customer_id = o.customer_id AND CAST(o.order_date AS DATE) >= d.effective_date
+     AND (d.expiry_date IS NULL OR CAST(o.order_date AS DATE) < d.expiry_date)""")
+def q_scd2_asof_sweep(spark, sf):
+    """D07 as one sorted stream of facts and versions a key."""
+    o = T.orders(spark, sf).select("order_id", "customer_id", "order_date")
+    return scd.scd2_sweep(o, _customer_scd(spark, sf), "customer_id", "order_date", ["activity_status"])
+
+
 @query("dim_customer_with_segment", with_(CUST, ORD, RFM_B) + """
 SELECT cust.*, rfmb.customer_segment, rfmb.rfm_score FROM cust LEFT JOIN rfmb USING (customer_id)""")
 def q_dim_customer_with_segment(spark, sf):

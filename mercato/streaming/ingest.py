@@ -91,13 +91,13 @@ def _remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def _days_filter(column: str, days: list):
+def days_filter(column: str, days: list):
     known = [d for d in days if d is not None]
     here = F.col(column).isin(known) if known else F.lit(False)
     return here | F.col(column).isNull() if None in days else here
 
 
-def _days_of(df: DataFrame, column: str) -> list:
+def days_of(df: DataFrame, column: str) -> list:
     """Distinct days (null among them): at most the days of the calendar."""
     return [r[0] for r in df.select(column).distinct().collect()]
 
@@ -109,7 +109,7 @@ def overwrite_partitions(target: str, partition: str, parts: list, rows: DataFra
     spark = rows.sparkSession
     (rows.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(target))
-    full = set(_days_of(rows, partition))
+    full = set(days_of(rows, partition))
     for p in parts:
         if p not in full:
             _remove(spark, f"{target}/{partition}={_partition(p)}")
@@ -125,13 +125,13 @@ def replace_in_partitions(target: str, partition: str, key: str, touched: DataFr
     list of dates."""
     spark = fresh.sparkSession
     touched = materialize(touched.select(key, partition).distinct())
-    parts = _days_of(touched, partition)
+    parts = days_of(touched, partition)
     if not parts:
         return
     rows = fresh
     if table_exists(spark, target):
         old = spark.read.schema(fresh.schema).parquet(target)
-        kept = old.filter(_days_filter(partition, parts)).join(
+        kept = old.filter(days_filter(partition, parts)).join(
             touched.filter(F.col(key).isNotNull()).select(key).distinct(), key, "left_anti")
         rows = kept.select(*fresh.columns).unionByName(fresh)
     overwrite_partitions(target, partition, parts, materialize(rows))  # read before its partitions are overwritten
@@ -161,10 +161,10 @@ def _merge_events(batch: DataFrame, staged: str, journal: str, epoch_id: int) ->
     if table_exists(spark, staged):
         table = spark.read.schema(b.schema).parquet(staged)
         known = materialize(table.select("event_id", "day").join(b.select("event_id"), "event_id"))
-        days = _days_of(known, "day")
+        days = days_of(known, "day")
         if days:
             same = b.select("event_id", F.struct(*[c for c in b.columns if c != "event_id"]).alias("_new"))
-            old = table.filter(_days_filter("day", days)).join(same, "event_id")
+            old = table.filter(days_filter("day", days)).join(same, "event_id")
             rest = F.struct(*[c for c in b.columns if c != "event_id"])
             old = materialize(old.filter(F.col("_new") > rest).drop("_new"))  # deliveries that the batch replaces
             touched = touched.unionByName(old.select(*place))
@@ -205,10 +205,10 @@ def daily_metrics_stream(spark: SparkSession, landing: str, out: str, checkpoint
     staged = out.rstrip("/") + "-staged"
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        days = _days_of(_merge_events(batch, staged, f"{checkpoint}-journal", epoch_id), "day")
+        days = days_of(_merge_events(batch, staged, f"{checkpoint}-journal", epoch_id), "day")
         if not days:
             return
-        ev = spark.read.parquet(staged).filter(_days_filter("day", days))
+        ev = spark.read.parquet(staged).filter(days_filter("day", days))
         per_user = ev.groupBy("day", "user_id").agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("event_type") == "view").alias("pv"),
@@ -248,10 +248,10 @@ def sessions_stream(spark: SparkSession, landing: str, out: str, checkpoint: str
             reach = reach.unionByName(taken.select("customer_id", F.col("event_timestamp_min").alias("lo"), F.col("event_timestamp_max").alias("hi")))
         stretch = materialize(reach.select(F.col("customer_id").alias("user_id"), "lo", "hi", F.explode(
             F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("day")))
-        days = _days_of(stretch, "day")
+        days = days_of(stretch, "day")
         if not days:
             return
-        ev = spark.read.parquet(staged).filter(_days_filter("day", days))
+        ev = spark.read.parquet(staged).filter(days_filter("day", days))
         ev = ev.join(stretch, ["user_id", "day"]).filter(F.col("ts").between(F.col("lo"), F.col("hi"))).drop("lo", "hi", "day").distinct()
         fresh = session_behavior(sessionize(events_from_raw(ev), gap_seconds)).withColumn("start_day", F.to_date("event_timestamp_min"))
         fresh = materialize(fresh)
