@@ -467,6 +467,28 @@ def q_stream_sessions(spark, sf):
     return _stream_sessions(spark, sf).select(*_SESSION_COLS)
 
 
+@query("stream_sessions_closed", with_(web_cte(), BEH) + f"""
+SELECT customer_id, event_timestamp_min, event_timestamp_max, event_timestamp_count AS events, product_views_sum AS product_views,
+       purchase_completed_sum AS purchase_completed
+FROM beh WHERE epoch_us(event_timestamp_max) + {P.SESSION_GAP_SECONDS}000000
+      <= (SELECT (epoch_us(MAX(ts)) // 1000 - 86400000) * 1000 FROM events)""")
+def q_stream_sessions_closed(spark, sf):
+    """X02 and X04 with state in the store: the sessions that the watermark (a
+    day behind the last event) has closed.  Events land week by week."""
+    from mercato.streaming import stateful
+
+    raw = T.read(spark, sf, "events").select(*[f.name for f in RAW_EVENTS.fields])
+    landing = scratch_path(spark, "landing-weeks")
+    week = F.date_trunc("week", "ts").cast("date")
+    for w in sorted(r[0] for r in raw.select(week.alias("w")).where("w IS NOT NULL").distinct().collect()):
+        raw.where(week == F.lit(w)).write.mode("append").parquet(landing)
+    out = stateful.stateful_sessions(spark, landing, scratch_path(spark, "sessions-closed"), scratch_path(spark, "ckpt-closed"), P.SESSION_GAP_SECONDS)
+    time = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    return out.where("kind = 'session'").select(
+        "customer_id", time("first_us").alias("event_timestamp_min"), time("last_us").alias("event_timestamp_max"), "events",
+        "product_views", "purchase_completed")
+
+
 @query("stream_funnel_daily", with_(web_cte(), BEH, FACT_BEH) + _DAILY + """
 SELECT funnel_date, stage, stage_order, sessions,
        CAST(sessions AS DOUBLE) / NULLIF(CAST(first_s AS DOUBLE), 0) AS conversion_rate,

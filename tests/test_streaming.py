@@ -196,3 +196,54 @@ def test_ingest_runs_several_batches(spark):
     assert got.count() == T.read(spark, SF001, "events").count()
     batches = spark.read.text(f"{ck}/commits").select(F.input_file_name().alias("f")).distinct().count()
     assert batches >= 3
+
+
+def _stateful(spark, batches, **kw):
+    """Land batches in turn and drain the stream after each; rows by kind."""
+    from mercato.streaming import stateful
+
+    landing, out, ck = (scratch_path(spark, f"t-{x}") for x in ("land", "out", "ck"))
+    for b in batches:
+        spark.createDataFrame(b, EVENTS).coalesce(1).write.mode("append").parquet(landing)
+        got = stateful.stateful_sessions(spark, landing, out, ck, **kw)
+    return got.collect()
+
+
+def test_stateful_sessions_late_and_duplicate_rows(spark):
+    batches = [[_event(1, "2024-01-01 10:00:00"), _event(2, "2024-01-01 10:30:00", 1, "purchase"), _event(3, "2024-01-01 10:00:00", 2),
+                _event(90, None), _event(91, "2024-01-01 10:00:00", None)],
+               [_event(2, "2024-01-02 01:00:00"), _event(4, "2024-01-01 11:00:00")],  # a re-delivery with another day; a session grows
+               [_event(5, "2024-01-09 00:00:00", 3)],  # the watermark passes both sessions
+               [_event(6, "2024-01-01 12:00:00"), _event(7, "2024-01-09 01:00:00", 3)]]  # far too late
+    rows_ = _stateful(spark, batches, gap_seconds=6 * 3600)
+    sessions_ = {(r.customer_id, r.events, r.product_views, r.purchase_completed, r.last_us - r.first_us) for r in rows_ if r.kind == "session"}
+    assert sessions_ == {(1, 3, 2, 1, 3_600_000_000), (2, 1, 1, 0, 0)}
+    assert {(r.kind, r.event_id) for r in rows_ if r.kind != "session"} == {("duplicate", 2), ("late", 6)}
+    # rows in = events of sessions + late + duplicate + still held (5, 7); two without a user or a time
+    assert sum(r.events for r in rows_) + 2 + 2 == sum(map(len, batches))
+
+
+def test_stateful_sessions_survive_restarts(spark):
+    """One batch a run, and all batches in one run, give the same sessions."""
+    import datetime as dt
+    import random
+
+    from mercato.streaming import stateful
+
+    rnd = random.Random(3)
+    start = dt.datetime(2024, 1, 1)
+    batches = [[(100 * d + i, start + dt.timedelta(days=d, minutes=rnd.randrange(1440)), rnd.randrange(4), rnd.choice(["view", "click"]), 1.0, None)
+                for i in range(40)] for d in range(4)]
+    each = _stateful(spark, batches, gap_seconds=1800, delay="1 hour")
+    landing = scratch_path(spark, "t-land")
+    for b in batches:
+        spark.createDataFrame(b, EVENTS).coalesce(1).write.mode("append").parquet(landing)
+    once = stateful.stateful_sessions(spark, landing, scratch_path(spark, "t-out"), scratch_path(spark, "t-ck"), 1800, "1 hour").collect()
+    assert sorted(map(str, each)) == sorted(map(str, once)) and {r.kind for r in once} == {"session"}
+    mark = max(e[1] for b in batches for e in b) - dt.timedelta(hours=1)
+    closed = 0
+    for user in range(4):
+        times = sorted(e[1] for b in batches for e in b if e[2] == user)
+        ends = [t for t, n in zip(times, [*times[1:], None]) if n is None or n - t >= dt.timedelta(seconds=1800)]
+        closed += sum(t + dt.timedelta(seconds=1800) <= mark for t in ends)
+    assert len(once) == closed
