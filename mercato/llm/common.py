@@ -37,6 +37,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of a plan's input as Spark estimates them (the size of the files
+    under a scan), 0 where it has no estimate; no job runs."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 53 else 0
+
+
 def crc32_of_id(col) -> F.Column:
     """crc32 of an id written as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))

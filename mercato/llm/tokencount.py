@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import Payload, pack_array, per_worker, slices, unpack_array, written
+from mercato.llm.common import Payload, input_bytes, pack_array, per_worker, slices, unpack_array, written
 
 PIECES = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -88,7 +88,13 @@ class Counter_:
 
 
 DOCUMENTS, WORDS = 0, 1
-BUCKETS = 64
+#: Buckets at least and at most, and bytes of input that make one more.
+BUCKETS, MOST_BUCKETS, BUCKET_BYTES = 64, 8192, 128 << 20
+
+
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets of pre-tokens for an input, by the size of its files."""
+    return min(max(BUCKETS, -(-input_bytes(docs) // BUCKET_BYTES)), MOST_BUCKETS)
 
 
 def chunks(docs: DataFrame, keep: list[str], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -96,6 +102,7 @@ def chunks(docs: DataFrame, keep: list[str], chunk_bytes: int = CHUNK_BYTES) ->
     of distinct pre-tokens; all their numbers and frequencies packed) and of
     pre-tokens (a bucket's words and their numbers, packed)."""
     src = docs.select(*keep, F.col("text").alias("_text"))
+    buckets = bucket_count(docs)
     kept = "".join(f", `{c}` array<{src.schema[c].dataType.simpleString()}>" for c in keep)
 
     def run(batches):
@@ -110,9 +117,9 @@ def chunks(docs: DataFrame, keep: list[str], chunk_bytes: int = CHUNK_BYTES) ->
                                                *cols, pa.array([a], pa.binary()), pa.array([b], pa.binary())], names=names)
 
         def vocabulary():
-            dealt: list[list] = [[] for _ in range(BUCKETS)]
+            dealt: list[list] = [[] for _ in range(buckets)]
             for w, i in number.items():
-                dealt[zlib.crc32(w.encode()) % BUCKETS].append((w, i))
+                dealt[zlib.crc32(w.encode()) % buckets].append((w, i))
             for b, own in enumerate(dealt):
                 if own:  # a zero byte ends a pre-token: written as the text's own, two bytes
                     words = "\0".join(w.replace("\1", "\1o").replace("\0", "\1z") if "\0" in w or "\1" in w else w for w, _ in own)

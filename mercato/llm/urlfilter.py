@@ -19,9 +19,11 @@ openings and closings is the depth of the *stack* of active rules, and the
 rule on top is the last one opened at that depth: two window functions, no
 range condition and no cross join.
 
-Distinct (host, path) are swept once, so a hot url is one key; a hot host has
-many paths and is cut by the sampled keys.  Sampled keys are the only thing
-that goes to the driver: one a bucket.
+Distinct keys are swept, each once, so neither a hot url nor a key that many
+hosts share (the home pages under one top-level domain) gathers rows in a
+window; a hot host has many paths and is cut by the sampled keys.  The rule of
+each key goes back to its urls by an equi-join, whose hot keys AQE splits.
+Sampled keys are the only thing that goes to the driver: one a bucket.
 
 Defined results: null url, or one without ``://``, has empty host and path,
 fits no rule and gets the default.  Rows with a null page_id and repeated rows
@@ -90,28 +92,30 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, url: str =
     urls = src.select("host", "path").where("host <> ''").distinct()
     keyed = urls.select("host", "path", F.explode(suffixes(F.col("host"))).alias("labels")).select(
         "host", "path", _key(F.col("labels"), F.col("path")).alias("key"))
-    keys = written(keyed, "url-keys")
+    keyed = written(keyed, "url-keys")
+    keys = keyed.select("key").distinct()
     # at most one bucket for each shuffle partition
-    buckets = min(-(-keys.count() // per_bucket), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = [bytes(c) for c in cut_points(keys.select("key"), "key", buckets)]
+    buckets = min(-(-keyed.count() // per_bucket), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = [bytes(c) for c in cut_points(keys, "key", buckets)]
     intervals = _intervals(rules)
     low, high = bucket_of(F.col("low"), cuts, "binary"), bucket_of(F.col("high"), cuts, "binary")
     each = intervals.withColumn("bucket", F.explode(F.sequence(low, high)))
     # an interval that began in an earlier bucket opens before all keys, the
     # outer one (shorter key) first; closings come before keys, as high is open
-    blank = F.lit(None).cast("string")
     opens = each.select("bucket", F.when(F.col("bucket") == low, F.col("low")).otherwise(F.lit(b"")).alias("key"),
-                        F.length("low").alias("turn"), F.lit(1).alias("step"), blank.alias("host"), blank.alias("path"), "rule", "verdict")
+                        F.length("low").alias("turn"), F.lit(1).alias("step"), "rule", "verdict")
+    blank = F.lit(None).cast("string")
     closes = each.where(F.col("bucket") == high).select(
-        "bucket", F.col("high").alias("key"), F.lit(-1).alias("turn"), F.lit(-1).alias("step"), blank, blank, blank, blank)
+        "bucket", F.col("high").alias("key"), F.lit(-1).alias("turn"), F.lit(-1).alias("step"), blank, blank)
     points = keys.select(bucket_of(F.col("key"), cuts, "binary").alias("bucket"), "key", F.lit(1 << 30).alias("turn"), F.lit(0).alias("step"),
-                         "host", "path", blank, blank)
+                         blank, blank)
     events = opens.union(closes).union(points)
     sweep = Window.partitionBy("bucket").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, 0)
     deep = events.withColumn("depth", F.sum("step").over(sweep))
     stack = Window.partitionBy("bucket", "depth").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, 0)
     top = F.last(F.when(F.col("step") == 1, F.struct("rule", "verdict")), ignorenulls=True).over(stack)
-    hits = (deep.withColumn("top", F.when(F.col("depth") > 0, top)).where("step = 0 and top is not null")
-            .groupBy("host", "path").agg(F.max(F.struct(F.length("top.rule").alias("n"), F.col("top.verdict").alias("verdict"), F.col("top.rule").alias("rule"))).alias("w"))
+    hits = deep.withColumn("top", F.when(F.col("depth") > 0, top)).where("step = 0 and top is not null").select("key", "top.rule", "top.verdict")
+    best = F.max(F.struct(F.length("rule").alias("n"), "verdict", "rule"))
+    hits = (keyed.join(hits, "key").groupBy("host", "path").agg(best.alias("w"))
             .select("host", "path", F.col("w.rule").alias("rule"), F.col("w.verdict").alias("verdict")))
     return src.join(hits, ["host", "path"], "left").select(*keep, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))

@@ -219,3 +219,14 @@ def test_query_equals_its_sql(spark):
     assert cols == sorted(want.columns)
     rows = lambda d: sorted((tuple(None if v != v else v for v in r) for r in d[cols].astype(object).values.tolist()), key=str)
     assert rows(got) == rows(want)
+
+
+def test_home_pages_of_one_top_level_domain_share_keys(spark):
+    """All home pages under .com have the key of com and /: swept once."""
+    rules = urlfilter.rule_table(spark, catalog.URL_RULES)
+    rows = [(i, f"http://h{i}.com/") for i in range(3000)] + [(i, f"http://h{i}.com/de/x") for i in range(500)] + [(-1, "http://a.org/q")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(4)
+    got = urlfilter.judge(pages, rules, per_bucket=100)
+    assert {(r["rule"], r["verdict"], r["count"]) for r in got.groupBy("rule", "verdict").count().collect()} == {
+        (None, "allow", 3000), ("com/de/", "block", 500), ("org/", "allow", 1)}
+    assert no_python(got)
