@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from mercato.functions.expressions import activity_status, date_key, epoch_micros, ratio, surrogate_key, time_key
 from mercato.operators.joins import join_small
@@ -49,9 +50,13 @@ def fact_orders(orders: DataFrame, with_keys: bool = False, hot_threshold: int |
 def order_item_ids(lines: DataFrame, line_bucket: int = 1, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
     """``order_item_id`` = "<order>-<position>", position = row number in
     line order (line number, part, supplier, price).  Orders with very many
-    lines are numbered in slices of equal numbers of lines, cut by line number
-    and part (ranges of ``line_bucket``), so a huge order is spread over many tasks."""
-    value = F.expr(f"CAST(line_sort.ln AS DECIMAL(38,0)) * 1000000000000 + FLOOR(line_sort.pk / {int(line_bucket)})").cast("decimal(38,0)")
+    lines are numbered in slices of equal numbers of lines, cut by the first two
+    fields of the order (line number, which is a number, and ranges of
+    ``line_bucket`` parts), so a huge order is spread over many tasks."""
+    first, *more = lines.schema["line_sort"].dataType.fields
+    value = F.col(f"line_sort.{first.name}").cast("decimal(38,0)")
+    if more and isinstance(more[0].dataType, IntegralType):
+        value = (value * 10**12 + F.floor(F.col(f"line_sort.{more[0].name}") / int(line_bucket))).cast("decimal(38,0)")
     d = row_number_in_group(lines, ["order_id"], ["line_sort"], value, "line_position", hot_threshold)
     return d.withColumn(
         "order_item_id", F.concat(F.col("order_id").cast("string"), F.lit("-"), F.col("line_position").cast("string")))

@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 #: Ranges of the tie-break column.
 GRID = 256
@@ -43,7 +44,7 @@ def below(points: str, n: int, value: str) -> str:
 
 
 def order_statistics_sql(src: str, columns: dict[str, str], probs: Sequence[float], ranks: Sequence[str],
-                         tie: str | None = None, kind: str = KIND) -> str:
+                         tie: str | None = None, kind: str = KIND, tie_kind: str = "bigint") -> str:
     """CTEs, the last of which is ``at_ranks(m)``: one row, a map of column name
     to struct(n, at): the number of rows and the array, by rank, of struct(value,
     tie).
@@ -51,16 +52,18 @@ def order_statistics_sql(src: str, columns: dict[str, str], probs: Sequence[floa
     ``src`` is a relation's name; ``columns`` maps names to SQL expressions over
     it; ``ranks`` are SQL expressions over the number of rows ``n`` for the 1-based
     ranks, which lie close to ``probs`` times n.  Rows are ordered by value, nulls
-    first, then by the unique number ``tie``.  Without ``tie``, rows of equal value
+    first, then by the unique ``tie``.  Without ``tie``, rows of equal value
     are interchangeable and nulls are left out.  ``kind`` is a type that holds all
-    columns exactly."""
+    columns exactly, ``tie_kind`` the tie-break's: ranges split it only if it is a
+    number."""
+    split = bool(tie) and tie_kind != "string"
     near = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-NEAR, 0.0, NEAR)})
     points = [f"'{c}', array_distinct(percentile_approx({c}, array({', '.join(f'{p}D' for p in near)}), {ACCURACY}))" for c in columns]
-    grid = f"percentile_approx(_tie, array({', '.join(f'{i / GRID}D' for i in range(1, GRID))}), {ACCURACY})" if tie else "NULL"
+    grid = f"percentile_approx(_tie, array({', '.join(f'{i / GRID}D' for i in range(1, GRID))}), {ACCURACY})" if split else "NULL"
     # the tie-break's range and each column's cell, found once a row.  Written as
     # lambdas: spelt out, they would make a method that the JVM does not compile.
     # Nulls come before all cells, and like a point hold ties only
-    at = below("_s._tie", GRID - 1, "_tie") if tie else "0"
+    at = below("_s._tie", GRID - 1, "_tie") if split else "0"
     cell = ", ".join(f"IF({c} IS NULL, -1, aggregate(_s.{c}, 0, (a, x) -> a + IF({c} > x, 2, IF({c} = x, 1, 0)))) AS _cell_{c}" for c in columns)
     rows = f"SELECT *, {at} AS _at, {cell} FROM (SELECT *, (SELECT s FROM sel_points) AS _s FROM sel_values)"
 
@@ -74,7 +77,7 @@ def order_statistics_sql(src: str, columns: dict[str, str], probs: Sequence[floa
     # the cells of a column (some thousand) are run through in order, and the
     # ranks that fall into each are noted
     return f"""
-sel_values AS (SELECT {", ".join(f"CAST({e} AS {kind}) AS {c}" for c, e in columns.items())}, CAST({tie or 'NULL'} AS BIGINT) AS _tie FROM {src}),
+sel_values AS (SELECT {", ".join(f"CAST({e} AS {kind}) AS {c}" for c, e in columns.items())}, CAST({tie or 'NULL'} AS {tie_kind}) AS _tie FROM {src}),
 sel_points AS (SELECT named_struct({", ".join(points)}, '_tie', {grid}) AS s FROM sel_values),
 sel_rows AS (SELECT inline(array({", ".join(map(one, columns))})) FROM ({rows})),
 sel_cells AS (SELECT * FROM sel_rows{"" if tie else " WHERE cell >= 0"}),
@@ -97,7 +100,7 @@ at_ranks AS (SELECT map_from_entries(transform(array({names}), c -> named_struct
     'at', transform(filter(found, x -> x.name = c), x -> named_struct('value', x.value, 'tie', x.tie)))))) AS m FROM sel_found)"""
 
 
-def ntile_sql(src: str, n: int, scores: dict[str, str], tie: str, kind: str = KIND) -> tuple[str, str]:
+def ntile_sql(src: str, n: int, scores: dict[str, str], tie: str, kind: str = KIND, tie_kind: str = "bigint") -> tuple[str, str]:
     """CTEs and a SELECT of ``src.*`` with ``NTILE(n) OVER (ORDER BY value,
     tie)`` for several values at once: ``scores`` maps each result column to the
     SQL expression of its value."""
@@ -107,10 +110,10 @@ def ntile_sql(src: str, n: int, scores: dict[str, str], tie: str, kind: str = KI
 
     def tile(name: str, value: str) -> str:
         # structs compare by value, nulls first, then by tie
-        row = f"named_struct('value', CAST({value} AS {kind}), 'tie', CAST({tie} AS BIGINT))"
+        row = f"named_struct('value', CAST({value} AS {kind}), 'tie', CAST({tie} AS {tie_kind}))"
         return f"1 + size(filter(_cuts['{name}'].at, c -> {row} > c)) AS {name}"
 
-    ctes = order_statistics_sql(src, scores, [k / n for k in range(1, n)], last, tie, kind)
+    ctes = order_statistics_sql(src, scores, [k / n for k in range(1, n)], last, tie, kind, tie_kind)
     return ctes, (f"SELECT * EXCEPT (_cuts), {', '.join(tile(c, e) for c, e in scores.items())}"
                   f" FROM (SELECT *, (SELECT m FROM at_ranks) AS _cuts FROM {src})")
 
@@ -123,7 +126,8 @@ def shared(df: DataFrame) -> DataFrame:
 
 def ntile_scores(df: DataFrame, n: int, scores: dict[str, str], tie: str, kind: str = KIND) -> DataFrame:
     """``df`` with the columns of ``ntile_sql``."""
-    ctes, select = ntile_sql("{src}", n, scores, tie, kind)
+    tie_kind = "bigint" if isinstance(df.schema[tie].dataType, IntegralType) else "string"
+    ctes, select = ntile_sql("{src}", n, scores, tie, kind, tie_kind)
     return df.sparkSession.sql(f"WITH {ctes} {select}", src=shared(df))
 
 

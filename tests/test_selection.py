@@ -73,3 +73,10 @@ def test_only_current_customers_are_scored(spark):
         customers.where("customer_id % 3 <> 0").withColumn("is_current", F.lit(True)))
     got = rfm.rfm_ntile(versions, orders, P.AS_OF)
     assert rows(got) == rows(rfm.rfm_ntile(customers.where("customer_id % 3 <> 0"), orders, P.AS_OF))
+
+
+def test_ntile_with_a_text_as_tie_break(spark):
+    rnd = random.Random(1)
+    df = spark.createDataFrame([(f"c{i}", rnd.randrange(3)) for i in range(200)], "id string, v long")
+    got = selection.ntile_scores(df, 5, {"t": "v"}, "id")
+    assert rows(got, "id", "t") == rows(df.select("id", F.ntile(5).over(Window.orderBy("v", "id")).alias("t")))
