@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from mercato.llm import ctw
 from mercato.llm import decontamination as dc
 from mercato.llm import langid as lid
-from mercato.llm import minhash, packing, pii, repair
+from mercato.llm import minhash, packing, pii, pipeline, repair
 from mercato.llm import simhash as sh
 from mercato.llm import tokencount, turns, urlfilter, variants, warc
 from mercato.llm.common import crc32_of_id, read
@@ -27,11 +26,11 @@ def query(name: str, oracle: str | None = None):
 
 
 def queries() -> dict:
-    return {**QUERIES, "pipeline": corpus_pipeline.run}
+    return {**QUERIES, "pipeline": pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return {**ORACLE, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+    return {**ORACLE, **({"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {})}
 
 
 @query("op1_repair_token_file")
