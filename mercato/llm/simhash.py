@@ -238,30 +238,37 @@ def links(fps: DataFrame, bits: int = MAX_BITS, limit: int = LIMIT) -> DataFrame
     return pairs.groupBy("part").applyInArrow(join, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int = SHINGLE,
-                    bits: int = MAX_BITS, limit: int = LIMIT) -> DataFrame:
-    """``docs`` (columns ``keep``) with fp, component_id, root (its smallest
-    fingerprint) and ``_row``, a row number that is unique and stays the same."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in MADE]
+def _components(docs: DataFrame, keep: list[str], shingle: int, bits: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (columns ``keep``, doc_id, fp, _row), written, and (fp, component_id,
+    root) of each fingerprint."""
     rows = written(with_fingerprints(docs, [*dict.fromkeys([*keep, "doc_id"])], shingle)
                    .withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
     first = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = components(links(first.select("fp"), bits, limit))
     named = first.join(roots, first["fp"] == roots["u"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = named.join(ids, "root").select("fp", "component_id", "root")
-    return rows.join(of_fp, "fp").select(*keep, "fp", "component_id", "root", "_row", *([] if "doc_id" in keep else ["doc_id"]))
+    return rows, named.join(ids, "root").select("fp", "component_id", "root")
 
 
-def dedup(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
-    """One row of each component: that of the smallest doc_id."""
-    return set_aside(docs, list(MADE), lambda d: _first_rows(near_duplicates(d, None, shingle, bits)))
+def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int = SHINGLE,
+                    bits: int = MAX_BITS, limit: int = LIMIT) -> DataFrame:
+    """``docs`` (columns ``keep``) with fp, component_id, root (its smallest
+    fingerprint) and ``_row``, a row number that is unique and stays the same."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in MADE]
+    rows, of_fp = _components(docs, keep, shingle, bits, limit)
+    return rows.join(of_fp, "fp").select(*keep, "fp", "component_id", "root", "_row", *([] if "doc_id" in keep else ["doc_id"]))
 
 
-def _first_rows(found: DataFrame) -> DataFrame:
-    narrow = found.select("root", "doc_id", "_row")
-    stay = narrow.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("k"))
-    return found.join(stay.select(F.col("k._row").alias("_row")), "_row", "left_semi")
+def dedup(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
+    """One row of each component: that of the smallest doc_id.  The rows that
+    stay are found by number; whole rows are joined once."""
+    def first_rows(d: DataFrame) -> DataFrame:
+        rows, of_fp = _components(d, [c for c in d.columns if c not in MADE], shingle, bits, LIMIT)
+        narrow = rows.select("fp", "doc_id", "_row").join(of_fp.select("fp", "root"), "fp")
+        stay = narrow.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("k"))
+        return rows.join(stay.select(F.col("k._row").alias("_row")), "_row", "left_semi")
+
+    return set_aside(docs, list(MADE), first_rows)
 
 
 def hex_of(col) -> F.Column:

@@ -133,7 +133,7 @@ def test_packing_holds_every_document(stages):
 def test_run_and_registration(spark):
     queries = entry.queries()
     names = [n for n in queries if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)", n).group(1)) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)", n).group(1)) for n in names) == list(range(1, 14))
     assert queries["pipeline"](spark, SF001).count() > 100
     empty = spark.read.parquet(f"{SF001}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
