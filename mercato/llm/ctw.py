@@ -48,11 +48,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import Payload, crc32_of_id, slices, written
+from mercato.llm.common import Payload, crc32_of_id, input_bytes, slices, written
 
 DEPTH = 5
 CHUNK_BYTES = 20 << 20
-BUCKETS = 128
+#: Buckets at least and at most, and bytes of input that make one more.  A
+#: bucket holds the grams of whole two-byte contexts, so the largest such context
+#: (some hundredths of all grams) bounds what more buckets can do.
+BUCKETS, MOST_BUCKETS, BUCKET_BYTES = 128, 4096, 16 << 20
 #: Bytes of a stream that one step handles.
 WINDOW = 3 << 20
 PAD, END, SPACE = 0x0B, 0x0A, 0x20  # no token has a pad or an end byte
@@ -100,9 +103,9 @@ def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.diff(np.r_[first, len(keys)])
 
 
-def bucket_of(keys: np.ndarray) -> np.ndarray:
+def bucket_of(keys: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     two = keys >> np.uint64(8 * DEPTH - 8)  # the last two context bytes
-    return ((two * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % BUCKETS
+    return ((two * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % buckets
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -294,6 +297,7 @@ def _rows(chunk: int, id_type: pa.DataType, rows: list[tuple]) -> pa.RecordBatch
 def chunks(docs: DataFrame, held_out: F.Column, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Step 1: written rows of chunks' streams, grams and words."""
     src = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held"))
+    buckets = min(max(BUCKETS, -(-input_bytes(docs) // BUCKET_BYTES)), MOST_BUCKETS)
 
     def run(batches):
         task, number, size = TaskContext.get().partitionId(), 0, 0
@@ -303,16 +307,16 @@ def chunks(docs: DataFrame, held_out: F.Column, chunk_bytes: int = CHUNK_BYTES)
 
         def emit():
             chunk = task << 24 | number
-            part = bucket_of(keys)
+            part = bucket_of(keys, buckets)
             order = np.argsort(part, kind="stable")
-            cut = np.searchsorted(part[order], np.arange(BUCKETS + 1))
-            for b in range(BUCKETS):
+            cut = np.searchsorted(part[order], np.arange(buckets + 1))
+            for b in range(buckets):
                 own = order[cut[b]:cut[b + 1]]
                 if len(own):
                     yield _rows(chunk, id_type, [(GRAMS, b, None, None, pack_keys(keys[own]), _pack(n[own].astype(np.int64)))])
-            dealt: list[list] = [[] for _ in range(BUCKETS)]
+            dealt: list[list] = [[] for _ in range(buckets)]
             for w in words:
-                dealt[zlib.crc32(w) % BUCKETS].append(w)
+                dealt[zlib.crc32(w) % buckets].append(w)
             for b, own in enumerate(dealt):
                 if own:
                     yield _rows(chunk, id_type, [(WORDS, b, None, None, zip_.compress(b"\n".join(own)), _pack(np.array([words[w] for w in own], dtype=np.int64)))])
