@@ -30,6 +30,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # call sites of every Column call cost three more round trips to the JVM each
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # a checkpoint's files go when nothing refers to it any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -84,8 +86,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset setting is an error there."""
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    except Exception as e:  # noqa: BLE001 - Spark Connect: the server owns the setting
+        if configured := spark.conf.get("spark.checkpoint.dir", None):
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not known to this client: set it in the session") from e
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -99,13 +103,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Scratch tables of this process, by checkpoint folder.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables, under the shared
     checkpoint folder (never a machine-local temp dir on a cluster)."""
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/mercato-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{base}/mercato-{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def drop_scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
+    """Delete the scratch tables that this process has written, but for those
+    whose path is in ``keep``; how many there were.  Results that still read them
+    must have been written elsewhere by then."""
+    paths = [p for p in _SCRATCH if p not in keep]
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _SCRATCH.remove(p)
+    return len(paths)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -51,3 +51,18 @@ def test_unset_on_local_master_gets_scratch_folder():
     path = ensure_checkpoint_dir(s)
     assert path and "mercato-ckpt-" in path
     assert ensure_checkpoint_dir(s) == path  # set once, then reused
+
+
+def test_scratch_tables_can_be_dropped(spark, monkeypatch):
+    import os
+
+    from mercato import session
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    a, b = (session.scratch_path(spark, x) for x in ("one", "two"))
+    for p in (a, b):
+        spark.range(3).write.parquet(p)
+    local = lambda p: p.removeprefix("file:")
+    assert session.drop_scratch(spark, keep=(b,)) == 1
+    assert not os.path.exists(local(a)) and spark.read.parquet(b).count() == 3
+    assert session.drop_scratch(spark) == 1 and not os.path.exists(local(b))
