@@ -18,7 +18,8 @@ Only the distinct grams (context and byte) matter, so the work is theirs:
    context bytes, words by a hash.
 2. A bucket holds whole subtrees from depth 2 down.  One task a bucket sums the
    counts of all chunks, weights its subtrees bottom-up, and mixes each gram's
-   prediction up to depth 2.  The two top levels have at most 256 x 255 nodes
+   prediction up to depth 2, some subtrees from depth 3 at a time and a bit place
+   at a time, so that a gram takes its key, count and predictions.  The two top levels have at most 256 x 255 nodes
    whatever the corpus; they are summed by a groupBy and broadcast.
 3. A second pass over the buckets finishes the grams' predictions and returns
    to each chunk those of its own grams; words' counts go the same way.
@@ -57,7 +58,9 @@ CHUNK_BYTES = 20 << 20
 #: (some hundredths of all grams) bounds what more buckets can do.
 BUCKETS, MOST_BUCKETS, BUCKET_BYTES = 128, 4096, 16 << 20
 #: Bytes of a stream that one step handles.
-WINDOW = 3 << 20
+WINDOW = 1 << 20
+#: Grams that one step of a bucket handles at once (whole subtrees from depth 3).
+STEP_GRAMS = 1 << 18
 PAD, END, SPACE = 0x0B, 0x0A, 0x20  # no token has a pad or an end byte
 
 _HALF = math.log(0.5)
@@ -103,6 +106,28 @@ def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.diff(np.r_[first, len(keys)])
 
 
+class Sums:
+    """Distinct keys with the sums of their numbers, of many parts: holds those
+    so far and about as many more."""
+
+    def __init__(self, at_once: int = 1 << 20):
+        self.keys, self.n, self.at_once = np.zeros(0, np.uint64), np.zeros(0, np.int64), at_once
+        self.held, self.size = [], 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.held.append((keys, n))
+        self.size += len(keys)
+        if self.size >= max(self.at_once, len(self.keys)):
+            self.get()
+
+    def get(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.held:
+            keys, n = (np.concatenate(x) for x in zip((self.keys, self.n), *self.held))
+            self.held, self.size = [], 0
+            self.keys, self.n = summed(keys, n)
+        return self.keys, self.n
+
+
 def bucket_of(keys: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     two = keys >> np.uint64(8 * DEPTH - 8)  # the last two context bytes
     return ((two * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % buckets
@@ -111,7 +136,7 @@ def bucket_of(keys: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
 def _pack(x: np.ndarray) -> bytes:
     """A compressed array; bytes of equal weight lie together."""
     raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(raw).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(raw).data)
 
 
 def _unpack(raw: bytes, kind) -> np.ndarray:
@@ -153,67 +178,115 @@ def mixed(own: np.ndarray, below: np.ndarray) -> np.ndarray:
     return np.logaddexp(own + _HALF, below + _HALF)
 
 
+class _Nodes:
+    """The nodes of a level at one bit place: each gram's node, the nodes' first
+    grams, the grams' bits, and the nodes' zeros and ones."""
+
+    def __init__(self, level: _Level, k: int):
+        prefix = level.byte >> np.uint8(8 - k) if k else np.zeros_like(level.byte)
+        new = np.r_[True, level.new | (prefix[1:] != prefix[:-1])]
+        self.first = np.flatnonzero(new)
+        self.place = np.cumsum(new) - 1
+        self.bit = (level.byte >> np.uint8(7 - k)) & np.uint8(1)
+        self.n1 = np.add.reduceat(level.n * self.bit, self.first)
+        self.n0 = np.add.reduceat(level.n, self.first) - self.n1
+
+    def estimate(self) -> np.ndarray:
+        """The KT probability of each gram's own bit."""
+        at = self.place
+        return (np.where(self.bit == 1, self.n1[at], self.n0[at]) + 0.5) / (self.n0 + self.n1 + 1)[at]
+
+
 class _Level:
-    """Grams of one depth: sorted (context, byte) keys, counts, and for each
-    bit the node that a gram belongs to, with its counts."""
+    """Grams of one depth: sorted (context, byte) keys and counts."""
 
     def __init__(self, keys: np.ndarray, n: np.ndarray):
         self.keys, self.n = keys, n
-        byte = (keys & np.uint64(255)).astype(np.int64)
-        context = keys >> np.uint64(8)
-        self.place, self.first, self.bit, self.counts = [], [], [], []
-        for k in range(8):
-            prefix = byte >> (8 - k)
-            first = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (prefix[1:] != prefix[:-1])])
-            bit = (byte >> (7 - k)) & 1
-            self.place.append(np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(keys)])))
-            self.first.append(first)
-            self.bit.append(bit)
-            ones = np.add.reduceat(n * bit, first)
-            self.counts.append((np.add.reduceat(n, first) - ones, ones))
-
-    def estimate(self, k: int) -> np.ndarray:
-        """The KT probability of each gram's own bit k."""
-        n0, n1 = self.counts[k]
-        at, bit = self.place[k], self.bit[k]
-        return (np.where(bit == 1, n1[at], n0[at]) + 0.5) / (n0 + n1 + 1)[at]
-
-
-def subtrees(keys: np.ndarray, n: np.ndarray, top: int = 2):
+        self.byte = (keys & np.uint64(255)).astype(np.uint8)
+        self.new = (keys[1:] >> np.uint64(8)) != (keys[:-1] >> np.uint64(8))
+
+    def shorter(self) -> tuple[_Level, np.ndarray]:
+        """The level above, and each gram's place in it."""
+        # the context's oldest byte is the lowest one above the gram's byte
+        k, to = np.unique((self.keys >> np.uint64(16) << np.uint64(8)) | (self.keys & np.uint64(255)), return_inverse=True)
+        return _Level(k, np.bincount(to, weights=self.n, minlength=len(k))), to
+
+
+def _raised(low: _Nodes, weighted: np.ndarray, here: _Nodes, up: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From a level to the one above: its nodes' weighted log probabilities, and
+    the share of their own estimates."""
+    # a child node's first gram shows which node is above it
+    below = np.bincount(here.place[up[low.first]], weights=weighted, minlength=len(here.first))
+    own = log_kt(here.n0, here.n1)
+    weighted = mixed(own, below)
+    return weighted, np.exp(own + _HALF - weighted)
+
+
+def _mix(p: np.ndarray, k: int, here: _Nodes, share: np.ndarray, to: np.ndarray) -> None:
+    share = share[here.place][to]
+    p[:, k] = share * here.estimate()[to] + (1 - share) * p[:, k]
+
+
+def _branches(keys: np.ndarray, n: np.ndarray, p: np.ndarray, top: int) -> tuple[_Level, np.ndarray, list[np.ndarray]]:
+    """Predictions of whole subtrees' grams into ``p``, mixed from depth DEPTH up
+    to ``top``; the grams of depth top, each gram's place among them, and for
+    each bit place the weighted log probabilities of the nodes of depth top."""
+    levels, up = [_Level(keys, n)], []
+    for _ in range(DEPTH, top, -1):
+        above, to = levels[-1].shorter()
+        levels.append(above)
+        up.append(to)
+    roots = []
+    for k in range(8):
+        low = _Nodes(levels[0], k)
+        p[:, k] = low.estimate()
+        weighted = log_kt(low.n0, low.n1)
+        to = np.arange(len(keys))  # from grams to this level's
+        for i, level in enumerate(levels[1:]):
+            here, to = _Nodes(level, k), up[i][to]
+            weighted, share = _raised(low, weighted, here, up[i])
+            _mix(p, k, here, share, to)
+            low = here
+        roots.append(weighted)
+    return levels[-1], to, roots
+
+
+def _steps(keys: np.ndarray, depth: int, size: int) -> list[slice]:
+    """Slices of about ``size`` grams that hold whole contexts of ``depth`` bytes."""
+    context = keys >> np.uint64(8 * (DEPTH + 1 - depth))
+    stops = np.append(np.flatnonzero(context[1:] != context[:-1]) + 1, len(keys))
+    out, at = [], 0
+    while at < len(keys):
+        i = max(np.searchsorted(stops, at + size, side="right") - 1, np.searchsorted(stops, at, side="right"))
+        out.append(slice(at, int(stops[i])))
+        at = int(stops[i])
+    return out
+
+
+def subtrees(keys: np.ndarray, n: np.ndarray, top: int = 2, step: int = STEP_GRAMS):
     """Predictions of every gram's 8 bits, mixed from depth DEPTH up to
     ``top``, and the sums that the level above needs: (context of top - 1
     bytes, bit place, zeros, ones, log of the children's product)."""
-    levels, up = [_Level(keys, n.astype(np.float64))], []
-    for _ in range(DEPTH, top, -1):
-        here = levels[-1]
-        # the context's oldest byte is the lowest one above the gram's byte
-        shorter = (here.keys >> np.uint64(16) << np.uint64(8)) | (here.keys & np.uint64(255))
-        k, to = np.unique(shorter, return_inverse=True)
-        up.append(to)
-        levels.append(_Level(k, np.bincount(to, weights=here.n, minlength=len(k))))
-    p = np.empty((len(keys), 8))
+    p, place = np.empty((len(keys), 8)), np.empty(len(keys), np.int32)
+    steps, parts, found = _steps(keys, top + 1, step), [], 0
+    for s in steps:
+        level, to, roots = _branches(keys[s], n[s].astype(np.float64), p[s], top + 1)
+        place[s] = to + found
+        found += len(level.keys)
+        parts.append((level.keys, level.n, roots))
+    lower = _Level(np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts]))
+    last, up = lower.shorter()
     sums = []
     for k in range(8):
-        low = levels[0]
-        p[:, k] = low.estimate(k)
-        weighted = log_kt(*low.counts[k])
-        to = np.arange(len(keys))  # from grams to this level's
-        for i, here in enumerate(levels[1:]):
-            to = up[i][to]
-            # a child node's first gram shows which node is above it
-            above = here.place[k][up[i][levels[i].first[k]]]
-            below = np.bincount(above, weights=weighted, minlength=len(here.first[k]))
-            own = log_kt(*here.counts[k])
-            weighted = mixed(own, below)
-            share = np.exp(own + _HALF - weighted)[here.place[k]][to]
-            p[:, k] = share * here.estimate(k)[to] + (1 - share) * p[:, k]
-        last = levels[-1]
-        first = last.first[k]
+        here = _Nodes(last, k)
+        weighted, share = _raised(_Nodes(lower, k), np.concatenate([x[2][k] for x in parts]), here, up)
+        for s in steps:
+            _mix(p[s], k, here, share, up[place[s]])
+        first = here.first
         context = (last.keys[first] >> np.uint64(8)) >> np.uint64(8)
-        place = (1 << k) | ((last.keys[first] & np.uint64(255)).astype(np.int64) >> (8 - k))
-        where, to = np.unique(context.astype(np.int64) << 8 | place, return_inverse=True)
-        n0, n1 = last.counts[k]
-        sums.append(np.stack([where.astype(np.float64), *(np.bincount(to, weights=x, minlength=len(where)) for x in (n0, n1, weighted))], axis=1))
+        at = (1 << k) | ((last.keys[first] & np.uint64(255)).astype(np.int64) >> (8 - k))
+        where, to = np.unique(context.astype(np.int64) << 8 | at, return_inverse=True)
+        sums.append(np.stack([where.astype(np.float64), *(np.bincount(to, weights=x, minlength=len(where)) for x in (here.n0, here.n1, weighted))], axis=1))
     return p, np.concatenate(sums)
 
 
@@ -301,12 +374,13 @@ def chunks(docs: DataFrame, held_out: F.Column, chunk_bytes: int = CHUNK_BYTES)
 
     def run(batches):
         task, number, size = TaskContext.get().partitionId(), 0, 0
-        keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        found = Sums()
         words: Counter = Counter()
         zip_ = zstandard.ZstdCompressor(level=1)
 
         def emit():
             chunk = task << 24 | number
+            keys, n = found.get()
             part = bucket_of(keys, buckets)
             order = np.argsort(part, kind="stable")
             cut = np.searchsorted(part[order], np.arange(buckets + 1))
@@ -330,7 +404,7 @@ def chunks(docs: DataFrame, held_out: F.Column, chunk_bytes: int = CHUNK_BYTES)
                     some = b"".join(s for s, h in zip(made, held) if h == is_held)
                     for k, _ in windows(some):
                         k, c = counted(k)
-                        keys, n = summed(np.concatenate([keys, k]), np.concatenate([n, np.zeros(len(c), np.int64) if is_held else c]))
+                        found.add(k, np.zeros(len(c), np.int64) if is_held else c)
                     own = some.replace(b"\x0b", b"").replace(b"\n", b"").split(b" ")[:-1] if some else []
                     if is_held:
                         words.update(dict.fromkeys(own, 0))
@@ -340,8 +414,7 @@ def chunks(docs: DataFrame, held_out: F.Column, chunk_bytes: int = CHUNK_BYTES)
                 size += sum(map(len, made))
                 if size >= chunk_bytes:
                     yield from emit()
-                    number, size, words = number + 1, 0, Counter()
-                    keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                    number, size, words, found = number + 1, 0, Counter(), Sums()
         if size:
             yield from emit()
 
@@ -352,13 +425,16 @@ def chunks(docs: DataFrame, held_out: F.Column, chunk_bytes: int = CHUNK_BYTES)
 def _weigh(table: pa.Table) -> pa.Table:
     """Step 2: a bucket's distinct grams with their predictions at depth 2,
     and one row of sums for each node above."""
-    rows = table.select(["bucket", "a", "b"]).to_pylist()
-    keys, n = summed(np.concatenate([unpack_keys(r["a"]) for r in rows]), np.concatenate([_unpack(r["b"], np.int64) for r in rows]))
+    found = Sums()
+    for a, b in zip(table["a"], table["b"]):
+        found.add(unpack_keys(a.as_py()), _unpack(b.as_py(), np.int64))
+    keys, n = found.get()
     p, sums = subtrees(keys, n)
+    p = p.astype(np.float32).ravel()  # the wide one goes before it is packed
     m = len(sums)
     return pa.table({
-        "bucket": pa.array([rows[0]["bucket"]] + [-1] * m, pa.int32()),
-        "a": pa.array([pack_keys(keys)] + [None] * m, pa.binary()), "b": pa.array([_pack(p.astype(np.float32).ravel())] + [None] * m, pa.binary()),
+        "bucket": pa.array([table["bucket"][0].as_py()] + [-1] * m, pa.int32()),
+        "a": pa.array([pack_keys(keys)] + [None] * m, pa.binary()), "b": pa.array([_pack(p)] + [None] * m, pa.binary()),
         "place": pa.array([None, *sums[:, 0].astype(np.int64).tolist()], pa.int64()),
         **{c: pa.array([None, *sums[:, i].tolist()], pa.float64()) for i, c in enumerate(("n0", "n1", "below"), 1)}})
 
@@ -393,13 +469,16 @@ def score(docs: DataFrame, held_out: F.Column, chunk_bytes: int = CHUNK_BYTES) -
     top = Payload(spark, Top(sums["place"].to_numpy(np.int64), *(sums[c].to_numpy(np.float64) for c in ("n0", "n1", "below"))))
 
     def finish(own: pa.Table, known: pa.Table) -> pa.Table:
-        k = known.to_pylist()[0]
-        keys = unpack_keys(k["a"])
-        logs = top.get().log10(keys, _unpack(k["b"], np.float32).reshape(-1, 8).astype(np.float64)).astype(np.float32)
-        rows = own.select(["chunk", "a"]).to_pylist()
-        found = [_pack(logs[np.searchsorted(keys, unpack_keys(r["a"]))]) for r in rows]
-        return pa.table({"chunk": pa.array([r["chunk"] for r in rows], pa.int64()), "kind": pa.array([GRAMS] * len(rows), pa.int32()),
-                         "a": pa.array([r["a"] for r in rows], pa.binary()), "b": pa.array(found, pa.binary())})
+        keys = unpack_keys(known["a"][0].as_py())
+        p, two = _unpack(known["b"][0].as_py(), np.float32).reshape(-1, 8), top.get()
+        logs = np.empty(len(keys), np.float32)
+        for at in range(0, len(keys), STEP_GRAMS):
+            s = slice(at, at + STEP_GRAMS)
+            logs[s] = two.log10(keys[s], p[s].astype(np.float64))
+        del p
+        found = [_pack(logs[np.searchsorted(keys, unpack_keys(a.as_py()))]) for a in own["a"]]
+        return pa.table({"chunk": own["chunk"], "kind": pa.array([GRAMS] * len(found), pa.int32()),
+                         "a": own["a"], "b": pa.array(found, pa.binary())})
 
     known = weighed.where("place is null").select(F.col("bucket").alias("of"), "a", "b")
     gram_logs = of_grams.groupBy("bucket").cogroup(known.groupBy("of")).applyInArrow(finish, "chunk long, kind int, a binary, b binary")

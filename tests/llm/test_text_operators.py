@@ -389,6 +389,28 @@ def test_context_tree_weighting(docs, odd, none):
     assert untrained["score"] == pytest.approx(-9 * 8 * math.log10(2), rel=1e-5)
 
 
+def test_ctw_bucket_memory_and_steps():
+    """Whatever the step, the same predictions; a gram takes a few times its
+    predictions (over 1,000 bytes a gram before)."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    found = ctw.Sums(at_once=1000)
+    for _ in range(100):
+        found.add(*ctw.counted(rng.integers(0, 1 << 48, 4000, dtype=np.uint64) & np.uint64(0x0101070707FF)))
+    keys, n = found.get()
+    assert (np.diff(keys) > 0).all() and n.sum() == 400_000 and len(keys) > 90_000
+    p, sums = ctw.subtrees(keys, n, step=len(keys))
+    tracemalloc.start()
+    try:
+        p2, sums2 = ctw.subtrees(keys, n, step=5000)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (p == p2).all() and (sums == sums2).all()
+    assert peak < 400 * len(keys)
+
+
 def test_ctw_is_a_probability():
     """The predictions of all bytes after a context sum to 1."""
     s = ctw.stream("the cat and the hat and the bat " * 20)
