@@ -14,6 +14,9 @@ Two exact ways count how many orders hold both items of a pair.
   its size, so the number of sub-keys does: no task makes more than about
   ``hot_threshold`` squared pairs of one order.
 
+Inputs that need more partitions than the session has are dealt into theirs by
+order, and the pairs by pair (``parts``).
+
 Which way, and which baskets are hot, is decided while the plan runs, by scalar
 subqueries (a count of items; a frequent-items sketch of the orders): the rows
 of the way not taken are dropped at their scan, and no job runs while the plan
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.expressions import ratio
 from mercato.operators.facts import order_item_ids
+from mercato.operators.parts import partitions, spread
 from mercato.operators.windows import hot_counts
 
 HOT_BASKET = 10_000
@@ -70,10 +74,10 @@ def _split_hot(lines: DataFrame, hot_threshold: int | None) -> tuple[DataFrame,
     return sized.where("_hot IS NULL").drop("_hot"), sized.where("_hot IS NOT NULL")
 
 
-def _pairs(items: DataFrame, cond, hot_threshold: int | None, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+def _pairs(items: DataFrame, cond, hot_threshold: int | None, salt_buckets: int = SALT_BUCKETS, n: int | None = None) -> DataFrame:
     """items(order_id, item, k) -> (order_id, a, b) for pairs with cond(l, r)."""
     plain, hot = _split_hot(items, hot_threshold)
-    out = _self_join(plain, cond)
+    out = _self_join(spread(plain, n, "order_id"), cond)
     return out if hot is None else out.unionByName(_salted_join(hot, cond, hot_threshold, salt_buckets))
 
 
@@ -87,7 +91,23 @@ def positional_pairs(order_items: DataFrame, item_col: str = "product_id", hot_t
     order; direction-sensitive, keeps self-pairs and repeats.  The position is
     a line's number in its order, so identical lines pair as well."""
     items = order_item_ids(order_items).select("order_id", F.col(item_col).alias("item"), F.col("line_position").alias("k"))
-    return _pairs(items, lambda l, r: l < r, hot_threshold, salt_buckets)
+    return _pairs(items, lambda l, r: l < r, hot_threshold, salt_buckets, partitions(order_items))
+
+
+def _distinct_items(lines: DataFrame, hot_threshold: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """lines(order_id, item) without repeats: those of ordinary orders, in
+    partitions by order, and those of hot orders with ``_hot``."""
+    plain, hot = _split_hot(lines, hot_threshold)
+    n = partitions(lines)
+    items = (plain.repartition("order_id") if n is None else spread(plain, n, "order_id")).dropDuplicates(["order_id", "item"])
+    return items, None if hot is None else hot.groupBy("order_id", "item").agg(F.first("_hot").alias("_hot"))
+
+
+def _below(items: DataFrame, hot: DataFrame | None, hot_threshold: int | None, salt_buckets: int) -> DataFrame:
+    below = lambda l, r: l < r
+    out = _self_join(items.withColumn("k", F.col("item")), below)
+    return out if hot is None else out.unionByName(
+        _salted_join(hot.withColumn("k", F.col("item")), below, hot_threshold, salt_buckets))
 
 
 def canonical_pairs(order_items: DataFrame, item_col: str = "product_id", hot_threshold: int | None = HOT_BASKET,
@@ -97,30 +117,28 @@ def canonical_pairs(order_items: DataFrame, item_col: str = "product_id", hot_th
     One shuffle of the ordinary lines on the order id serves the dedup (its keys
     include the order id) and both sides of the self-join.  Hot orders' lines are
     deduplicated on (order, item), combined map-side, before their salted join."""
-    plain, hot = _split_hot(_lines(order_items, item_col), hot_threshold)
-    below = lambda l, r: l < r
-    items = plain.repartition("order_id").dropDuplicates(["order_id", "item"]).withColumn("k", F.col("item"))
-    out = _self_join(items, below)
-    if hot is None:
-        return out
-    big = hot.groupBy("order_id", "item").agg(F.first("_hot").alias("_hot")).withColumn("k", F.col("item"))
-    return out.unionByName(_salted_join(big, below, hot_threshold, salt_buckets))
+    return _below(*_distinct_items(_lines(order_items, item_col), hot_threshold), hot_threshold, salt_buckets)
+
 
+def _counted(pairs: DataFrame, n: int | None) -> DataFrame:
+    """(product_a, product_b, co_occurrence_count)"""
+    return spread(pairs.select(F.col("a").alias("product_a"), F.col("b").alias("product_b")), n, "product_a", "product_b") \
+        .groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("co_occurrence_count"))
 
-def pair_counts(pairs: DataFrame, orders: DataFrame) -> DataFrame:
+
+def pair_counts(pairs: DataFrame, orders: DataFrame, n: int | None = None) -> DataFrame:
     """co_occurrence_count per (a, b) and support over all orders (those
     without items included)."""
-    c = pairs.groupBy(F.col("a").alias("product_a"), F.col("b").alias("product_b")) \
-        .agg(F.count(F.lit(1)).alias("co_occurrence_count"))
+    c = _counted(pairs, n)
     return c.withColumn("support", F.col("co_occurrence_count").cast("double") / _total_orders(orders))
 
 
 def affinity_positional(order_items: DataFrame, orders: DataFrame, **kw) -> DataFrame:
-    return pair_counts(positional_pairs(order_items, **kw), orders)
+    return pair_counts(positional_pairs(order_items, **kw), orders, partitions(order_items))
 
 
 def product_affinity(order_items: DataFrame, orders: DataFrame, item_col: str = "product_id", **kw) -> DataFrame:
-    return pair_counts(canonical_pairs(order_items, item_col, **kw), orders)
+    return pair_counts(canonical_pairs(order_items, item_col, **kw), orders, partitions(order_items))
 
 
 def _vertical(lines: DataFrame, total: Column) -> DataFrame:
@@ -151,11 +169,15 @@ def _with_counts(pairs: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def _horizontal(lines: DataFrame, hot_threshold: int | None, salt_buckets: int) -> DataFrame:
-    """The same by a self-join on the order."""
-    pairs = canonical_pairs(lines, "item", hot_threshold, salt_buckets).groupBy(
-        F.col("a").alias("product_a"), F.col("b").alias("product_b")).agg(F.count(F.lit(1)).alias("co_occurrence_count"))
-    counts = lines.select("order_id", "item").distinct().groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    return _with_counts(pairs, counts)
+    """The same by a self-join on the order.  Of large inputs the pairs, which
+    outnumber the items by far, pass by hash tables of the items' counts and are
+    not sorted."""
+    n = partitions(lines)
+    items, hot = _distinct_items(lines, hot_threshold)
+    pairs = _counted(_below(items, hot, hot_threshold, salt_buckets), n)
+    held = items.select("item") if hot is None else items.select("item").unionByName(hot.select("item"))
+    counts = held.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    return _with_counts(pairs, counts if n is None else counts.hint("shuffle_hash"))
 
 
 def pair_table(order_items: DataFrame, orders: DataFrame, item_col: str = "product_id", min_support: float | None = None,

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.expressions import col_
+from mercato.operators.parts import partitions, spread
 from mercato.operators.selection import below
 
 HOT_KEY_ROWS = 1_000_000
@@ -121,7 +122,7 @@ def row_number_in_group(df: DataFrame, keys: Sequence[str], order: Sequence, val
     keys = list(keys)
     d0 = with_slices(df, keys, value, hot_threshold, bucket)
     w = Window.partitionBy(*keys, "_b").orderBy(*[col_(o) for o in order])
-    d = d0.withColumn("_rn_in", F.row_number().over(w))
+    d = spread(d0, partitions(df), *keys, "_b").withColumn("_rn_in", F.row_number().over(w))
     sizes = d0.where("_b IS NOT NULL").groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     d = with_carry(d, sizes.select(*keys, "_b", F.sum("_bn").over(wb).alias("_off")), keys)
