@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.expressions import ratio
 from mercato.operators.joins import join_small
-from mercato.operators.parts import partitions, spread
+from mercato.operators.parts import partitions, spread, unmerged
 from mercato.schemas import MONEY_SUM
 
 
@@ -70,14 +70,16 @@ def product_days(items_fact: DataFrame, orders: DataFrame) -> DataFrame:
 
     Lines are first summed to (order, product), on the shuffle by order that the
     join needs anyway; an order has one day, so the second shuffle counts rows for
-    its distinct orders and combines them map-side.  Inputs that need more partitions
-    than the session has are dealt into theirs instead, in both shuffles."""
-    n = partitions(items_fact, orders)
+    its distinct orders and combines them map-side.  The first shuffle's tasks hold
+    most, so its partitions are not left to be merged (``parts.unmerged``).  Inputs that
+    need more partitions than the session has are dealt into theirs in both shuffles."""
+    n = unmerged(items_fact, orders)
     lines = items_fact.repartition("order_id") if n is None else spread(items_fact, n, "order_id")
     per_order = lines.groupBy("order_id", "product_id").agg(
         F.sum("quantity").alias("q"), F.sum("line_total").alias("r"), F.sum("profit").alias("p"))
     od = orders.select("order_id", F.col("order_date").cast("date").alias("metric_date"))
-    return spread(per_order.join(od, "order_id"), n, "product_id", "metric_date").groupBy("product_id", "metric_date").agg(
+    days = spread(per_order.join(od, "order_id"), partitions(items_fact, orders), "product_id", "metric_date")
+    return days.groupBy("product_id", "metric_date").agg(
         F.count(F.lit(1)).alias("purchases"), F.sum("q").cast("long").alias("quantity_sold"),
         F.sum("r").cast(MONEY_SUM).alias("revenue"), F.sum("p").cast(MONEY_SUM).alias("profit"))
 

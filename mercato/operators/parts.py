@@ -33,6 +33,17 @@ def partitions(*frames: DataFrame) -> int | None:
     return n if n > int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
 
 
+def unmerged(*frames: DataFrame) -> int | None:
+    """Partitions for a shuffle whose tasks hold hundreds of bytes a row: as
+    ``partitions``, but a number also where the session has more than the files ask
+    for.  Spark merges the session's own partitions at run time by their compressed
+    bytes (64 MB by default, millions of such rows in a task), numbered ones never.
+    Up to the session's number, a partition is a quarter of ``PART_BYTES``."""
+    n = -(-input_bytes(*frames) // PART_BYTES)
+    session = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(n, min(4 * n, session)) if n > 1 else None
+
+
 def spread(df: DataFrame, n: int | None, *keys: str) -> DataFrame:
     """``df`` in ``n`` partitions by its keys, as a shuffle that the grouping,
     window or join by these keys then needs not make; as it is without ``n``."""

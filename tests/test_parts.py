@@ -52,6 +52,26 @@ def test_partitions_grow_with_the_input(spark, tables, monkeypatch, name):
     assert any("REPARTITION_BY_NUM" in x and f", {n})" in x and keys in x for x in plan.split("\n"))
 
 
+def test_days_are_not_merged_where_the_session_has_more_partitions(spark, tables, monkeypatch):
+    """Merged by compressed bytes at run time, a task would hold all its lines."""
+    items, orders = tables
+    want = rows(metrics.product_days(items, orders))
+    monkeypatch.setattr(parts, "PART_BYTES", parts.input_bytes(items, orders) // 5)
+    had = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        n = 4 * -(-parts.input_bytes(items, orders) // parts.PART_BYTES)
+        dealt = metrics.product_days(items, orders)
+        dealt.collect()
+        assert rows(dealt) == want
+        plan = dealt._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", had)
+    assert 8 < n < 64 and parts.partitions(items, orders) is None
+    at = [i for i, x in enumerate(plan) if "Exchange hashpartitioning(order_id" in x]
+    assert at and all(f", {n})" in plan[i] and "AQEShuffleRead" not in plan[i - 1] + plan[i - 2] for i in at)
+
+
 def test_days_by_hand(spark, tables):
     items, orders = tables
     got = {r[:2]: r[2:] for r in rows(metrics.product_days(items, orders).where("product_id = 7 AND metric_date = DATE'2024-01-02'"),
