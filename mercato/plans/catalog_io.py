@@ -474,15 +474,21 @@ FROM beh WHERE epoch_us(event_timestamp_max) + {P.SESSION_GAP_SECONDS}000000
       <= (SELECT (epoch_us(MAX(ts)) // 1000 - 86400000) * 1000 FROM events)""")
 def q_stream_sessions_closed(spark, sf):
     """X02 and X04 with state in the store: the sessions that the watermark (a
-    day behind the last event) has closed.  Events land week by week."""
+    day behind the last event) has closed.  Events land week by week; a week,
+    however many files it has, is drained as one micro-batch."""
     from mercato.streaming import stateful
 
-    raw = T.read(spark, sf, "events").select(*[f.name for f in RAW_EVENTS.fields])
-    landing = scratch_path(spark, "landing-weeks")
-    week = F.date_trunc("week", "ts").cast("date")
-    for w in sorted(r[0] for r in raw.select(week.alias("w")).where("w IS NOT NULL").distinct().collect()):
-        raw.where(week == F.lit(w)).write.mode("append").parquet(landing)
-    out = stateful.stateful_sessions(spark, landing, scratch_path(spark, "sessions-closed"), scratch_path(spark, "ckpt-closed"), P.SESSION_GAP_SECONDS)
+    staged, landing, closed, ckpt = (scratch_path(spark, x) for x in ("staged-weeks", "landing-weeks", "sessions-closed", "ckpt-closed"))
+    raw = T.read(spark, sf, "events").select(*[f.name for f in RAW_EVENTS.fields], F.date_trunc("week", "ts").cast("date").alias("week"))
+    raw = raw.where("week IS NOT NULL")
+    # the weeks are told apart in one pass over the events
+    raw.write.partitionBy("week").parquet(staged)
+    weeks = sorted(r[0] for r in raw.select("week").distinct().collect())
+    out = spark.createDataFrame([], stateful.OUTPUT)
+    for w in weeks:
+        spark.read.schema(raw.schema).parquet(staged).where(F.col("week") == F.lit(w)).drop("week").write.mode("append").parquet(landing)
+        out = stateful.stateful_sessions(spark, landing, closed, ckpt, P.SESSION_GAP_SECONDS,
+                                         max_files_per_trigger=None, closing=w == weeks[-1])
     time = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
     return out.where("kind = 'session'").select(
         "customer_id", time("first_us").alias("event_timestamp_min"), time("last_us").alias("event_timestamp_max"), "events",

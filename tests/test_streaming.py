@@ -247,3 +247,141 @@ def test_stateful_sessions_survive_restarts(spark):
         ends = [t for t, n in zip(times, [*times[1:], None]) if n is None or n - t >= dt.timedelta(seconds=1800)]
         closed += sum(t + dt.timedelta(seconds=1800) <= mark for t in ends)
     assert len(once) == closed
+
+
+def _written(spark, events, files):
+    """An ``events`` table of several files, each with events of all days."""
+    sf = scratch_path(spark, "t-sf")
+    spark.createDataFrame(events, EVENTS).repartition(files).write.parquet(f"{sf}/events.parquet")
+    return sf
+
+
+def test_closed_sessions_whatever_the_number_of_files(spark):
+    """A week's rows are in several files; none is late for another."""
+    import datetime as dt
+    import random
+
+    from mercato.plans.catalog_io import q_stream_sessions_closed
+
+    rnd, start = random.Random(5), dt.datetime(2024, 1, 3)
+    events = [(i, start + dt.timedelta(minutes=rnd.randrange(20 * 1440)), rnd.randrange(40), rnd.choice(["view", "purchase", None]), 1.0, None)
+              for i in range(2000)] + [_event(9000, None), _event(9001, "2024-01-05 00:00:00", None)]
+    got = q_stream_sessions_closed(spark, _written(spark, events, 8)).collect()
+    gap, mark = dt.timedelta(seconds=P.SESSION_GAP_SECONDS), max(e[1] for e in events if e[1]) - dt.timedelta(days=1)
+    want = []
+    for user in range(40):
+        part = []
+        for e in [*sorted((e for e in events if e[2] == user and e[1]), key=lambda e: e[1]), None]:
+            if part and (e is None or e[1] - part[-1][1] >= gap):
+                if part[-1][1] + gap <= mark:
+                    want.append((user, part[0][1], part[-1][1], len(part), sum(x[3] == "view" for x in part), sum(x[3] == "purchase" for x in part)))
+                part = []
+            part.append(e)
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 100
+
+
+def test_closed_sessions_without_a_row(spark):
+    from mercato.plans.catalog_io import q_stream_sessions_closed
+
+    assert q_stream_sessions_closed(spark, _written(spark, [_event(1, None)], 1)).collect() == []
+
+
+def test_stateful_sessions_hold_a_row_a_bucket(spark):
+    """Calls to the state store grow with the buckets, not with the users; a
+    session that ends a gap before the watermark to the millisecond is closed."""
+    from mercato.streaming import stateful
+
+    landing, out, ck = (scratch_path(spark, f"t-{x}") for x in ("land", "out", "ck"))
+    batches = [[_event(u, "2024-01-01 10:00:00", u) for u in range(3000)], [_event(9000, "2024-01-02 16:00:00", 9000)]]
+    for i, b in enumerate(batches):
+        spark.createDataFrame(b, EVENTS).write.mode("append").parquet(landing)
+        got = stateful.stateful_sessions(spark, landing, out, ck, 6 * 3600, max_files_per_trigger=None, closing=i == 1)
+        if i == 0:  # all are held
+            held = spark.read.format("statestore").option("path", ck).option("stateVarName", "held").load()
+            assert 0 < held.count() <= stateful.BUCKETS
+            assert got.count() == 0
+    assert sorted((r.kind, r.customer_id, r.events) for r in got.collect()) == [("session", u, 1) for u in range(3000)]
+
+
+class _Store:
+    """The store of one bucket, in memory."""
+
+    value, timers = None, ()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, t):
+        self.timers = (*self.timers, t)
+
+    def deleteTimer(self, t):
+        self.timers = tuple(x for x in self.timers if x != t)
+
+
+def test_session_processor_against_plain_rules(monkeypatch):
+    """Packed events of one bucket against one event at a time: sessions, late
+    and repeated rows, events that stay, and the timer."""
+    import random
+
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+    from pyspark.sql.streaming.stateful_processor import TimerValues
+
+    from mercato.streaming import stateful
+
+    monkeypatch.setattr(stateful, "PACK", 50)
+    monkeypatch.setattr(stateful, "PACKED", 7)
+    rnd, gap, store = random.Random(11), 3_000_000, _Store()
+    proc = stateful.SessionProcessor(gap)
+    proc.init(store)
+    held, seen = {}, set()
+    for mark_ms in (0, 4_000, 4_000, 9_001, 20_000, 60_000):
+        rows_ = [(rnd.randrange(-2, 5), rnd.randrange(60), rnd.randrange(mark_ms * 1000 - 2_000_000, mark_ms * 1000 + 20_000_000), rnd.randrange(5))
+                 for _ in range(rnd.choice([1, 30, 130]))] if mark_ms < 60_000 else []
+        batches = [pa.RecordBatch.from_arrays([pa.array([3] * len(x), pa.int32()), *[pa.array(c, pa.int64()) for c in zip(*x)]], names=list("abcde"))
+                   for x in (rows_[:60], rows_[60:]) if x]
+        packed = [(b, e) for x in stateful._pack(iter(batches)) for b, e in zip(*(c.to_pylist() for c in x.columns))]
+        assert {b for b, _ in packed} <= {3} and all(len(e) <= 7 * 32 for _, e in packed)
+        assert [tuple(x) for _, e in packed for x in np.frombuffer(e, np.int64).reshape(-1, 4).tolist()] == rows_
+        frames = iter([pd.DataFrame({"events": [e]}) for _, e in packed])
+        times = TimerValues(-1, mark_ms)
+        out = list(proc.handleInputRows((3,), frames, times) if rows_ else proc.handleExpiredTimer((3,), times, None))
+        got = sorted(tuple(None if pd.isna(v) else v for v in r) for f in out for r in f[stateful.COLUMNS].itertuples(index=False))
+
+        want, mark = [], mark_ms * 1000
+        for user, i, us, kind in rows_:
+            tag = "late" if us < mark else "duplicate" if i in [e[1] for e in held.get(user, [])] else None
+            if tag:
+                want.append((tag, user, us, us, 1, 0, 0, 0, 0, i))
+                seen.add(tag)
+            else:
+                held.setdefault(user, []).append((us, i, kind))
+        open_ends = []
+        for user, events in held.items():
+            stretches = []
+            for e in sorted(events):
+                if not stretches or e[0] - stretches[-1][-1][0] >= gap:
+                    stretches.append([])
+                stretches[-1].append(e)
+            held[user] = []
+            for s in stretches:
+                if s[-1][0] + gap <= mark:
+                    want.append(("session", user, s[0][0], s[-1][0], len(s), *[sum(e[2] == k for e in s) for k in range(1, 5)], None))
+                    seen.add("session")
+                else:
+                    held[user] += s
+                    open_ends.append(s[-1][0] + gap)
+        assert got == sorted(want)
+        # the timer's time is before the first whole millisecond that closes a session
+        assert store.timers == ((-(-min(open_ends) // 1000) - 1,) if open_ends else ()) and (store.value is None) == (not open_ends)
+    assert seen == {"late", "duplicate", "session"} and not any(held.values())
