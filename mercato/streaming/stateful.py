@@ -35,6 +35,7 @@ from mercato.streaming.ingest import read_landed_events, run_to_files
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+UNLOAD = "spark.sql.streaming.stateStore.unloadOnCommit"
 
 OUTPUT = ("kind string, customer_id long, first_us long, last_us long, events long, product_views long, add_to_cart long,"
           " checkout_started long, purchase_completed long, event_id long")
@@ -169,7 +170,8 @@ def stateful_sessions(spark: SparkSession, landing: str, out: str, checkpoint: s
         "event_id", epoch_micros("ts").alias("us"), kind.alias("kind"))
     sessions = good.mapInArrow(_pack, PACKED_ROWS).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=SessionProcessor(int(gap_seconds) * 1_000_000), outputStructType=OUTPUT, outputMode="append", timeMode="EventTime")
-    conf = {PROVIDER: ROCKSDB, NO_DATA: str(closing).lower()}
+    # each drain opens its own stores: those of drains before would stay on the executors' disks for a while
+    conf = {PROVIDER: ROCKSDB, NO_DATA: str(closing).lower(), UNLOAD: "true"}
     before = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
